@@ -111,7 +111,7 @@ def bridge(exploded: DataFrame, dim: DataFrame, parent: DataFrame | None = None,
 
 
 def line_fact(lines: DataFrame, headers: DataFrame, run_ts=None,
-              invalid_if=lambda q: q <= 0) -> DataFrame:
+              invalid_if=lambda q: q <= 0, stamps: str = "header") -> DataFrame:
     """Line-grain fact: lines ⟕ headers on ``order_id``; dimension keys are
     hashed from business keys (no dimension joins), ``quantity_valid``
     nulls non-positive quantities. Audit columns come from the header, so a
@@ -120,12 +120,26 @@ def line_fact(lines: DataFrame, headers: DataFrame, run_ts=None,
     lines: order_detail_id, order_id, product_id, quantity
     headers: order_id, order_date, src_sys, src_crt_ts, src_upd_ts
 
+    ``stamps="header"`` keeps that parity: a line arriving after its order
+    carries the order's (old) load time and an incremental load by
+    ``src_crt_ts`` never picks it up. ``stamps="latest"`` uses the later of
+    the line's and the header's load times (lines must carry ``src_crt_ts``
+    and ``src_upd_ts``), so late lines load too.
+
     Scale: one shuffle join on order_id (AQE splits a skewed hot order on
     the line side; the header side is unique per key).
     """
-    l = lines.select("order_detail_id", "order_id", "product_id", "quantity")
+    if stamps not in ("header", "latest"):
+        raise ValueError("stamps must be 'header' or 'latest'")
+    lcols = ["order_detail_id", "order_id", "product_id", "quantity"]
+    if stamps == "latest":
+        lcols += [F.col("src_crt_ts").alias("__l_crt"), F.col("src_upd_ts").alias("__l_upd")]
+    l = lines.select(*lcols)
     h = headers.select("order_id", "order_date", *AUDIT_IN)
     j = l.join(h, "order_id", "left")
+    if stamps == "latest":
+        j = j.withColumn("src_crt_ts", F.greatest("src_crt_ts", "__l_crt")).withColumn(
+            "src_upd_ts", F.greatest("src_upd_ts", "__l_upd"))
     return j.select(
         surrogate_key("order_detail_id").alias("order_detail_sk"),
         surrogate_key("product_id").alias("product_sk"),
