@@ -26,8 +26,16 @@ def main(argv: list[str]) -> None:
     from brickyard.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="brickyard-bench", shuffle_partitions=max(8, 2 * cpus),
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    # warm-up: JVM class loading and the Python worker pool
+    # warm-up (not timed): JVM class loading / codegen and the Python worker pool
     spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).write.format("noop").mode("overwrite").save()
+
+    def _touch(it):
+        import numpy  # noqa: F401
+        import pandas  # noqa: F401
+        yield from it
+
+    spark.range(0, cpus * 4, numPartitions=cpus * 2).mapInPandas(_touch, "id long") \
+        .write.format("noop").mode("overwrite").save()
     todo = keys or list(QUERIES)
     times: dict[str, float] = {}
     for k in todo:

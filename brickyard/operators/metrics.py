@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickyard.operators.star import broadcast_if_small
 
 MONEY = "decimal(18,2)"
 
@@ -60,7 +59,9 @@ def busiest_day(fact: DataFrame, dates: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("n_orders"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("quantity_valid").alias("quantity"))
-    cal = broadcast_if_small(dates.select("date_sk", "day_of_week", "day_name"), 1_000_000)
+    # the calendar is small, but its size is checked by AQE at runtime
+    # (adaptive autoBroadcastJoinThreshold), not by an extra job here
+    cal = dates.select("date_sk", "day_of_week", "day_name")
     return (per_date.join(cal, "date_sk", "inner")
             .groupBy("day_of_week", "day_name")
             .agg(F.sum("n_orders").cast("bigint").alias("n_orders"),
@@ -102,7 +103,7 @@ def revenue_by_quarter(fact: DataFrame, dim: DataFrame, dates: DataFrame) -> Dat
     lookup is a self-join on a quarter index (no unpartitioned window)."""
     per = fact.groupBy("product_sk", "date_sk").agg(F.sum("quantity_valid").alias("q"))
     amt = per.join(dim.select("product_sk", _price().alias("__price")), "product_sk", "inner")
-    cal = broadcast_if_small(dates.select("date_sk", "year_number", "quarter_number"), 1_000_000)
+    cal = dates.select("date_sk", "year_number", "quarter_number")
     q = (amt.join(cal, "date_sk", "inner")
          .groupBy("year_number", "quarter_number")
          .agg(F.sum(F.col("q") * F.col("__price")).alias("__rev")))

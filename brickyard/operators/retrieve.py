@@ -31,6 +31,16 @@ CANDIDATE_SCHEMA = "query_id long, doc_id long, score double"
 MAX_CELLS = 4_000_000  # scores held at once per task (rows x queries)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    shuffle partition count) when its scan yields fewer -- for CPU-heavy
+    per-row work such as tokenizing and scoring. Large inputs already arrive
+    in many splits and pass through untouched. Spark sorts before a
+    round-robin repartition, so a retried task sees the same rows."""
+    n = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def tokens(text) -> Column:
     """Lower-cased word tokens of ``text`` (JVM-side, codegen-friendly)."""
     t = F.col(text) if isinstance(text, str) else text
@@ -60,29 +70,20 @@ def _final_topk(cands: DataFrame, k: int) -> DataFrame:
 
 def _emit_topk(scores: np.ndarray, row_ids: np.ndarray, qids: np.ndarray, keep: int,
                positive_only: bool) -> pd.DataFrame:
-    """Per query column, the ``keep`` best rows (score desc, id asc)."""
-    outs = []
-    n = scores.shape[0]
-    for j in range(scores.shape[1]):
-        col = scores[:, j]
-        idx = np.nonzero(col > 0)[0] if positive_only else np.nonzero(~np.isnan(col))[0]
-        if idx.size == 0:
-            continue
-        if idx.size > keep:
-            # tie-safe cut: take everything scoring at least the keep-th best
-            thr = np.partition(col[idx], idx.size - keep)[idx.size - keep]
-            idx = idx[col[idx] >= thr]
-        order = np.lexsort((row_ids[idx], -col[idx]))[:keep]
-        sel = idx[order]
-        outs.append(pd.DataFrame({"query_id": np.full(sel.size, qids[j], dtype=np.int64),
-                                  "doc_id": row_ids[sel].astype(np.int64),
-                                  "score": col[sel].astype(np.float64)}))
-    del n
-    if not outs:
-        return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
-                             "doc_id": pd.Series([], dtype="int64"),
-                             "score": pd.Series([], dtype="float64")})
-    return pd.concat(outs, ignore_index=True)
+    """Per query column, every row scoring at least the column's ``keep``-th
+    best score (ties at the cut are all kept, so the final id tie-break
+    sees them). Vectorised over all columns at once."""
+    sc = np.where(np.isnan(scores), -np.inf, scores)
+    n = sc.shape[0]
+    if n > keep:
+        thr = np.partition(sc, n - keep, axis=0)[n - keep]
+        mask = sc >= thr[None, :]
+    else:
+        mask = np.ones_like(sc, dtype=bool)
+    mask &= (sc > 0) if positive_only else np.isfinite(sc)
+    r, c = np.nonzero(mask)
+    return pd.DataFrame({"query_id": qids[c].astype(np.int64), "doc_id": row_ids[r].astype(np.int64),
+                         "score": sc[r, c].astype(np.float64)})
 
 
 # ---- vectors -----------------------------------------------------------------
@@ -104,7 +105,7 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
     """
     spark = corpus.sparkSession
     q_all = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v"))
-    c = corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v"))
+    c = spread(corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")))
     keep = 2 * k
     parts = []
     for block in _query_blocks(q_all, "qid", block_rows):
@@ -137,80 +138,54 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
 
 def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str = "item_id",
                  query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
-                 k1: float = BM25_K1, b: float = BM25_B, block_rows: int = 5_000) -> DataFrame:
+                 k1: float = BM25_K1, b: float = BM25_B, block_rows: int = 5_000,
+                 block_terms: int = 200_000) -> DataFrame:
     """Exact BM25 top-``k`` documents per query text.
 
-    Statistics (N, average length, document frequency of each query term)
-    are Spark aggregations; the per-block term table that is broadcast is
-    bounded by the block's own text. Only documents sharing a term with the
-    query score above zero and can be returned.
+    Per query block (at most ``block_rows`` queries and about
+    ``block_terms`` distinct (query, term) pairs, both counted before
+    anything is broadcast): one Spark aggregation gives the document
+    frequency of the block's terms plus N and the average length; then each
+    corpus task scores its documents against the whole block -- a dense
+    BLAS product for terms shared by many queries, a sparse term join for
+    the rest -- and keeps its best ``2k`` per query. Only documents sharing
+    a term with the query score above zero and can be returned.
     """
     spark = docs.sparkSession
-    d = docs.select(F.col(doc_id).alias("did"), tokens(doc_text).alias("toks"))
-    stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg(F.array_size("toks")).alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
+    d = spread(docs.select(F.col(doc_id).alias("did"), F.col(doc_text).alias("__t"))).select(
+        "did", tokens("__t").alias("toks"))
     q = queries.select(F.col(query_id).alias("qid"), tokens(query_text).alias("toks"))
-    parts = []
-    for block in _query_blocks(q, "qid", block_rows):
-        qt = (block.select("qid", F.explode("toks").alias("term"))
+    qt_all = (q.select("qid", F.explode("toks").alias("term"))
               .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-        vocab = qt.select("term").distinct()
-        # document frequency of the block's terms only (semi-join to the vocab)
-        dfreq = (d.select("did", F.explode(F.array_distinct("toks")).alias("term"))
+    n_pairs = qt_all.count()
+    n_queries = queries.count()
+    if n_queries == 0 or n_pairs == 0:
+        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+    nb = max(1, math.ceil(n_queries / block_rows), math.ceil(n_pairs / block_terms))
+    bkey = F.pmod(F.xxhash64(F.col("qid")), F.lit(nb))
+    parts = []
+    for blk in range(nb):
+        qt = qt_all if nb == 1 else qt_all.where(bkey == blk)
+        qt_pdf = qt.toPandas()  # bounded: ~block_terms rows
+        if qt_pdf.empty:
+            continue
+        vocab = spark.createDataFrame(pd.DataFrame({"term": [""] + sorted(qt_pdf["term"].unique())}))
+        # "" never occurs as a token, so it doubles as a per-document sentinel
+        # that yields N and the total length in the same pass as the df counts.
+        stats = (d.select(F.array_size("toks").alias("dl"),
+                          F.explode(F.array_union(F.array_distinct("toks"), F.array(F.lit("")))).alias("term"))
                  .join(F.broadcast(vocab), "term", "left_semi")
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-        w = qt.join(dfreq, "term", "inner").toPandas()  # bounded by the block's text
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len"))
+                 .toPandas().set_index("term"))
+        if "" not in stats.index or stats.loc["", "df"] == 0:
+            continue
+        n_docs = int(stats.loc["", "df"])
+        avgdl = float(stats.loc["", "len"]) / n_docs
+        w = qt_pdf.join(stats[["df"]], on="term", how="inner")
         if w.empty:
             continue
-        w["idf"] = np.log1p((n_docs - w["df"] + 0.5) / (w["df"] + 0.5))
-        w["w"] = w["qtf"] * w["idf"]
-        terms = pd.Index(sorted(w["term"].unique()))
-        qids = np.array(sorted(w["qid"].unique()), dtype=np.int64)
-        t_idx = terms.get_indexer(w["term"])
-        q_idx = np.searchsorted(qids, w["qid"].to_numpy(dtype=np.int64))
-        order = np.argsort(t_idx, kind="stable")
-        payload = dict(terms=terms, qids=qids, t_idx=t_idx[order], q_idx=q_idx[order],
-                       w=w["w"].to_numpy()[order], avgdl=avgdl, k1=k1, b=b)
-        bw = spark.sparkContext.broadcast(payload)
-
-        def score(batches, bw=bw, keep=2 * k):
-            p = bw.value
-            terms_, qids_ = p["terms"], p["qids"]
-            t_sorted, q_of, w_of = p["t_idx"], p["q_idx"], p["w"]
-            nq = qids_.size
-            step = max(1, MAX_CELLS // max(1, nq))
-            for bt in batches:
-                for s0 in range(0, len(bt), step):
-                    chunk = bt.iloc[s0:s0 + step]
-                    ids = chunk["did"].to_numpy(dtype=np.int64)
-                    lens = np.array([len(x) for x in chunk["toks"]], dtype=np.int64)
-                    if lens.sum() == 0:
-                        continue
-                    flat = np.concatenate([np.asarray(x, dtype=object) for x in chunk["toks"]])
-                    rows = np.repeat(np.arange(len(chunk)), lens)
-                    ti = terms_.get_indexer(flat)
-                    hit = ti >= 0
-                    if not hit.any():
-                        continue
-                    key = rows[hit] * len(terms_) + ti[hit]
-                    uk, tf = np.unique(key, return_counts=True)
-                    r, t = uk // len(terms_), uk % len(terms_)
-                    dl = lens[r]
-                    tfw = tf * (p["k1"] + 1) / (tf + p["k1"] * (1 - p["b"] + p["b"] * dl / p["avgdl"]))
-                    # join doc-term entries with query-term entries on the term
-                    lo = np.searchsorted(t_sorted, t, "left")
-                    hi = np.searchsorted(t_sorted, t, "right")
-                    cnt = hi - lo
-                    if cnt.sum() == 0:
-                        continue
-                    rep_r = np.repeat(r, cnt)
-                    rep_v = np.repeat(tfw, cnt)
-                    pos = np.repeat(lo - np.cumsum(cnt) + cnt, cnt) + np.arange(cnt.sum())
-                    sc = np.bincount(rep_r * nq + q_of[pos], weights=rep_v * w_of[pos],
-                                     minlength=len(chunk) * nq).reshape(len(chunk), nq)
-                    yield _emit_topk(sc, ids, qids_, keep, positive_only=True)
-
-        parts.append(d.mapInPandas(score, CANDIDATE_SCHEMA))
+        w["w"] = w["qtf"] * np.log1p((n_docs - w["df"] + 0.5) / (w["df"] + 0.5))
+        parts.append(d.mapInPandas(_bm25_scorer(spark, w, n_docs, avgdl, k1, b, 2 * k), CANDIDATE_SCHEMA))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     cands = parts[0]
@@ -219,6 +194,80 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
     return _final_topk(cands, k)
 
 
+DENSE_CELLS = 16_000_000  # cap on the dense term x query weight matrix
+
+
+def _bm25_scorer(spark, w: pd.DataFrame, n_docs: int, avgdl: float, k1: float, b: float, keep: int):
+    """Build the per-partition scoring function for one query block."""
+    terms = pd.Index(sorted(w["term"].unique()))
+    qids = np.array(sorted(w["qid"].unique()), dtype=np.int64)
+    nq = qids.size
+    t_idx = terms.get_indexer(w["term"])
+    q_idx = np.searchsorted(qids, w["qid"].to_numpy(dtype=np.int64))
+    wv = w["w"].to_numpy(dtype=np.float64)
+    # dense terms: shared by many queries and frequent in the corpus
+    q_per_t = np.bincount(t_idx, minlength=len(terms))
+    df_t = w.groupby("term")["df"].first().reindex(terms).to_numpy()
+    cost = q_per_t * (df_t / max(1, n_docs))
+    order_cost = np.argsort(-cost, kind="stable")
+    max_dense = max(0, DENSE_CELLS // max(1, nq))
+    dense = order_cost[:max_dense][cost[order_cost[:max_dense]] * 64 >= nq]
+    dense_col = np.full(len(terms), -1, dtype=np.int64)
+    dense_col[dense] = np.arange(dense.size)
+    wd = np.zeros((dense.size, nq), dtype=np.float64)
+    is_d = dense_col[t_idx] >= 0
+    wd[dense_col[t_idx[is_d]], q_idx[is_d]] = wv[is_d]
+    sp = ~is_d
+    order = np.argsort(t_idx[sp], kind="stable")
+    payload = dict(terms=terms, qids=qids, dense_col=dense_col, wd=wd,
+                   t_sorted=t_idx[sp][order], q_of=q_idx[sp][order], w_of=wv[sp][order],
+                   avgdl=avgdl, k1=k1, b=b)
+    bw = spark.sparkContext.broadcast(payload)
+
+    def score(batches):
+        p = bw.value
+        terms_, qids_, dcol, wd_ = p["terms"], p["qids"], p["dense_col"], p["wd"]
+        t_sorted, q_of, w_of = p["t_sorted"], p["q_of"], p["w_of"]
+        nq_, nt = qids_.size, len(terms_)
+        step = max(1, MAX_CELLS // max(1, nq_))
+        for bt in batches:
+            for s0 in range(0, len(bt), step):
+                chunk = bt.iloc[s0:s0 + step]
+                n = len(chunk)
+                ids = chunk["did"].to_numpy(dtype=np.int64)
+                lens = np.fromiter((len(x) for x in chunk["toks"]), dtype=np.int64, count=n)
+                if lens.sum() == 0:
+                    continue
+                flat = np.concatenate([np.asarray(x, dtype=object) for x in chunk["toks"]])
+                rows = np.repeat(np.arange(n), lens)
+                ti = terms_.get_indexer(flat)
+                hit = ti >= 0
+                if not hit.any():
+                    continue
+                uk, tf = np.unique(rows[hit] * nt + ti[hit], return_counts=True)
+                r, t = uk // nt, uk % nt
+                tfw = tf * (p["k1"] + 1) / (tf + p["k1"] * (1 - p["b"] + p["b"] * lens[r] / p["avgdl"]))
+                sc = np.zeros((n, nq_), dtype=np.float64)
+                dc = dcol[t]
+                isd = dc >= 0
+                if isd.any() and wd_.shape[0]:
+                    dm = np.zeros((n, wd_.shape[0]), dtype=np.float64)
+                    dm[r[isd], dc[isd]] = tfw[isd]
+                    sc += dm @ wd_
+                rs, ts, vs = r[~isd], t[~isd], tfw[~isd]
+                lo = np.searchsorted(t_sorted, ts, "left")
+                cnt = np.searchsorted(t_sorted, ts, "right") - lo
+                tot = int(cnt.sum())
+                if tot:
+                    pos = np.repeat(lo - np.cumsum(cnt) + cnt, cnt) + np.arange(tot)
+                    sc += np.bincount(np.repeat(rs, cnt) * nq_ + q_of[pos],
+                                      weights=np.repeat(vs, cnt) * w_of[pos],
+                                      minlength=n * nq_).reshape(n, nq_)
+                yield _emit_topk(sc, ids, qids_, keep, positive_only=True)
+
+    return score
+
+
 # ---- context, history, prompt ----------------------------------------------------
 
 def assemble_context(ranked: DataFrame, texts: DataFrame, doc_id: str = "doc_id",

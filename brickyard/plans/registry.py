@@ -20,6 +20,7 @@ from brickyard.operators.clean import dedupe_latest
 from brickyard.operators.explode import split_explode
 from brickyard.operators.load import incremental_filter, load_incremental, upsert
 from brickyard.operators.quality import Check
+from brickyard.session import cut_lineage
 from brickyard.plans.sales_star import (AS_OF, PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
                                         SalesStar)
 from brickyard.sources.seed import size_labels
@@ -103,7 +104,9 @@ def fact_incremental_merge(spark, d):
     b1 = s.bronze("orders", o.where(F.col("o_orderkey") <= half), RUN_TS)
     b2 = b1.unionByName(s.bronze("orders", o.where(F.col("o_orderkey") > half), RUN_TS_2))
     lines = s.silver_order_details()
-    f1 = s.fact_orders(lines, s.silver_orders(b1), RUN_TS)
+    # run 1's fact is a stored table by the time run 2 loads: persist it in
+    # the shared checkpoint folder (this also cuts the lineage of run 2)
+    f1 = cut_lineage(s.fact_orders(lines, s.silver_orders(b1), RUN_TS))
     f2 = s.fact_orders(lines, s.silver_orders(b2), RUN_TS_2)
     return load_incremental(f2, f1, "order_detail_sk", "src_crt_ts")
 

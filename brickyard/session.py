@@ -46,17 +46,16 @@ def get_spark(master: str | None = None, app: str = "brickyard",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh folder under the system temp dir) when that is unset, as in
-    local tests.
+    A cluster names it in ``spark.checkpoint.dir``; we read that setting from
+    the session and only pick our own folder (for local runs and tests) when
+    it is unset. Never a local checkpoint: those die with their executor.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="brickyard-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
