@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
+         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
