@@ -47,13 +47,14 @@ def tokens(text) -> Column:
     return F.filter(F.split(F.lower(t), TOKEN_SPLIT, -1), lambda x: x != F.lit(""))
 
 
-def _query_blocks(queries: DataFrame, id_col: str, max_rows: int) -> list[DataFrame]:
+def _query_blocks(queries: DataFrame, id_col: str, max_rows: int,
+                  n: int | None = None) -> list[DataFrame]:
     """Split ``queries`` into hash blocks of about ``max_rows`` rows each.
     The count is the size check that licenses broadcasting a block."""
-    n = queries.count()
+    n = queries.count() if n is None else n
     if n == 0:
         return []
-    nb = max(1, math.ceil(n / max_rows))
+    nb = max(1, math.ceil(n / max(1, max_rows)))
     if nb == 1:
         return [queries]
     key = F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb))
@@ -97,18 +98,22 @@ def _unit_rows(vecs) -> np.ndarray:
 
 def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str = "vec_id",
                 doc_id: str = "vec_id", vec_col: str = "embedding", exclude_self: bool = True,
-                block_rows: int = 20_000) -> DataFrame:
+                block_rows: int = 20_000, block_bytes: int = 64 << 20) -> DataFrame:
     """Exact cosine top-``k`` corpus rows for every query vector.
 
     Returns ``query_id, rank, doc_id, score`` (score rounded to 6 places;
     ties by doc_id). ``exclude_self`` drops a doc whose id equals the query id.
+    A block holds at most ``block_rows`` queries and ``block_bytes`` of
+    float64 vectors (count and widest vector are measured first).
     """
     spark = corpus.sparkSession
     q_all = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v"))
     c = spread(corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")))
     keep = 2 * k
+    size = q_all.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
+    rows = min(block_rows, max(1, block_bytes // (8 * max(1, size["dim"] or 1))))
     parts = []
-    for block in _query_blocks(q_all, "qid", block_rows):
+    for block in _query_blocks(q_all, "qid", rows, size["n"]):
         pdf = block.toPandas()  # bounded by block_rows (checked above)
         qids = pdf["qid"].to_numpy(dtype=np.int64)
         bq = spark.sparkContext.broadcast((qids, _unit_rows(pdf["v"]).T.copy()))

@@ -21,7 +21,7 @@ from brickyard.operators.explode import split_explode
 from brickyard.operators.load import incremental_filter, load_incremental, upsert
 from brickyard.operators.quality import Check
 from brickyard.session import cut_lineage
-from brickyard.plans.sales_star import (AS_OF, PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
+from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
                                         SalesStar)
 from brickyard.sources.seed import size_labels
 

@@ -6,7 +6,6 @@ and a lost executor or restarted job resumes without duplicates."""
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -16,12 +15,21 @@ from brickyard.operators.star import bronze_capture
 from brickyard.session import checkpoint_dir
 
 
-def _latest_version(root: str) -> str | None:
-    if not os.path.isdir(root):
+def _latest_version(spark: SparkSession, root: str) -> str | None:
+    """Newest committed ``v=N`` under ``root`` on whatever file system the
+    path names (HDFS, object stores, local), via the session's Hadoop conf."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return None
-    vs = sorted(int(d[2:]) for d in os.listdir(root)
-                if d.startswith("v=") and os.path.exists(os.path.join(root, d, "_SUCCESS")))
-    return os.path.join(root, f"v={vs[-1]}") if vs else None
+    vs = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() and \
+                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            vs.append(int(name[2:]))
+    return f"{root.rstrip('/')}/v={max(vs)}" if vs else None
 
 
 def ingest_available(spark: SparkSession, source_dir: str, schema: StructType | str, target_root: str,
@@ -34,7 +42,7 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType |
     and writes version N+1 (never overwriting what it reads). Versions are
     whole tables, so readers always see a committed snapshot.
     """
-    ckpt = os.path.join(checkpoint_dir(spark), f"stream-{name}")
+    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -42,12 +50,12 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType |
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         staged = bronze_capture(batch, src_sys, run_ts)
-        cur = _latest_version(target_root)
+        cur = _latest_version(spark, target_root)
         out = staged if cur is None else upsert(spark.read.parquet(cur), staged, key)
-        nxt = 0 if cur is None else int(os.path.basename(cur)[2:]) + 1
-        out.write.mode("overwrite").parquet(os.path.join(target_root, f"v={nxt}"))
+        nxt = 0 if cur is None else int(cur.rsplit("=", 1)[1]) + 1
+        out.write.mode("overwrite").parquet(f"{target_root.rstrip('/')}/v={nxt}")
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return _latest_version(target_root)
+    return _latest_version(spark, target_root)
