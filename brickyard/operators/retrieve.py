@@ -5,7 +5,7 @@ corpus. A block is size-checked (row count) before it is broadcast; more
 queries than one block holds are split into hash blocks, each an exact pass
 over the corpus, so nothing is capped. Inside each corpus task the block is
 scored with numpy (dense dot products for vectors, BM25 for keywords) and
-only the task's best ``2k`` candidates per query leave the task; a
+only the task's best ``k`` candidates per query leave the task; a
 ``row_number() <= k`` window (partial WindowGroupLimit before its shuffle)
 merges them. No (query, doc) pair rows are ever shuffled, and no cross join
 is planned.
@@ -62,26 +62,40 @@ def _query_blocks(queries: DataFrame, id_col: str, max_rows: int,
 
 
 def _final_topk(cands: DataFrame, k: int) -> DataFrame:
-    s = F.round(F.col("score"), 6)
-    w = Window.partitionBy("query_id").orderBy(s.desc(), F.col("doc_id").asc())
-    return (cands.select("query_id", "doc_id", s.alias("score"))
-            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    """Merge per-task candidates: same total order as inside the tasks
+    (score desc, doc_id asc); the partial WindowGroupLimit keeps k per query
+    per map task before the shuffle."""
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
+    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "doc_id", "score"))
 
 
 def _emit_topk(scores: np.ndarray, row_ids: np.ndarray, qids: np.ndarray, keep: int,
                positive_only: bool) -> pd.DataFrame:
-    """Per query column, every row scoring at least the column's ``keep``-th
-    best score (ties at the cut are all kept, so the final id tie-break
-    sees them). Vectorised over all columns at once."""
-    sc = np.where(np.isnan(scores), -np.inf, scores)
-    n = sc.shape[0]
+    """Per query column, exactly the ``keep`` best rows under the final total
+    order (score rounded to 6 places desc, id asc). A row beaten by ``keep``
+    rows of its own task cannot reach the global top-``keep``, so the cut is
+    exact -- and a cluster of identical documents, however large, still
+    yields only ``keep`` rows per query per task."""
+    sc = np.round(np.where(np.isnan(scores), -np.inf, scores), 6)
+    ok = (sc > 0) if positive_only else np.isfinite(sc)
+    sc = np.where(ok, sc, -np.inf)
+    n, nq = sc.shape
     if n > keep:
-        thr = np.partition(sc, n - keep, axis=0)[n - keep]
-        mask = sc >= thr[None, :]
+        thr = np.partition(sc, n - keep, axis=0)[n - keep]          # keep-th best per column
+        better = sc > thr[None, :]
+        tied = sc == thr[None, :]
+        need = keep - better.sum(axis=0)                               # tied rows still needed
+        over = np.nonzero(tied.sum(axis=0) > need)[0]
+        for j in over:                                                 # resolve ties by smallest id
+            t = np.nonzero(tied[:, j])[0]
+            m = int(need[j])
+            tied[:, j] = False
+            if m > 0:
+                tied[t[np.argsort(row_ids[t], kind="stable")[:m]], j] = True
+        mask = (better | tied) & ok
     else:
-        mask = np.ones_like(sc, dtype=bool)
-    mask &= (sc > 0) if positive_only else np.isfinite(sc)
+        mask = ok
     r, c = np.nonzero(mask)
     return pd.DataFrame({"query_id": qids[c].astype(np.int64), "doc_id": row_ids[r].astype(np.int64),
                          "score": sc[r, c].astype(np.float64)})
@@ -109,7 +123,7 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
     spark = corpus.sparkSession
     q_all = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v"))
     c = spread(corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")))
-    keep = 2 * k
+    keep = k
     size = q_all.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
     rows = min(block_rows, max(1, block_bytes // (8 * max(1, size["dim"] or 1))))
     parts = []
@@ -153,7 +167,7 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
     frequency of the block's terms plus N and the average length; then each
     corpus task scores its documents against the whole block -- a dense
     BLAS product for terms shared by many queries, a sparse term join for
-    the rest -- and keeps its best ``2k`` per query. Only documents sharing
+    the rest -- and keeps its best ``k`` per query. Only documents sharing
     a term with the query score above zero and can be returned.
     """
     spark = docs.sparkSession
@@ -190,7 +204,7 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
         if w.empty:
             continue
         w["w"] = w["qtf"] * np.log1p((n_docs - w["df"] + 0.5) / (w["df"] + 0.5))
-        parts.append(d.mapInPandas(_bm25_scorer(spark, w, n_docs, avgdl, k1, b, 2 * k), CANDIDATE_SCHEMA))
+        parts.append(d.mapInPandas(_bm25_scorer(spark, w, n_docs, avgdl, k1, b, k), CANDIDATE_SCHEMA))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     cands = parts[0]

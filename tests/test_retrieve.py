@@ -100,3 +100,16 @@ def test_tokens_drop_empty(spark):
     r = spark.createDataFrame([("  Hello, WORLD!! 42 ",)], "t string").select(R.tokens("t").alias("x")).first()
     assert r.x == ["hello", "world", "42"]
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_copy_cluster_emits_only_k_per_task(spark):
+    # a third of the corpus is one repeated text: each task still forwards k rows per query
+    docs = [(i, "alpha beta gamma") for i in range(60)] + [(100 + i, f"alpha word{i}") for i in range(120)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    q = spark.createDataFrame([(1, "alpha beta")], "item_id bigint, text string")
+    out = R.keyword_topk(q, d, 3).orderBy("rank").collect()
+    assert [r.doc_id for r in out] == [0, 1, 2]          # ties broken by smallest id
+    ids = np.arange(10)
+    sc = np.ones((10, 1))
+    got = R._emit_topk(sc, ids, np.array([7]), 3, positive_only=True)
+    assert sorted(got.doc_id) == [0, 1, 2]
