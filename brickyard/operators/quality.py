@@ -82,8 +82,9 @@ def freshness(df: DataFrame, loaded_at: str, as_of=None, warn_hours: float = 24,
     now = (F.current_timestamp().cast("timestamp_ntz") if as_of is None
            else F.lit(str(as_of)).cast("timestamp_ntz"))
     agg = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
-    age = ((F.unix_micros(now.cast("timestamp")) -
-            F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3600e6))
+    # wall-clock difference of two timestamp_ntz values: independent of the
+    # session time zone (a cast to timestamp would shift by an hour over DST)
+    age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / F.lit(3600e6)
     status = (F.when(F.col("max_loaded_at").isNull(), "error")
               .when(F.col("age_hours") > error_hours, "error")
               .when(F.col("age_hours") > warn_hours, "warn").otherwise("pass"))

@@ -47,3 +47,13 @@ def test_freshness_levels(spark):
     assert st("2024-01-02 06:00:00") == "warn"
     assert st("2024-01-03 06:00:00") == "error"
     assert Q.freshness(df.limit(0), "ts", "2024-01-01 00:00:00").first().status == "error"
+
+
+def test_freshness_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 9, 12),)], "ts timestamp_ntz")
+        assert Q.freshness(df, "ts", "2024-03-10 12:00:00").first().age_hours == 24.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
