@@ -38,7 +38,27 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     in many splits and pass through untouched. Spark sorts before a
     round-robin repartition, so a retried task sees the same rows."""
     n = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD API (e.g. a Spark Connect session)
+        return df
+    return df.repartition(n) if have < n else df
+
+
+class _Local:
+    """Stand-in for a broadcast variable when the session has no SparkContext
+    (Spark Connect): the payload then travels inside the task closure."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _share(spark, payload):
+    """Broadcast ``payload`` once per executor (classic sessions)."""
+    try:
+        return spark.sparkContext.broadcast(payload)
+    except Exception:  # noqa: BLE001
+        return _Local(payload)
 
 
 def tokens(text) -> Column:
@@ -130,7 +150,7 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
     for block in _query_blocks(q_all, "qid", rows, size["n"]):
         pdf = block.toPandas()  # bounded by block_rows (checked above)
         qids = pdf["qid"].to_numpy(dtype=np.int64)
-        bq = spark.sparkContext.broadcast((qids, _unit_rows(pdf["v"]).T.copy()))
+        bq = _share(spark, (qids, _unit_rows(pdf["v"]).T.copy()))
 
         def score(batches, bq=bq, keep=keep, exclude_self=exclude_self):
             qids_, qm = bq.value
@@ -241,7 +261,7 @@ def _bm25_scorer(spark, w: pd.DataFrame, n_docs: int, avgdl: float, k1: float, b
     payload = dict(terms=terms, qids=qids, dense_col=dense_col, wd=wd,
                    t_sorted=t_idx[sp][order], q_of=q_idx[sp][order], w_of=wv[sp][order],
                    avgdl=avgdl, k1=k1, b=b)
-    bw = spark.sparkContext.broadcast(payload)
+    bw = _share(spark, payload)
 
     def score(batches):
         p = bw.value
