@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def _keys(key) -> list[str]:
@@ -104,6 +103,3 @@ def load_incremental(source: DataFrame, target: DataFrame | None, unique_key,
     tgt = sync_schema(target, new) if sync else target
     return upsert(tgt, new, unique_key, preserve=preserve, validate=validate)
 
-
-def empty_like(schema: StructType, spark) -> DataFrame:
-    return spark.createDataFrame([], schema)

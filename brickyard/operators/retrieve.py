@@ -62,9 +62,10 @@ def _share(spark, payload):
 
 
 def tokens(text) -> Column:
-    """Lower-cased word tokens of ``text`` (JVM-side, codegen-friendly)."""
+    """Lower-cased word tokens of ``text``: built-in lower/split/array_remove,
+    all JVM-side with generated code (no lambda, no Python)."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), TOKEN_SPLIT, -1), lambda x: x != F.lit(""))
+    return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT, -1), F.lit(""))
 
 
 def _query_blocks(queries: DataFrame, id_col: str, max_rows: int,

@@ -151,6 +151,3 @@ def line_fact(lines: DataFrame, headers: DataFrame, run_ts=None,
         *audit_columns(None, run_ts),
     )
 
-
-def keep_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)

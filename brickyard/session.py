@@ -65,6 +65,3 @@ def cut_lineage(df, spark: SparkSession | None = None):
     checkpoint_dir(spark)
     return df.checkpoint(eager=True)
 
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", str(os.cpu_count() or 8)))
