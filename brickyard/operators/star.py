@@ -3,7 +3,6 @@ dimension, bridge table and line-grain fact with hash keys."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
