@@ -118,7 +118,7 @@ def silver_order_details(spark, d):
     return _star(spark, d).silver_order_details()
 
 
-def silver_pizza(spark, d):
+def silver_products_query(spark, d):
     return _star(spark, d).silver_products()
 
 
@@ -399,7 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_incremental_merge": fact_incremental_merge,
     "silver_orders": silver_orders,
     "silver_order_details": silver_order_details,
-    "silver_pizza": silver_pizza,
+    "silver_pizza": silver_products_query,
     "dedupe_latest": dedupe_latest_query,
     "surrogate_key": surrogate_key_query,
     "surrogate_key_multi": surrogate_key_multi,
