@@ -103,3 +103,77 @@ def load_incremental(source: DataFrame, target: DataFrame | None, unique_key,
     tgt = sync_schema(target, new) if sync else target
     return upsert(tgt, new, unique_key, preserve=preserve, validate=validate)
 
+
+
+# Characters Spark escapes as %XX in partition directory names
+# (plus control characters 0x01-0x1F), and its directory name for null.
+PATH_ESCAPES = set('"#%\'*/:=?\\\x7f{[]^')
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _part_dir(cols: Sequence[str], values: Sequence) -> str:
+    def esc(v) -> str:
+        if v is None:
+            return NULL_PARTITION
+        s = str(v)
+        return "".join(f"%{ord(ch):02X}" if ch in PATH_ESCAPES or ord(ch) < 0x20 else ch for ch in s)
+    return "/".join(f"{c}={esc(v)}" for c, v in zip(cols, values))
+
+
+def merge_partitions(source: DataFrame, target_path: str, key, partition_cols: Sequence[str],
+                     preserve: Sequence[str] = (), validate: bool = False,
+                     track_moves: bool = True) -> list[tuple]:
+    """Upsert ``source`` into the partitioned Parquet table at ``target_path``
+    rewriting only the partitions it touches (not the whole table).
+
+    Touched partitions are those of the incoming rows plus, with
+    ``track_moves``, the old partitions of keys that now land elsewhere
+    (e.g. a line whose order date was null on the first load). Only those
+    partitions are read (partition pruning), merged with ``upsert``, staged
+    in the shared checkpoint folder (so the table is never overwritten while
+    the same plan reads it) and written back with dynamic partition
+    overwrite; partitions the merge left empty are removed. Returns the
+    touched partition values. The list of touched partitions is collected;
+    it is bounded by the number of partitions, not by rows.
+    """
+    from brickyard.session import checkpoint_dir
+
+    spark = source.sparkSession
+    ks = _keys(key)
+    pcols = list(partition_cols)
+    if validate:
+        assert_unique(source, ks)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        source.write.partitionBy(*pcols).parquet(target_path)
+        return [tuple(r) for r in source.select(*pcols).distinct().collect()]
+    target = spark.read.parquet(target_path)
+    touched_df = source.select(*pcols)
+    if track_moves:
+        moved = target.select(*ks, *pcols).join(source.select(*ks), ks, "left_semi").select(*pcols)
+        touched_df = touched_df.unionByName(moved)
+    touched = [tuple(r) for r in touched_df.distinct().collect()]
+    if not touched:
+        return []
+    cond = None
+    for vals in touched:
+        c = None
+        for col, v in zip(pcols, vals):
+            e = F.col(col).eqNullSafe(F.lit(v))
+            c = e if c is None else c & e
+        cond = c if cond is None else cond | c
+    old = target.where(cond)
+    merged = upsert(old, source.select(*target.columns), ks, preserve=preserve)
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/merge-{jvm.java.util.UUID.randomUUID().toString()}"
+    merged.write.parquet(stage)  # a written table in the shared folder cuts the read/overwrite cycle
+    staged = spark.read.parquet(stage)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*pcols).parquet(target_path))
+    kept = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
+    for vals in touched:
+        if vals not in kept:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, _part_dir(pcols, vals)), True)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(stage), True)
+    return touched

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from brickyard.operators.load import upsert
+from brickyard.operators.load import merge_partitions, upsert
 from brickyard.operators.star import bronze_capture
 from brickyard.session import checkpoint_dir
 
@@ -34,13 +34,17 @@ def _latest_version(spark: SparkSession, root: str) -> str | None:
 
 def ingest_available(spark: SparkSession, source_dir: str, schema: StructType | str, target_root: str,
                      key, src_sys: str = "raw", run_ts=None, name: str = "ingest",
-                     max_files_per_trigger: int | None = None) -> str | None:
+                     max_files_per_trigger: int | None = None,
+                     partition_cols: list[str] | None = None) -> str | None:
     """Load every new file under ``source_dir`` into ``target_root`` and return
     the path of the newest committed version (``{target_root}/v=N``).
 
     Each micro-batch reads the current version, upserts the batch by ``key``
     and writes version N+1 (never overwriting what it reads). Versions are
-    whole tables, so readers always see a committed snapshot.
+    whole tables, so readers always see a committed snapshot. With
+    ``partition_cols`` the target is instead one partitioned table and each
+    batch rewrites only the partitions it touches (``merge_partitions``);
+    the return value is then ``target_root``.
     """
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     reader = spark.readStream.schema(schema)
@@ -50,6 +54,9 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType |
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         staged = bronze_capture(batch, src_sys, run_ts)
+        if partition_cols:
+            merge_partitions(staged, target_root, key, partition_cols)
+            return
         cur = _latest_version(spark, target_root)
         out = staged if cur is None else upsert(spark.read.parquet(cur), staged, key)
         nxt = 0 if cur is None else int(cur.rsplit("=", 1)[1]) + 1
@@ -58,4 +65,4 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType |
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return _latest_version(spark, target_root)
+    return target_root if partition_cols else _latest_version(spark, target_root)

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,20 @@ def test_write_refuses_to_overwrite_its_input(spark, tmp_path):
         write_table(df, p)
     write_table(df, str(tmp_path / "t2"))
     assert spark.read.parquet(str(tmp_path / "t2")).count() == 3
+
+
+def test_merge_partitions_rewrites_only_touched(spark, tmp_path):
+    from brickyard.operators.load import merge_partitions
+    path = str(tmp_path / "fact")
+    schema = "k int, v string, d date"
+    first = spark.createDataFrame([(1, "a", D1), (2, "b", D1), (3, "c", None), (4, "z", D2)], schema)
+    merge_partitions(first, path, "k", ["d"])
+    untouched = sorted(os.listdir(os.path.join(path, "d=2015-01-02")))
+    # run 2: key 2 updated in place, key 3 moves out of the null partition, key 5 new
+    second = spark.createDataFrame([(2, "B", D1), (3, "C", D1), (5, "e", D1)], schema)
+    touched = merge_partitions(second, path, "k", ["d"])
+    assert set(touched) == {(D1,), (None,)}
+    rows = sorted((r.k, r.v, r.d) for r in spark.read.parquet(path).collect())
+    assert rows == [(1, "a", D1), (2, "B", D1), (3, "C", D1), (4, "z", D2), (5, "e", D1)]
+    assert not os.path.exists(os.path.join(path, "d=__HIVE_DEFAULT_PARTITION__"))   # emptied partition removed
+    assert sorted(os.listdir(os.path.join(path, "d=2015-01-02"))) == untouched       # not rewritten

@@ -13,3 +13,15 @@ def test_available_now_ingest_upserts_new_files(spark, tmp_path):
     v1 = ingest_available(spark, src + "/*", schema, tgt, "k", run_ts="2024-01-02 00:00:00", name="t1")
     assert v1 != v0
     assert sorted((r.k, r.v) for r in spark.read.parquet(v1).collect()) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_available_now_ingest_into_partitions(spark, tmp_path):
+    src, tgt = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "k bigint, v string, p string"
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema).coalesce(1).write.parquet(os.path.join(src, "f1"))
+    ingest_available(spark, src + "/*", schema, tgt, "k", run_ts="2024-01-01 00:00:00", name="t2",
+                     partition_cols=["p"])
+    spark.createDataFrame([(2, "B", "y"), (3, "c", "x")], schema).coalesce(1).write.parquet(os.path.join(src, "f2"))
+    out = ingest_available(spark, src + "/*", schema, tgt, "k", run_ts="2024-01-02 00:00:00", name="t2",
+                           partition_cols=["p"])
+    assert sorted((r.k, r.v, r.p) for r in spark.read.parquet(out).collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "x")]
