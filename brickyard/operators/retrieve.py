@@ -142,8 +142,9 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
     float64 vectors (count and widest vector are measured first).
     """
     spark = corpus.sparkSession
-    q_all = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v"))
-    c = spread(corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")))
+    # rows without a vector cannot be scored
+    q_all = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull())
+    c = spread(corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull()))
     keep = k
     size = q_all.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
     rows = min(block_rows, max(1, block_bytes // (8 * max(1, size["dim"] or 1))))
@@ -234,7 +235,7 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
     return _final_topk(cands, k)
 
 
-DENSE_CELLS = 16_000_000  # cap on the dense term x query weight matrix
+DENSE_CELLS = 8_000_000  # cap on the dense term x query weight matrix (64 MB)
 
 
 def _bm25_scorer(spark, w: pd.DataFrame, n_docs: int, avgdl: float, k1: float, b: float, keep: int):
