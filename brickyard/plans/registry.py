@@ -46,6 +46,13 @@ def _star(spark, sf_dir) -> SalesStar:
 
 
 def _half_key(o: DataFrame, num: int = 1, den: int = 2):
+    """Cut point of the key range (a scalar subquery over the whole table).
+
+    The incremental queries use it to *simulate the previous load*: the
+    target is the part of the table loaded earlier, the source is the whole
+    table (or its later part), and every result covers the whole table --
+    the split models history, it does not shrink the work.
+    """
     return o.agg(F.floor(F.max("o_orderkey") * num / den)).scalar()
 
 
