@@ -32,17 +32,40 @@ MAX_CELLS = 4_000_000  # scores held at once per task (rows x queries)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    shuffle partition count) when its scan yields fewer -- for CPU-heavy
-    per-row work such as tokenizing and scoring. Large inputs already arrive
-    in many splits and pass through untouched. Spark sorts before a
-    round-robin repartition, so a retried task sees the same rows."""
-    n = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    """Round-robin ``df`` over ``min_partitions`` tasks (default: the shuffle
+    partition count) when its input is too coarse to give that many scan
+    splits -- for CPU-heavy per-row work such as tokenizing and scoring.
+
+    Decided from the input files alone (no job runs, even when ``df`` has
+    shuffles upstream): enough files, or few files whose total size already
+    yields enough ``maxPartitionBytes`` splits, pass through untouched --
+    the normal case for a large corpus. Spark sorts before a round-robin
+    repartition, so a retried task sees the same rows.
+    """
+    spark = df.sparkSession
+    n = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    files = df.inputFiles()
+    if len(files) >= n:
+        return df
     try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD API (e.g. a Spark Connect session)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        size = 0
+        for f in files:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    except Exception:  # noqa: BLE001 -- no JVM access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(n) if have < n else df
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return df if files and size // max(1, split) >= n else df.repartition(n)
+
+
+def _bytes(v: str) -> int:
+    """Parse a Spark byte-size setting such as ``134217728``, ``128m``, ``128MB``."""
+    m = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)i?b?\s*", str(v).lower())
+    if not m:
+        return 128 << 20
+    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m.group(2)]
 
 
 class _Local:
