@@ -221,8 +221,10 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
     q = queries.select(F.col(query_id).alias("qid"), tokens(query_text).alias("toks"))
     qt_all = (q.select("qid", F.explode("toks").alias("term"))
               .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    n_pairs = qt_all.count()
-    n_queries = queries.count()
+    # one pass sizes the query side: queries and distinct (query, term) pairs
+    sizes = q.agg(F.count(F.lit(1)).alias("n"),
+                  F.sum(F.array_size(F.array_distinct("toks"))).alias("pairs")).first()
+    n_queries, n_pairs = int(sizes["n"] or 0), int(sizes["pairs"] or 0)
     if n_queries == 0 or n_pairs == 0:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     nb = max(1, math.ceil(n_queries / block_rows), math.ceil(n_pairs / block_terms))
