@@ -25,7 +25,7 @@ def main(argv: list[str]) -> None:
     keys = argv[1:]
     from brickyard.plans.registry import QUERIES
     from brickyard.session import get_spark
-    spark = get_spark(f"local[{cpus}]", app="brickyard-bench", shuffle_partitions=max(8, 2 * cpus),
+    spark = get_spark(f"local[{cpus}]", app="brickyard-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))),
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     # warm-up (not timed): JVM class loading / codegen and the Python worker pool
     spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).write.format("noop").mode("overwrite").save()
