@@ -124,3 +124,20 @@ class SalesStar:
         return line_fact(self.silver_order_details() if lines is None else lines,
                          self.silver_orders() if headers is None else headers,
                          run_ts or self.run_ts)
+
+    def publish(self) -> list[str]:
+        """Register every layer as a temp view so the star can be queried
+        with ``spark.sql`` (views are inlined by Catalyst; nothing runs)."""
+        views = {
+            "bronze_orders": self.bronze("orders"), "bronze_lineitem": self.bronze("lineitem"),
+            "bronze_part": self.bronze("part"),
+            "silver_orders": self.silver_orders(), "silver_order_details": self.silver_order_details(),
+            "silver_products": self.silver_products(), "silver_product_types": self.silver_product_types(),
+            "silver_components": self.silver_components(),
+            "dim_product": self.dim_product, "dim_components": self.dim_components(),
+            "bridge_components": self.bridge_components(), "dim_date": self.dim_date(),
+            "fact_orders": self.fact_orders(),
+        }
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return list(views)
