@@ -12,7 +12,8 @@ uniqueness and relationship checks need their own shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from dataclasses import field as dc_field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,7 +114,7 @@ class Check:
     expr: str | None = None
     low: object = None
     high: object = None
-    parent: DataFrame | None = field(default=None, repr=False)
+    parent: DataFrame | None = dc_field(default=None, repr=False)
     field: str | None = None
     name: str | None = None
 
