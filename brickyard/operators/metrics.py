@@ -79,19 +79,21 @@ def busiest_hour(events: DataFrame, ts: str = "ts", who: str = "user_id") -> Dat
 
 def component_frequency(fact: DataFrame, dim: DataFrame, bridge: DataFrame) -> DataFrame:
     """Per component: distinct orders containing it and quantity of the
-    lines whose product contains it (each product type counted once per
+    lines whose product contains it (each product counted once per
     component, so repeated list entries do not double count).
 
-    Plan: fact ⋈ dim (product -> type) aggregated to (type, order) before
-    the fan-out, then ⋈ distinct bridge pairs, then (component, order)
-    aggregation, then per component. No revenue is summed past the fan-out.
+    Plan: the small product -> component map is built first (dimension ⋈
+    distinct bridge pairs; bounded by products x components per product),
+    so the fact joins it directly -- AQE broadcasts it when it is small and
+    the fact then streams without a shuffle. Then a (component, order)
+    aggregation with map-side partial sums, then one row per component.
+    No revenue is summed past the many-to-many fan-out.
     """
-    f = fact.select("order_id", "product_sk", "quantity_valid").join(
-        dim.select("product_sk", "product_type_sk"), "product_sk", "inner")
-    per_type = f.groupBy("product_type_sk", "order_id").agg(F.sum("quantity_valid").alias("q"))
-    pairs = bridge.where(F.col("component").isNotNull()).select("product_type_sk", "component").distinct()
-    fan = per_type.join(pairs, "product_type_sk", "inner")
-    per_order = fan.groupBy("component", "order_id").agg(F.sum("q").alias("q"))
+    pairs = bridge.where(F.col("component").isNotNull()).select("product_type_sk", "component")
+    product_components = (dim.select("product_sk", "product_type_sk").join(pairs, "product_type_sk", "inner")
+                          .select("product_sk", "component").distinct())
+    lines = fact.select("order_id", "product_sk", "quantity_valid").join(product_components, "product_sk", "inner")
+    per_order = lines.groupBy("component", "order_id").agg(F.sum("quantity_valid").alias("q"))
     return per_order.groupBy("component").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum("q").cast("bigint").alias("total_quantity"))
