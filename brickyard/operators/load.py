@@ -157,13 +157,21 @@ def merge_partitions(source: DataFrame, target_path: str, key, partition_cols: S
     touched = [tuple(r) for r in touched_df.distinct().collect()]
     if not touched:
         return []
-    cond = None
-    for vals in touched:
-        c = None
-        for col, v in zip(pcols, vals):
-            e = F.col(col).eqNullSafe(F.lit(v))
-            c = e if c is None else c & e
-        cond = c if cond is None else cond | c
+    if len(pcols) == 1:
+        # one IN list (plus IS NULL) instead of an OR chain: backfills can
+        # touch thousands of partitions; pruning works the same
+        vals = [v[0] for v in touched if v[0] is not None]
+        cond = F.col(pcols[0]).isin(vals) if vals else F.lit(False)
+        if any(v[0] is None for v in touched):
+            cond = cond | F.col(pcols[0]).isNull()
+    else:
+        cond = None
+        for vals in touched:
+            c = None
+            for col, v in zip(pcols, vals):
+                e = F.col(col).eqNullSafe(F.lit(v))
+                c = e if c is None else c & e
+            cond = c if cond is None else cond | c
     old = target.where(cond)
     merged = upsert(old, source.select(*target.columns), ks, preserve=preserve)
     stage = f"{checkpoint_dir(spark).rstrip('/')}/merge-{jvm.java.util.UUID.randomUUID().toString()}"
