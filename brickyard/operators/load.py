@@ -180,8 +180,13 @@ def merge_partitions(source: DataFrame, target_path: str, key, partition_cols: S
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*pcols).parquet(target_path))
     kept = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
+    Path = jvm.org.apache.hadoop.fs.Path
     for vals in touched:
         if vals not in kept:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, _part_dir(pcols, vals)), True)
+            fs.delete(Path(root, _part_dir(pcols, vals)), True)
+            for depth in range(len(pcols) - 1, 0, -1):   # and parents left empty
+                parent = Path(root, _part_dir(pcols[:depth], vals[:depth]))
+                if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
+                    fs.delete(parent, False)
     fs.delete(jvm.org.apache.hadoop.fs.Path(stage), True)
     return touched

@@ -117,3 +117,17 @@ def test_merge_partitions_rewrites_only_touched(spark, tmp_path):
     assert rows == [(1, "a", D1), (2, "B", D1), (3, "C", D1), (4, "z", D2), (5, "e", D1)]
     assert not os.path.exists(os.path.join(path, "d=__HIVE_DEFAULT_PARTITION__"))   # emptied partition removed
     assert sorted(os.listdir(os.path.join(path, "d=2015-01-02"))) == untouched       # not rewritten
+
+
+def test_merge_partitions_escaped_values_and_two_columns(spark, tmp_path):
+    from brickyard.operators.load import merge_partitions
+    path = str(tmp_path / "t2")
+    schema = "k int, v string, region string, d date"
+    odd = "a/b:c=d"
+    merge_partitions(spark.createDataFrame([(1, "x", odd, D1), (2, "y", "plain", D1)], schema), path, "k", ["region", "d"])
+    assert any("%2F" in n for n in os.listdir(path))              # Spark escaped the value on disk
+    # key 1 moves out of the oddly named partition, which becomes empty and must disappear
+    merge_partitions(spark.createDataFrame([(1, "x2", "plain", D2)], schema), path, "k", ["region", "d"])
+    rows = sorted((r.k, r.v, r.region, r.d) for r in spark.read.parquet(path).collect())
+    assert rows == [(1, "x2", "plain", D2), (2, "y", "plain", D1)]
+    assert not any("%2F" in n for n in os.listdir(path))
