@@ -46,7 +46,8 @@ def _norm(p: str) -> str:
 
 def write_table(df: DataFrame, path: str | None = None, name: str | None = None,
                 mode: str = "overwrite", partition_by: Iterable[str] | None = None,
-                properties: Mapping[str, str] | None = None, fmt: str = "parquet") -> None:
+                properties: Mapping[str, str] | None = None, fmt: str = "parquet",
+                bucket_by: tuple[int, list[str]] | None = None) -> None:
     """Full-refresh sink to ``path`` (files) or ``name`` (catalog table).
 
     Refuses to overwrite a location the plan itself reads (which would
@@ -61,6 +62,11 @@ def write_table(df: DataFrame, path: str | None = None, name: str | None = None,
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by is not None:
+        if name is None:
+            raise ValueError("bucket_by needs a catalog table name")
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     if name is not None:
         if path is not None:
             w = w.option("path", path)

@@ -35,3 +35,21 @@ def test_view_sink_and_rename(spark):
     publish_view(df, "by_test_view")
     assert spark.sql("SELECT sum(twice) AS s FROM by_test_view").first().s == 6
     assert df.columns == ["key", "twice"]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    left = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+    right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("b"))
+    write_table(left, name="by_bucket_l", bucket_by=(8, ["k"]))
+    write_table(right, name="by_bucket_r", bucket_by=(8, ["k"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("by_bucket_l").join(spark.table("by_bucket_r"), "k")
+        assert j.count() == 2000
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE by_bucket_l")
+        spark.sql("DROP TABLE by_bucket_r")
