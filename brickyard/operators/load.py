@@ -80,9 +80,12 @@ def upsert(target: DataFrame, source: DataFrame, key, preserve: Sequence[str] =
         assert_unique(source, ks)
     src = source
     if preserve:
-        old = target.select(*ks, *[F.col(p).alias(f"__old_{p}") for p in preserve])
+        # an explicit match flag, so a preserved value that is null stays null
+        old = target.select(*ks, F.lit(True).alias("__hit"),
+                            *[F.col(p).alias(f"__old_{p}") for p in preserve])
+        hit = F.col("__hit").isNotNull()
         src = source.join(old, ks, "left").select(
-            *[F.coalesce(F.col(f"__old_{c}"), F.col(c)).alias(c) if c in preserve else F.col(c)
+            *[F.when(hit, F.col(f"__old_{c}")).otherwise(F.col(c)).alias(c) if c in preserve else F.col(c)
               for c in source.columns])
     # equi-join keys never match on null, so null-key rows stay and insert
     kept = target.join(source.select(*ks), ks, "left_anti")
@@ -104,7 +107,6 @@ def load_incremental(source: DataFrame, target: DataFrame | None, unique_key,
     return upsert(tgt, new, unique_key, preserve=preserve, validate=validate)
 
 
-
 # Characters Spark escapes as %XX in partition directory names
 # (plus control characters 0x01-0x1F), and its directory name for null.
 PATH_ESCAPES = set('"#%\'*/:=?\\\x7f{[]^')

@@ -131,3 +131,10 @@ def test_merge_partitions_escaped_values_and_two_columns(spark, tmp_path):
     rows = sorted((r.k, r.v, r.region, r.d) for r in spark.read.parquet(path).collect())
     assert rows == [(1, "x2", "plain", D2), (2, "y", "plain", D1)]
     assert not any("%2F" in n for n in os.listdir(path))
+
+
+def test_preserve_keeps_null_target_value(spark):
+    tgt = spark.createDataFrame([(1, None), (2, T1)], "k int, crt_ts timestamp_ntz")
+    src = spark.createDataFrame([(1, T2), (2, T2), (3, T2)], "k int, crt_ts timestamp_ntz")
+    got = {r.k: r.crt_ts for r in upsert(tgt, src, "k", preserve=["crt_ts"]).collect()}
+    assert got == {1: None, 2: T1, 3: T2}
