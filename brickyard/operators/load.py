@@ -8,6 +8,7 @@ refuses to overwrite a path the plan reads) and then swapped in.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -176,7 +177,7 @@ def merge_partitions(source: DataFrame, target_path: str, key, partition_cols: S
             cond = c if cond is None else cond | c
     old = target.where(cond)
     merged = upsert(old, source.select(*target.columns), ks, preserve=preserve)
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/merge-{jvm.java.util.UUID.randomUUID().toString()}"
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
     merged.write.parquet(stage)  # a written table in the shared folder cuts the read/overwrite cycle
     staged = spark.read.parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

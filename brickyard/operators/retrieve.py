@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -229,6 +230,20 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     nb = max(1, math.ceil(n_queries / block_rows), math.ceil(n_pairs / block_terms))
     bkey = F.pmod(F.xxhash64(F.col("qid")), F.lit(nb))
+    # "" never occurs as a token, so it doubles as a per-document sentinel
+    # that yields N and the total length in the same pass as the df counts.
+    doc_terms = d.select(F.array_size("toks").alias("dl"),
+                         F.explode(F.array_union(F.array_distinct("toks"), F.array(F.lit("")))).alias("term"))
+    shared = None
+    if nb > 1:
+        # many blocks: count document frequencies for the whole corpus
+        # vocabulary once, as a table in the shared checkpoint folder, so
+        # each block reads the corpus only to score (B + 1 passes, not 2B)
+        from brickyard.session import checkpoint_dir
+        loc = f"{checkpoint_dir(spark).rstrip('/')}/bm25-df-{uuid.uuid4().hex}"
+        (doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len"))
+         .write.parquet(loc))
+        shared = spark.read.parquet(loc)
     parts = []
     for blk in range(nb):
         qt = qt_all if nb == 1 else qt_all.where(bkey == blk)
@@ -236,13 +251,10 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
         if qt_pdf.empty:
             continue
         vocab = spark.createDataFrame(pd.DataFrame({"term": [""] + sorted(qt_pdf["term"].unique())}))
-        # "" never occurs as a token, so it doubles as a per-document sentinel
-        # that yields N and the total length in the same pass as the df counts.
-        stats = (d.select(F.array_size("toks").alias("dl"),
-                          F.explode(F.array_union(F.array_distinct("toks"), F.array(F.lit("")))).alias("term"))
-                 .join(F.broadcast(vocab), "term", "left_semi")
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len"))
-                 .toPandas().set_index("term"))
+        src = shared if shared is not None else (
+            doc_terms.join(F.broadcast(vocab), "term", "left_semi")
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len")))
+        stats = src.join(F.broadcast(vocab), "term", "left_semi").toPandas().set_index("term")
         if "" not in stats.index or stats.loc["", "df"] == 0:
             continue
         n_docs = int(stats.loc["", "df"])
