@@ -3,7 +3,9 @@
 Exact top-k retrieval is computed by scoring *blocks* of queries against the
 corpus. A block is size-checked (row count) before it is broadcast; more
 queries than one block holds are split into hash blocks, each an exact pass
-over the corpus, so nothing is capped. Inside each corpus task the block is
+over the corpus, so nothing is capped. Several blocks run one after another,
+each result written to the shared checkpoint folder and its broadcast
+destroyed, so the driver holds one block at a time. Inside each corpus task the block is
 scored with numpy (dense dot products for vectors, BM25 for keywords) and
 only the task's best ``k`` candidates per query leave the task; a
 ``row_number() <= k`` window (partial WindowGroupLimit before its shuffle)
@@ -76,6 +78,9 @@ class _Local:
     def __init__(self, value):
         self.value = value
 
+    def destroy(self):
+        self.value = None
+
 
 def _share(spark, payload):
     """Broadcast ``payload`` once per executor (classic sessions)."""
@@ -106,6 +111,39 @@ def _query_blocks(queries: DataFrame, id_col: str, max_rows: int,
     return [queries.where(key == b) for b in range(nb)]
 
 
+class _BlockResults:
+    """Collects per-block top-k results.
+
+    One block stays a lazy plan. With several blocks, each block is run to
+    completion as soon as it is built -- its result written as a table in
+    the shared checkpoint folder and its broadcast destroyed -- so the
+    driver never holds more than one block's payload. Blocks hold disjoint
+    queries, so their top-k results simply union.
+    """
+
+    def __init__(self, spark, nb: int):
+        self.spark, self.nb, self.lazy, self.paths = spark, nb, None, []
+        if nb > 1:
+            from brickyard.session import checkpoint_dir
+            self.base = f"{checkpoint_dir(spark).rstrip('/')}/topk-{uuid.uuid4().hex}"
+
+    def add(self, result: DataFrame, shared) -> None:
+        if self.nb == 1:
+            self.lazy = result
+            return
+        path = f"{self.base}/block={len(self.paths)}"
+        result.write.parquet(path)
+        self.paths.append(path)
+        shared.destroy()
+
+    def result(self) -> DataFrame:
+        if self.lazy is not None:
+            return self.lazy
+        if not self.paths:
+            return self.spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+        return self.spark.read.parquet(*self.paths).select("query_id", "rank", "doc_id", "score")
+
+
 def _final_topk(cands: DataFrame, k: int) -> DataFrame:
     """Merge per-task candidates: same total order as inside the tasks
     (score desc, doc_id asc); the partial WindowGroupLimit keeps k per query
@@ -172,9 +210,10 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
     keep = k
     size = q_all.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
     rows = min(block_rows, max(1, block_bytes // (8 * max(1, size["dim"] or 1))))
-    parts = []
-    for block in _query_blocks(q_all, "qid", rows, size["n"]):
-        pdf = block.toPandas()  # bounded by block_rows (checked above)
+    blocks = _query_blocks(q_all, "qid", rows, size["n"])
+    out = _BlockResults(spark, len(blocks))
+    for block in blocks:
+        pdf = block.toPandas()  # bounded by block_rows / block_bytes (checked above)
         qids = pdf["qid"].to_numpy(dtype=np.int64)
         bq = _share(spark, (qids, _unit_rows(pdf["v"]).T.copy()))
 
@@ -190,13 +229,8 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
                         sc[ids[:, None] == qids_[None, :]] = np.nan
                     yield _emit_topk(sc, ids, qids_, keep, positive_only=False)
 
-        parts.append(c.mapInPandas(score, CANDIDATE_SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    return _final_topk(cands, k)
+        out.add(_final_topk(c.mapInPandas(score, CANDIDATE_SCHEMA), k), bq)
+    return out.result()
 
 
 # ---- keywords (BM25) -----------------------------------------------------------
@@ -244,7 +278,7 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
         (doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len"))
          .write.parquet(loc))
         shared = spark.read.parquet(loc)
-    parts = []
+    out = _BlockResults(spark, nb)
     for blk in range(nb):
         qt = qt_all if nb == 1 else qt_all.where(bkey == blk)
         qt_pdf = qt.toPandas()  # bounded: ~block_terms rows
@@ -263,13 +297,9 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
         if w.empty:
             continue
         w["w"] = w["qtf"] * np.log1p((n_docs - w["df"] + 0.5) / (w["df"] + 0.5))
-        parts.append(d.mapInPandas(_bm25_scorer(spark, w, n_docs, avgdl, k1, b, k), CANDIDATE_SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    cands = parts[0]
-    for p_ in parts[1:]:
-        cands = cands.unionByName(p_)
-    return _final_topk(cands, k)
+        fn, shared_w = _bm25_scorer(spark, w, n_docs, avgdl, k1, b, k)
+        out.add(_final_topk(d.mapInPandas(fn, CANDIDATE_SCHEMA), k), shared_w)
+    return out.result()
 
 
 DENSE_CELLS = 8_000_000  # cap on the dense term x query weight matrix (64 MB)
@@ -343,7 +373,7 @@ def _bm25_scorer(spark, w: pd.DataFrame, n_docs: int, avgdl: float, k1: float, b
                                       minlength=n * nq_).reshape(n, nq_)
                 yield _emit_topk(sc, ids, qids_, keep, positive_only=True)
 
-    return score
+    return score, bw
 
 
 # ---- context, history, prompt ----------------------------------------------------
