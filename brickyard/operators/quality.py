@@ -152,27 +152,58 @@ def _meta(c: Check, n: Column) -> Column:
                     F.lit(c.severity).alias("severity"), n.cast("bigint").alias("n_failed"))
 
 
+def _fused(df: DataFrame, u: Check, rows: list[Check]) -> DataFrame:
+    """One uniqueness check plus row-level checks of the same relation in a
+    single aggregation: group by the uniqueness key (one shuffle) carrying
+    per-group conditional counts, then sum the groups."""
+    keys = _cols(u.columns)
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                *[F.count_if(F.coalesce(_row_condition(c), F.lit(False))).alias(f"__r{i}")
+                                  for i, c in enumerate(rows)])
+    dup = F.col("__n") > 1
+    if u.kind == "unique":            # null keys are not duplicates
+        dup = dup & F.col(keys[0]).isNotNull()
+    metas = [_meta(u, F.count_if(dup))] + [_meta(c, F.coalesce(F.sum(f"__r{i}"), F.lit(0)))
+                                           for i, c in enumerate(rows)]
+    return per.agg(F.array(*metas).alias("rs")).select(F.inline("rs"))
+
+
 def quality_report(relations: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Evaluate ``checks`` over ``relations`` (name -> DataFrame) into one
     report frame; ``status`` is pass, warn (failures at severity warn) or
-    fail. Row-level checks share one scan/aggregate per relation."""
+    fail.
+
+    Per relation, the row-level checks (not-null, expressions, ranges,
+    positivity, accepted values) are conditional counts in one aggregation.
+    When the relation also has a uniqueness check and no accepted-values
+    check, both are fused into a single pass grouped by the uniqueness key.
+    Other uniqueness and relationship checks add one shuffle each.
+    """
     parts: list[DataFrame] = []
     by_rel: dict[str, list[Check]] = {}
+    keyed: dict[str, list[Check]] = {}
     for c in checks:
         if c.severity not in ("error", "warn"):
             raise ValueError(f"severity must be error or warn, got {c.severity!r}")
         if c.kind in ROW_LEVEL:
             by_rel.setdefault(c.relation, []).append(c)
-            continue
-        df = relations[c.relation]
-        if c.kind == "unique":
-            failing = check_unique(df, _cols(c.columns)[0])
-        elif c.kind == "unique_combination":
-            failing = check_unique_combination(df, _cols(c.columns))
-        elif c.kind == "relationships":
-            failing = check_relationships(df, _cols(c.columns)[0], c.parent, c.field)
-        else:
+        elif c.kind in ("unique", "unique_combination"):
+            keyed.setdefault(c.relation, []).append(c)
+        elif c.kind != "relationships":
             raise ValueError(f"unknown check kind {c.kind!r}")
+    for rel, rows in list(by_rel.items()):
+        if keyed.get(rel) and not any(c.kind == "accepted_values" for c in rows):
+            parts.append(_fused(relations[rel], keyed[rel].pop(0), rows))
+            del by_rel[rel]
+    for c in checks:
+        if c.kind == "relationships":
+            failing = check_relationships(relations[c.relation], _cols(c.columns)[0], c.parent, c.field)
+        elif c.kind in ("unique", "unique_combination") and c in keyed.get(c.relation, []):
+            df = relations[c.relation]
+            failing = (check_unique(df, _cols(c.columns)[0]) if c.kind == "unique"
+                       else check_unique_combination(df, _cols(c.columns)))
+        else:
+            continue
         parts.append(failing.agg(_meta(c, F.count(F.lit(1))).alias("r")).select("r.*"))
     for rel, cs in by_rel.items():
         wide = relations[rel].agg(F.array(*[_meta(c, _failed_expr(c)) for c in cs]).alias("rs"))

@@ -57,3 +57,15 @@ def test_freshness_ignores_session_time_zone(spark):
         assert Q.freshness(df, "ts", "2024-03-10 12:00:00").first().age_hours == 24.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_fused_uniqueness_and_row_checks(spark):
+    df = spark.createDataFrame([(1, 5), (1, -1), (None, 3), (None, None), (2, None)], "k int, q int")
+    checks = [Check("t", "unique", "k"), Check("t", "not_null", "q"), Check("t", "positive", "q"),
+              Check("t", "unique_combination", ["k", "q"])]
+    rep = {r.check: r.n_failed for r in Q.quality_report({"t": df}, checks).collect()}
+    assert rep == {"unique:k": 1, "not_null:q": 2, "positive:q": 1, "unique_combination:k,q": 0}
+    plan = Q.quality_report({"t": df}, checks[:3])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2          # one grouped pass + its final sum
+    empty = Q.quality_report({"t": df.limit(0)}, checks[:3]).collect()
+    assert {r.n_failed for r in empty} == {0}
