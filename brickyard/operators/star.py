@@ -34,7 +34,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def product_dim(items: DataFrame, types: DataFrame, labels: DataFrame | None = None,
+def product_dim(items: DataFrame, types: DataFrame | None, labels: DataFrame | None = None,
                 price_bands=DEFAULT_PRICE_BANDS, top_tier: str = DEFAULT_TOP_TIER,
                 list_delim: str = ",", run_ts=None, labels_max_rows: int = 10_000) -> DataFrame:
     """SKU-grain dimension: items ⟕ types (on ``product_type_id``) ⟕ size labels.
@@ -43,9 +43,14 @@ def product_dim(items: DataFrame, types: DataFrame, labels: DataFrame | None = N
     types: product_type_id, product_name, product_category, component_list
     labels: size_code, size_label, size_description, serves_min, serves_max
     An unmatched size code gets a null label. Audit columns come from items.
+    ``types=None`` means the items already carry the type columns (a
+    denormalised source): no join, one pass.
     """
-    t = types.select("product_type_id", "product_name", "product_category", "component_list")
-    j = items.join(t, "product_type_id", "left")
+    if types is None:
+        j = items
+    else:
+        t = types.select("product_type_id", "product_name", "product_category", "component_list")
+        j = items.join(t, "product_type_id", "left")
     label_cols = ["size_label", "size_description", "serves_min", "serves_max"]
     if labels is not None:
         lab = broadcast_if_small(labels.select("size_code", *label_cols), labels_max_rows)

@@ -71,21 +71,27 @@ class SalesStar:
                             keys=["order_detail_id"], order_by=["src_upd_ts", "l_shipdate"],
                             tie_breakers=["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
 
-    def silver_products(self) -> DataFrame:
+    @cached_property
+    def silver_part(self) -> DataFrame:
+        """One silver pass over ``part``: products and product types both come
+        from it in this mapping, so they share a single dedupe shuffle."""
         return silver_clean(self.bronze("part"),
                             {"product_id": ("p_partkey", "string"),
                              "product_type_id": ("p_partkey", "string"),
                              "size_code": (band("p_size", SIZE_BANDS, SIZE_TOP), "string"),
-                             "price": ("p_retailprice", "double")},
-                            keys=["product_id"], tie_breakers=["product_id"])
-
-    def silver_product_types(self) -> DataFrame:
-        return silver_clean(self.bronze("part"),
-                            {"product_type_id": ("p_partkey", "string"),
+                             "price": ("p_retailprice", "double"),
                              "product_name": ("p_name", "string"),
                              "product_category": ("p_type", "string"),
                              "component_list": ("p_name", "string")},
-                            keys=["product_type_id"], tie_breakers=["product_type_id"])
+                            keys=["product_id"], tie_breakers=["product_id"])
+
+    def silver_products(self) -> DataFrame:
+        return self.silver_part.select("product_id", "product_type_id", "size_code", "price",
+                                       "src_sys", "src_crt_ts", "src_upd_ts")
+
+    def silver_product_types(self) -> DataFrame:
+        return self.silver_part.select("product_type_id", "product_name", "product_category",
+                                       "component_list", "src_sys", "src_crt_ts", "src_upd_ts")
 
     def silver_components(self) -> DataFrame:
         """Exploded component list per product type (from bronze, trimmed)."""
@@ -99,8 +105,9 @@ class SalesStar:
     # ---- gold ----
     @cached_property
     def dim_product(self) -> DataFrame:
-        return product_dim(self.silver_products(), self.silver_product_types(),
-                           size_labels(self.spark), PRICE_BANDS, PRICE_TOP,
+        # items and types are the same silver pass over part here, so the
+        # type columns ride along and no self-join is planned
+        return product_dim(self.silver_part, None, size_labels(self.spark), PRICE_BANDS, PRICE_TOP,
                            COMPONENT_DELIM, self.run_ts)
 
     def dim_components(self) -> DataFrame:
