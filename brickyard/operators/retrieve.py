@@ -31,6 +31,17 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 CANDIDATE_SCHEMA = "query_id long, doc_id long, score double"
+
+# The scoring kernels run in Python workers; ship this module's code with
+# the tasks (pickled by value) so executors need not have the package
+# installed or on their path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 -- older cloudpickle: rely on the package being installed
+    pass
 MAX_CELLS = 4_000_000  # scores held at once per task (rows x queries)
 
 
