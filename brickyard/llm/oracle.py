@@ -1,3 +1,42 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+# Sizes, water level (sources sorted by cap over weight: the clamped ones are a
+# prefix), then the seeded order's running words, cut at the rest.
+ORACLE["op2_mixing"] = r"""
+WITH rows AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5('42|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS size FROM rows GROUP BY source),
+weighted AS (
+  SELECT source, size, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+  FROM totals),
+sorted AS (
+  SELECT *, (3 * size)::DOUBLE / weight AS ratio,
+         coalesce(sum(3 * size) OVER (ORDER BY (3 * size)::DOUBLE / weight, source NULLS LAST
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS clamped,
+         sum(weight) OVER (ORDER BY (3 * size)::DOUBLE / weight, source NULLS LAST
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS open
+  FROM weighted),
+level AS (
+  SELECT coalesce(arg_min(lv, clamped), 0) AS lv FROM (
+    SELECT ((SELECT sum(size) FROM weighted) - clamped)::DOUBLE / open AS lv, ratio, clamped FROM sorted) WHERE ratio >= lv),
+plan AS (
+  SELECT source, size AS source_size, least((3 * size)::DOUBLE, lv * weight) AS target,
+         CASE WHEN size > 0 THEN least(3, floor(least((3 * size)::DOUBLE, lv * weight) / size)) ELSE 0 END::BIGINT AS whole
+  FROM weighted, level),
+ordered AS (
+  SELECT r.doc_id, r.size, p.source_size, p.target, p.whole,
+         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.h)::BIGINT AS upto,
+         sum(r.size) OVER (PARTITION BY r.source, r.h)::BIGINT AS tied
+  FROM rows r JOIN plan p ON r.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       (size * whole + CASE WHEN upto <= target - whole * source_size THEN size
+                            WHEN upto - tied < target - whole * source_size
+                            THEN floor((target - whole * source_size - (upto - tied)) * size / tied) ELSE 0 END)::BIGINT AS taken,
+       target / source_size AS epochs
+FROM ordered
+"""

@@ -4,14 +4,34 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import imatch, langid, mixing, packing
 from .common import table
 from .vertical_join import ngram_jaccard_join
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    return langid.identify(docs, ["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), size=2048, end_id=1)
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (ngram_jaccard_join(table(spark, sf_dir, "documents"), k=4, percent=85)
             .select("doc_id", "n_shingles", "component_id"))
 
 
-QUERIES = {"op10_ngram_jaccard": op10_ngram_jaccard}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_mixing, op6_language_id, op9_packing, op10_ngram_jaccard)}

@@ -35,6 +35,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -373,8 +374,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def _tag_node(docs: DataFrame, k: int) -> DataFrame:
     @F.pandas_udf("long")
-    def node(text):
-        import pandas as pd
+    def node(text: pd.Series) -> pd.Series:
         b = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], names=["text"])
         return pd.Series([_node(s) if len(s) else None for s in _sets(b, k)], dtype="Int64")
     return docs.withColumn("_node", node("text"))
