@@ -75,7 +75,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     extra = (F.when(F.col("h") < F.col("cut"), F.col("size"))
              .when(F.col("h") == F.col("cut"), F.floor(F.col("room") * F.col("size") / F.col("held"))).otherwise(0))
     return r.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("whole") + extra).alias("taken"),
-                    (F.col("target") / F.col("source_size")).alias("epochs"))
+                    F.try_divide(F.col("target"), F.col("source_size")).alias("epochs"))
 
 
 def _cuts(rows: DataFrame, rest: DataFrame, n_sources: int) -> DataFrame:

@@ -40,3 +40,57 @@ SELECT doc_id, size, source_size, target,
        target / source_size AS epochs
 FROM ordered
 """
+
+# Dense products of a stated query set with all rows.
+ORACLE["op4_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS rid, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score,
+         row_number() OVER (PARTITION BY a.rid ORDER BY list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT DESC, b.vec_id) AS rank
+  FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM scored WHERE rank <= 5
+"""
+
+
+def _url_tree() -> str:
+    """The same tree in SQL: literal segments, templates, merging level by level, purity."""
+    host, path = (f"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {i})" for i in (1, 2))
+    fits = {r: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+            for r, h, p in (("org/", "org", "/"), ("example.org/es/", "example.org", "/es/"), ("example.org/en/1", "example.org", "/en/1"),
+                            ("com/fr/", "com", "/fr/"), ("com/de/", "com", "/de/"))}
+    by_length = sorted(fits, key=len, reverse=True)
+    rule = "CASE " + " ".join(f"WHEN {fits[r]} THEN '{r}'" for r in by_length) + " END"
+    levels = ""
+    for d in (4, 3, 2, 1):
+        wide = f"list_transform(node, lambda s, i: CASE WHEN i = {d} THEN '*' ELSE s END)"
+        levels += f"""
+own{d} AS (SELECT host, node, sum(labelled)::BIGINT AS l, sum(blocked)::BIGINT AS b, {wide} AS wide FROM nodes{d + 1} GROUP BY host, node),
+pool{d} AS (SELECT host, wide, sum(l)::DOUBLE AS pl, sum(b)::DOUBLE AS pb FROM own{d} GROUP BY host, wide),
+step{d} AS (SELECT host, node, CASE WHEN l > 0 AND abs(b::DOUBLE / l - pb / pl) > 1.96::DOUBLE * sqrt(pb / pl * (1 - pb / pl) / l) THEN node ELSE wide END AS next
+  FROM own{d} JOIN pool{d} USING (host, wide)),
+nodes{d} AS (SELECT host, template, labelled, blocked, next AS node FROM nodes{d + 1} JOIN step{d} USING (host, node)),"""
+    return f"""
+WITH urls AS (SELECT page_id, translate({host}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, {path} AS path FROM pages),
+ruled AS (SELECT *, {rule} AS rule, [s FOR s IN string_split(path, '/') IF s <> ''][1:4] AS segs FROM urls),
+judged AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM ruled),
+total AS (SELECT host, count(*) AS urls FROM judged GROUP BY host),
+seen AS (SELECT host, s, count(*) AS n FROM (
+  SELECT host, unnest(list_transform(segs, lambda s, i: i || '/' || s)) AS s FROM judged) GROUP BY host, s),
+literals AS (SELECT host, list(s) AS lits FROM seen JOIN total USING (host) WHERE n >= 5 AND n * 100 >= urls GROUP BY host),
+placed AS (SELECT j.*, list_transform(segs, lambda s, i: CASE WHEN list_contains(coalesce(lits, []), i || '/' || s) THEN s ELSE '*' END) AS template
+  FROM judged j LEFT JOIN literals USING (host)),
+stats AS (SELECT host, template, count(ruled)::BIGINT AS labelled, count(*) FILTER (ruled = 'block')::BIGINT AS blocked FROM placed GROUP BY host, template),
+nodes5 AS (SELECT *, template AS node FROM stats),{levels}
+everything AS (SELECT coalesce(sum(blocked)::DOUBLE / nullif(sum(labelled), 0), 0) AS prior FROM stats),
+hosts AS (SELECT host, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS prior FROM stats, everything GROUP BY host),
+purity AS (SELECT host, node, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS purity
+  FROM nodes1 JOIN hosts USING (host) GROUP BY host, node)
+SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       '/' || array_to_string(n.node, '/') AS template, purity
+FROM placed p JOIN nodes1 n ON p.host = n.host AND p.template = n.template JOIN purity u ON n.host = u.host AND n.node = u.node
+"""
+
+
+ORACLE["op5_url_tree"] = _url_tree()

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, langid, mixing, packing
+from . import chat, imatch, langid, mixing, packing, template_extract, topk, url_tree, warc
 from .common import table
 from .vertical_join import ngram_jaccard_join
 
@@ -19,12 +19,33 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
 
 
+def op3_template_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op5_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
     return langid.identify(docs, ["doc_id", "held_out"]).select(
         "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    return records.withColumn("content_length", F.length("block").cast("long")).withColumn("block", F.col("block").cast("string"))
+
+
+def op8_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), size=2048, end_id=1)
 
@@ -34,4 +55,6 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_mixing, op6_language_id, op9_packing, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (
+    op1_imatch, op2_mixing, op3_template_extract, op4_topk, op5_url_tree, op6_language_id, op7_warc, op8_chat_repair,
+    op9_packing, op10_ngram_jaccard)}
