@@ -349,3 +349,17 @@ def identify(docs: DataFrame, keep: list[str], order: int = ORDER, sample_chars:
     """Fit on the rows that aren't held out and predict every row."""
     model = fit(docs.filter(F.coalesce(~held_out(), F.lit(False))).select("doc_id", "text", "lang"), order, sample_chars)
     return predict(docs, model, [*keep])
+
+
+def reject(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model doesn't reject, with their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.state())
+
+    @F.pandas_udf("boolean")
+    def legible(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = Model.of(shared.value)
+        for s in batches:
+            texts = [t or "" for t in s]
+            yield pd.Series([not r[3] for lo, hi in groups(texts) for r in own.predict(texts[lo:hi])], dtype=bool)
+
+    return docs.filter(legible("text"))

@@ -291,10 +291,11 @@ def _edges_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) per row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, node, label, component_id) per row of ``docs`` (doc_id, text).
 
-    ``node`` is the class of documents with the same set; ``component_id`` the
-    least doc_id reachable over links (its own without one).
+    ``node`` is the class of documents with the same set, ``label`` the least
+    node reachable over links, ``component_id`` the least doc_id reachable
+    (its own without a link).
     """
     src = docs.select("doc_id", "text")
     rows = written(src.mapInArrow(_doc_rows(k), "doc_id long, n_shingles long, node long"), "sets")
@@ -302,9 +303,9 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     links = verified_links(src, nodes, k, percent)
     labels = connected_components(links, "links")
     ids = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
-    comp = ids.join(ids.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("node", "component_id")
+    comp = ids.join(ids.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("node", "label", "component_id")
     return (rows.join(comp, "node", "left")
-            .select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "n_shingles", "node", "label", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def verified_links(src: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -343,33 +344,27 @@ def verified_links(src: DataFrame, nodes: DataFrame, k: int, percent: int) -> Da
     return tiles.mapInArrow(_tiles(percent), "a long, b long")
 
 
-def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    return ngram_jaccard_join(docs, k, percent).select("doc_id", "n_shingles", "component_id")
-
-
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group of near copies: the one with the least doc_id.
-    Rows without words stay. Of rows that repeat an id within a group, one stays."""
+    """One row of each group of near copies: the one with the least doc_id
+    (null last, then by set and text, where ids repeat). Rows without words stay."""
     rows = written(ngram_jaccard_join(docs, k, percent), "near-copies")
-    gone = rows.filter("doc_id <> component_id").select("doc_id", "node")
-    again = rows.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1")
-    gone_ids = written(gone.join(again, "doc_id", "left_anti").select("doc_id").distinct(), "gone")
-    n, m = gone_ids.count(), again.count()
-    drop = small_or_shuffled(gone_ids, n)
-    kept = docs.join(drop, "doc_id", "left_anti")
+    odd = written(rows.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 or doc_id is null").select("doc_id"), "odd-ids")
+    gone = written(rows.filter("doc_id <> component_id").select("doc_id").join(odd, "doc_id", "left_anti"), "gone")
+    m = odd.count()
+    kept = docs.join(small_or_shuffled(gone, gone.count()), "doc_id", "left_anti").select(docs.columns)
     if not m:
-        return kept.select(docs.columns)
-    # ids that repeat: decide row by row, by id and set
-    twice = small_or_shuffled(again.select("doc_id"), m)
-    plain = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
-    odd = kept.join(twice, "doc_id", "left_semi").select(docs.columns)
-    groups = rows.join(twice, "doc_id", "left_semi").select("doc_id", "node", "component_id").distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id", "component_id").orderBy("node"))
-    stay = groups.filter("node is not null and doc_id = component_id").withColumn("_i", first).filter("_i = 1").select("doc_id", "node")
-    tagged = _tag_node(odd, k)
-    chosen = tagged.filter("_node is not null").join(stay, (tagged.doc_id == stay.doc_id) & (F.col("_node") == stay.node), "left_semi")
-    chosen = chosen.withColumn("_i", F.row_number().over(Window.partitionBy("doc_id", "_node").orderBy("text"))).filter("_i = 1")
-    return plain.unionByName(chosen.select(docs.columns)).unionByName(tagged.filter("_node is null").select(docs.columns))
+        return kept
+    # null and repeated ids are decided row by row, by id and set
+    ids = small_or_shuffled(odd.withColumnRenamed("doc_id", "_id"), m)
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    plain = kept.join(ids, same, "left_anti")
+    tagged = _tag_node(kept.join(ids, same, "left_semi"), k)
+    best = (rows.filter("node is not null").groupBy("label")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "node")).alias("w"))
+            .select(F.col("w.doc_id").alias("_id"), F.col("w.node").alias("_winner")))
+    stay = tagged.filter("_node is not null").join(best, same & (F.col("_node") == F.col("_winner")), "left_semi")
+    one = stay.groupBy("_node").agg(F.min_by(F.struct(*docs.columns), "text").alias("r")).select("r.*")
+    return plain.unionByName(one).unionByName(tagged.filter("_node is null").select(docs.columns))
 
 
 def _tag_node(docs: DataFrame, k: int) -> DataFrame:
