@@ -77,8 +77,8 @@ def _count_terms(low: float, only: frozenset | None):
     return run
 
 
-def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> dict[str, tuple[int, bool]]:
-    """term -> (64-bit hash, whether its share is within the band, else above it).
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> dict[str, dict[str, int]]:
+    """64-bit hashes of the terms within the ``band`` and ``above`` it.
 
     Exact counts over all documents, in two passes: terms that are frequent in
     some chunk, then the counts of those terms. If these candidates were too
@@ -95,8 +95,7 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> dict[str,
         counted = text.mapInArrow(_count_terms(0.0, None), schema)
     least = max(LEAST_DOCS, low * n)
     rows = counted.groupBy("term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least).collect()
-    return {t: (int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"), c <= high * n)
-            for t, c in rows}
+    return {"band": {t: _hash(t) for t, c in rows if c <= high * n}, "above": {t: _hash(t) for t, c in rows if c > high * n}}
 
 
 def _count_terms_of(low: float, shared):
@@ -105,16 +104,18 @@ def _count_terms_of(low: float, shared):
     return run
 
 
-def fingerprints(texts: list[str | None], lex: dict[str, tuple[int, bool]], subsets: int = SUBSETS) -> np.ndarray:
+def _hash(term: str) -> int:
+    return int.from_bytes(hashlib.blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def fingerprints(texts: list[str | None], lex: dict[str, dict[str, int]], subsets: int = SUBSETS) -> np.ndarray:
     """(texts, subsets) of 32-bit hashes."""
     flat: list[int] = []
     sizes: list[int] = []
-    get = lex.get
+    band, above = lex["band"], lex["above"]
     for t in texts:
         found = terms(t)
-        known = [x for x in map(get, found) if x is not None]
-        own = [h for h, band in known if band] or [h for h, _ in known] or [
-            int.from_bytes(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for x in found]
+        own = [band[x] for x in found & band.keys()] or [above[x] for x in found & above.keys()] or [_hash(x) for x in found]
         flat += own
         sizes.append(len(own))
     out = np.zeros((len(texts), subsets), dtype=np.uint32)
@@ -127,11 +128,11 @@ def fingerprints(texts: list[str | None], lex: dict[str, tuple[int, bool]], subs
     row = np.repeat(np.arange(len(full)), size[full])
     for k in range(subsets):
         x = mix64(h + np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (2**64 - 1)))
-        # depth of the smallest nested subset that holds the term: leading zero bits
-        depth = 64 - np.frexp((x >> np.uint64(11)).astype(np.float64))[1] - 11
-        deepest = np.maximum.reduceat(depth, first)
-        inside = np.where(depth == deepest[row], mix64(x), np.uint64(0))
-        out[full, k] = (np.add.reduceat(inside, first) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        # nested subsets hold the terms below 2^53, 2^52, ...: the smallest one that the least term is in
+        x >>= np.uint64(11)
+        bits = np.frexp(np.minimum.reduceat(x, first).astype(np.float64))[1].astype(np.uint64)
+        inside = np.where(x < (np.uint64(1) << bits)[row], x * np.uint64(0xD6E8FEB86659FD93), np.uint64(0))
+        out[full, k] = (mix64(np.add.reduceat(inside, first)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     return out
 
 
