@@ -46,6 +46,7 @@ def worker_cache() -> dict:
 
 def global_rank(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
     """Add ``rank``: the row's 0-based place in the total order of ``order``.
+    ``df`` is evaluated twice (sampled, then shuffled): write it first if it is dear.
 
     One range shuffle; equal or hot keys spread over partitions as long as the
     order's last columns tell rows apart. The sorted rows are written once
