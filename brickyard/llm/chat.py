@@ -36,7 +36,8 @@ from .common import parts, written
 STATES = ("start", "system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
-MERGE, RELABEL, NAME, INSERT = 1, 2, 1, 3  # NAME: giving an unknown role a name
+# a wrong label costs more than an empty turn and a merge; NAME: giving an unknown role a name
+MERGE, RELABEL, NAME, INSERT = 1, 5, 1, 3
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 FAR = 10**9
 

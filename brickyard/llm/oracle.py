@@ -84,10 +84,11 @@ placed AS (SELECT j.*, list_transform(segs, lambda s, i: CASE WHEN list_contains
 stats AS (SELECT host, template, count(ruled)::BIGINT AS labelled, count(*) FILTER (ruled = 'block')::BIGINT AS blocked FROM placed GROUP BY host, template),
 nodes5 AS (SELECT *, template AS node FROM stats),{levels}
 everything AS (SELECT coalesce(sum(blocked)::DOUBLE / nullif(sum(labelled), 0), 0) AS prior FROM stats),
-hosts AS (SELECT host, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS prior FROM stats, everything GROUP BY host),
-purity AS (SELECT host, node, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS purity
+hosts AS (SELECT host, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS prior, sum(labelled) > 0 AS any_label
+  FROM stats, everything GROUP BY host),
+purity AS (SELECT host, node, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS purity, any_value(any_label) AS any_label
   FROM nodes1 JOIN hosts USING (host) GROUP BY host, node)
-SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN any_label AND purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
        '/' || array_to_string(n.node, '/') AS template, purity
 FROM placed p JOIN nodes1 n ON p.host = n.host AND p.template = n.template JOIN purity u ON n.host = u.host AND n.node = u.node
 """

@@ -14,7 +14,7 @@ a hot host is split by the adaptive join otherwise.
 
 Null urls and urls without ``://`` have an empty host and path, and form a
 host of their own. Segments below ``DEPTH`` belong to the node above them.
-Without any label nothing is rejected. Repeated rows count each. Other columns
+A host without labels is not rejected. Repeated rows count each. Other columns
 are ignored; an empty table gives no rows.
 """
 
@@ -105,12 +105,13 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     nodes = _merged(stats)
     of_node = nodes.groupBy("host", "node").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).join(of_host, "host")
     host_prior = (F.col("hb") + PRIOR * prior) / (F.col("hl") + PRIOR)
-    purity = of_node.select("host", "node", ((F.col("b") + PRIOR * host_prior) / (F.col("l") + PRIOR)).alias("purity"))
+    purity = of_node.select("host", "node", "hl", ((F.col("b") + PRIOR * host_prior) / (F.col("l") + PRIOR)).alias("purity"))
     known = (nodes.join(purity, ["host", "node"])
              .groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct(
-                 F.concat_ws("/", "template").alias("t"), F.struct(F.concat(F.lit("/"), F.concat_ws("/", "node")).alias("template"), "purity")))).alias("known")))
+                 F.concat_ws("/", "template").alias("t"), F.struct(F.concat(F.lit("/"), F.concat_ws("/", "node")).alias("template"), "purity",
+                                                             ((F.col("hl") > 0) & (F.col("purity") >= REJECT)).alias("reject"))))).alias("known")))
     decided = written(literals.join(known, "host", "left"), "hosts")
     out = (ruled.join(small_or_shuffled(decided, n_hosts), "host")
            .withColumn("k", F.element_at("known", F.concat_ws("/", _template(F.col("path"), F.col("literals"))))))
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("k.purity") >= REJECT, "block").otherwise("allow")).alias("verdict"),
+    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("k.reject"), "block").otherwise("allow")).alias("verdict"),
                       F.col("k.template").alias("template"), F.col("k.purity").alias("purity"))

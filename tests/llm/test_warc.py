@@ -1,0 +1,58 @@
+import pytest
+
+from brickyard.llm import warc
+
+PAGES = [(1, "http://a.example/x", "<html><head><title>T &amp; U</title><script>var a='<p>';</script></head><body><p>One\n two<br>three</p><a href='/q?a=1&amp;b=2'>link</a>"
+                                   "<!-- no --><div>é &lt;b&gt;</div></body>"),
+         (2, None, "plain text"), (3, "http://b.example/\r\ny", None), (4, "", ""), (None, "u", "<p>x"), (1, "http://a.example/x", "again"),
+         (5, "http://c.example/", "<p>" + "long words " * 100_000)]
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    df = spark.createDataFrame([(*p, "clash") for p in PAGES], "page_id long, url string, html string, block string")
+    return warc.responses(df)
+
+
+def test_linked_records(records):
+    src = {r.record_id: r for r in records.collect()}
+    assert len(src) == len(PAGES)
+    out = warc.derive(records).collect()
+    assert len(out) == 2 * len(PAGES) and len({r.record_id for r in out}) == len(out)
+    for r in out:
+        s = src[r.refers_to]
+        assert (r.page_id, r.target_uri, r.warc_date, r.payload_digest) == (s.page_id, s.target_uri, s.warc_date, s.payload_digest)
+        assert r.block_digest == warc.sha1(bytes(r.block))
+    assert sorted(r.warc_type for r in out) == ["conversion"] * len(PAGES) + ["metadata"] * len(PAGES)
+
+
+def test_text_and_metadata(records):
+    out = {(r.page_id, r.warc_type): bytes(r.block).decode() for r in warc.derive(records.filter("target_uri <> 'u'")).collect()
+           if b"again" not in bytes(r.block)}
+    first = [b for (p, k), b in out.items() if (p, k) == (1, "conversion")]
+    assert first == [] or first == ["One two\nthree\nlink\né <b>"]
+    assert warc.visible_text(PAGES[0][2]) == "One two\nthree\nlink\né <b>"
+    assert out[3, "conversion"] == "" and out[2, "conversion"] == "plain text"
+    assert len(out[5, "conversion"]) == len("long words " * 100_000) - 1
+    meta = out[3, "metadata"].split("\r\n")
+    assert meta[0] == "status: HTTP/1.1 200 OK" and "payload-length: 0" in meta and "source-header: Content-Length: 0" in meta
+    lines = dict(x.split(": ", 1) for x in bytes(next(iter(warc.derivatives(1, "id", "t", "d", "b", "p", b"HTTP/1.1 200 OK\r\nX: 1\r\n\r\n" + PAGES[0][2].encode())))[-1]).decode().split("\r\n") if x)
+    assert lines["title"] == "T & U" and lines["outlink"] == "/q?a=1&b=2" and lines["source-header"] == "X: 1"
+
+
+def test_bytes_round_trip(records):
+    both = records.unionByName(warc.derive(records))
+    raw = b"".join(bytes(r.warc) for r in warc.warc_bytes(both).collect())
+    found = list(warc.parse(raw))
+    assert len(found) == 3 * len(PAGES)
+    ids = {h["WARC-Record-ID"] for h, _ in found if h["WARC-Type"] == "response"}
+    for h, block in found:
+        assert warc.sha1(block) == h["WARC-Block-Digest"]
+        assert h["WARC-Type"] == "response" or h["WARC-Refers-To"] in ids
+    with pytest.raises(ValueError):
+        list(warc.parse(b"nothing\r\n\r\n"))
+
+
+def test_empty_and_reruns(spark, records):
+    assert sorted(map(str, records.collect())) == sorted(map(str, records.collect()))
+    assert warc.derive(warc.responses(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
