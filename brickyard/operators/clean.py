@@ -49,7 +49,7 @@ def _order(spec) -> Column:
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-                  tie_breakers: Sequence = (), nulls_first: bool = True) -> DataFrame:
+                  tie_breakers: Sequence, nulls_first: bool = True) -> DataFrame:
     """Keep the latest row per key: ``row_number() over (partition by keys
     order by <order_by> desc, <tie_breakers>) = 1``.
 
@@ -63,8 +63,8 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     """
     if not keys:
         raise ValueError("dedupe_latest needs keys")
-    if not order_by and not tie_breakers:
-        raise ValueError("dedupe_latest needs an order (order_by or tie_breakers)")
+    if all(isinstance(c, str) and c in keys for c in tie_breakers):
+        raise ValueError("dedupe_latest needs tie_breakers beyond the keys: equal rows of a key differ in nothing else")
     orders = [(_order(c).desc_nulls_first() if nulls_first else _order(c).desc_nulls_last())
               for c in order_by]
     orders += [_order(c).asc_nulls_first() if isinstance(c, str) else c for c in tie_breakers]

@@ -8,12 +8,13 @@ refuses to overwrite a path the plan reads) and then swapped in.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brickyard.session import staged
+
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -56,23 +57,25 @@ def sync_schema(target: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, key) -> None:
-    """Raise if ``key`` repeats in ``df`` (a merge with duplicate source keys
-    matching one target row is an error). This is an action."""
+    """Raise if a non-null ``key`` repeats in ``df`` (a merge with duplicate
+    source keys matching one target row is an error). This is an action."""
     ks = _keys(key)
-    dup = df.groupBy(*ks).count().where(F.col("count") > 1).limit(1).collect()
+    dup = df.dropna(subset=ks).groupBy(*ks).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"upsert source has duplicate key {dup[0].asDict()}")
 
 
 def upsert(target: DataFrame, source: DataFrame, key, preserve: Sequence[str] = (),
-           validate: bool = False) -> DataFrame:
+           validate: bool = True) -> DataFrame:
     """Merge ``source`` into ``target`` on ``key``: matched rows take the source
     version (every column), unmatched source rows insert, other target rows
     stay. Null keys never match, so they always insert.
 
     ``preserve`` names columns whose *target* value survives a match (e.g.
-    a first-loaded stamp). ``validate=True`` checks source keys are unique.
-    Plan: a left-anti join of target against the source keys plus a union --
+    a first-loaded stamp). Source keys must be unique: ``validate`` checks it
+    (an action over the source's keys); pass False only where they are unique
+    by construction. The source plan is used more than once: stage it first
+    if it is dear (``load_incremental`` does). Plan: a left-anti join of target against the source keys plus a union --
     one shuffle on the key (or a broadcast of the source keys when AQE sees
     a small batch); keys are unique per side, so there is no skew.
     """
@@ -96,100 +99,96 @@ def upsert(target: DataFrame, source: DataFrame, key, preserve: Sequence[str] =
 def load_incremental(source: DataFrame, target: DataFrame | None, unique_key,
                      watermark: str | None, inclusive: bool = False, on_empty: str = "none",
                      preserve: Sequence[str] = (), sync: bool = True,
-                     validate: bool = False) -> DataFrame:
+                     validate: bool = True) -> DataFrame:
     """Incremental model load = watermark filter + schema sync + upsert.
 
-    First run (``target is None``) returns the whole source.
+    The batch (the rows past the mark) is written once to the shared folder,
+    so its plan runs once; its keys are checked there. A first run
+    (``target is None``) returns the whole source after the same check.
     """
     if target is None:
+        if validate:
+            assert_unique(source, unique_key)
         return source
     new = incremental_filter(source, target, watermark, inclusive, on_empty) if watermark else source
+    new = staged(new, "batch")
     tgt = sync_schema(target, new) if sync else target
     return upsert(tgt, new, unique_key, preserve=preserve, validate=validate)
 
 
-# Characters Spark escapes as %XX in partition directory names
-# (plus control characters 0x01-0x1F), and its directory name for null.
-PATH_ESCAPES = set('"#%\'*/:=?\\\x7f{[]^')
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+def _null_safe(cols: Sequence[str], values: Sequence) -> Column:
+    cond = F.lit(True)
+    for c, v in zip(cols, values, strict=True):
+        cond = cond & F.col(c).eqNullSafe(F.lit(v))
+    return cond
 
 
-def _part_dir(cols: Sequence[str], values: Sequence) -> str:
-    def esc(v) -> str:
-        if v is None:
-            return NULL_PARTITION
-        s = str(v)
-        return "".join(f"%{ord(ch):02X}" if ch in PATH_ESCAPES or ord(ch) < 0x20 else ch for ch in s)
-    return "/".join(f"{c}={esc(v)}" for c, v in zip(cols, values))
+def _any_of(cols: Sequence[str], rows: Sequence[tuple]) -> Column:
+    """Partition filter: one IN list for a single column (a backfill can touch
+    thousands of partitions), else an OR of null-safe equalities."""
+    if len(cols) == 1:
+        vals = [r[0] for r in rows if r[0] is not None]
+        cond = F.col(cols[0]).isin(vals) if vals else F.lit(False)
+        return cond | F.col(cols[0]).isNull() if any(r[0] is None for r in rows) else cond
+    cond = F.lit(False)
+    for r in rows:
+        cond = cond | _null_safe(cols, r)
+    return cond
 
 
 def merge_partitions(source: DataFrame, target_path: str, key, partition_cols: Sequence[str],
-                     preserve: Sequence[str] = (), validate: bool = False,
-                     track_moves: bool = True) -> list[tuple]:
+                     preserve: Sequence[str] = (), validate: bool = True,
+                     track_moves: bool = False) -> list[tuple]:
     """Upsert ``source`` into the partitioned Parquet table at ``target_path``
-    rewriting only the partitions it touches (not the whole table).
-
-    Touched partitions are those of the incoming rows plus, with
-    ``track_moves``, the old partitions of keys that now land elsewhere
-    (e.g. a line whose order date was null on the first load). Only those
-    partitions are read (partition pruning), merged with ``upsert``, staged
-    in the shared checkpoint folder (so the table is never overwritten while
-    the same plan reads it) and written back with dynamic partition
-    overwrite; partitions the merge left empty are removed. Returns the
-    touched partition values. The list of touched partitions is collected;
-    it is bounded by the number of partitions, not by rows.
+    rewriting only the partitions it touches. Returns their values.
+
+    Only the partitions of the incoming rows are read. A key that may land in
+    another partition than before (a line whose order date was null at first)
+    needs ``track_moves``: it also finds the old partitions of all incoming
+    keys, which reads the key columns of every partition.
+
+    The target is read with the source's types, so partition values such as
+    ``01`` stay strings. Duplicate source keys raise, on the first load too.
+    Touched rows are merged with ``upsert``, written to the shared checkpoint
+    folder (the table is never overwritten while the same plan reads it),
+    and written back with dynamic partition overwrite. Partitions that a move
+    has emptied are deleted after that. A crash between the two leaves moved
+    rows in both places; running the same load again, with ``track_moves``,
+    finds and removes the old ones (the source's row wins). The collected
+    lists are bounded by the number of partitions.
     """
-    from brickyard.session import checkpoint_dir
-
     spark = source.sparkSession
-    ks = _keys(key)
-    pcols = list(partition_cols)
-    if validate:
-        assert_unique(source, ks)
+    ks, pcols = _keys(key), list(partition_cols)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(target_path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    batch = staged(source, "batch")
+    if validate:
+        assert_unique(batch, ks)
+    incoming = [tuple(r) for r in batch.select(*pcols).distinct().collect()]
     if not fs.exists(root):
-        source.write.partitionBy(*pcols).parquet(target_path)
-        return [tuple(r) for r in source.select(*pcols).distinct().collect()]
-    target = spark.read.parquet(target_path)
-    touched_df = source.select(*pcols)
+        batch.write.partitionBy(*pcols).parquet(target_path)
+        return incoming
+    target = spark.read.schema(batch.schema).parquet(target_path)
+    touched = set(incoming)
     if track_moves:
-        moved = target.select(*ks, *pcols).join(source.select(*ks), ks, "left_semi").select(*pcols)
-        touched_df = touched_df.unionByName(moved)
-    touched = [tuple(r) for r in touched_df.distinct().collect()]
+        touched |= {tuple(r) for r in target.select(*ks, *pcols).join(batch.select(*ks), ks, "left_semi")
+                    .select(*pcols).distinct().collect()}
     if not touched:
         return []
-    if len(pcols) == 1:
-        # one IN list (plus IS NULL) instead of an OR chain: backfills can
-        # touch thousands of partitions; pruning works the same
-        vals = [v[0] for v in touched if v[0] is not None]
-        cond = F.col(pcols[0]).isin(vals) if vals else F.lit(False)
-        if any(v[0] is None for v in touched):
-            cond = cond | F.col(pcols[0]).isNull()
-    else:
-        cond = None
-        for vals in touched:
-            c = None
-            for col, v in zip(pcols, vals):
-                e = F.col(col).eqNullSafe(F.lit(v))
-                c = e if c is None else c & e
-            cond = c if cond is None else cond | c
-    old = target.where(cond)
-    merged = upsert(old, source.select(*target.columns), ks, preserve=preserve)
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
-    merged.write.parquet(stage)  # a written table in the shared folder cuts the read/overwrite cycle
-    staged = spark.read.parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*pcols).parquet(target_path))
-    kept = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
-    Path = jvm.org.apache.hadoop.fs.Path
-    for vals in touched:
+    # with the folder of each partition, so that no value is ever turned into a path here
+    old = target.select(*batch.columns, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("__dir")) \
+        .where(_any_of(pcols, sorted(touched, key=str)))
+    dirs = {tuple(r)[:-1]: r["__dir"] for r in old.select(*pcols, "__dir").distinct().collect()}
+    merged = staged(upsert(old.drop("__dir"), batch, ks, preserve=preserve, validate=False), "merge")
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).parquet(target_path))
+    kept = {tuple(r) for r in merged.select(*pcols).distinct().collect()}
+    for vals, where in dirs.items():
         if vals not in kept:
-            fs.delete(Path(root, _part_dir(pcols, vals)), True)
-            for depth in range(len(pcols) - 1, 0, -1):   # and parents left empty
-                parent = Path(root, _part_dir(pcols[:depth], vals[:depth]))
-                if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
-                    fs.delete(parent, False)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(stage), True)
-    return touched
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(where))  # the column holds a URI
+            fs.delete(path, True)
+            parent = path.getParent()
+            while parent.depth() > root.depth() and fs.exists(parent) and len(fs.listStatus(parent)) == 0:
+                fs.delete(parent, False)   # parents left empty
+                parent = parent.getParent()
+    return sorted(touched, key=str)

@@ -67,7 +67,7 @@ class SalesStar:
         return silver_clean(b, {"order_detail_id": (line_key(), "bigint"),
                                 "order_id": ("l_orderkey", "bigint"),
                                 "product_id": ("l_partkey", "string"),
-                                "quantity": ("l_quantity", "bigint")},
+                                "quantity": (F.round("l_quantity"), "bigint")},  # half away from zero, not truncated
                             keys=["order_detail_id"], order_by=["src_upd_ts", "l_shipdate"],
                             tie_breakers=["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
 
@@ -83,7 +83,7 @@ class SalesStar:
                              "product_name": ("p_name", "string"),
                              "product_category": ("p_type", "string"),
                              "component_list": ("p_name", "string")},
-                            keys=["product_id"], tie_breakers=["product_id"])
+                            keys=["product_id"], tie_breakers=["price", "product_name", "product_category", "size_code"])
 
     def silver_products(self) -> DataFrame:
         return self.silver_part.select("product_id", "product_type_id", "size_code", "price",

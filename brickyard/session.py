@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from runtime sizes
 # (size-checked broadcast), coalesces small shuffle partitions and splits
@@ -46,21 +47,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     A cluster names it in ``spark.checkpoint.dir``; we read that setting from
-    the session and only pick our own folder (for local runs and tests) when
-    it is unset. Never a local checkpoint: those die with their executor.
+    the session and only pick our own folder when it is unset and the master
+    is local (tests); any other master raises. Never a local checkpoint:
+    those die with their executor.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            # a folder of the driver's own would be empty or partial on every other machine
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="brickyard-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: its
+    plan runs once however often the result is used, and executors that are
+    lost cost no recomputation of what stands above."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

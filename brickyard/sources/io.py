@@ -27,10 +27,6 @@ def read_source(spark: SparkSession, base: str, name: str, schema: StructType |
     return reader.load(path)
 
 
-def read_tables(spark: SparkSession, base: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
-    return {n: read_source(spark, base, n) for n in names}
-
-
 def read_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Typed CSV seed with a header row (no schema inference)."""
     return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)

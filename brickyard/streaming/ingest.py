@@ -6,10 +6,14 @@ and a lost executor or restarted job resumes without duplicates."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from brickyard.operators.clean import dedupe_latest
 from brickyard.operators.load import merge_partitions, upsert
 from brickyard.operators.star import bronze_capture
 from brickyard.session import checkpoint_dir
@@ -35,7 +39,8 @@ def _latest_version(spark: SparkSession, root: str) -> str | None:
 def ingest_available(spark: SparkSession, source_dir: str, schema: StructType | str, target_root: str,
                      key, src_sys: str = "raw", run_ts=None, name: str = "ingest",
                      max_files_per_trigger: int | None = None,
-                     partition_cols: list[str] | None = None) -> str | None:
+                     partition_cols: list[str] | None = None,
+                     order_by: list[str] | None = None, track_moves: bool = True) -> str | None:
     """Load every new file under ``source_dir`` into ``target_root`` and return
     the path of the newest committed version (``{target_root}/v=N``).
 
@@ -43,22 +48,31 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType |
     and writes version N+1 (never overwriting what it reads). Versions are
     whole tables, so readers always see a committed snapshot. With
     ``partition_cols`` the target is instead one partitioned table and each
-    batch rewrites only the partitions it touches (``merge_partitions``);
-    the return value is then ``target_root``.
+    batch rewrites only the partitions it touches (``merge_partitions``,
+    looking for moved keys unless ``track_moves`` is off); the return value is
+    then ``target_root``.
+
+    A key may come more than once in a drop: the latest row wins, by
+    ``order_by`` (descending; default the file's modification time), then by
+    file path and content. Rows with a null key are all kept.
     """
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
+    cols, keys = stream.columns, [key] if isinstance(key, str) else list(key)
+    stream = stream.select("*", F.col("_metadata.file_modification_time").alias("__time"), F.col("_metadata.file_path").alias("__path"))
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        staged = bronze_capture(batch, src_sys, run_ts)
+        null_key = reduce(or_, (F.col(k).isNull() for k in keys))
+        latest = dedupe_latest(batch.where(~null_key), keys, order_by or ["__time"], [F.col("__path").desc(), F.xxhash64(*cols)])
+        staged = bronze_capture(latest.unionByName(batch.where(null_key)).select(*cols), src_sys, run_ts)
         if partition_cols:
-            merge_partitions(staged, target_root, key, partition_cols)
+            merge_partitions(staged, target_root, key, partition_cols, track_moves=track_moves)
             return
         cur = _latest_version(spark, target_root)
-        out = staged if cur is None else upsert(spark.read.parquet(cur), staged, key)
+        out = staged if cur is None else upsert(spark.read.parquet(cur), staged, key, validate=False)
         nxt = 0 if cur is None else int(cur.rsplit("=", 1)[1]) + 1
         out.write.mode("overwrite").parquet(f"{target_root.rstrip('/')}/v={nxt}")
 

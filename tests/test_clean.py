@@ -36,7 +36,7 @@ def test_null_timestamp_wins_for_parity(spark):
 def test_dedupe_requires_order(spark):
     df = spark.createDataFrame([(1,)], "k int")
     with pytest.raises(ValueError):
-        dedupe_latest(df, ["k"], [])
+        dedupe_latest(df, ["k"], ["k"], ["k"])
 
 
 def test_require_keys(spark):

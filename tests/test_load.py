@@ -80,7 +80,10 @@ def test_upsert_duplicate_source_key_raises(spark):
     tgt = spark.createDataFrame([(1, "a")], "k int, v string")
     src = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
     with pytest.raises(ValueError):
-        upsert(tgt, src, "k", validate=True)
+        upsert(tgt, src, "k")
+    with pytest.raises(ValueError):
+        load_incremental(src, None, "k", None)
+    assert upsert(tgt, src.limit(1), "k").count() == 1
 
 
 def test_schema_change(spark):
@@ -111,7 +114,7 @@ def test_merge_partitions_rewrites_only_touched(spark, tmp_path):
     untouched = sorted(os.listdir(os.path.join(path, "d=2015-01-02")))
     # run 2: key 2 updated in place, key 3 moves out of the null partition, key 5 new
     second = spark.createDataFrame([(2, "B", D1), (3, "C", D1), (5, "e", D1)], schema)
-    touched = merge_partitions(second, path, "k", ["d"])
+    touched = merge_partitions(second, path, "k", ["d"], track_moves=True)
     assert set(touched) == {(D1,), (None,)}
     rows = sorted((r.k, r.v, r.d) for r in spark.read.parquet(path).collect())
     assert rows == [(1, "a", D1), (2, "B", D1), (3, "C", D1), (4, "z", D2), (5, "e", D1)]
@@ -127,7 +130,7 @@ def test_merge_partitions_escaped_values_and_two_columns(spark, tmp_path):
     merge_partitions(spark.createDataFrame([(1, "x", odd, D1), (2, "y", "plain", D1)], schema), path, "k", ["region", "d"])
     assert any("%2F" in n for n in os.listdir(path))              # Spark escaped the value on disk
     # key 1 moves out of the oddly named partition, which becomes empty and must disappear
-    merge_partitions(spark.createDataFrame([(1, "x2", "plain", D2)], schema), path, "k", ["region", "d"])
+    merge_partitions(spark.createDataFrame([(1, "x2", "plain", D2)], schema), path, "k", ["region", "d"], track_moves=True)
     rows = sorted((r.k, r.v, r.region, r.d) for r in spark.read.parquet(path).collect())
     assert rows == [(1, "x2", "plain", D2), (2, "y", "plain", D1)]
     assert not any("%2F" in n for n in os.listdir(path))
@@ -138,3 +141,60 @@ def test_preserve_keeps_null_target_value(spark):
     src = spark.createDataFrame([(1, T2), (2, T2), (3, T2)], "k int, crt_ts timestamp_ntz")
     got = {r.k: r.crt_ts for r in upsert(tgt, src, "k", preserve=["crt_ts"]).collect()}
     assert got == {1: None, 2: T1, 3: T2}
+
+
+def test_merge_partitions_string_values_keep_their_type(spark, tmp_path):
+    from brickyard.operators.load import merge_partitions
+    schema = "k int, v string, p string"
+    for values in (["01", "02"], ["2015-01-01", "2015-01-02"], ["1.50", "2.0"], ["1e3", " x"]):
+        path = str(tmp_path / values[0].replace(" ", "_"))
+        merge_partitions(spark.createDataFrame([(1, "a", values[0]), (2, "b", values[1])], schema), path, "k", ["p"])
+        before = sorted(n for n in os.listdir(path) if n.startswith("p="))
+        for _ in range(2):   # a rerun converges
+            merge_partitions(spark.createDataFrame([(2, "B", values[1])], schema), path, "k", ["p"])
+            rows = sorted((r.k, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect())
+            assert rows == [(1, "a", values[0]), (2, "B", values[1])]
+            assert sorted(n for n in os.listdir(path) if n.startswith("p=")) == before
+
+
+def test_merge_partitions_duplicates_raise_and_moves_converge(spark, tmp_path):
+    from brickyard.operators.load import merge_partitions
+    path, schema = str(tmp_path / "t"), "k int, v string, p string"
+    with pytest.raises(ValueError):
+        merge_partitions(spark.createDataFrame([(1, "a", "x"), (1, "b", "y")], schema), path, "k", ["p"])
+    assert not os.path.exists(path)
+    merge_partitions(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "y")], schema), path, "k", ["p"])
+    # as after a crash between the overwrite and the deletion: key 2 in both partitions
+    spark.createDataFrame([(2, "B")], "k int, v string").write.mode("append").parquet(path + "/p=x")
+    for _ in range(2):
+        merge_partitions(spark.createDataFrame([(2, "B", "x")], schema), path, "k", ["p"], track_moves=True)
+        assert sorted((r.k, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect()) == [(1, "a", "x"), (2, "B", "x"), (3, "c", "y")]
+
+
+def test_merge_without_moves_reads_touched_partitions_only(spark, tmp_path):
+    from brickyard.operators.load import _any_of
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i, f"p{i % 5}") for i in range(20)], "k int, p string").write.partitionBy("p").parquet(path)
+    plan = spark.read.parquet(path).where(_any_of(["p"], [("p1",), ("p3",)]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [p#" in plan and "p1" in plan.split("PartitionFilters")[1]
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from brickyard import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())

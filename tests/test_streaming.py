@@ -25,3 +25,15 @@ def test_available_now_ingest_into_partitions(spark, tmp_path):
     out = ingest_available(spark, src + "/*", schema, tgt, "k", run_ts="2024-01-02 00:00:00", name="t2",
                            partition_cols=["p"])
     assert sorted((r.k, r.v, r.p) for r in spark.read.parquet(out).collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "x")]
+
+
+def test_one_row_a_key_from_two_files_of_one_drop(spark, tmp_path):
+    schema = "k bigint, v string, p string, n int"
+    for form, parts in (("v", None), ("p", ["p"])):
+        src, tgt = str(tmp_path / f"in{form}"), str(tmp_path / f"out{form}")
+        spark.createDataFrame([(1, "a", "x", 1), (2, "old", "x", 1), (None, "n1", "x", 1)], schema).coalesce(1).write.parquet(os.path.join(src, "f1"))
+        spark.createDataFrame([(2, "new", "y", 2), (3, "c", "y", 2), (None, "n2", "x", 2)], schema).coalesce(1).write.parquet(os.path.join(src, "f2"))
+        out = ingest_available(spark, src + "/*", schema, tgt, "k", run_ts="2024-01-01 00:00:00", name=f"dup{form}", partition_cols=parts,
+                               order_by=["n"])
+        rows = sorted((r.k or 0, r.v, r.p) for r in spark.read.parquet(out).collect())
+        assert rows == [(0, "n1", "x"), (0, "n2", "x"), (1, "a", "x"), (2, "new", "y"), (3, "c", "y")]
