@@ -20,7 +20,7 @@ are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_or_shuffled, written
@@ -74,17 +74,22 @@ def _widened(node: Column, depth: int) -> Column:
     return F.transform(node, lambda s, i: F.when(i == depth - 1, F.lit("*")).otherwise(s))
 
 
+def _sum(col: str, *by: str) -> Column:
+    """Sum within a host's templates: as few rows as the literals allow."""
+    return F.sum(col).over(Window.partitionBy(*by))
+
+
 def _merged(stats: DataFrame) -> DataFrame:
-    """(host, template, node): templates after merging like branches."""
+    """``stats`` with ``node``: the branch that each template merges into."""
     nodes = stats.withColumn("node", F.col("template"))
     for d in range(DEPTH, 0, -1):
-        wide = _widened(F.col("node"), d)
-        own = nodes.groupBy("host", "node").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).withColumn("wide", wide)
-        pool = own.groupBy("host", "wide").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"))
-        p, q = F.try_divide(F.col("pb").cast("double"), F.col("pl")), F.try_divide(F.col("b").cast("double"), F.col("l"))
-        unlike = F.abs(q - p) > Z * F.sqrt(F.try_divide(p * (1 - p), F.col("l")))
-        step = own.join(pool, ["host", "wide"]).select("host", "node", F.when(unlike, F.col("node")).otherwise(F.col("wide")).alias("next"))
-        nodes = nodes.join(step, ["host", "node"]).select("host", "template", "labelled", "blocked", F.col("next").alias("node"))
+        nodes = nodes.withColumn("wide", _widened(F.col("node"), d))
+        p = F.try_divide(_sum("blocked", "host", "wide").cast("double"), _sum("labelled", "host", "wide"))
+        n = _sum("labelled", "host", "node")
+        nodes = nodes.withColumns({"p": p, "n": n, "b": _sum("blocked", "host", "node")})
+        unlike = (F.abs(F.try_divide(F.col("b").cast("double"), F.col("n")) - F.col("p"))
+                  > Z * F.sqrt(F.try_divide(F.col("p") * (1 - F.col("p")), F.col("n"))))
+        nodes = nodes.select("host", "template", "labelled", "blocked", F.when(unlike, F.col("node")).otherwise(F.col("wide")).alias("node"))
     return nodes
 
 
@@ -101,15 +106,14 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         F.count("ruled").alias("labelled"), F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("blocked")), "templates")
     all_l, all_b = stats.agg(F.sum("labelled"), F.sum("blocked")).first()
     prior = F.lit(all_b / all_l if all_l else 0.0)
-    of_host = stats.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("blocked").alias("hb"))
-    nodes = _merged(stats)
-    of_node = nodes.groupBy("host", "node").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).join(of_host, "host")
+    nodes = _merged(stats).withColumns({
+        "hl": _sum("labelled", "host"), "hb": _sum("blocked", "host"), "l": _sum("labelled", "host", "node"), "b": _sum("blocked", "host", "node")})
     host_prior = (F.col("hb") + PRIOR * prior) / (F.col("hl") + PRIOR)
-    purity = of_node.select("host", "node", "hl", ((F.col("b") + PRIOR * host_prior) / (F.col("l") + PRIOR)).alias("purity"))
-    known = (nodes.join(purity, ["host", "node"])
-             .groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct(
-                 F.concat_ws("/", "template").alias("t"), F.struct(F.concat(F.lit("/"), F.concat_ws("/", "node")).alias("template"), "purity",
-                                                             ((F.col("hl") > 0) & (F.col("purity") >= REJECT)).alias("reject"))))).alias("known")))
+    purity = (F.col("b") + PRIOR * host_prior) / (F.col("l") + PRIOR)
+    known = nodes.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws("/", "template").alias("t"),
+        F.struct(F.concat(F.lit("/"), F.concat_ws("/", "node")).alias("template"), purity.alias("purity"),
+                 ((F.col("hl") > 0) & (purity >= REJECT)).alias("reject"))))).alias("known"))
     decided = written(literals.join(known, "host", "left"), "hosts")
     out = (ruled.join(small_or_shuffled(decided, n_hosts), "host")
            .withColumn("k", F.element_at("known", F.concat_ws("/", _template(F.col("path"), F.col("literals"))))))
