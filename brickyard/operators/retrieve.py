@@ -1,28 +1,32 @@
 """Batch retrieval and conversation assembly.
 
-Exact top-k retrieval is computed by scoring *blocks* of queries against the
-corpus. A block is size-checked (row count) before it is broadcast; more
-queries than one block holds are split into hash blocks, each an exact pass
-over the corpus, so nothing is capped. Several blocks run one after another,
-each result written to the shared checkpoint folder and its broadcast
-destroyed, so the driver holds one block at a time. Inside each corpus task the block is
-scored with numpy (dense dot products for vectors, BM25 for keywords) and
-only the task's best ``k`` candidates per query leave the task; a
+Exact top-k retrieval works on a grid: queries fall into blocks of counted
+size, corpus rows into shards of counted size, and every (block, shard) cell
+is one co-group found by an equi-join on both. A cell scores its rows with
+numpy (dense dot products for vectors, BM25 for keywords), keeps a running
+best ``k`` per query and sends ``k`` rows per query on, once; a
 ``row_number() <= k`` window (partial WindowGroupLimit before its shuffle)
-merges them. No (query, doc) pair rows are ever shuffled, and no cross join
-is planned.
+merges the cells. Queries and corpus never pass through the driver, no pair
+rows are shuffled, no cross join is planned, and the plan has one form for
+any number of blocks. Ids may be of any orderable type.
+
+The driver counts rows (to size the grid) and, for BM25, documents and their
+mean length; everything else stays lazy.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import uuid
+import sys
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # tokenizer = lower-case, split on runs of anything that is not a
 # Unicode letter or digit; BM25 parameters k1 = 1.2, b = 0.75.
@@ -30,75 +34,13 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 BM25_K1 = 1.2
 BM25_B = 0.75
 
-CANDIDATE_SCHEMA = "query_id long, doc_id long, score double"
-
 # The scoring kernels run in Python workers; ship this module's code with
 # the tasks (pickled by value) so executors need not have the package
 # installed or on their path.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001 -- older cloudpickle: rely on the package being installed
-    pass
-MAX_CELLS = 4_000_000  # scores held at once per task (rows x queries)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks (default: the shuffle
-    partition count) when its input is too coarse to give that many scan
-    splits -- for CPU-heavy per-row work such as tokenizing and scoring.
-
-    Decided from the input files alone (no job runs, even when ``df`` has
-    shuffles upstream): enough files, or few files whose total size already
-    yields enough ``maxPartitionBytes`` splits, pass through untouched --
-    the normal case for a large corpus. Spark sorts before a round-robin
-    repartition, so a retried task sees the same rows.
-    """
-    spark = df.sparkSession
-    n = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    files = df.inputFiles()
-    if len(files) >= n:
-        return df
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        size = 0
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            size += path.getFileSystem(conf).getFileStatus(path).getLen()
-    except Exception:  # noqa: BLE001 -- no JVM access (e.g. Spark Connect): leave as is
-        return df
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    return df if files and size // max(1, split) >= n else df.repartition(n)
-
-
-def _bytes(v: str) -> int:
-    """Parse a Spark byte-size setting such as ``134217728``, ``128m``, ``128MB``."""
-    m = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)i?b?\s*", str(v).lower())
-    if not m:
-        return 128 << 20
-    return int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m.group(2)]
-
-
-class _Local:
-    """Stand-in for a broadcast variable when the session has no SparkContext
-    (Spark Connect): the payload then travels inside the task closure."""
-
-    def __init__(self, value):
-        self.value = value
-
-    def destroy(self):
-        self.value = None
-
-
-def _share(spark, payload):
-    """Broadcast ``payload`` once per executor (classic sessions)."""
-    try:
-        return spark.sparkContext.broadcast(payload)
-    except Exception:  # noqa: BLE001
-        return _Local(payload)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+MAX_CELLS = 4_000_000    # scores held at once per task (rows x queries)
+DENSE_CELLS = 8_000_000  # bound of the dense term x query weight matrix (64 MB)
+SHARD_ROWS = 100_000     # corpus rows of one cell
 
 
 def tokens(text) -> Column:
@@ -108,97 +50,82 @@ def tokens(text) -> Column:
     return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT, -1), F.lit(""))
 
 
-def _query_blocks(queries: DataFrame, id_col: str, max_rows: int,
-                  n: int | None = None) -> list[DataFrame]:
-    """Split ``queries`` into hash blocks of about ``max_rows`` rows each.
-    The count is the size check that licenses broadcasting a block."""
-    n = queries.count() if n is None else n
-    if n == 0:
-        return []
-    nb = max(1, math.ceil(n / max(1, max_rows)))
-    if nb == 1:
-        return [queries]
-    key = F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb))
-    return [queries.where(key == b) for b in range(nb)]
-
-
-class _BlockResults:
-    """Collects per-block top-k results.
-
-    One block stays a lazy plan. With several blocks, each block is run to
-    completion as soon as it is built -- its result written as a table in
-    the shared checkpoint folder and its broadcast destroyed -- so the
-    driver never holds more than one block's payload. Blocks hold disjoint
-    queries, so their top-k results simply union.
-    """
+# ---- the grid -------------------------------------------------------------------
 
-    def __init__(self, spark, nb: int):
-        self.spark, self.nb, self.lazy, self.paths = spark, nb, None, []
-        if nb > 1:
-            from brickyard.session import checkpoint_dir
-            self.base = f"{checkpoint_dir(spark).rstrip('/')}/topk-{uuid.uuid4().hex}"
-
-    def add(self, result: DataFrame, shared) -> None:
-        if self.nb == 1:
-            self.lazy = result
-            return
-        path = f"{self.base}/block={len(self.paths)}"
-        result.write.parquet(path)
-        self.paths.append(path)
-        shared.destroy()
-
-    def result(self) -> DataFrame:
-        if self.lazy is not None:
-            return self.lazy
-        if not self.paths:
-            return self.spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-        return self.spark.read.parquet(*self.paths).select("query_id", "rank", "doc_id", "score")
-
-
-def _final_topk(cands: DataFrame, k: int) -> DataFrame:
-    """Merge per-task candidates: same total order as inside the tasks
-    (score desc, doc_id asc); the partial WindowGroupLimit keeps k per query
-    per map task before the shuffle."""
+def _candidate_schema(qid: T.DataType, did: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("query_id", qid), T.StructField("doc_id", did), T.StructField("score", T.DoubleType())])
+
+
+def _result(cands: DataFrame, k: int) -> DataFrame:
+    """Merge the cells' candidates under the order used inside them (score
+    desc, id asc)."""
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "doc_id", "score"))
 
 
-def _emit_topk(scores: np.ndarray, row_ids: np.ndarray, qids: np.ndarray, keep: int,
-               positive_only: bool) -> pd.DataFrame:
-    """Per query column, exactly the ``keep`` best rows under the final total
-    order (score rounded to 6 places desc, id asc). A row beaten by ``keep``
-    rows of its own task cannot reach the global top-``keep``, so the cut is
-    exact -- and a cluster of identical documents, however large, still
-    yields only ``keep`` rows per query per task."""
-    sc = np.round(np.where(np.isnan(scores), -np.inf, scores), 6)
-    ok = (sc > 0) if positive_only else np.isfinite(sc)
-    sc = np.where(ok, sc, -np.inf)
-    n, nq = sc.shape
-    if n > keep:
-        thr = np.partition(sc, n - keep, axis=0)[n - keep]          # keep-th best per column
-        better = sc > thr[None, :]
-        tied = sc == thr[None, :]
-        need = keep - better.sum(axis=0)                               # tied rows still needed
-        over = np.nonzero(tied.sum(axis=0) > need)[0]
-        for j in over:                                                 # resolve ties by smallest id
-            t = np.nonzero(tied[:, j])[0]
-            m = int(need[j])
-            tied[:, j] = False
-            if m > 0:
-                tied[t[np.argsort(row_ids[t], kind="stable")[:m]], j] = True
-        mask = (better | tied) & ok
-    else:
-        mask = ok
-    r, c = np.nonzero(mask)
-    return pd.DataFrame({"query_id": qids[c].astype(np.int64), "doc_id": row_ids[r].astype(np.int64),
-                         "score": sc[r, c].astype(np.float64)})
+def _on_grid(corpus: DataFrame, queries: DataFrame, n_docs: int, n_queries: int, block_rows: int, score, schema) -> DataFrame:
+    """Co-group ``corpus`` (with ``did``) and ``queries`` (with ``qid``) on the
+    cells of a (block, shard) grid. Rows are dealt by a hash of their id."""
+    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    shards = max(1, min(n, n_docs), math.ceil(n_docs / SHARD_ROWS))
+    blocks = max(1, math.ceil(n_queries / max(1, block_rows)))
+    left = corpus.select("*", F.pmod(F.xxhash64("did"), F.lit(shards)).alias("__s"),
+                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__b"))
+    right = queries.select("*", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("__b"),
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("__s"))
+    return left.groupBy("__b", "__s").cogroup(right.groupBy("__b", "__s")).applyInArrow(score, schema)
+
+
+class _Best:
+    """The best ``k`` rows per query seen so far, under (score rounded to 6
+    places desc, id asc). Rows are offered in chunks; each chunk is cut to its
+    own best ``k`` first, which is exact for the same order."""
+
+    def __init__(self, n_queries: int, k: int):
+        self.k, self.kth = k, np.full(n_queries, -np.inf)
+        self.rows: list[list[tuple[float, object]]] = [[] for _ in range(n_queries)]
+
+    def offer(self, scores: np.ndarray, ids: list, positive_only: bool) -> None:
+        """``scores``: rows x queries, rows in ascending order of ``ids``; nan is no match.
+        With ``positive_only`` the raw score decides, before rounding."""
+        ok = scores > 0 if positive_only else ~np.isnan(scores)
+        sc = np.where(ok, np.round(scores, 6), -np.inf)
+        n = len(ids)
+        if n > self.k:
+            least = np.partition(sc, n - self.k, axis=0)[n - self.k]
+            ok &= sc >= np.maximum(least, self.kth)[None, :]
+        q, r = np.nonzero(ok.T)
+        ends = np.searchsorted(q, np.arange(sc.shape[1] + 1))
+        for j in np.unique(q):
+            pick = r[ends[j]:ends[j + 1]]
+            v = sc[pick, j]
+            pick = pick[np.lexsort((pick, -v))[:self.k]]   # ties to the smaller id: rows ascend by id
+            both = self.rows[j] + [(-float(sc[i, j]), ids[i]) for i in pick]
+            both.sort()
+            self.rows[j] = both[:self.k]
+            if len(both) >= self.k:
+                self.kth[j] = -self.rows[j][-1][0]
+
+    def table(self, qids: list, schema: pa.Schema) -> pa.Table:
+        flat = [(qids[j], d, -s) for j, rows in enumerate(self.rows) for s, d in rows]
+        return pa.table([pa.array([f[i] for f in flat], schema.types[i]) for i in range(3)], names=schema.names)
+
+
+def _by_id(t: pa.Table, name: str = "did") -> pa.Table:
+    return t.sort_by(name)
+
+
+def _types(df: DataFrame, *names: str) -> list[T.DataType]:
+    return [df.schema[n].dataType for n in names]
 
 
 # ---- vectors -----------------------------------------------------------------
 
-def _unit_rows(vecs) -> np.ndarray:
-    m = np.asarray(np.stack([np.asarray(v, dtype=np.float64) for v in vecs]), dtype=np.float64)
+def _unit_rows(column: pa.ChunkedArray) -> np.ndarray:
+    """List values flattened to one matrix of unit rows (nan for a zero vector)."""
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    m = flat.reshape(len(column), -1)
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     norms[norms == 0] = np.nan  # cosine undefined for a zero vector
     return m / norms
@@ -211,37 +138,37 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str
 
     Returns ``query_id, rank, doc_id, score`` (score rounded to 6 places;
     ties by doc_id). ``exclude_self`` drops a doc whose id equals the query id.
-    A block holds at most ``block_rows`` queries and ``block_bytes`` of
-    float64 vectors (count and widest vector are measured first).
+    A block holds about ``block_rows`` queries or ``block_bytes`` of float64
+    vectors (count and widest vector are measured first). Rows without a
+    vector take no part.
     """
-    spark = corpus.sparkSession
-    # rows without a vector cannot be scored
-    q_all = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull())
-    c = spread(corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull()))
-    keep = k
-    size = q_all.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
+    q = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull())
+    c = corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull())
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
     rows = min(block_rows, max(1, block_bytes // (8 * max(1, size["dim"] or 1))))
-    blocks = _query_blocks(q_all, "qid", rows, size["n"])
-    out = _BlockResults(spark, len(blocks))
-    for block in blocks:
-        pdf = block.toPandas()  # bounded by block_rows / block_bytes (checked above)
-        qids = pdf["qid"].to_numpy(dtype=np.int64)
-        bq = _share(spark, (qids, _unit_rows(pdf["v"]).T.copy()))
-
-        def score(batches, bq=bq, keep=keep, exclude_self=exclude_self):
-            qids_, qm = bq.value
-            step = max(1, MAX_CELLS // max(1, qm.shape[1]))
-            for b in batches:
-                for s0 in range(0, len(b), step):
-                    chunk = b.iloc[s0:s0 + step]
-                    ids = chunk["did"].to_numpy(dtype=np.int64)
-                    sc = _unit_rows(chunk["v"]) @ qm
-                    if exclude_self:
-                        sc[ids[:, None] == qids_[None, :]] = np.nan
-                    yield _emit_topk(sc, ids, qids_, keep, positive_only=False)
-
-        out.add(_final_topk(c.mapInPandas(score, CANDIDATE_SCHEMA), k), bq)
-    return out.result()
+    schema = _candidate_schema(*_types(q, "qid"), *_types(c, "did"))
+
+    def score(docs: pa.Table, block: pa.Table) -> pa.Table:
+        arrow = pa.schema([("query_id", block.schema.field("qid").type), ("doc_id", docs.schema.field("did").type), ("score", pa.float64())])
+        best = _Best(block.num_rows, k)
+        qids = block.column("qid").to_pylist()
+        if docs.num_rows and qids:
+            qm = _unit_rows(block.column("v")).T.copy()
+            at = {x: i for i, x in enumerate(qids)}
+            docs = _by_id(docs)
+            step = max(1, MAX_CELLS // len(qids))
+            for lo in range(0, docs.num_rows, step):
+                part = docs.slice(lo, step)
+                ids = part.column("did").to_pylist()
+                sc = _unit_rows(part.column("v")) @ qm
+                if exclude_self:
+                    own = [(i, at[x]) for i, x in enumerate(ids) if x in at]
+                    if own:
+                        sc[tuple(np.array(own).T)] = np.nan
+                best.offer(sc, ids, positive_only=False)
+        return best.table(qids, arrow)
+
+    return _result(_on_grid(c, q, c.count(), size["n"], rows, score, schema), k)
 
 
 # ---- keywords (BM25) -----------------------------------------------------------
@@ -252,139 +179,106 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
                  block_terms: int = 200_000) -> DataFrame:
     """Exact BM25 top-``k`` documents per query text.
 
-    Per query block (at most ``block_rows`` queries and about
-    ``block_terms`` distinct (query, term) pairs, both counted before
-    anything is broadcast): one Spark aggregation gives the document
-    frequency of the block's terms plus N and the average length; then each
-    corpus task scores its documents against the whole block -- a dense
-    BLAS product for terms shared by many queries, a sparse term join for
-    the rest -- and keeps its best ``k`` per query. Only documents sharing
-    a term with the query score above zero and can be returned.
+    A block holds about ``block_rows`` queries and ``block_terms`` distinct
+    (query, term) pairs, both counted. Document frequencies of the queries'
+    terms come from one aggregation and stay a table; a cell scores its
+    documents against its block -- a dense BLAS product for terms shared by
+    many queries, a sparse term join for the rest -- and keeps its best ``k``
+    per query. Every document that shares a term with a query scores above
+    zero and counts, however small its score; scores are rounded to 6 places
+    after that. (Which terms go the dense way depends on the block, and with
+    it the order of summation: a score within 1e-15 of a rounding edge may
+    round either way.)
     """
     spark = docs.sparkSession
-    d = spread(docs.select(F.col(doc_id).alias("did"), F.col(doc_text).alias("__t"))).select(
-        "did", tokens("__t").alias("toks"))
+    d = docs.select(F.col(doc_id).alias("did"), tokens(doc_text).alias("toks"))
     q = queries.select(F.col(query_id).alias("qid"), tokens(query_text).alias("toks"))
-    qt_all = (q.select("qid", F.explode("toks").alias("term"))
-              .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    # one pass sizes the query side: queries and distinct (query, term) pairs
-    sizes = q.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.array_size(F.array_distinct("toks"))).alias("pairs")).first()
+    pairs = (q.select("qid", F.explode("toks").alias("term"))
+             .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
+    sizes = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.array_size(F.array_distinct("toks"))).alias("pairs")).first()
     n_queries, n_pairs = int(sizes["n"] or 0), int(sizes["pairs"] or 0)
-    if n_queries == 0 or n_pairs == 0:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    nb = max(1, math.ceil(n_queries / block_rows), math.ceil(n_pairs / block_terms))
-    bkey = F.pmod(F.xxhash64(F.col("qid")), F.lit(nb))
-    # "" never occurs as a token, so it doubles as a per-document sentinel
-    # that yields N and the total length in the same pass as the df counts.
-    doc_terms = d.select(F.array_size("toks").alias("dl"),
-                         F.explode(F.array_union(F.array_distinct("toks"), F.array(F.lit("")))).alias("term"))
-    shared = None
-    if nb > 1:
-        # many blocks: count document frequencies for the whole corpus
-        # vocabulary once, as a table in the shared checkpoint folder, so
-        # each block reads the corpus only to score (B + 1 passes, not 2B)
-        from brickyard.session import checkpoint_dir
-        loc = f"{checkpoint_dir(spark).rstrip('/')}/bm25-df-{uuid.uuid4().hex}"
-        (doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len"))
-         .write.parquet(loc))
-        shared = spark.read.parquet(loc)
-    out = _BlockResults(spark, nb)
-    for blk in range(nb):
-        qt = qt_all if nb == 1 else qt_all.where(bkey == blk)
-        qt_pdf = qt.toPandas()  # bounded: ~block_terms rows
-        if qt_pdf.empty:
-            continue
-        vocab = spark.createDataFrame(pd.DataFrame({"term": [""] + sorted(qt_pdf["term"].unique())}))
-        src = shared if shared is not None else (
-            doc_terms.join(F.broadcast(vocab), "term", "left_semi")
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len")))
-        stats = src.join(F.broadcast(vocab), "term", "left_semi").toPandas().set_index("term")
-        if "" not in stats.index or stats.loc["", "df"] == 0:
-            continue
-        n_docs = int(stats.loc["", "df"])
-        avgdl = float(stats.loc["", "len"]) / n_docs
-        w = qt_pdf.join(stats[["df"]], on="term", how="inner")
-        if w.empty:
-            continue
-        w["w"] = w["qtf"] * np.log1p((n_docs - w["df"] + 0.5) / (w["df"] + 0.5))
-        fn, shared_w = _bm25_scorer(spark, w, n_docs, avgdl, k1, b, k)
-        out.add(_final_topk(d.mapInPandas(fn, CANDIDATE_SCHEMA), k), shared_w)
-    return out.result()
-
-
-DENSE_CELLS = 8_000_000  # cap on the dense term x query weight matrix (64 MB)
-
-
-def _bm25_scorer(spark, w: pd.DataFrame, n_docs: int, avgdl: float, k1: float, b: float, keep: int):
-    """Build the per-partition scoring function for one query block."""
-    terms = pd.Index(sorted(w["term"].unique()))
-    qids = np.array(sorted(w["qid"].unique()), dtype=np.int64)
-    nq = qids.size
-    t_idx = terms.get_indexer(w["term"])
-    q_idx = np.searchsorted(qids, w["qid"].to_numpy(dtype=np.int64))
-    wv = w["w"].to_numpy(dtype=np.float64)
-    # dense terms: shared by many queries and frequent in the corpus
-    q_per_t = np.bincount(t_idx, minlength=len(terms))
-    df_t = w.groupby("term")["df"].first().reindex(terms).to_numpy()
-    cost = q_per_t * (df_t / max(1, n_docs))
-    order_cost = np.argsort(-cost, kind="stable")
-    max_dense = max(0, DENSE_CELLS // max(1, nq))
-    dense = order_cost[:max_dense][cost[order_cost[:max_dense]] * 64 >= nq]
-    dense_col = np.full(len(terms), -1, dtype=np.int64)
-    dense_col[dense] = np.arange(dense.size)
-    wd = np.zeros((dense.size, nq), dtype=np.float64)
-    is_d = dense_col[t_idx] >= 0
-    wd[dense_col[t_idx[is_d]], q_idx[is_d]] = wv[is_d]
-    sp = ~is_d
-    order = np.argsort(t_idx[sp], kind="stable")
-    payload = dict(terms=terms, qids=qids, dense_col=dense_col, wd=wd,
-                   t_sorted=t_idx[sp][order], q_of=q_idx[sp][order], w_of=wv[sp][order],
-                   avgdl=avgdl, k1=k1, b=b)
-    bw = _share(spark, payload)
-
-    def score(batches):
-        p = bw.value
-        terms_, qids_, dcol, wd_ = p["terms"], p["qids"], p["dense_col"], p["wd"]
-        t_sorted, q_of, w_of = p["t_sorted"], p["q_of"], p["w_of"]
-        nq_, nt = qids_.size, len(terms_)
-        step = max(1, MAX_CELLS // max(1, nq_))
-        for bt in batches:
-            for s0 in range(0, len(bt), step):
-                chunk = bt.iloc[s0:s0 + step]
-                n = len(chunk)
-                ids = chunk["did"].to_numpy(dtype=np.int64)
-                lens = np.fromiter((len(x) for x in chunk["toks"]), dtype=np.int64, count=n)
-                if lens.sum() == 0:
-                    continue
-                flat = np.concatenate([np.asarray(x, dtype=object) for x in chunk["toks"]])
-                rows = np.repeat(np.arange(n), lens)
-                ti = terms_.get_indexer(flat)
-                hit = ti >= 0
-                if not hit.any():
-                    continue
-                uk, tf = np.unique(rows[hit] * nt + ti[hit], return_counts=True)
-                r, t = uk // nt, uk % nt
-                tfw = tf * (p["k1"] + 1) / (tf + p["k1"] * (1 - p["b"] + p["b"] * lens[r] / p["avgdl"]))
-                sc = np.zeros((n, nq_), dtype=np.float64)
-                dc = dcol[t]
-                isd = dc >= 0
-                if isd.any() and wd_.shape[0]:
-                    dm = np.zeros((n, wd_.shape[0]), dtype=np.float64)
-                    dm[r[isd], dc[isd]] = tfw[isd]
-                    sc += dm @ wd_
-                rs, ts, vs = r[~isd], t[~isd], tfw[~isd]
-                lo = np.searchsorted(t_sorted, ts, "left")
-                cnt = np.searchsorted(t_sorted, ts, "right") - lo
-                tot = int(cnt.sum())
-                if tot:
-                    pos = np.repeat(lo - np.cumsum(cnt) + cnt, cnt) + np.arange(tot)
-                    sc += np.bincount(np.repeat(rs, cnt) * nq_ + q_of[pos],
-                                      weights=np.repeat(vs, cnt) * w_of[pos],
-                                      minlength=n * nq_).reshape(n, nq_)
-                yield _emit_topk(sc, ids, qids_, keep, positive_only=True)
-
-    return score, bw
+    n_docs, total = d.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.array_size("toks")), F.lit(0))).first()
+    schema = _candidate_schema(*_types(q, "qid"), *_types(d, "did"))
+    if not (n_queries and n_pairs and n_docs and total):
+        return _result(spark.createDataFrame([], schema), k)
+    avgdl = total / n_docs
+    seen = (d.select(F.explode(F.array_distinct("toks")).alias("term")).join(pairs.select("term").distinct(), "term", "left_semi")
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    weights = pairs.join(seen, "term").select(
+        "qid", "term", "df", (F.col("qtf") * F.log1p((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
+    rows = max(1, min(block_rows, n_queries * block_terms // n_pairs))
+
+    def score(part: pa.Table, block: pa.Table) -> pa.Table:
+        arrow = pa.schema([("query_id", block.schema.field("qid").type), ("doc_id", part.schema.field("did").type), ("score", pa.float64())])
+        prepared = _Block(block, n_docs) if block.num_rows else None
+        best = _Best(len(prepared.qids) if prepared else 0, k)
+        if prepared and part.num_rows:
+            part = _by_id(part)
+            step = max(1, MAX_CELLS // len(prepared.qids))
+            for lo in range(0, part.num_rows, step):
+                some = part.slice(lo, step)
+                sc = prepared.score(some.column("toks"), avgdl, k1, b)
+                if sc is not None:
+                    best.offer(sc, some.column("did").to_pylist(), positive_only=True)
+        return best.table(prepared.qids if prepared else [], arrow)
+
+    return _result(_on_grid(d, weights, n_docs, n_queries, rows, score, schema), k)
+
+
+class _Block:
+    """Term weights of a block of queries: a dense matrix for terms that many
+    queries and documents hold, a sorted list for the rest."""
+
+    def __init__(self, weights: pa.Table, n_docs: int):
+        terms = weights.column("term").combine_chunks().dictionary_encode()
+        self.terms = terms.dictionary
+        t = terms.indices.to_numpy()
+        values = weights.column("qid").to_pylist()
+        self.qids = sorted(set(values))
+        place = {x: i for i, x in enumerate(self.qids)}
+        q = np.array([place[x] for x in values])
+        w = weights.column("w").to_numpy()
+        n, nq = len(self.terms), len(self.qids)
+        df = np.zeros(n)
+        df[t] = weights.column("df").to_numpy()
+        cost = np.bincount(t, minlength=n) * (df / n_docs)
+        order = np.argsort(-cost, kind="stable")[:max(0, DENSE_CELLS // nq)]
+        dense = order[cost[order] * 64 >= nq]
+        self.dense_of = np.full(n, -1, dtype=np.int64)
+        self.dense_of[dense] = np.arange(dense.size)
+        self.dense = np.zeros((dense.size, nq))
+        d = self.dense_of[t] >= 0
+        self.dense[self.dense_of[t[d]], q[d]] = w[d]
+        o = np.argsort(t[~d], kind="stable")
+        self.t, self.q, self.w = t[~d][o], q[~d][o], w[~d][o]
+
+    def score(self, toks: pa.ChunkedArray, avgdl: float, k1: float, b: float) -> np.ndarray | None:
+        """rows x queries, or None if no row holds a term of the block."""
+        toks = toks.combine_chunks()
+        n, nq = len(toks), len(self.qids)
+        lens = toks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        found = pa.compute.index_in(toks.flatten(), value_set=self.terms).to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(n), lens)
+        hit = ~np.isnan(found)
+        if not hit.any():
+            return None
+        key, tf = np.unique(rows[hit] * len(self.terms) + found[hit].astype(np.int64), return_counts=True)
+        r, t = key // len(self.terms), key % len(self.terms)
+        tfw = tf * (k1 + 1) / (tf + k1 * (1 - b + b * lens[r] / avgdl))
+        out = np.zeros((n, nq))
+        col = self.dense_of[t]
+        d = col >= 0
+        if d.any():
+            m = np.zeros((n, self.dense.shape[0]))
+            m[r[d], col[d]] = tfw[d]
+            out += m @ self.dense
+        rs, ts, vs = r[~d], t[~d], tfw[~d]
+        lo = np.searchsorted(self.t, ts, "left")
+        count = np.searchsorted(self.t, ts, "right") - lo
+        if tot := int(count.sum()):
+            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(tot)
+            out += np.bincount(np.repeat(rs, count) * nq + self.q[at], weights=np.repeat(vs, count) * self.w[at], minlength=n * nq).reshape(n, nq)
+        return out
 
 
 # ---- context, history, prompt ----------------------------------------------------
@@ -402,32 +296,45 @@ def assemble_context(ranked: DataFrame, texts: DataFrame, doc_id: str = "doc_id"
                     F.array_join(F.transform("hits", piece), "").alias("context"))
 
 
+#: Turn numbers and message positions counted together in one window.
+HISTORY_BUCKET = 1000
+
+
 def chat_history(conversations: DataFrame, n: int = 5, conv_col: str = "conv_id",
                  turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """For every message, the at most ``n - 1`` messages before it (the last
     ``n`` messages minus the current one), oldest first.
 
-    Turns are message positions (0, 1, 2, ... per conversation). Each
-    message is copied to the ``n - 1`` turns it precedes and equi-joined on
-    (conversation, turn), so work per message is bounded by ``n`` and a
-    conversation holding a third of all rows still spreads over all tasks.
-    Returns ``conv_id, turn, role, text, history`` (array of
-    ``struct(turn, role, text)``) and ``n_history``.
+    Messages count by position: turns sort (equal ones by role and text) but
+    may have gaps and start anywhere. Positions come from counts per bucket of
+    turn numbers, the history from a row frame per bucket of positions, to
+    which the last ``n - 1`` messages of the bucket before are added; so a
+    conversation that holds a third of all rows spreads over tasks, and a
+    text is sent twice, not ``n`` times. Returns ``conv_id, turn, role, text,
+    history`` (array of ``struct(turn, role, text)``) and ``n_history``.
     """
     base = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
                                 F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     empty = F.array().cast("array<struct<turn:bigint,role:string,text:string>>")
     if n <= 1:
         return base.select("*", empty.alias("history"), F.lit(0).alias("n_history"))
-    src = base.select("conv_id", F.struct(F.col("turn").cast("bigint").alias("turn"), "role", "text").alias("m"),
-                      F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("lag"),
-                      F.col("turn"))
-    src = src.select("conv_id", (F.col("turn") + F.col("lag")).alias("turn"), "m")
-    hist = src.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list("m")).alias("history"))
-    out = base.join(hist, ["conv_id", "turn"], "left")
-    h = F.coalesce(F.col("history"), empty)
-    return out.select("conv_id", "turn", "role", "text", h.alias("history"),
-                      F.size(h).alias("n_history"))
+    bucket = F.floor(F.col("turn") / HISTORY_BUCKET)
+    rows = base.withColumn("__c", F.struct("conv_id")).withColumn("__t", bucket)
+    before = Window.partitionBy("__c").orderBy(F.col("__t").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("__c", "__t").agg(F.count(F.lit(1)).alias("__n"))
+    start = counts.select("__c", F.struct("__t").alias("__k"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("__c", "__t").orderBy("turn", "role", "text")
+    placed = (rows.withColumn("__i", F.row_number().over(inside)).withColumn("__k", F.struct("__t")).join(start, ["__c", "__k"])
+              .withColumn("__pos", F.col("__start") + F.col("__i") - 1))
+    own = F.floor(F.col("__pos") / HISTORY_BUCKET)
+    last = F.col("__pos") % HISTORY_BUCKET >= HISTORY_BUCKET - (n - 1)
+    dealt = placed.select("__c", "conv_id", "turn", "role", "text", "__pos", F.explode(
+        F.when(last, F.array(F.struct(own.alias("b"), F.lit(True).alias("own")), F.struct((own + 1).alias("b"), F.lit(False).alias("own"))))
+        .otherwise(F.array(F.struct(own.alias("b"), F.lit(True).alias("own"))))).alias("__d"))
+    frame = Window.partitionBy("__c", "__d.b").orderBy("__pos").rowsBetween(-(n - 1), -1)
+    message = F.struct(F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    out = dealt.withColumn("history", F.collect_list(message).over(frame)).where("__d.own")
+    return out.select("conv_id", "turn", "role", "text", "history", F.size("history").alias("n_history"))
 
 
 def history_text(history: Column) -> Column:
@@ -439,14 +346,19 @@ def strip_quotes(c) -> Column:
     return F.regexp_replace(F.col(c) if isinstance(c, str) else c, "'", "")
 
 
-# Our own prompt template; placeholders {history}, {context}, {question}.
+# Our own templates; placeholders in braces.
 DEFAULT_TEMPLATE = (
-    "You answer questions using the retrieved context and the conversation so far.\n"
-    "If the context does not contain the answer, say that you do not know.\n"
-    "<chat_history>{history}</chat_history>\n"
-    "<context>{context}</context>\n"
-    "<question>{question}</question>\n"
-    "Answer:"
+    "Answer the question below from the documents, in the light of the earlier messages.\n"
+    "Say that you don't know if the documents don't hold the answer.\n\n"
+    "Earlier messages:\n{history}\n\n"
+    "Documents:\n{context}\n\n"
+    "Question: {question}\n"
+)
+REWRITE_TEMPLATE = (
+    "Turn the last question of this conversation into one that can be understood and searched for by itself. "
+    "Reply with that question only.\n\n"
+    "Earlier messages:\n{history}\n\n"
+    "Last question: {question}\n"
 )
 
 
@@ -463,20 +375,42 @@ def fill_template(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
+def rewrite_prompt(questions: DataFrame, history: DataFrame, template: str = REWRITE_TEMPLATE) -> DataFrame:
+    """Per question, the prompt that asks a model for a stand-alone question.
+
+    ``conv_id, turn, question, rewrite`` (whether the question has a history),
+    ``rewrite_prompt`` (null without one: the question is then searched as it
+    is). The model's answers, as ``conv_id, turn, search_question``, go into
+    ``search_questions``; calling the model is the caller's part.
+    """
+    j = questions.join(history.select("conv_id", "turn", "history"), ["conv_id", "turn"], "left")
+    has = F.coalesce(F.size("history"), F.lit(0)) > 0
+    filled = fill_template(template, {"history": history_text(F.col("history")), "question": F.col("question")})
+    return j.select("conv_id", "turn", "question", has.alias("rewrite"), F.when(has, filled).alias("rewrite_prompt"))
+
+
+def search_questions(questions: DataFrame, rewritten: DataFrame | None = None, use_history: bool = True) -> DataFrame:
+    """``questions`` with the text to search for: the rewritten question where
+    there is one and the history is on, else the question itself."""
+    if rewritten is None or not use_history:
+        return questions.withColumn("search_question", F.col("question"))
+    r = rewritten.select("conv_id", "turn", F.col("search_question").alias("__r"))
+    return questions.join(r, ["conv_id", "turn"], "left").withColumn("search_question", F.coalesce("__r", "question")).drop("__r")
+
+
 def assemble_prompt(questions: DataFrame, history: DataFrame, context: DataFrame,
-                    template: str = DEFAULT_TEMPLATE) -> DataFrame:
+                    template: str = DEFAULT_TEMPLATE, use_history: bool = True) -> DataFrame:
     """Join (question, history, context) on (conv_id, turn) and fill the template.
 
     questions: conv_id, turn, question, query_id; history: conv_id, turn,
-    history; context: query_id, context. A question with no history is
-    retrieved with its raw text (``has_history`` false).
+    history; context: query_id, context. With ``use_history`` off, every
+    prompt has an empty history.
     """
     h = history.select("conv_id", "turn", "history")
     j = (questions.join(h, ["conv_id", "turn"], "left")
          .join(context.select("query_id", "context"), "query_id", "left"))
-    hist = F.coalesce(history_text(F.col("history")), F.lit(""))
+    hist = F.coalesce(history_text(F.col("history")), F.lit("")) if use_history else F.lit("")
+    has = (F.coalesce(F.size("history"), F.lit(0)) > 0) if use_history else F.lit(False)
     return j.select(
-        "conv_id", "turn",
-        (F.coalesce(F.size("history"), F.lit(0)) > 0).alias("has_history"),
-        fill_template(template, {"history": hist, "context": F.col("context"),
-                                 "question": F.col("question")}).alias("prompt"))
+        "conv_id", "turn", has.alias("has_history"),
+        fill_template(template, {"history": hist, "context": F.col("context"), "question": F.col("question")}).alias("prompt"))

@@ -8,7 +8,7 @@ compose them. Only the fixed values of the mapping are shared.
 from __future__ import annotations
 
 from brickyard.functions.keys import NULL_TOKEN
-from brickyard.operators.retrieve import BM25_B, BM25_K1, DEFAULT_TEMPLATE
+from brickyard.operators.retrieve import BM25_B, BM25_K1, DEFAULT_TEMPLATE, REWRITE_TEMPLATE
 from brickyard.plans import registry as R
 from brickyard.plans.sales_star import AS_OF, RUN_TS, RUN_TS_2, SRC_SYS
 from brickyard.sources.seed import SIZE_LABELS
@@ -226,16 +226,16 @@ def history_cte(name: str, n: int) -> str:
         FROM conversations))"""
 
 
-def template_sql(values: dict[str, str]) -> str:
+def template_sql(values: dict[str, str], template: str = DEFAULT_TEMPLATE) -> str:
     import re
     parts, pos = [], 0
-    for m in re.finditer(r"\{(\w+)\}", DEFAULT_TEMPLATE):
+    for m in re.finditer(r"\{(\w+)\}", template):
         if m.start() > pos:
-            parts.append(q(DEFAULT_TEMPLATE[pos:m.start()]))
+            parts.append(q(template[pos:m.start()]))
         parts.append(f"coalesce({values[m.group(1)]}, '')")
         pos = m.end()
-    if pos < len(DEFAULT_TEMPLATE):
-        parts.append(q(DEFAULT_TEMPLATE[pos:]))
+    if pos < len(template):
+        parts.append(q(template[pos:]))
     return " || ".join(parts)
 
 
@@ -465,11 +465,16 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank
     qsql = (f"SELECT conv_id * {R.QUESTION_ID_SCALE} + turn AS qid, replace(text, '''', '') AS qtext "
             f"FROM conversations WHERE role = 'user'")
     prompt = template_sql({"history": "h.history_text", "context": "c.context", "question": "qs.question"})
+    questions = (f"qs AS (SELECT conv_id, turn, conv_id * {R.QUESTION_ID_SCALE} + turn AS query_id, "
+                 f"replace(text, '''', '') AS question FROM conversations WHERE role = 'user')")
+    rewrite = template_sql({"history": "h.history_text", "question": "qs.question"}, REWRITE_TEMPLATE)
+    S["rewrite_prompt"] = with_(
+        [history_cte("h", R.HISTORY_N), questions],
+        f"""SELECT qs.conv_id, qs.turn, qs.question, coalesce(h.n_history, 0) > 0 AS rewrite,
+       CASE WHEN h.n_history > 0 THEN {rewrite} END AS rewrite_prompt
+FROM qs LEFT JOIN h ON qs.conv_id = h.conv_id AND qs.turn = h.turn""")
     S["prompt_assembly"] = with_(
-        bm25_ctes(qsql, R.CONTEXT_K) + [context_cte("ctx", "ranked"), history_cte("h", R.HISTORY_N),
-                                        f"qs AS (SELECT conv_id, turn, conv_id * {R.QUESTION_ID_SCALE} + turn AS "
-                                        f"query_id, replace(text, '''', '') AS question FROM conversations "
-                                        f"WHERE role = 'user')"],
+        bm25_ctes(qsql, R.CONTEXT_K) + [context_cte("ctx", "ranked"), history_cte("h", R.HISTORY_N), questions],
         f"""SELECT qs.conv_id, qs.turn, coalesce(h.n_history, 0) > 0 AS has_history, {prompt} AS prompt
 FROM qs LEFT JOIN h ON qs.conv_id = h.conv_id AND qs.turn = h.turn
 LEFT JOIN ctx c ON qs.query_id = c.query_id""")

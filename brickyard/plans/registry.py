@@ -389,13 +389,18 @@ def user_questions(conv: DataFrame) -> DataFrame:
 def prompt_assembly(spark, d):
     s = _star(spark, d)
     conv, docs = s.raw("conversations"), s.raw("documents")
-    qs = user_questions(conv)
-    ranked = retrieve.keyword_topk(qs, docs, CONTEXT_K, query_id="query_id", query_text="question")
+    qs = retrieve.search_questions(user_questions(conv))
+    ranked = retrieve.keyword_topk(qs, docs, CONTEXT_K, query_id="query_id", query_text="search_question")
     ctx = retrieve.assemble_context(ranked, docs)
     hist = retrieve.chat_history(conv, HISTORY_N)
     return retrieve.assemble_prompt(qs, hist, ctx)
 
 
+def rewrite_prompt(spark, d):
+    conv = _star(spark, d).raw("conversations")
+    return retrieve.rewrite_prompt(user_questions(conv), retrieve.chat_history(conv, HISTORY_N))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_orders": bronze_orders,
     "bronze_incremental_key": bronze_incremental_key,
@@ -448,5 +453,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "context_assembly": context_assembly,
     "chat_history": chat_history,
     "prompt_assembly": prompt_assembly,
+    "rewrite_prompt": rewrite_prompt,
 }
 

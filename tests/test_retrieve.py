@@ -87,13 +87,29 @@ def test_context_and_prompt(spark):
     texts = spark.createDataFrame([(10, "A"), (20, "B")], "doc_id bigint, text string")
     ctx = R.assemble_context(ranked, texts).first()
     assert ctx.context == "Context document 1: A \n\nContext document 2: B \n\n"
-    q = spark.createDataFrame([(1, 0, 1, "what's up")], "conv_id bigint, turn bigint, query_id bigint, question string")
+    q = spark.createDataFrame([(1, 0, 1, "what's up"), (1, 2, 2, "and then")], "conv_id bigint, turn bigint, query_id bigint, question string")
     q = q.withColumn("question", R.strip_quotes("question"))
-    hist = R.chat_history(spark.createDataFrame([(1, 0, "user", "hi")], "conv_id bigint, turn bigint, role string, text string"), 5)
-    p = R.assemble_prompt(q, hist, R.assemble_context(ranked, texts)).first()
-    assert not p.has_history
-    assert "<question>whats up</question>" in p.prompt and "Context document 2: B" in p.prompt
-    assert re.search(r"<chat_history></chat_history>", p.prompt)
+    hist = R.chat_history(spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "ho"), (1, 2, "user", "and then")],
+                                                "conv_id bigint, turn bigint, role string, text string"), 5)
+    p = {r.turn: r for r in R.assemble_prompt(q, hist, R.assemble_context(ranked, texts)).collect()}
+    assert not p[0].has_history and p[2].has_history
+    assert "Question: whats up\n" in p[0].prompt and "Context document 2: B" in p[0].prompt
+    assert "Earlier messages:\n\n" in p[0].prompt and "Earlier messages:\nuser: hi\nassistant: ho\n" in p[2].prompt
+    off = R.assemble_prompt(q, hist, R.assemble_context(ranked, texts), use_history=False).where("turn = 2").first()
+    assert not off.has_history and "user: hi" not in off.prompt
+
+
+def test_rewrite_prompt_and_search_question(spark):
+    q = spark.createDataFrame([(1, 0, 1, "first"), (1, 2, 2, "and it?")], "conv_id bigint, turn bigint, query_id bigint, question string")
+    hist = R.chat_history(spark.createDataFrame([(1, 0, "user", "first"), (1, 1, "assistant", "ho"), (1, 2, "user", "and it?")],
+                                                "conv_id bigint, turn bigint, role string, text string"), 5)
+    got = {r.turn: r for r in R.rewrite_prompt(q, hist).collect()}
+    assert not got[0].rewrite and got[0].rewrite_prompt is None
+    assert got[2].rewrite and "assistant: ho" in got[2].rewrite_prompt and got[2].rewrite_prompt.endswith("Last question: and it?\n")
+    answers = spark.createDataFrame([(1, 2, "what about first?")], "conv_id bigint, turn bigint, search_question string")
+    found = {r.turn: r.search_question for r in R.search_questions(q, answers).collect()}
+    assert found == {0: "first", 2: "what about first?"}
+    assert {r.search_question for r in R.search_questions(q, answers, use_history=False).collect()} == {"first", "and it?"}
 
 
 def test_tokens_drop_empty(spark):
@@ -109,7 +125,55 @@ def test_copy_cluster_emits_only_k_per_task(spark):
     q = spark.createDataFrame([(1, "alpha beta")], "item_id bigint, text string")
     out = R.keyword_topk(q, d, 3).orderBy("rank").collect()
     assert [r.doc_id for r in out] == [0, 1, 2]          # ties broken by smallest id
-    ids = np.arange(10)
-    sc = np.ones((10, 1))
-    got = R._emit_topk(sc, ids, np.array([7]), 3, positive_only=True)
-    assert sorted(got.doc_id) == [0, 1, 2]
+    best = R._Best(1, 3)
+    for lo in (5, 0):
+        best.offer(np.ones((5, 1)), list(range(lo, lo + 5)), positive_only=True)
+    assert best.rows[0] == [(-1.0, 0), (-1.0, 1), (-1.0, 2)]
+
+
+def test_candidates_are_k_a_query_and_cell(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_CELLS", 500)   # many chunks in a cell
+    r = np.random.default_rng(3)
+    e = spark.createDataFrame([(i, [float(x) for x in r.normal(size=8)]) for i in range(600)], "vec_id bigint, embedding array<double>")
+    seen = []
+    final = R._result
+    monkeypatch.setattr(R, "_result", lambda c, k: (seen.append(c), final(c, k))[1])
+    R.vector_topk(e.where("vec_id < 50"), e, 4)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seen[0].count() <= 4 * 50 * parts
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x y"), ("c", "z")], "doc_id string, text string")
+    q = spark.createDataFrame([("q1", "x"), ("q2", "z")], "item_id string, text string")
+    assert [tuple(r)[:3] for r in R.keyword_topk(q, docs, 2).orderBy("query_id", "rank").collect()] == [
+        ("q1", 1, "a"), ("q1", 2, "b"), ("q2", 1, "c")]
+    e = spark.createDataFrame([("u", [1.0, 0.0]), ("v", [1.0, 0.1]), ("w", [0.0, 1.0]), ("n", None), ("0", [0.0, 0.0])],
+                              "vec_id string, embedding array<double>")
+    got = R.vector_topk(e, e, 1).orderBy("query_id").collect()
+    assert [(r.query_id, r.doc_id) for r in got] == [("u", "v"), ("v", "u"), ("w", "v")]
+
+
+def test_common_terms_count_at_any_corpus_size(spark):
+    """A term in every one of many documents has a tiny weight, but still matches."""
+    docs = spark.range(3_000_000).selectExpr("id AS doc_id", "'common' AS text")
+    q = spark.createDataFrame([(1, "common")], "item_id bigint, text string")
+    got = R.keyword_topk(q, docs, 3).orderBy("rank").collect()
+    assert [(r.doc_id, r.score) for r in got] == [(0, 0.0), (1, 0.0), (2, 0.0)]
+
+
+def test_history_by_position(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    rows = [(1, t, "user", f"m{t}") for t in (0, 2, 5, 9)] + [(2, t, "user", f"k{t}") for t in (7, 8, 5000)] + [(None, 3, "user", "z")]
+    got = {(r.conv_id, r.turn): [m.text for m in r.history] for r in R.chat_history(spark.createDataFrame(rows, schema), 3).collect()}
+    assert got == {(1, 0): [], (1, 2): ["m0"], (1, 5): ["m0", "m2"], (1, 9): ["m2", "m5"], (2, 7): [], (2, 8): ["k7"],
+                   (2, 5000): ["k7", "k8"], (None, 3): []}
+
+
+def test_history_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(R, "HISTORY_BUCKET", 7)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    turns = [t * 3 for t in range(60)]
+    got = {r.turn: [m.turn for m in r.history] for r in
+           R.chat_history(spark.createDataFrame([(1, t, "user", str(t)) for t in turns], schema), 5).collect()}
+    assert got == {t: turns[max(0, i - 4):i] for i, t in enumerate(turns)}
