@@ -73,3 +73,9 @@ def boundary_diff(unit: str, start, end) -> Column:
     if unit == "year":
         return F.year(b) - F.year(a)
     raise ValueError(f"unknown unit {unit!r}")
+
+
+def time_of_day(ts) -> tuple[Column, Column]:
+    """(``HH:mm:ss`` string, hour as int) of a timestamp; null gives nulls."""
+    c = _c(ts)
+    return F.date_format(c, "HH:mm:ss"), F.hour(c)

@@ -5,8 +5,9 @@ Each ``check_*`` returns the *failing rows* relation (lazy). ``quality_report``
 evaluates many checks and returns one row per check:
 ``(relation, check, columns, severity, n_failed, status)``. Row-level checks
 of one relation (not_null, accepted_values, expression, range, positive) are
-folded into a **single** aggregation pass of conditional counts; only
-uniqueness and relationship checks need their own shuffle.
+folded into a **single** aggregation pass of conditional counts, and so are
+relationship checks, whose parents are left-joined by their distinct keys
+first; only further uniqueness checks need a pass of their own.
 """
 
 from __future__ import annotations
@@ -138,8 +139,8 @@ def _row_condition(c: Check) -> Column:
     raise ValueError(c.kind)
 
 
-def _failed_expr(c: Check) -> Column:
-    cond = _row_condition(c)
+def _failed_expr(c: Check, conds: dict[int, Column]) -> Column:
+    cond = conds[id(c)]
     if c.kind == "accepted_values":
         # failing relation has one row per distinct bad value
         return F.count_distinct(F.when(cond, F.col(_cols(c.columns)[0])))
@@ -152,13 +153,30 @@ def _meta(c: Check, n: Column) -> Column:
                     F.lit(c.severity).alias("severity"), n.cast("bigint").alias("n_failed"))
 
 
+def _with_parents(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, dict[int, Column]]:
+    """``df`` left-joined to the distinct keys of the checks' parents, and each
+    check's failing condition. A parent key meets a row once at most, so the
+    rows stay as they are; AQE broadcasts small parents and splits hot keys."""
+    conds: dict[int, Column] = {}
+    for i, c in enumerate(checks):
+        if c.kind != "relationships":
+            conds[id(c)] = _row_condition(c)
+            continue
+        col = _cols(c.columns)[0]
+        keys = c.parent.select(F.col(c.field).alias(f"__p{i}")).where(F.col(f"__p{i}").isNotNull()).distinct()
+        df = df.join(keys, F.col(col) == F.col(f"__p{i}"), "left")
+        conds[id(c)] = F.col(col).isNotNull() & F.col(f"__p{i}").isNull()
+    return df, conds
+
+
 def _fused(df: DataFrame, u: Check, rows: list[Check]) -> DataFrame:
     """One uniqueness check plus row-level checks of the same relation in a
     single aggregation: group by the uniqueness key (one shuffle) carrying
     per-group conditional counts, then sum the groups."""
     keys = _cols(u.columns)
+    df, conds = _with_parents(df, rows)
     per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                *[F.count_if(F.coalesce(_row_condition(c), F.lit(False))).alias(f"__r{i}")
+                                *[F.count_if(F.coalesce(conds[id(c)], F.lit(False))).alias(f"__r{i}")
                                   for i, c in enumerate(rows)])
     dup = F.col("__n") > 1
     if u.kind == "unique":            # null keys are not duplicates
@@ -174,10 +192,10 @@ def quality_report(relations: dict[str, DataFrame], checks: Sequence[Check]) ->
     fail.
 
     Per relation, the row-level checks (not-null, expressions, ranges,
-    positivity, accepted values) are conditional counts in one aggregation.
-    When the relation also has a uniqueness check and no accepted-values
-    check, both are fused into a single pass grouped by the uniqueness key.
-    Other uniqueness and relationship checks add one shuffle each.
+    positivity, accepted values) and the relationship checks are conditional
+    counts in one aggregation. When the relation also has a uniqueness check
+    and no accepted-values check, that is fused into the same pass, grouped by
+    the uniqueness key. Other uniqueness checks add one shuffle each.
     """
     parts: list[DataFrame] = []
     by_rel: dict[str, list[Check]] = {}
@@ -185,29 +203,23 @@ def quality_report(relations: dict[str, DataFrame], checks: Sequence[Check]) ->
     for c in checks:
         if c.severity not in ("error", "warn"):
             raise ValueError(f"severity must be error or warn, got {c.severity!r}")
-        if c.kind in ROW_LEVEL:
+        if c.kind in ROW_LEVEL or c.kind == "relationships":
             by_rel.setdefault(c.relation, []).append(c)
         elif c.kind in ("unique", "unique_combination"):
             keyed.setdefault(c.relation, []).append(c)
-        elif c.kind != "relationships":
+        else:
             raise ValueError(f"unknown check kind {c.kind!r}")
-    for rel, rows in list(by_rel.items()):
+    for rel, rows in by_rel.items():
         if keyed.get(rel) and not any(c.kind == "accepted_values" for c in rows):
             parts.append(_fused(relations[rel], keyed[rel].pop(0), rows))
-            del by_rel[rel]
-    for c in checks:
-        if c.kind == "relationships":
-            failing = check_relationships(relations[c.relation], _cols(c.columns)[0], c.parent, c.field)
-        elif c.kind in ("unique", "unique_combination") and c in keyed.get(c.relation, []):
-            df = relations[c.relation]
-            failing = (check_unique(df, _cols(c.columns)[0]) if c.kind == "unique"
-                       else check_unique_combination(df, _cols(c.columns)))
         else:
-            continue
-        parts.append(failing.agg(_meta(c, F.count(F.lit(1))).alias("r")).select("r.*"))
-    for rel, cs in by_rel.items():
-        wide = relations[rel].agg(F.array(*[_meta(c, _failed_expr(c)) for c in cs]).alias("rs"))
-        parts.append(wide.select(F.inline("rs")))
+            df, conds = _with_parents(relations[rel], rows)
+            parts.append(df.agg(F.array(*[_meta(c, _failed_expr(c, conds)) for c in rows]).alias("rs")).select(F.inline("rs")))
+    for rel, rest in keyed.items():
+        for c in rest:
+            failing = (check_unique(relations[rel], _cols(c.columns)[0]) if c.kind == "unique"
+                       else check_unique_combination(relations[rel], _cols(c.columns)))
+            parts.append(failing.agg(_meta(c, F.count(F.lit(1))).alias("r")).select("r.*"))
     if not parts:
         raise ValueError("no checks")
     out = parts[0]

@@ -36,7 +36,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
 def product_dim(items: DataFrame, types: DataFrame | None, labels: DataFrame | None = None,
                 price_bands=DEFAULT_PRICE_BANDS, top_tier: str = DEFAULT_TOP_TIER,
-                list_delim: str = ",", run_ts=None, labels_max_rows: int = 10_000) -> DataFrame:
+                list_delim: str = ",", run_ts=None, labels_max_rows: int | None = 10_000) -> DataFrame:
     """SKU-grain dimension: items ⟕ types (on ``product_type_id``) ⟕ size labels.
 
     items: product_id, product_type_id, size_code, price, src_sys, src_crt_ts, src_upd_ts
@@ -53,7 +53,9 @@ def product_dim(items: DataFrame, types: DataFrame | None, labels: DataFrame | N
         j = items.join(t, "product_type_id", "left")
     label_cols = ["size_label", "size_description", "serves_min", "serves_max"]
     if labels is not None:
-        lab = broadcast_if_small(labels.select("size_code", *label_cols), labels_max_rows)
+        lab = labels.select("size_code", *label_cols)
+        # a fixed seed needs no count: labels_max_rows=None
+        lab = F.broadcast(lab) if labels_max_rows is None else broadcast_if_small(lab, labels_max_rows)
         j = j.join(lab, "size_code", "left")
     else:
         j = j.select("*", *[F.lit(None).cast("string").alias(c) for c in label_cols])

@@ -245,7 +245,10 @@ LINE_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exte
 
 def _report_sql() -> str:
     """quality_report: one row per declared check (see registry.report_checks)."""
-    ctes = fact_ctes() + product_ctes() + dim_date_cte()
+    ctes = fact_ctes() + product_ctes() + dim_date_cte() + components_ctes()
+
+    def orphans(child, col, parent, field):
+        return f"(SELECT 1 FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{field} = c.{col}))"
 
     def row(rel, label, cols, sev, n_expr, src):
         return (f"SELECT {q(rel)} AS relation, {q(label)} AS \"check\", {q(cols)} AS columns, "
@@ -273,6 +276,17 @@ def _report_sql() -> str:
             "count(*) FILTER (WHERE NOT (quantity_valid > 0))", "fact"),
         row("fact_orders", "range:quantity", "quantity", "warn",
             "count(*) FILTER (WHERE NOT (quantity BETWEEN 0 AND 40))", "fact"),
+        row("fact_orders", "relationships:product_sk", "product_sk", "error", "count(*)", orphans("fact", "product_sk", "dim_product", "product_sk")),
+        row("fact_orders", "relationships:date_sk", "date_sk", "error", "count(*)", orphans("fact", "date_sk", "dim_date", "date_sk")),
+        row("bridge_components", "not_null:product_component_sk", "product_component_sk", "error",
+            "count(*) FILTER (WHERE product_component_sk IS NULL)", "bridge"),
+        row("bridge_components", "relationships:product_type_sk", "product_type_sk", "error", "count(*)",
+            orphans("bridge", "product_type_sk", "dim_product", "product_type_sk")),
+        row("bridge_components", "relationships:component_sk", "component_sk", "error", "count(*)",
+            orphans("bridge", "component_sk", "dim_components", "component_sk")),
+        row("dim_components", "unique:component_sk", "component_sk", "error", "count(*)",
+            "(SELECT 1 FROM dim_components WHERE component_sk IS NOT NULL GROUP BY component_sk HAVING count(*) > 1)"),
+        row("dim_components", "not_null:component_sk", "component_sk", "error", "count(*) FILTER (WHERE component_sk IS NULL)", "dim_components"),
         row("dim_product", "unique:product_sk", "product_sk", "error", "count(*)",
             "(SELECT 1 FROM dim_product WHERE product_sk IS NOT NULL GROUP BY product_sk HAVING count(*) > 1)"),
         row("dim_product", "accepted_values:price_tier", "price_tier", "error",
@@ -375,7 +389,11 @@ def build() -> dict[str, str]:
     S["value_map"] = with_([bronze("bronze_part", "part"), silver_products()],
                            f"SELECT product_id, size_code, coalesce(CASE size_code {vm} END, size_code) AS size_name "
                            f"FROM silver_products")
-    S["dim_product"] = with_(product_ctes(), "SELECT * FROM dim_product")
+    S["dim_product"] = S["dim_product_join"] = with_(product_ctes(), "SELECT * FROM dim_product")
+    S["seed_csv_join"] = with_([bronze("bronze_part", "part"), silver_products(), size_labels()],
+                               "SELECT i.size_code, i.product_id, l.* EXCLUDE (size_code) FROM silver_products i "
+                               "LEFT JOIN size_labels l ON i.size_code = l.size_code")
+    S["time_of_day"] = "SELECT event_id, strftime(ts, '%H:%M:%S') AS order_time, CAST(hour(ts) AS INTEGER) AS order_hour FROM events"
 
     S["fact_orders"] = with_(fact_ctes(), "SELECT * FROM fact")
     S["quantity_valid"] = with_(fact_ctes(R.QUANTITY_SHIFT), "SELECT order_detail_id, quantity, quantity_valid FROM fact")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickyard.functions.columns import band, list_size, value_map
+from brickyard.functions.columns import band, list_size, time_of_day, value_map
 from brickyard.functions.keys import surrogate_key
 from brickyard.operators import metrics, quality, retrieve
 from brickyard.operators.calendar import date_spine
@@ -22,7 +22,8 @@ from brickyard.operators.load import incremental_filter, load_incremental, upser
 from brickyard.operators.quality import Check
 from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
                                         SalesStar)
-from brickyard.sources.seed import size_labels
+from brickyard.session import staged
+from brickyard.sources.seed import SIZE_LABEL_SCHEMA, packaged_seed, size_labels
 
 # Fixed values of the registered queries (mirrored in the oracle SQL).
 DATE_CUT = "1998-01-01 00:00:00"      # first load of orders by date
@@ -110,7 +111,8 @@ def fact_incremental_merge(spark, d):
     b1 = s.bronze("orders", o.where(F.col("o_orderkey") <= half), RUN_TS)
     b2 = b1.unionByName(s.bronze("orders", o.where(F.col("o_orderkey") > half), RUN_TS_2))
     lines = s.silver_order_details()
-    f1 = s.fact_orders(lines, s.silver_orders(b1), RUN_TS)
+    # the first load is a stored table, as it would be: its mark, its kept rows and the join read that
+    f1 = staged(s.fact_orders(lines, s.silver_orders(b1), RUN_TS), "fact")
     f2 = s.fact_orders(lines, s.silver_orders(b2), RUN_TS_2)
     return load_incremental(f2, f1, "order_detail_sk", "src_crt_ts")
 
@@ -199,6 +201,11 @@ def seed_join(spark, d):
     return s.silver_products().select("product_id", "size_code").join(F.broadcast(lab), "size_code", "left")
 
 
+def seed_csv_join(spark, d):
+    lab = packaged_seed(spark, "size_labels.csv", SIZE_LABEL_SCHEMA)
+    return _star(spark, d).silver_products().select("product_id", "size_code").join(F.broadcast(lab), "size_code", "left")
+
+
 def price_tier(spark, d):
     p = _star(spark, d).raw("part")
     return p.select("p_partkey", "p_retailprice",
@@ -215,6 +222,10 @@ def dim_product(spark, d):
     return _star(spark, d).dim_product
 
 
+def dim_product_join(spark, d):
+    return _star(spark, d).dim_product_join()
+
+
 # ---- fact -----------------------------------------------------------------------
 
 def fact_orders(spark, d):
@@ -294,7 +305,8 @@ def freshness(spark, d):
 def report_checks(s: SalesStar) -> tuple[dict, list[Check]]:
     rel = {"silver_orders": s.silver_orders(), "silver_order_details": s.silver_order_details(),
            "silver_products": s.silver_products(), "fact_orders": s.fact_orders(),
-           "dim_product": s.dim_product, "dim_date": s.dim_date()}
+           "dim_product": s.dim_product, "dim_date": s.dim_date(), "dim_components": s.dim_components(),
+           "bridge_components": s.bridge_components()}
     checks = [
         Check("silver_orders", "unique", "order_id", severity="warn"),
         Check("silver_orders", "not_null", "order_date"),
@@ -307,6 +319,13 @@ def report_checks(s: SalesStar) -> tuple[dict, list[Check]]:
         Check("fact_orders", "unique_combination", ["order_id", "order_detail_id"]),
         Check("fact_orders", "expression", "quantity_valid", expr="quantity_valid > 0"),
         Check("fact_orders", "range", "quantity", low=0, high=40, severity="warn"),
+        Check("fact_orders", "relationships", "product_sk", parent=rel["dim_product"], field="product_sk"),
+        Check("fact_orders", "relationships", "date_sk", parent=rel["dim_date"], field="date_sk"),
+        Check("bridge_components", "not_null", "product_component_sk"),
+        Check("bridge_components", "relationships", "product_type_sk", parent=rel["dim_product"], field="product_type_sk"),
+        Check("bridge_components", "relationships", "component_sk", parent=rel["dim_components"], field="component_sk"),
+        Check("dim_components", "unique", "component_sk"),
+        Check("dim_components", "not_null", "component_sk"),
         Check("dim_product", "unique", "product_sk"),
         Check("dim_product", "accepted_values", "price_tier", values=["Budget", "Standard", "Premium", "Luxury"]),
         Check("dim_product", "accepted_values", "size_label",
@@ -339,6 +358,11 @@ def q_busiest_hour(spark, d):
     return metrics.busiest_hour(_star(spark, d).raw("events"))
 
 
+def time_of_day_query(spark, d):
+    at, hour = time_of_day("ts")
+    return _star(spark, d).raw("events").select("event_id", at.alias("order_time"), hour.alias("order_hour"))
+
+
 def q_ingredient_frequency(spark, d):
     s = _star(spark, d)
     return metrics.component_frequency(s.fact_orders(), s.dim_product, s.bridge_components())
@@ -428,6 +452,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_tier": price_tier,
     "value_map": value_map_query,
     "dim_product": dim_product,
+    "dim_product_join": dim_product_join,
+    "seed_csv_join": seed_csv_join,
+    "time_of_day": time_of_day_query,
     "fact_orders": fact_orders,
     "quantity_valid": quantity_valid,
     "gross_amount": gross_amount,

@@ -108,7 +108,12 @@ class SalesStar:
         # items and types are the same silver pass over part here, so the
         # type columns ride along and no self-join is planned
         return product_dim(self.silver_part, None, size_labels(self.spark), PRICE_BANDS, PRICE_TOP,
-                           COMPONENT_DELIM, self.run_ts)
+                           COMPONENT_DELIM, self.run_ts, labels_max_rows=None)
+
+    def dim_product_join(self) -> DataFrame:
+        """The same dimension from items and types as two relations."""
+        return product_dim(self.silver_products(), self.silver_product_types(), size_labels(self.spark), PRICE_BANDS, PRICE_TOP,
+                           COMPONENT_DELIM, self.run_ts, labels_max_rows=None)
 
     def dim_components(self) -> DataFrame:
         return distinct_dim(self.silver_components(), "component", "component_sk", self.run_ts)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SIZE_LABEL_SCHEMA = ("size_code string, size_label string, size_description string, "
                      "serves_min int, serves_max int, sort_order int")
@@ -22,6 +25,13 @@ def size_labels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SIZE_LABELS, SIZE_LABEL_SCHEMA)
 
 
-def seed_csv_text() -> str:
-    head = "size_code,size_label,size_description,serves_min,serves_max,sort_order"
-    return "\n".join([head] + [",".join(str(x) for x in r) for r in SIZE_LABELS]) + "\n"
+def packaged_seed(spark: SparkSession, name: str, schema: str) -> DataFrame:
+    """A CSV file of this package as a typed DataFrame. The driver reads the
+    file (executors need not have it); Spark's CSV parser reads the lines.
+    The header must name the schema's columns in order."""
+    lines = files("brickyard.sources").joinpath(name).read_text(encoding="utf-8").splitlines()
+    want = [c.split()[0] for c in schema.split(", ")]
+    if lines[0].split(",") != want:
+        raise ValueError(f"{name}: header {lines[0]!r} does not name {want}")
+    rows = spark.createDataFrame([(x,) for x in lines[1:] if x], "line string")
+    return rows.select(F.from_csv("line", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")

@@ -49,11 +49,15 @@ def test_hot_order_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_history_has_no_window(spark):
-    conv = spark.createDataFrame([(1, t, "user", "x") for t in range(6)],
-                                 "conv_id bigint, turn bigint, role string, text string")
-    plan = R.chat_history(conv, 4)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+def test_history_windows_are_buckets(spark):
+    """Windows over messages are partitioned by (conversation, bucket), never by the conversation alone."""
+    conv = spark.createDataFrame([(1, 0, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
+    plan = R.chat_history(conv, 4)._jdf.queryExecution().optimizedPlan().toString()
+    over_messages = [x for x in plan.splitlines() if "Window [" in x and ("collect_list" in x or "row_number" in x)]
+    assert len(over_messages) == 2
+    for line in over_messages:
+        keys = line.rsplit("], [", 2)[-2]
+        assert len(keys.split(", ")) == 2
 
 
 def test_retrieval_has_no_pair_join(spark, sf_small):
@@ -63,4 +67,4 @@ def test_retrieval_has_no_pair_join(spark, sf_small):
     for df in (R.vector_topk(e, e, 3), R.keyword_topk(qs, docs, 3)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-        assert "MapInPandas" in plan and "WindowGroupLimit" in plan
+        assert "FlatMapCoGroupsInArrow" in plan and "WindowGroupLimit" in plan

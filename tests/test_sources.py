@@ -1,13 +1,17 @@
+from importlib.resources import files
+
 from pyspark.sql import functions as F
 
+import pytest
+
 from brickyard.operators.clean import rename_select
 from brickyard.sources.io import publish_view, read_seed, read_source, write_table
-from brickyard.sources.seed import SIZE_LABEL_SCHEMA, SIZE_LABELS, seed_csv_text, size_labels
+from brickyard.sources.seed import SIZE_LABEL_SCHEMA, SIZE_LABELS, packaged_seed, size_labels
 
 
 def test_read_seed_typed(spark, tmp_path):
     p = tmp_path / "sizes.csv"
-    p.write_text(seed_csv_text())
+    p.write_text(files("brickyard.sources").joinpath("size_labels.csv").read_text())
     df = read_seed(spark, str(p), SIZE_LABEL_SCHEMA)
     assert df.schema == size_labels(spark).schema
     assert sorted(tuple(r) for r in df.collect()) == sorted(SIZE_LABELS)
@@ -53,3 +57,10 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE by_bucket_l")
         spark.sql("DROP TABLE by_bucket_r")
+
+
+def test_packaged_seed(spark):
+    got = packaged_seed(spark, "size_labels.csv", SIZE_LABEL_SCHEMA)
+    assert [tuple(r) for r in got.collect()] == SIZE_LABELS and got.schema == size_labels(spark).schema
+    with pytest.raises(ValueError):
+        packaged_seed(spark, "size_labels.csv", "size_code string, other string")
