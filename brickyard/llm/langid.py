@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import fresh, mix64
 
 ORDER = 4
 #: Bound of the training sample: about so many characters of each language ...
@@ -338,7 +338,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFram
             rows = [r for lo, hi in groups(texts) for r in own.predict(texts[lo:hi])]
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "cross_entropy", "rejected"])
 
-    return docs.select(*keep, judge("text").alias("_p")).select("*", "_p.*").drop("_p")
+    p = fresh(docs, "prediction")
+    return docs.select(*keep, judge("text").alias(p)).select("*", f"{p}.*").drop(p)
 
 
 def held_out() -> Column:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import global_rank, small_or_shuffled, written
+from .common import fresh, global_rank, small_or_shuffled, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -102,9 +102,8 @@ def _cuts(rows: DataFrame, rest: DataFrame, n_sources: int) -> DataFrame:
 def repeat_rows(docs: DataFrame, **kw) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; the one fractional
     repetition a source may have rounds to a whole row or none."""
-    m = mix(docs, **kw)
+    m, key, n = mix(docs, **kw), fresh(docs, "id"), fresh(docs, "copies")
     copies = F.round(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)).cast("int")
-    per = written(m.groupBy("doc_id").agg(F.max(copies).alias("_copies")), "copies")
-    n = per.count()
-    joined = docs.join(small_or_shuffled(per.withColumnRenamed("doc_id", "_id"), n), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)
+    per = written(m.groupBy(F.col("doc_id").alias(key)).agg(F.max(copies).alias(n)), "copies")
+    joined = docs.join(small_or_shuffled(per, per.count()), F.col("doc_id").eqNullSafe(F.col(key)))
+    return joined.withColumn(fresh(joined, "copy"), F.explode(F.array_repeat(F.lit(0), F.col(n)))).select(docs.columns)

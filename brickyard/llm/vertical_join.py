@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, global_rank, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, written
+from .common import connected_components, fresh, global_rank, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, written
 
 #: Shingles (and sets) in a chunk of a cluster: bounds the memory of a tile.
 CHUNK_SHINGLES, CHUNK_SETS = 400_000, 512
@@ -355,21 +355,23 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     if not m:
         return kept
     # null and repeated ids are decided row by row, by id and set
-    ids = small_or_shuffled(odd.withColumnRenamed("doc_id", "_id"), m)
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    key, node = fresh(docs, "id"), fresh(docs, "set")
+    ids = small_or_shuffled(odd.withColumnRenamed("doc_id", key), m)
+    same = F.col("doc_id").eqNullSafe(F.col(key))
     plain = kept.join(ids, same, "left_anti")
-    tagged = _tag_node(kept.join(ids, same, "left_semi"), k)
+    tagged = _tag_node(kept.join(ids, same, "left_semi"), k, node)
+    win = fresh(tagged, "winner")
     best = (rows.filter("node is not null").groupBy("label")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "node")).alias("w"))
-            .select(F.col("w.doc_id").alias("_id"), F.col("w.node").alias("_winner")))
-    stay = tagged.filter("_node is not null").join(best, same & (F.col("_node") == F.col("_winner")), "left_semi")
-    one = stay.groupBy("_node").agg(F.min_by(F.struct(*docs.columns), "text").alias("r")).select("r.*")
-    return plain.unionByName(one).unionByName(tagged.filter("_node is null").select(docs.columns))
+            .select(F.col("w.doc_id").alias(key), F.col("w.node").alias(win)))
+    stay = tagged.filter(F.col(node).isNotNull()).join(best, same & (F.col(node) == F.col(win)), "left_semi")
+    one = stay.groupBy(node).agg(F.min_by(F.struct(*docs.columns), "text").alias("r")).select("r.*")
+    return plain.unionByName(one).unionByName(tagged.filter(F.col(node).isNull()).select(docs.columns))
 
 
-def _tag_node(docs: DataFrame, k: int) -> DataFrame:
+def _tag_node(docs: DataFrame, k: int, name: str) -> DataFrame:
     @F.pandas_udf("long")
     def node(text: pd.Series) -> pd.Series:
         b = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], names=["text"])
         return pd.Series([_node(s) if len(s) else None for s in _sets(b, k)], dtype="Int64")
-    return docs.withColumn("_node", node("text"))
+    return docs.withColumn(name, node("text"))

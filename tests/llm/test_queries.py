@@ -1,0 +1,41 @@
+"""Every registered query of the subpackage on the smallest tables; those with SQL against it."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+
+import __spark_entry__ as E
+from brickyard.llm.oracle import ORACLE
+from brickyard.llm.queries import QUERIES
+from compare import digest, duck
+
+NEEDED = {
+    1: ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    2: ["doc_id", "size", "source_size", "target", "taken"], 3: ["page_id", "url", "text", "n_chars"],
+    4: ["query_id", "rank", "vec_id", "score"], 5: ["page_id", "host", "path", "rule", "verdict"],
+    6: ["doc_id", "held_out", "lang_pred", "score"], 7: ["page_id", "record_id", "refers_to"], 8: ["conv_id", "turn", "rendered"],
+    9: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], 10: ["doc_id", "n_shingles", "component_id"]}
+ROWS = {1: "documents", 2: "documents", 3: "pages", 5: "pages", 6: "documents", 8: "conversations", 10: "documents"}
+
+
+def test_all_are_registered():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_query(spark, sf_small, key):
+    df = E.queries()[key](spark, sf_small)
+    n = int(key[2:].split("_")[0])
+    assert df.columns[:len(NEEDED[n])] == NEEDED[n] or set(NEEDED[n]) <= set(df.columns)
+    rows = [tuple(r) for r in df.collect()]
+    if n in ROWS:
+        assert len(rows) == spark.read.parquet(f"{sf_small}/{ROWS[n]}.parquet").count()
+    if key in ORACLE:
+        cur = duck(sf_small).execute(ORACLE[key])
+        cols = [d[0] for d in cur.description]
+        assert sorted(cols) == sorted(df.columns)
+        assert digest(df.columns, rows)[0] == digest(cols, cur.fetchall())[0]
