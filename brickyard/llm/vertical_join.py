@@ -6,14 +6,14 @@ hash order is the global n-gram order). Two documents link when
 fragments and fragments do all the work:
 
 * **Candidates.** Sets that link differ in at most D shingles, D known from
-  their lengths. With more than D fragments, one non-empty fragment at least
-  is equal in both (the spare fragments outweigh empty ones; sets with more
-  empty fragments than spare ones also send a marker for these). So a row
-  per fragment, keyed by its content, finds every link; a frequent passage
-  alone almost never fills a whole fragment. Sets are compared within length
-  windows whose ends differ by the square of the threshold ratio.
-* **Verification.** Sets that share a key are joined into clusters (star
-  edges to the least one of each key, never all pairs). A cluster is cut into
+  their lengths. With D + 1 fragments and some spare, a known number of
+  fragments at least is equal in both. A key per fragment, made of its
+  content, is counted: sets that share enough keys are candidates. Keys that
+  only a few sets share give pairs, which are summed; sets join hot keys (near
+  copies, common passages) only if they have enough hot keys to link by these
+  alone, and then by star edges, never as pairs. Sets are compared within
+  length windows whose ends differ by the square of the threshold ratio.
+* **Verification.** Candidates connect into clusters. A cluster is cut into
   chunks of bounded size; a tile of two chunks counts partial overlaps
   fragment by fragment (small dense products) and sums them per pair. Only a
   spanning forest of the verified links leaves a tile.
@@ -40,14 +40,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, fresh, global_rank, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, written
+from .common import connected_components, fresh, global_rank, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, worker_cache, written
 
 #: Shingles (and sets) in a chunk of a cluster: bounds the memory of a tile.
 CHUNK_SHINGLES, CHUNK_SETS = 400_000, 512
 #: Columns of the n-gram order in one fragment of a tile's dense product.
 FRAGMENT = 8192
-#: Rows gathered before copies within a task collapse and keys leave it.
-FLUSH_KEYS = 1_000_000
+#: Keys gathered before those of a task leave it, and keys of a range that a task sorts.
+FLUSH_KEYS, RANGE_KEYS = 2_000_000, 1_000_000
+#: Sets that share a key become pairs up to this many; a key of more is hot.
+GROUP = 8
+#: Stands for the owner of a key that is hot in some task.
+HOT = -(2**63)
 
 
 def _sets(batch: pa.RecordBatch, k: int):
@@ -83,35 +87,48 @@ def lower_end(j: int, percent: int) -> float:
 
 def fragments_of(j: int, percent: int) -> tuple[int, int]:
     """(fragments, spare) of window j, for pairs whose shorter set lies in
-    [r^j, r^(j+1)): they differ in D shingles at most."""
+    [r^j, r^(j+1)): they differ in D shingles at most, so that D fragments at
+    most differ and spare + 1 at least are equal. The spare ones outweigh empty
+    ones (sizes are near Poisson), four deviations over."""
+    low = lower_end(j, percent)
     short = math.ceil(lower_end(j + 1, percent)) + 1
     total = short + math.floor(short * 100 / percent)
     d = total - 2 * math.ceil(total * percent / (100 + percent))
-    mean_empty = (d + 1) * math.exp(-lower_end(j, percent) / (d + 1))
-    spare = math.ceil(mean_empty + 3 * math.sqrt(mean_empty))
+    if d < 1:
+        return 1, 0
+    spare, want = -1, 0
+    while want > spare and want < 2 * (d + 1) + 6:
+        spare = want
+        empty = (d + 1 + spare) * math.exp(-low / (d + 1 + spare))
+        want = math.ceil(empty + 4 * math.sqrt(empty))
     return d + 1 + spare, spare
 
 
-def keys_of(s: np.ndarray, percent: int) -> np.ndarray:
-    """Candidate keys of one set, over the (one or two) windows it belongs to."""
+def keys_of(s: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """(window, need, keys) of one set, for the one or two windows it belongs
+    to: a key for the content of each non-empty fragment. A set shares ``need``
+    keys at least with any that it links with in that window; where its empty
+    fragments outnumber the spare ones that is one, a marker."""
     n, out = len(s), []
     if not n:
-        return s
+        return out
     j = window_of(n, percent)
     for w in (j, j - 1):
         if w < 0:
             continue
-        f, spare = fragments_of(w, percent)
+        known = worker_cache().setdefault(("fragments", percent), {})
+        f, spare = known.get(w) or known.setdefault(w, fragments_of(w, percent))
         if f <= 1:
             continue  # no two different sets of this length link
         at = ((s >> np.uint64(32)) * np.uint64(f)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         salt = np.uint64((w * 0x632BE59BD9B4E019 + 0x1234567) & (2**64 - 1))
-        sig = np.add.reduceat(mix64(s + salt), first)
-        out.append(mix64(sig + mix64(at[first] + salt)))
-        if f - len(first) > spare:
-            out.append(mix64(np.array([salt ^ np.uint64(0xE0)])))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        keys = mix64(np.add.reduceat(mix64(s + salt), first) + mix64(at[first] + salt))
+        empty = f - len(first)
+        if empty > spare:
+            keys = np.append(keys, mix64(np.array([salt ^ np.uint64(0xE0)])))
+        out.append((w, max(1, spare + 1 - empty), keys))
+    return out
 
 
 def _doc_rows(k: int):
@@ -127,67 +144,136 @@ def _doc_rows(k: int):
     return run
 
 
-def _key_rows(k: int, percent: int):
-    """Rows (key, node): each task sends a key once per flush, from the least
-    node that has it; nodes that share it inside the task leave as rows
-    (key null, node, low)."""
+BLOBS = "p int, hot boolean, nodes binary, windows binary, needs binary, counts binary, keys binary"
+FOUND = "hot boolean, a long, b long, w int, need int, c int"
+
+
+def _blob(p: int, hot: bool, owner: np.ndarray, keys: np.ndarray, nodes, windows, needs, width: int) -> tuple:
+    """Keys grouped by owner (a node in a window)."""
+    o = np.argsort(owner, kind="stable")
+    own, counts = np.unique(owner, return_counts=True)
+    return (p, hot, nodes[own].tobytes(), windows[own].tobytes(), needs[own].tobytes(), counts.astype(np.uint32).tobytes(),
+            np.ascontiguousarray(keys[o].view(np.uint8).reshape(-1, 8)[:, :width]).tobytes())
+
+
+def _key_rows(k: int, percent: int, n: int):
+    """Each task sends the keys of its different sets, packed by range of the
+    key: owners (node, window, need), how many keys each has, and 48 bits of
+    every key (the range stands for the leading ones; equal bits of different
+    keys would only add a candidate). A key that GROUP sets of a flush share
+    already is hot: its rows go on under its id, spread over all ranges, and
+    its own range is only told so (owner ``HOT``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys: list[np.ndarray] = []
-        nodes: list[int] = []
-        held = 0
+        found: list[tuple[int, int, int, np.ndarray]] = []
+        held = turn = 0
 
         def flush():
-            key = np.concatenate(keys)
-            node = np.repeat(np.array(nodes, dtype=np.int64), [len(x) for x in keys])
-            o = np.lexsort((node, key))
-            key, node = key[o], node[o]
+            nonlocal turn
+            nodes = np.array([f[0] for f in found] + [HOT], dtype=np.int64)
+            windows = np.array([f[1] for f in found] + [0], dtype=np.uint8)
+            needs = np.array([f[2] for f in found] + [0], dtype=np.uint32)
+            key = np.concatenate([f[3] for f in found])
+            owner = np.repeat(np.arange(len(found)), [len(f[3]) for f in found])
+            o = np.argsort(key, kind="stable")
+            key, owner = key[o], owner[o]
             first = np.concatenate(([True], key[1:] != key[:-1]))
-            low = node[np.flatnonzero(first)][np.cumsum(first) - 1]
-            pair = np.unique(np.stack([node[~first], low[~first]], 1), axis=0)
-            pair = pair[pair[:, 0] != pair[:, 1]]
-            m, x = int(first.sum()), len(pair)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key[first].view(np.int64), np.zeros(x, np.int64)]),
-                          mask=np.concatenate([np.zeros(m, bool), np.ones(x, bool)])),
-                 pa.array(np.concatenate([node[first], pair[:, 0]])),
-                 pa.array(np.concatenate([node[first], pair[:, 1]]))], names=["key", "node", "low"])
+            run_of = np.cumsum(first) - 1
+            size = np.bincount(run_of)
+            hot = size[run_of] > GROUP
+            rng = ((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+            rows = []
+            if hot.any():
+                ids = (key[hot] & np.uint64(2**48 - 1)) ^ (rng[hot] << np.uint64(48))
+                turn += 1
+                part = np.arange(len(ids)) * 8 // len(ids)
+                for i in np.unique(part):
+                    rows.append(_blob((turn * 8 + int(i)) % n, True, owner[hot][part == i], ids[part == i], nodes, windows, needs, 8))
+                told = hot & first
+                keep = ~hot | told
+                owner = np.where(told, len(found), owner)[keep]
+                key, rng = key[keep], rng[keep]
+            ends = np.searchsorted(rng, np.arange(n + 1, dtype=np.uint64))
+            for i in np.flatnonzero(np.diff(ends)):
+                at = slice(ends[i], ends[i + 1])
+                rows.append(_blob(int(i), False, owner[at], key[at], nodes, windows, needs, 6))
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], (pa.int32(), pa.bool_(), *[pa.binary()] * 5)[i]) for i in range(7)],
+                                              names=[c.split()[0] for c in BLOBS.split(", ")])
 
         for b in batches:
             for s in _sets(b, k):
-                if not len(s) or (at := _node(s)) in seen:
-                    continue
-                x = keys_of(s, percent)
-                if not len(x):
+                if not len(s) or (node := _node(s)) in seen:
                     continue
-                seen.add(at)
-                keys.append(x)
-                nodes.append(at)
-                held += len(x)
+                seen.add(node)
+                for w, need, keys in keys_of(s, percent):
+                    found.append((node, w, need, keys))
+                    held += len(keys)
                 if held >= FLUSH_KEYS:
-                    yield from flush()
-                    seen.clear(), keys.clear(), nodes.clear()
+                    yield flush()
+                    seen.clear(), found.clear()
                     held = 0
-        if keys:
-            yield from flush()
+        if found:
+            yield flush()
     return run
 
 
-def _star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, node) -> edges (node, first node of its key)."""
-    last_key = last_low = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-        first = np.concatenate(([last_key is None or key[0] != last_key], key[1:] != key[:-1]))
-        at = np.cumsum(first)
-        lows = np.concatenate(([last_low if last_low is not None else 0], node[first]))
-        low = lows[at]
-        last_key, last_low = key[-1], low[-1]
-        pair = np.unique(np.stack([node[node != low], low[node != low]], 1), axis=0) if (node != low).any() else np.empty((0, 2), np.int64)
-        if len(pair):
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blobs of one or more ranges, sorted by range. Sets that share a key
+    with few others leave as pairs (a, b, window, need, shared keys), summed
+    within the range; the rows of hot keys as (key, node, window, need, 1)."""
+    held: list[tuple] = []
+    now = None
+
+    def table(hot, a, b, w, need, c):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), hot)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(w, pa.int32()),
+                                           pa.array(need, pa.int32()), pa.array(c, pa.int32())], names=[x.split()[0] for x in FOUND.split(", ")])
+
+    def of(nodes, windows, needs, counts, raw, width):
+        n = np.frombuffer(counts, np.uint32)
+        full = np.zeros((len(raw) // width, 8), np.uint8)
+        full[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+        return (full.view(np.uint64)[:, 0], *(np.repeat(np.frombuffer(x, t), n) for x, t in ((nodes, np.int64), (windows, np.uint8), (needs, np.uint32))))
+
+    def close(p):
+        key, node, w, need = (np.concatenate([h[i] for h in held]) for i in range(4))
+        o = np.lexsort((node, key))
+        key, node, w, need = key[o], node[o], w[o], need[o]
+        # copies of a set from several tasks are one
+        own = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+        key, node, w, need = key[own], node[own], w[own], need[own]
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        run_of = np.cumsum(first) - 1
+        size = np.bincount(run_of)
+        told = np.bincount(run_of, node == HOT) > 0
+        hot = ((size > GROUP) | told)[run_of]
+        h = hot & (node != HOT)
+        if h.any():
+            ids = (key[h] ^ (np.uint64(p) << np.uint64(48))).view(np.int64)
+            yield table(True, ids, node[h], w[h], need[h], np.ones(h.sum(), np.int32))
+        a, b = [], []
+        for gap in range(1, GROUP):
+            at = np.flatnonzero((run_of[gap:] == run_of[:-gap]) & ~hot[gap:]) if len(key) > gap else []
+            a.append(np.asarray(at, dtype=np.int64))
+            b.append(a[-1] + gap)
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            pair = np.stack([node[a], node[b], w[a].astype(np.int64), np.maximum(need[a], need[b]).astype(np.int64)], 1)
+            pair, c = np.unique(pair, axis=0, return_counts=True)
+            yield table(False, pair[:, 0], pair[:, 1], pair[:, 2], pair[:, 3], c)
+
+    for batch in batches:
+        for p, hot, *cols in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if hot:
+                ids, node, w, need = of(*cols, 8)
+                yield table(True, ids.view(np.int64), node, w, need, np.ones(len(ids), np.int32))
+                continue
+            if p != now and held:
+                yield from close(now)
+                held = []
+            now = p
+            held.append(of(*cols, 6))
+    if held:
+        yield from close(now)
 
 
 def _member_sets(k: int):
@@ -260,34 +346,27 @@ def _tiles(percent: int):
     return run
 
 
-def candidate_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Edges (a, b) between different sets that share a fragment."""
-    spark = docs.sparkSession
-    rows = docs.select("text").mapInArrow(_key_rows(k, percent), "key long, node long, low long")
-    n = parts(spark)
-    # one shuffle for both kinds of row: those without a key are edges already and spread by node
-    return (rows.repartition(n, F.coalesce("key", "node")).sortWithinPartitions("key", "node")
-            .mapInArrow(_edges_kernel, "a long, b long"))
-
-
-def _edges_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges found inside a task pass through (their key is null); of the rest, sorted by key, stars."""
-    held: list[pa.RecordBatch] = []
-
-    def keyed():
-        for b in batches:
-            own = np.asarray(b.column(0).is_null())
-            if own.any():
-                e = b.filter(pa.array(own))
-                held.append(pa.RecordBatch.from_arrays([e.column(1), e.column(2)], names=["a", "b"]))
-            if not own.all():
-                yield b.filter(pa.array(~own)).select(["key", "node"])
-
-    for out in _star_edges(keyed()):
-        yield from held
-        held.clear()
-        yield out
-    yield from held
+def candidate_edges(docs: DataFrame, k: int, percent: int, shingles: int) -> DataFrame:
+    """Edges (a, b) that connect all sets which may link. ``shingles``: how
+    many there are in all, which sizes the key ranges.
+
+    Two sets that link share ``need`` keys. Either they share a key with few
+    others -- then they are a pair, and its shared keys, with the hot ones that
+    both have, must reach ``need`` -- or all shared keys are hot, and each set
+    has ``need`` hot keys; such sets are joined to the least one of each key."""
+    n = max(parts(docs.sparkSession), -(-shingles * (100 - percent) // (30 * RANGE_KEYS)))
+    found = written(docs.select("text").mapInArrow(_key_rows(k, percent, n), BLOBS)
+                    .repartitionById(n, "p").sortWithinPartitions("p").mapInArrow(_pairs, FOUND), "keys")
+    hot = found.filter("hot").select(F.col("a").alias("key"), F.col("b").alias("node"), "w", "need").distinct()
+    per = written(hot.groupBy("node", "w").agg(F.count("*").alias("h"), F.max("need").alias("need")), "hot-keys")
+    strong = hot.join(per.filter("h >= need").select("node", "w"), ["node", "w"])
+    stars = strong.join(strong.groupBy("key").agg(F.min("node").alias("b")), "key").select(F.col("node").alias("a"), "b").filter("a <> b")
+    pairs = found.filter("not hot").groupBy("a", "b", "w").agg(F.sum("c").alias("c"), F.max("need").alias("need"))
+    h = per.select("node", "w", "h")
+    near = (pairs.join(h.select(F.col("node").alias("a"), "w", F.col("h").alias("ha")), ["a", "w"], "left")
+            .join(h.select(F.col("node").alias("b"), "w", F.col("h").alias("hb")), ["b", "w"], "left")
+            .filter(F.col("c") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) >= F.col("need")).select("a", "b"))
+    return near.unionByName(stars)
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -300,7 +379,8 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     src = docs.select("doc_id", "text")
     rows = written(src.mapInArrow(_doc_rows(k), "doc_id long, n_shingles long, node long"), "sets")
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"))
-    links = verified_links(src, nodes, k, percent)
+    shingles = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    links = verified_links(src, nodes, k, percent, shingles)
     labels = connected_components(links, "links")
     ids = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     comp = ids.join(ids.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("node", "label", "component_id")
@@ -308,9 +388,9 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             .select("doc_id", "n_shingles", "node", "label", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def verified_links(src: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+def verified_links(src: DataFrame, nodes: DataFrame, k: int, percent: int, shingles: int) -> DataFrame:
     """A spanning forest, per tile, of the links between nodes: (a, b)."""
-    clusters = connected_components(candidate_edges(src, k, percent), "candidates")
+    clusters = connected_components(candidate_edges(src, k, percent, shingles), "candidates")
     members = written(clusters.withColumnRenamed("label", "cluster").join(nodes, "node")
                       .select("node", "cluster", F.col("least").alias("doc_id"), "n"), "members")
     # chunks: within (cluster, length band), by rank; a band's sets are alike in size

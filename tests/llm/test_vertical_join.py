@@ -46,10 +46,14 @@ def test_against_all_pairs(docs, corpus, k, percent):
 
 def test_small_chunks_and_flushes_change_nothing(docs, corpus, monkeypatch):
     monkeypatch.setattr(V, "CHUNK_SETS", 3)
-    monkeypatch.setattr(V, "FLUSH_KEYS", 50)
+    monkeypatch.setattr(V, "RANGE_KEYS", 3000)
     monkeypatch.setattr(V, "FRAGMENT", 16)
-    got = ngram_jaccard_join(docs, 4, 85).select("doc_id", "n_shingles", "component_id").collect()
-    assert sorted((tuple(r) for r in got), key=str) == brute([(r[0], r[1]) for r in corpus], 4, 85)
+    for group, flush in ((2, 50), (3, 3000), (100, 50)):
+        monkeypatch.setattr(V, "GROUP", group)
+        monkeypatch.setattr(V, "FLUSH_KEYS", flush)
+        k, percent = (3, 60) if group == 3 else (4, 85)
+        got = ngram_jaccard_join(docs, k, percent).select("doc_id", "n_shingles", "component_id").collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute([(r[0], r[1]) for r in corpus], k, percent)
 
 
 @pytest.mark.parametrize("percent", [50, 80, 85, 95])
@@ -66,8 +70,8 @@ def test_sets_that_link_share_a_key(percent):
         if a == b or 100 * len(a & b) < percent * len(a | b):
             continue
         hits += 1
-        ka, kb = (V.keys_of(np.array(sorted(s), dtype=np.uint64), percent) for s in (a, b))
-        assert set(ka.tolist()) & set(kb.tolist())
+        ka, kb = ({w: (need, set(k.tolist())) for w, need, k in V.keys_of(np.array(sorted(s), dtype=np.uint64), percent)} for s in (a, b))
+        assert any(len(ka[w][1] & kb[w][1]) >= max(ka[w][0], kb[w][0]) for w in ka.keys() & kb.keys())
     assert hits > 20
 
 
