@@ -86,9 +86,10 @@ def connected_components(edges: DataFrame, tag: str) -> DataFrame:
                 .filter("a <> b").distinct(), tag)
     before = None
     while True:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        # large star: a points to the least neighbour of its lower neighbour b. Written, so that the
+        # join below is one of two plain shuffles and a node with very many neighbours can be split
+        low = written(e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), "m"), f"{tag}-low")
+        large = e.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b")).filter("a <> b").distinct()
         # small star: a's lower neighbours and a itself point to the least of them
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -33,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, mix64, parts
+from .common import mix64, parts
 
 #: Band of a term's share of all documents (idf from ln 10 to ln 1000).
 LOW, HIGH = 1e-3, 1e-1
 SUBSETS = 32
+#: Candidate terms a worker holds at most; beyond, all terms are counted by a shuffle.
+CANDIDATES = 500_000
 #: Distinct terms a task counts before it sends partial counts on.
 FLUSH_TERMS = 400_000
 #: Shares below this many documents are noise: a lexicon term has this many at least.
@@ -87,8 +89,8 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> dict[str,
     n = docs.count()
     schema = "term string, docs long"
     candidates = text.mapInArrow(_count_terms(low, None), schema).select("term").distinct()
-    found = [r[0] for r in candidates.limit(BROADCAST_ROWS + 1).collect()]
-    if len(found) <= BROADCAST_ROWS:
+    found = [r[0] for r in candidates.limit(CANDIDATES + 1).collect()]
+    if len(found) <= CANDIDATES:
         shared = docs.sparkSession.sparkContext.broadcast(frozenset(found))
         counted = text.mapInArrow(_count_terms_of(low, shared), schema)
     else:

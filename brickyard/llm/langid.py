@@ -343,12 +343,13 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFram
 
 
 def held_out() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    """Rows kept from training: crc32 of the id as text, modulo 4, is 2 (false for a null id)."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 def identify(docs: DataFrame, keep: list[str], order: int = ORDER, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """Fit on the rows that aren't held out and predict every row."""
-    model = fit(docs.filter(F.coalesce(~held_out(), F.lit(False))).select("doc_id", "text", "lang"), order, sample_chars)
+    model = fit(docs.filter(~held_out()).select("doc_id", "text", "lang"), order, sample_chars)
     return predict(docs, model, [*keep])
 
 

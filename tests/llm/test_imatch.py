@@ -46,7 +46,7 @@ def test_counts_are_exact_over_chunks(docs, corpus, monkeypatch):
 
 def test_many_candidates_are_counted_by_a_shuffle(docs, monkeypatch):
     few = imatch.lexicon(docs, low=0.05, high=0.5)
-    monkeypatch.setattr(imatch, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(imatch, "CANDIDATES", 3)
     assert imatch.lexicon(docs, low=0.05, high=0.5) == few
 
 
