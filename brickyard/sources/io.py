@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,15 +11,21 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
                  "embeddings pages benchmark labels conversations").split()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the file system it names (HDFS, object store, local)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_source(spark: SparkSession, base: str, name: str, schema: StructType | str | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """Scan ``{base}/{name}.parquet`` (or a directory / catalog table when
     ``base`` is None). Column pruning and filter pushdown happen in the scan."""
     if base is None:
         return spark.table(name)
-    path = os.path.join(base, f"{name}.{fmt}") if not name.endswith(f".{fmt}") else os.path.join(base, name)
-    if not os.path.exists(path) and os.path.isdir(os.path.join(base, name)):
-        path = os.path.join(base, name)
+    path = f"{base.rstrip('/')}/{name.removesuffix(f'.{fmt}')}.{fmt}"
+    if not path_exists(spark, path) and path_exists(spark, f"{base.rstrip('/')}/{name}"):
+        path = f"{base.rstrip('/')}/{name}"
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
