@@ -47,7 +47,7 @@ CHUNK_SHINGLES, CHUNK_SETS = 400_000, 512
 #: Columns of the n-gram order in one fragment of a tile's dense product.
 FRAGMENT = 8192
 #: Keys gathered before those of a task leave it, and keys of a range that a task sorts.
-FLUSH_KEYS, RANGE_KEYS = 2_000_000, 1_000_000
+FLUSH_KEYS, RANGE_KEYS = 500_000, 1_000_000
 #: Sets that share a key become pairs up to this many; a key of more is hot.
 GROUP = 8
 #: Stands for the owner of a key that is hot in some task.
