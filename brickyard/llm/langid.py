@@ -268,16 +268,17 @@ def fit(labelled: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHAR
     counted = (pick.filter(F.col("part") >= int(1000 * CALIBRATE)).select("lang", "text")
                .mapInArrow(_count_grams(order), "lang string, n int, gram long, ctx long, suffix long, count long")
                .groupBy("lang", "n", "gram").agg(F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.sum("count").alias("count")))
-    got = counted.toPandas()
-    langs = sorted(lang for lang in sizes if (got["lang"] == lang).any())
+    got = counted.toArrow().combine_chunks()  # bounded by the sample
+    names = got.column("lang").combine_chunks().dictionary_encode() if got.num_rows else None
+    langs = sorted(names.dictionary.to_pylist()) if names is not None else []
     types = {}
     for lang in langs:
+        mine = names.indices.to_numpy() == names.dictionary.to_pylist().index(lang)
         for n in range(1, order + 1):
-            one = got[(got["lang"] == lang) & (got["n"] == n)]
-            g = one["gram"].to_numpy().view(np.uint64)
-            o = np.argsort(g)
-            types[lang, n] = (g[o], one["ctx"].to_numpy().view(np.uint64)[o], one["suffix"].to_numpy().view(np.uint64)[o],
-                              one["count"].to_numpy()[o].astype(float))
+            at = np.flatnonzero(mine & (got.column("n").to_numpy() == n))
+            g, ctx, suffix, count = (got.column(c).to_numpy()[at] for c in ("gram", "ctx", "suffix", "count"))
+            o = np.argsort(g.view(np.uint64))
+            types[lang, n] = (g.view(np.uint64)[o], ctx.view(np.uint64)[o], suffix.view(np.uint64)[o], count[o].astype(float))
     if not langs:
         return Model([], order, table)
     model = kneser_ney(langs, order, types, table)
