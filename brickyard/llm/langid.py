@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,27 +179,32 @@ class Model:
                 for b, s, c, r, ok in zip(best, score, low, out, letters, strict=True)]
 
 
-def groups(texts: list, chars: int = 2 * SLICE) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about so many characters."""
-    lo = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
+def groups(texts: pa.Array, chars: int = 2 * SLICE) -> Iterator[list[str]]:
+    """Runs of texts (null: empty) of about so many characters, so that few are held as Python strings."""
+    run, held = [], 0
+    for t in texts:
+        run.append(t.as_py() or "")
+        held += len(run[-1])
         if held >= chars:
-            yield lo, i + 1
-            lo, held = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
+def _judged(model: Model, texts: pa.Array) -> Iterator[tuple[str, float, float, bool]]:
+    for run in groups(texts):
+        yield from model.predict(run)
 
 
 def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = letter_table()
         for b in batches:
-            langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            langs = b.column(0).to_pylist()
             for lang in sorted(set(langs)):
-                own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
-                for lo, hi in groups(own):
-                    codes = np.concatenate([codes_of(t, table, order) for t in own[lo:hi]])
+                for run_of in groups(b.column(1).filter(pa.array([x == lang for x in langs]))):
+                    codes = np.concatenate([codes_of(t, table, order) for t in run_of])
                     h, scored = gram_hashes(codes, order), np.flatnonzero(codes != PAD)
                     for n in range(1, order + 1):
                         g, first, count = np.unique(h[n][scored], return_index=True, return_counts=True)
@@ -288,11 +292,12 @@ def fit(labelled: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHAR
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.of(shared.value)
         for b in batches:
-            lang, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in groups(texts):
-                ce, n = own.entropies(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays([pa.array(lang[lo:hi], pa.string()), pa.array(ce.tolist(), pa.list_(pa.float64())), pa.array(n)],
+            at = 0
+            for texts in groups(b.column(1)):
+                ce, n = own.entropies(texts)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array(ce.tolist(), pa.list_(pa.float64())), pa.array(n)],
                                                  names=["lang", "ce", "n"])
+                at += len(texts)
 
     calibrate(model, held.mapInArrow(measure, "lang string, ce array<double>, n long").filter("n > 0").toPandas())
     pick.unpersist()
@@ -331,13 +336,14 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFram
     """``keep`` columns of ``docs`` with lang_pred, score, cross_entropy and rejected, from ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
-    @F.pandas_udf("lang_pred string, score double, cross_entropy double, rejected boolean")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double, cross_entropy double, rejected boolean")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model.of(shared.value)
-        for s in batches:
-            texts = [t or "" for t in s]
-            rows = [r for lo, hi in groups(texts) for r in own.predict(texts[lo:hi])]
-            yield pd.DataFrame(rows, columns=["lang_pred", "score", "cross_entropy", "rejected"])
+        for texts in batches:
+            rows = list(_judged(own, texts))
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
+            yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(4)],
+                                             names=["lang_pred", "score", "cross_entropy", "rejected"])
 
     p = fresh(docs, "prediction")
     return docs.select(*keep, judge("text").alias(p)).select("*", f"{p}.*").drop(p)
@@ -358,11 +364,10 @@ def reject(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
-    @F.pandas_udf("boolean")
-    def legible(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def legible(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model.of(shared.value)
-        for s in batches:
-            texts = [t or "" for t in s]
-            yield pd.Series([not r[3] for lo, hi in groups(texts) for r in own.predict(texts[lo:hi])], dtype=bool)
+        for texts in batches:
+            yield pa.array([not r[3] for r in _judged(own, texts)], pa.bool_())
 
     return docs.filter(legible("text"))

@@ -35,7 +35,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -450,8 +449,9 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 
 def _tag_node(docs: DataFrame, k: int, name: str) -> DataFrame:
-    @F.pandas_udf("long")
-    def node(text: pd.Series) -> pd.Series:
-        b = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], names=["text"])
-        return pd.Series([_node(s) if len(s) else None for s in _sets(b, k)], dtype="Int64")
+    @F.arrow_udf("long")
+    def node(text: pa.Array) -> pa.Array:
+        b = pa.RecordBatch.from_arrays([text], names=["text"])
+        return pa.array([_node(s) if len(s) else None for s in _sets(b, k)], pa.int64())
+
     return docs.withColumn(name, node("text"))
