@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,20 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def lean(kernel):
+    """``kernel`` over batches, after which the worker's freed memory goes back
+    to the system: workers are reused, and would keep their peak otherwise."""
+    def run(batches):
+        try:
+            yield from kernel(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+    return run
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker process. Kernels are
     pickled by value, so their own module globals are new in every task."""

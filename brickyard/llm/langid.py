@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, mix64
+from .common import fresh, lean, mix64
 
 ORDER = 4
 #: Bound of the training sample: about so many characters of each language ...
@@ -38,7 +38,7 @@ LEAST_REACH = 4.0
 UND = "und"
 PAD, SPACE = 1, 32
 #: Codes scored at once; bounds a worker's memory for texts of any length.
-SLICE = 300_000
+SLICE = 150_000
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                                0xE7037ED1A0B428DB)]
 
@@ -270,7 +270,7 @@ def fit(labelled: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHAR
             .dropDuplicates(["lang", "text"]).withColumn("part", F.pmod(F.xxhash64(F.lit(seed + 1), "text"), F.lit(1000))))
     pick = pick.select("lang", "text", "part").persist()
     counted = (pick.filter(F.col("part") >= int(1000 * CALIBRATE)).select("lang", "text")
-               .mapInArrow(_count_grams(order), "lang string, n int, gram long, ctx long, suffix long, count long")
+               .mapInArrow(lean(_count_grams(order)), "lang string, n int, gram long, ctx long, suffix long, count long")
                .groupBy("lang", "n", "gram").agg(F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.sum("count").alias("count")))
     got = counted.toArrow().combine_chunks()  # bounded by the sample
     names = got.column("lang").combine_chunks().dictionary_encode() if got.num_rows else None
@@ -336,8 +336,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFram
     """``keep`` columns of ``docs`` with lang_pred, score, cross_entropy and rejected, from ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
-    @F.arrow_udf("lang_pred string, score double, cross_entropy double, rejected boolean")
-    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def kernel(batches):
         own = Model.of(shared.value)
         for texts in batches:
             rows = list(_judged(own, texts))
@@ -345,6 +344,10 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFram
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(4)],
                                              names=["lang_pred", "score", "cross_entropy", "rejected"])
 
+    @F.arrow_udf("lang_pred string, score double, cross_entropy double, rejected boolean")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return lean(kernel)(batches)
+
     p = fresh(docs, "prediction")
     return docs.select(*keep, judge("text").alias(p)).select("*", f"{p}.*").drop(p)
 
@@ -364,10 +367,13 @@ def reject(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
-    @F.arrow_udf("boolean")
-    def legible(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def kernel(batches):
         own = Model.of(shared.value)
         for texts in batches:
             yield pa.array([not r[3] for r in _judged(own, texts)], pa.bool_())
 
+    @F.arrow_udf("boolean")
+    def legible(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return lean(kernel)(batches)
+
     return docs.filter(legible("text"))

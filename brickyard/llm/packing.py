@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import global_rank, worker_cache, written
+from .common import global_rank, lean, worker_cache, written
 
 SIZE, END_ID, LEAST_CUT = 2048, 1, 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -183,7 +183,8 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, end_id: int
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) per
     piece of ``docs`` (doc_id, text); with_ids adds the tokens themselves."""
     schema = PIECES + (", ids array<long>" if with_ids else "")
-    pieces = docs.select("doc_id", "text").mapInArrow(_pieces(path or tokenizer_path(), size, least_cut, end_id, with_ids), schema)
+    pieces = docs.select("doc_id", "text").mapInArrow(
+        lean(_pieces(path or tokenizer_path(), size, least_cut, end_id, with_ids)), schema)
     # written first: the range shuffle of the ranking reads its input twice
     ranked = global_rank(written(pieces, "pieces"), [F.col("length").desc(), F.col("doc_id").asc_nulls_last(), F.col("start"), F.col("ids_crc32")], "ranked")
     histogram = {r[0]: r[1] for r in ranked.groupBy("length").count().collect()}  # ``size`` rows at most

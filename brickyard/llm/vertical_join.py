@@ -39,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, fresh, global_rank, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, worker_cache, written
+from .common import connected_components, fresh, global_rank, lean, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, worker_cache, written
 
 #: Shingles (and sets) in a chunk of a cluster: bounds the memory of a tile.
 CHUNK_SHINGLES, CHUNK_SETS = 400_000, 512
 #: Columns of the n-gram order in one fragment of a tile's dense product.
 FRAGMENT = 8192
 #: Keys gathered before those of a task leave it, and keys of a range that a task sorts.
-FLUSH_KEYS, RANGE_KEYS = 500_000, 1_000_000
+FLUSH_KEYS, RANGE_KEYS = 400_000, 1_000_000
 #: Sets that share a key become pairs up to this many; a key of more is hot.
 GROUP = 8
 #: Stands for the owner of a key that is hot in some task.
@@ -354,8 +354,8 @@ def candidate_edges(docs: DataFrame, k: int, percent: int, shingles: int) -> Dat
     both have, must reach ``need`` -- or all shared keys are hot, and each set
     has ``need`` hot keys; such sets are joined to the least one of each key."""
     n = max(parts(docs.sparkSession), -(-shingles * (100 - percent) // (30 * RANGE_KEYS)))
-    found = written(docs.select("text").mapInArrow(_key_rows(k, percent, n), BLOBS)
-                    .repartitionById(n, "p").sortWithinPartitions("p").mapInArrow(_pairs, FOUND), "keys")
+    found = written(docs.select("text").mapInArrow(lean(_key_rows(k, percent, n)), BLOBS)
+                    .repartitionById(n, "p").sortWithinPartitions("p").mapInArrow(lean(_pairs), FOUND), "keys")
     hot = found.filter("hot").select(F.col("a").alias("key"), F.col("b").alias("node"), "w", "need").distinct()
     per = written(hot.groupBy("node", "w").agg(F.count("*").alias("h"), F.max("need").alias("need")), "hot-keys")
     strong = hot.join(per.filter("h >= need").select("node", "w"), ["node", "w"])
@@ -376,7 +376,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     (its own without a link).
     """
     src = docs.select("doc_id", "text")
-    rows = written(src.mapInArrow(_doc_rows(k), "doc_id long, n_shingles long, node long"), "sets")
+    rows = written(src.mapInArrow(lean(_doc_rows(k)), "doc_id long, n_shingles long, node long"), "sets")
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"))
     shingles = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     links = verified_links(src, nodes, k, percent, shingles)
@@ -416,11 +416,11 @@ def verified_links(src: DataFrame, nodes: DataFrame, k: int, percent: int, shing
     needed = members.agg(F.count("*")).first()[0]
     want = small_or_shuffled(members.select("doc_id", "node"), needed)
     sets = written(src.join(want, src.doc_id.eqNullSafe(want.doc_id)).select("node", "text")
-                   .mapInArrow(_member_sets(k), "node long, shingles binary").dropDuplicates(["node"]), "member-sets")
+                   .mapInArrow(lean(_member_sets(k)), "node long, shingles binary").dropDuplicates(["node"]), "member-sets")
     placed = chunked.join(sides, ["cluster", "band", "chunk"]).select("node", "tile", "side")
     tiles = (sets.join(placed, "node").select("tile", "side", "node", "shingles")
              .repartition(parts(src.sparkSession), "tile").sortWithinPartitions("tile", "side", "node"))
-    return tiles.mapInArrow(_tiles(percent), "a long, b long")
+    return tiles.mapInArrow(lean(_tiles(percent)), "a long, b long")
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
