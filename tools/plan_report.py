@@ -53,7 +53,7 @@ def summarise(plan: str) -> dict:
         "reused": len(set(re.findall(r"ReusedExchange [^\n]*?\[plan_id=(\d+)\]", plan))) or plan.count("ReusedExchange"),
         "joins": ", ".join(f"{a}/{b}" for a, b in joins) or "-",
         "partial_limit": "WindowGroupLimit" in plan and "Partial" in plan,
-        "python": "MapInPandas" in plan,
+        "python": "InArrow" in plan or "InPandas" in plan,
         "scans": ", ".join(f"{t}:{n}" for t, n in sorted(scans.items())) or "-",
     }
 
@@ -66,7 +66,7 @@ def main(argv):
                       extra={"spark.sql.maxMetadataStringLength": "100000"})
     print(f"# Physical plans ({os.path.basename(sf_dir)}, final AQE plans)\n")
     print("Columns: distinct shuffle exchanges, broadcast exchanges, reused exchanges, join kinds, partial "
-          "WindowGroupLimit before a shuffle, Python (mapInPandas) stage, and for each Parquet scan the "
+          "WindowGroupLimit before a shuffle, Python (Arrow kernel) stage, and for each Parquet scan the "
           "number of columns in its ReadSchema. Generated by `tools/plan_report.py`.\n")
     print("| query | shuffles | bcast | reused | joins | partial limit | python | scans (table:cols) |")
     print("|---|---|---|---|---|---|---|---|")
