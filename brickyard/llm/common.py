@@ -47,6 +47,19 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+#: Rows of an Arrow batch where whole texts go to workers.
+TEXT_BATCH = 2_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches for tables of whole texts: of Spark's default
+    10,000 rows, each task holds some 100 MB, in the JVM and again in the
+    worker. A batch size that the session sets itself stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(TEXT_BATCH))
+
+
 def lean(kernel):
     """``kernel`` over batches, after which the worker's freed memory goes back
     to the system: workers are reused, and would keep their peak otherwise."""

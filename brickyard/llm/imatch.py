@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, parts
+from .common import mix64, parts, text_batches
 
 #: Band of a term's share of all documents (idf from ln 10 to ln 1000).
 LOW, HIGH = 1e-3, 1e-1
@@ -85,6 +85,7 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> dict[str,
     Exact counts over all documents, in two passes: terms that are frequent in
     some chunk, then the counts of those terms. If these candidates were too
     many to broadcast, every term is counted by a shuffle instead."""
+    text_batches(docs.sparkSession)
     text = docs.select("text")
     n = docs.count()
     schema = "term string, docs long"

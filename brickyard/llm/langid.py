@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, lean, mix64
+from .common import fresh, lean, mix64, text_batches
 
 ORDER = 4
 #: Bound of the training sample: about so many characters of each language ...
@@ -259,6 +259,7 @@ def fit(labelled: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHAR
     """Fit on (doc_id, text, lang): a seeded sample of about ``sample_chars``
     characters of each language, whatever the table's size."""
     spark = labelled.sparkSession
+    text_batches(spark)
     rows = labelled.filter("lang is not null and text is not null")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)).alias("u")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect() if r[1]}  # one row a language
@@ -334,6 +335,7 @@ def calibrate(model: Model, held) -> None:
 
 def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFrame:
     """``keep`` columns of ``docs`` with lang_pred, score, cross_entropy and rejected, from ``text`` alone."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
     def kernel(batches):
@@ -365,6 +367,7 @@ def identify(docs: DataFrame, keep: list[str], order: int = ORDER, sample_chars:
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with their columns."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
     def kernel(batches):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import global_rank, lean, worker_cache, written
+from .common import global_rank, lean, text_batches, worker_cache, written
 
 SIZE, END_ID, LEAST_CUT = 2048, 1, 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -182,6 +182,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, end_id: int
          with_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) per
     piece of ``docs`` (doc_id, text); with_ids adds the tokens themselves."""
+    text_batches(docs.sparkSession)
     schema = PIECES + (", ids array<long>" if with_ids else "")
     pieces = docs.select("doc_id", "text").mapInArrow(
         lean(_pieces(path or tokenizer_path(), size, least_cut, end_id, with_ids)), schema)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, fresh, global_rank, lean, mix64, parts, shingle_hashes, small_or_shuffled, word_hashes, worker_cache, written
+from .common import connected_components, fresh, global_rank, lean, mix64, parts, shingle_hashes, small_or_shuffled, text_batches, word_hashes, worker_cache, written
 
 #: Shingles (and sets) in a chunk of a cluster: bounds the memory of a tile.
 CHUNK_SHINGLES, CHUNK_SETS = 400_000, 512
@@ -375,6 +375,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     node reachable over links, ``component_id`` the least doc_id reachable
     (its own without a link).
     """
+    text_batches(docs.sparkSession)
     src = docs.select("doc_id", "text")
     rows = written(src.mapInArrow(lean(_doc_rows(k)), "doc_id long, n_shingles long, node long"), "sets")
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"))
