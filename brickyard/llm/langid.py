@@ -22,14 +22,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, lean, mix64, text_batches
+from .common import fresh, lean, mix64, small_or_shuffled, text_batches, written
 
 ORDER = 4
-#: Bound of the training sample: about so many characters of each language ...
-SAMPLE_CHARS = 2_000_000
+#: The training sample: whole texts of so many characters of each language, or
+#: at least so many texts, cut where they don't fit whole (see ``fit``) ...
+SAMPLE_CHARS, LEAST_TEXTS = 2_000_000, 20
 #: ... of which this share calibrates the score and the rejection.
 CALIBRATE = 0.25
 #: Rejection never starts below this many scale units over the mean (1 nat a
@@ -255,21 +256,58 @@ def kneser_ney(langs: list[str], order: int, types: dict[tuple[str, int], tuple[
     return model
 
 
+def _draw(rows: DataFrame, sample_chars: int) -> DataFrame:
+    """(lang, h, take, place) of the texts drawn from ``rows`` (lang, text, h:
+    the text's seeded hash), by the order that ``fit`` states."""
+    piece = max(1, sample_chars // LEAST_TEXTS)
+    texts = written(rows.groupBy("lang", "h").agg(F.max(F.length("text")).cast("long").alias("n")), "texts")
+    short = texts.filter(F.col("n") <= piece)
+    sizes = {r[0]: r[1] for r in short.groupBy("lang").agg(F.sum("n")).collect()}  # one row a language
+    # a prefix of the hash order that holds the bound, so that no window sees a whole language
+    shares = {lang: min(1.0, 4 * sample_chars / n) for lang, n in sizes.items()}
+    while True:
+        share = F.create_map(*[x for lang, s in shares.items() for x in (F.lit(lang), F.lit(s))])[F.col("lang")] if shares else F.lit(1.0)
+        first = short.filter(F.col("h") / F.lit(2.0**64) + 0.5 <= share)
+        got = {r[0]: r[1] for r in first.groupBy("lang").agg(F.sum("n")).collect()}
+        poor = [lang for lang, s in shares.items() if s < 1 and got.get(lang, 0) < sample_chars]
+        if not poor:
+            break
+        shares.update({lang: min(1.0, 2 * shares[lang]) for lang in poor})
+    # more long texts than these have no room
+    by_length = F.row_number().over(Window.partitionBy("lang").orderBy("n", "h"))
+    long = texts.filter(F.col("n") > piece).withColumn("i", by_length).filter(F.col("i") <= LEAST_TEXTS).drop("i")
+    order = Window.partitionBy("lang").orderBy(F.greatest("n", F.lit(piece)), "h")
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = F.col("upto") <= sample_chars
+    return (first.unionByName(long).withColumns({"upto": upto, "place": F.row_number().over(order)})
+            .filter(whole | (F.col("place") <= LEAST_TEXTS))
+            .select("lang", "h", F.when(whole, F.col("n")).otherwise(F.least("n", F.lit(piece))).cast("int").alias("take"), "place"))
+
+
+def sample(labelled: DataFrame, sample_chars: int, seed: int) -> DataFrame:
+    """(lang, text, part) of the texts that ``fit`` draws; part, of 1000, deals them to calibration."""
+    rows = (labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+            .select("lang", "text", F.xxhash64(F.lit(seed), "text").alias("h")))
+    drawn = written(_draw(rows, sample_chars), "drawn")
+    part = F.when(F.col("place") == 1, 999).otherwise(F.pmod(F.xxhash64(F.lit(seed + 1), "text"), F.lit(1000)))
+    return (rows.join(small_or_shuffled(drawn, drawn.count()), ["lang", "h"])
+            .select("lang", F.substr("text", F.lit(1), F.col("take")).alias("text"), part.alias("part")).dropDuplicates(["lang", "text"]))
+
+
 def fit(labelled: DataFrame, order: int = ORDER, sample_chars: int = SAMPLE_CHARS, seed: int = 42) -> Model:
-    """Fit on (doc_id, text, lang): a seeded sample of about ``sample_chars``
-    characters of each language, whatever the table's size."""
+    """Fit on (text, lang): a seeded sample of each language's different texts
+    that hold a letter, whatever the table's size.
+
+    Texts are drawn whole, in the order of a seeded hash, until the next one
+    passes ``sample_chars``; those longer than a ``LEAST_TEXTS``-th of it come
+    after the others, by length. A language of which fewer than ``LEAST_TEXTS``
+    fit is filled up to that number with the first ``sample_chars / LEAST_TEXTS``
+    characters of the next ones, so a sample never has more than twice
+    ``sample_chars``. A language's first text is always trained on."""
     spark = labelled.sparkSession
     text_batches(spark)
-    rows = labelled.filter("lang is not null and text is not null")
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)).alias("u")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect() if r[1]}  # one row a language
     table = letter_table()
-    if not sizes:
-        return Model([], order, table)
-    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample_chars / n)))])
-    pick = (rows.select("lang", "text", u).filter(F.col("u") < share[F.col("lang")])
-            .dropDuplicates(["lang", "text"]).withColumn("part", F.pmod(F.xxhash64(F.lit(seed + 1), "text"), F.lit(1000))))
-    pick = pick.select("lang", "text", "part").persist()
+    pick = sample(labelled, sample_chars, seed).persist()
     counted = (pick.filter(F.col("part") >= int(1000 * CALIBRATE)).select("lang", "text")
                .mapInArrow(lean(_count_grams(order)), "lang string, n int, gram long, ctx long, suffix long, count long")
                .groupBy("lang", "n", "gram").agg(F.first("ctx").alias("ctx"), F.first("suffix").alias("suffix"), F.sum("count").alias("count")))

@@ -108,3 +108,19 @@ def test_reject_keeps_columns(labelled, model):
     assert kept.columns == labelled.columns
     assert {400, 401, 402, 405} & {r.doc_id for r in kept.collect()} == set()
     assert isinstance(kept.toPandas(), pd.DataFrame) and kept.count() == 405
+
+
+def test_giant_text_neither_empties_nor_bursts_the_sample(spark):
+    """Short texts stay beside a giant one, ids play no part, and every language is learned."""
+    rows = [(None, text("aa", i, 30), "aa") for i in range(100)]
+    rows += [(1, text("aa", 500, 60_000), "aa"), (None, rows[0][1], "aa")]
+    rows += [(2 + i, text("bb", i, 30_000), "bb") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = langid.sample(df, 40_000, 42).collect()
+    aa, bb = ([r.text for r in got if r.lang == x] for x in ("aa", "bb"))
+    assert {r[1] for r in rows[:100]} <= set(aa) and len(aa) == len(set(aa)) and sum(map(len, aa)) <= 40_000
+    assert len(bb) == 2 and sum(map(len, bb)) <= 80_000
+    assert langid.fit(df, sample_chars=40_000).langs == ["aa", "bb"]
+    # the bound holds where there is more text than it, and about fills up
+    small = [r.text for r in langid.sample(df.filter("lang = 'aa'"), 5_000, 42).collect()]
+    assert 4_000 <= sum(map(len, small)) <= 5_000 and set(small) <= {r[1] for r in rows}
