@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, global_rank, small_or_shuffled, written
+from .common import global_rank, small_or_shuffled, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -54,10 +54,34 @@ def water_level(sources: DataFrame, budget: float, max_epochs: int) -> float:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, size, source_size, target, taken, epochs) per row of ``docs``
     (doc_id, text, source). Weights repeat over the sources in code point order."""
-    rows = written(docs.select(
-        "doc_id", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), "source")).alias("key"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        seeded_hash(seed, "doc_id").alias("h")), "sizes")
+    rows = written(_sizes(docs, seed), "sizes")
+    full, n = _plan(rows, weights, max_epochs)
+    r = rows.join(small_or_shuffled(full, n), "key")
+    return r.select("doc_id", "size", "source_size", "target", _taken().alias("taken"),
+                    F.try_divide(F.col("target"), F.col("source_size")).alias("epochs"))
+
+
+def _source_key() -> Column:
+    return F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), "source"))
+
+
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _sizes(docs: DataFrame, seed: int) -> DataFrame:
+    return docs.select("doc_id", _source_key().alias("key"), _size().alias("size"), seeded_hash(seed, "doc_id").alias("h"))
+
+
+def _taken() -> Column:
+    """Words taken of a row (size, h) beside its source's plan."""
+    extra = (F.when(F.col("h") < F.col("cut"), F.col("size"))
+             .when(F.col("h") == F.col("cut"), F.floor(F.col("room") * F.col("size") / F.col("held"))).otherwise(0))
+    return F.col("size") * F.col("whole") + extra
+
+
+def _plan(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> tuple[DataFrame, int]:
+    """(key, source_size, target, whole, cut, room, held) of the sources, and their number."""
     totals = rows.groupBy("key").agg(F.sum("size").alias("size"))
     ranked = global_rank(totals, [F.col("key") == "-", F.col("key")], "sources")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
@@ -71,11 +95,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
             .withColumnRenamed("size", "source_size"))
     cut = _cuts(rows, plan.select("key", "rest"), n)
     full = written(plan.join(cut, "key", "left"), "plan")
-    r = rows.join(small_or_shuffled(full, n), "key")
-    extra = (F.when(F.col("h") < F.col("cut"), F.col("size"))
-             .when(F.col("h") == F.col("cut"), F.floor(F.col("room") * F.col("size") / F.col("held"))).otherwise(0))
-    return r.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("whole") + extra).alias("taken"),
-                    F.try_divide(F.col("target"), F.col("source_size")).alias("epochs"))
+    return full, n
 
 
 def _cuts(rows: DataFrame, rest: DataFrame, n_sources: int) -> DataFrame:
@@ -99,11 +119,17 @@ def _cuts(rows: DataFrame, rest: DataFrame, n_sources: int) -> DataFrame:
     return state.select("key", F.col("prefix").alias("cut"), F.greatest(room, F.lit(0.0)).alias("room"), "held")
 
 
-def repeat_rows(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; the one fractional
-    repetition a source may have rounds to a whole row or none."""
-    m, key, n = mix(docs, **kw), fresh(docs, "id"), fresh(docs, "copies")
-    copies = F.round(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)).cast("int")
-    per = written(m.groupBy(F.col("doc_id").alias(key)).agg(F.max(copies).alias(n)), "copies")
-    joined = docs.join(small_or_shuffled(per, per.count()), F.col("doc_id").eqNullSafe(F.col(key)))
-    return joined.withColumn(fresh(joined, "copy"), F.explode(F.array_repeat(F.lit(0), F.col(n)))).select(docs.columns)
+def repeat_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, by its own source,
+    size and id; the one fractional repetition a source may have rounds to a
+    whole row or none. Of rows that share the id at the cut, each is taken or
+    left by a seeded hash of its text, in proportion to the room."""
+    full, n = _plan(written(_sizes(docs, seed), "sizes"), weights, max_epochs)
+    row = docs.select(F.struct("*").alias("row"), _source_key().alias("key"), _size().alias("size"),
+                      seeded_hash(seed, "doc_id").alias("h"), seeded_hash(seed, "text").alias("t"))
+    tied = (F.col("h") == F.col("cut")) & (F.col("held") > F.col("size"))
+    one = F.when(F.col("t") < F.col("room") / F.col("held") * float(1 << HASH_BITS), 1).otherwise(0)
+    copies = (F.when(F.col("size") == 0, 0).when(tied, F.col("whole") + one)
+              .otherwise(F.round(_taken() / F.when(F.col("size") > 0, F.col("size")))).cast("int"))
+    return (row.join(small_or_shuffled(full, n), "key")
+            .select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("row.*"))

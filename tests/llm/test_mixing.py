@@ -76,3 +76,21 @@ def test_sql(spark, sf_small):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_small}/documents.parquet')")
     want = sorted(con.execute(ORACLE["op2_mixing"]).fetchall())
     assert sorted(tuple(r) for r in mix(spark.read.parquet(f"{sf_small}/documents.parquet")).collect()) == want
+
+
+def test_null_and_repeated_ids_keep_to_their_source(spark):
+    """Rows of one id in several sources are repeated as their own source asks."""
+    rows = [(None, " ".join(["w"] * 9 + [f"{s}{i}"]), s, "k") for s in "abc" for i in range(200)]
+    rows += [(7, "one two three", "d", "k"), (7, "four " * 400, "b", "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, key string").repartition(3)
+    target = {r.source_size: r.target for r in mix(df).collect()}
+    got = {}
+    for r in repeat_rows(df).collect():
+        assert r.key == "k"
+        got[r.source] = got.get(r.source, 0) + sizes(r.text)
+    for s, size in (("a", 2000), ("b", 2400), ("c", 2000)):
+        want = mix(df.filter(f"source = '{s}'")).first().source_size
+        assert want == size
+    weights = targets({"a": 2000, "b": 2400, "c": 2000, "d": 3}, {"a": 5, "b": 2, "c": 1, "d": 5}, 3)
+    assert target[2400] == pytest.approx(weights["b"]) and got["d"] == 9
+    assert all(abs(got[s] - weights[s]) <= 250 for s in "abc"), (got, weights)
