@@ -95,3 +95,91 @@ FROM placed p JOIN nodes1 n ON p.host = n.host AND p.template = n.template JOIN
 
 
 ORACLE["op5_url_tree"] = _url_tree()
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a string's UTF-8 bytes, bit by bit: a byte is mixed in, then eight shifts (-1) follow."""
+    steps = (f"flatten(list_transform(range(0, (length(hex({text})) // 2)::BIGINT), "
+             f"lambda i: [('0x' || substr(hex({text}), (2 * i + 1)::BIGINT, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))")
+    return (f"xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || {steps}, lambda c, x: "
+            "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))")
+
+
+# Bucket totals of both tables, gains, weights, seeded noise and the draw.
+ORACLE["op12_importance"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+raw AS (SELECT rid, unnest(ws) AS w FROM docs),
+target AS (SELECT unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM raw UNION ALL SELECT w FROM target)),
+coded AS (SELECT w, {_crc32("w")} % 10000 AS bucket FROM words),
+raw_of AS (SELECT bucket, count(*) AS s FROM raw JOIN coded USING (w) GROUP BY bucket),
+target_of AS (SELECT bucket, count(*) AS t FROM target JOIN coded USING (w) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM raw) + 10000)::DOUBLE)
+         / ((s + 1)::DOUBLE * ((SELECT count(*) FROM target) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM raw_of LEFT JOIN target_of USING (bucket)),
+weighed AS (SELECT rid, sum(gain)::BIGINT AS weight FROM raw JOIN coded USING (w) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                    / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (rid)),
+ranked AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END::BIGINT AS rank FROM scored LEFT JOIN ranked USING (rid)
+"""
+
+
+def _merkle() -> str:
+    """Levels by recursion (each row carries its tree's size, and stops at one node); a row's
+    proof and fold follow its path: the siblings of each level, left and right."""
+    def enc(x):
+        return f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(map(enc, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def levels(name, base):
+        return f"""
+{name} AS (
+  SELECT tree, 0 AS level, place, digest, n FROM {base}
+  UNION ALL
+  SELECT tree, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 7) // 8 FROM {name} WHERE n > 1 GROUP BY tree, level, place // 8)"""
+
+    def folds(name, base, nodes):
+        """Fold (digest, proof so far) of every row of ``base`` (rid, tree, place, digest, proof) to the top of its tree in ``nodes``."""
+        return f"""
+{name}_sides AS (
+  SELECT tree, level, place, n, coalesce(string_agg(digest, '' ORDER BY place) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+         coalesce(string_agg(digest, '' ORDER BY place) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+  FROM {nodes} WHERE n > 1 WINDOW w AS (PARTITION BY tree, level, place // 8 ORDER BY place)),
+{name} AS (
+  SELECT rid, tree, 0 AS level, place, digest, proof FROM {base}
+  UNION ALL
+  SELECT f.rid, f.tree, f.level + 1, f.place // 8, sha256(s.lft || f.digest || s.rgt), f.proof || s.lft || s.rgt
+  FROM {name} f JOIN {name}_sides s ON f.tree = s.tree AND f.level = s.level AND f.place = s.place)"""
+
+    tampered = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 THEN {_LOWER.format('text')} ELSE text END"
+    return f"""
+WITH RECURSIVE hashed AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {leaf('text')} AS leaf, {leaf(f'({tampered})')} AS changed FROM documents),
+placed AS (
+  SELECT rid, doc_id, leaf, changed, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed),
+base AS (SELECT tree, place, leaf AS digest, n FROM placed),{levels('inner_nodes', 'base')},
+subroots AS (SELECT tree, digest AS subroot FROM inner_nodes WHERE n = 1),
+above AS (SELECT 0 AS tree, tree AS place, subroot AS digest, (SELECT count(*) FROM subroots) AS n FROM subroots),{levels('upper_nodes', 'above')},
+top AS (SELECT digest AS root FROM upper_nodes WHERE n = 1),
+start AS (SELECT rid, tree, place, changed AS digest, '' AS proof FROM placed),{folds('inner_fold', 'start', 'inner_nodes')},
+last_of AS (SELECT rid, max(level) AS level FROM inner_fold GROUP BY rid),
+middle AS (SELECT rid, 0 AS tree, tree AS place, digest, proof FROM inner_fold JOIN last_of USING (rid, level)),{folds('upper_fold', 'middle', 'upper_nodes')},
+last_up AS (SELECT rid, max(level) AS level FROM upper_fold GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, digest AS folded_root, digest = root AS verified
+FROM upper_fold JOIN last_up USING (rid, level) JOIN placed p USING (rid) JOIN subroots s ON s.tree = p.tree, top
+"""
+
+
+ORACLE["op13_merkle"] = _merkle()
