@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, importance, langid, merkle, mixing, packing, template_extract, topk, url_tree, warc
+from . import chat, imatch, importance, langid, merkle, mixing, packing, template_extract, topk, toxicity, url_tree, warc
 from .common import table
 from .vertical_join import ngram_jaccard_join
 
@@ -55,6 +55,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
                                order=1, buckets=10_000, percent=10, least_words=20, seed=2024)
@@ -66,4 +70,4 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_imatch, op2_mixing, op3_template_extract, op4_topk, op5_url_tree, op6_language_id, op7_warc, op8_chat_repair,
-    op9_packing, op10_ngram_jaccard, op12_importance, op13_merkle)}
+    op9_packing, op10_ngram_jaccard, op11_toxicity, op12_importance, op13_merkle)}
