@@ -17,12 +17,15 @@ NEEDED = {
     2: ["doc_id", "size", "source_size", "target", "taken"], 3: ["page_id", "url", "text", "n_chars"],
     4: ["query_id", "rank", "vec_id", "score"], 5: ["page_id", "host", "path", "rule", "verdict"],
     6: ["doc_id", "held_out", "lang_pred", "score"], 7: ["page_id", "record_id", "refers_to"], 8: ["conv_id", "turn", "rendered"],
-    9: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], 10: ["doc_id", "n_shingles", "component_id"]}
-ROWS = {1: "documents", 2: "documents", 3: "pages", 5: "pages", 6: "documents", 8: "conversations", 10: "documents"}
+    9: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], 10: ["doc_id", "n_shingles", "component_id"],
+    11: ["doc_id", "held_out", "score", "predicted"], 12: ["doc_id", "n_features", "weight", "score", "rank"],
+    13: ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]}
+ROWS = {1: "documents", 2: "documents", 3: "pages", 5: "pages", 6: "documents", 8: "conversations", 10: "documents",
+        11: "documents", 12: "documents", 13: "documents"}
 
 
 def test_all_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
