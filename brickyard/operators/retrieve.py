@@ -1,287 +1,18 @@
-"""Batch retrieval and conversation assembly.
-
-Exact top-k retrieval works on a grid: queries fall into blocks of counted
-size, corpus rows into shards of counted size, and every (block, shard) cell
-is one co-group found by an equi-join on both. A cell scores its rows with
-numpy (dense dot products for vectors, BM25 for keywords), keeps a running
-best ``k`` per query and sends ``k`` rows per query on, once; a
-``row_number() <= k`` window (partial WindowGroupLimit before its shuffle)
-merges the cells. Queries and corpus never pass through the driver, no pair
-rows are shuffled, no cross join is planned, and the plan has one form for
-any number of blocks. Ids may be of any orderable type.
-
-The driver counts rows (to size the grid) and, for BM25, documents and their
-mean length; everything else stays lazy.
-"""
+"""Retrieval and conversation assembly: context, chat history, rewrite prompts
+and prompts. The searches themselves are in ``text_index`` (keywords) and
+``vectors``."""
 
 from __future__ import annotations
 
-import math
 import re
-import sys
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# tokenizer = lower-case, split on runs of anything that is not a
-# Unicode letter or digit; BM25 parameters k1 = 1.2, b = 0.75.
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-BM25_K1 = 1.2
-BM25_B = 0.75
-
-# The scoring kernels run in Python workers; ship this module's code with
-# the tasks (pickled by value) so executors need not have the package
-# installed or on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-MAX_CELLS = 4_000_000    # scores held at once per task (rows x queries)
-DENSE_CELLS = 8_000_000  # bound of the dense term x query weight matrix (64 MB)
-SHARD_ROWS = 100_000     # corpus rows of one cell
-
-
-def tokens(text) -> Column:
-    """Lower-cased word tokens of ``text``: built-in lower/split/array_remove,
-    all JVM-side with generated code (no lambda, no Python)."""
-    t = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT, -1), F.lit(""))
-
-
-# ---- the grid -------------------------------------------------------------------
-
-def _candidate_schema(qid: T.DataType, did: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField("query_id", qid), T.StructField("doc_id", did), T.StructField("score", T.DoubleType())])
-
-
-def _result(cands: DataFrame, k: int) -> DataFrame:
-    """Merge the cells' candidates under the order used inside them (score
-    desc, id asc)."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
-
-
-def _on_grid(corpus: DataFrame, queries: DataFrame, n_docs: int, n_queries: int, block_rows: int, score, schema) -> DataFrame:
-    """Co-group ``corpus`` (with ``did``) and ``queries`` (with ``qid``) on the
-    cells of a (block, shard) grid. Rows are dealt by a hash of their id."""
-    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    shards = max(1, min(n, n_docs), math.ceil(n_docs / SHARD_ROWS))
-    blocks = max(1, math.ceil(n_queries / max(1, block_rows)))
-    left = corpus.select("*", F.pmod(F.xxhash64("did"), F.lit(shards)).alias("__s"),
-                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__b"))
-    right = queries.select("*", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("__b"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("__s"))
-    return left.groupBy("__b", "__s").cogroup(right.groupBy("__b", "__s")).applyInArrow(score, schema)
-
-
-class _Best:
-    """The best ``k`` rows per query seen so far, under (score rounded to 6
-    places desc, id asc). Rows are offered in chunks; each chunk is cut to its
-    own best ``k`` first, which is exact for the same order."""
-
-    def __init__(self, n_queries: int, k: int):
-        self.k, self.kth = k, np.full(n_queries, -np.inf)
-        self.rows: list[list[tuple[float, object]]] = [[] for _ in range(n_queries)]
-
-    def offer(self, scores: np.ndarray, ids: list, positive_only: bool) -> None:
-        """``scores``: rows x queries, rows in ascending order of ``ids``; nan is no match.
-        With ``positive_only`` the raw score decides, before rounding."""
-        ok = scores > 0 if positive_only else ~np.isnan(scores)
-        sc = np.where(ok, np.round(scores, 6), -np.inf)
-        n = len(ids)
-        if n > self.k:
-            least = np.partition(sc, n - self.k, axis=0)[n - self.k]
-            ok &= sc >= np.maximum(least, self.kth)[None, :]
-        q, r = np.nonzero(ok.T)
-        ends = np.searchsorted(q, np.arange(sc.shape[1] + 1))
-        for j in np.unique(q):
-            pick = r[ends[j]:ends[j + 1]]
-            v = sc[pick, j]
-            pick = pick[np.lexsort((pick, -v))[:self.k]]   # ties to the smaller id: rows ascend by id
-            both = self.rows[j] + [(-float(sc[i, j]), ids[i]) for i in pick]
-            both.sort()
-            self.rows[j] = both[:self.k]
-            if len(both) >= self.k:
-                self.kth[j] = -self.rows[j][-1][0]
-
-    def table(self, qids: list, schema: pa.Schema) -> pa.Table:
-        flat = [(qids[j], d, -s) for j, rows in enumerate(self.rows) for s, d in rows]
-        return pa.table([pa.array([f[i] for f in flat], schema.types[i]) for i in range(3)], names=schema.names)
-
-
-def _by_id(t: pa.Table, name: str = "did") -> pa.Table:
-    return t.sort_by(name)
-
-
-def _types(df: DataFrame, *names: str) -> list[T.DataType]:
-    return [df.schema[n].dataType for n in names]
-
-
-# ---- vectors -----------------------------------------------------------------
-
-def _unit_rows(column: pa.ChunkedArray) -> np.ndarray:
-    """List values flattened to one matrix of unit rows (nan for a zero vector)."""
-    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    m = flat.reshape(len(column), -1)
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
-    norms[norms == 0] = np.nan  # cosine undefined for a zero vector
-    return m / norms
-
-
-def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, query_id: str = "vec_id",
-                doc_id: str = "vec_id", vec_col: str = "embedding", exclude_self: bool = True,
-                block_rows: int = 20_000, block_bytes: int = 64 << 20) -> DataFrame:
-    """Exact cosine top-``k`` corpus rows for every query vector.
-
-    Returns ``query_id, rank, doc_id, score`` (score rounded to 6 places;
-    ties by doc_id). ``exclude_self`` drops a doc whose id equals the query id.
-    A block holds about ``block_rows`` queries or ``block_bytes`` of float64
-    vectors (count and widest vector are measured first). Rows without a
-    vector take no part.
-    """
-    q = queries.select(F.col(query_id).alias("qid"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull())
-    c = corpus.select(F.col(doc_id).alias("did"), F.col(vec_col).alias("v")).where(F.col("v").isNotNull())
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("v")).alias("dim")).first()
-    rows = min(block_rows, max(1, block_bytes // (8 * max(1, size["dim"] or 1))))
-    schema = _candidate_schema(*_types(q, "qid"), *_types(c, "did"))
-
-    def score(docs: pa.Table, block: pa.Table) -> pa.Table:
-        arrow = pa.schema([("query_id", block.schema.field("qid").type), ("doc_id", docs.schema.field("did").type), ("score", pa.float64())])
-        best = _Best(block.num_rows, k)
-        qids = block.column("qid").to_pylist()
-        if docs.num_rows and qids:
-            qm = _unit_rows(block.column("v")).T.copy()
-            at = {x: i for i, x in enumerate(qids)}
-            docs = _by_id(docs)
-            step = max(1, MAX_CELLS // len(qids))
-            for lo in range(0, docs.num_rows, step):
-                part = docs.slice(lo, step)
-                ids = part.column("did").to_pylist()
-                sc = _unit_rows(part.column("v")) @ qm
-                if exclude_self:
-                    own = [(i, at[x]) for i, x in enumerate(ids) if x in at]
-                    if own:
-                        sc[tuple(np.array(own).T)] = np.nan
-                best.offer(sc, ids, positive_only=False)
-        return best.table(qids, arrow)
-
-    return _result(_on_grid(c, q, c.count(), size["n"], rows, score, schema), k)
-
-
-# ---- keywords (BM25) -----------------------------------------------------------
-
-def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str = "item_id",
-                 query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
-                 k1: float = BM25_K1, b: float = BM25_B, block_rows: int = 5_000,
-                 block_terms: int = 200_000) -> DataFrame:
-    """Exact BM25 top-``k`` documents per query text.
-
-    A block holds about ``block_rows`` queries and ``block_terms`` distinct
-    (query, term) pairs, both counted. Document frequencies of the queries'
-    terms come from one aggregation and stay a table; a cell scores its
-    documents against its block -- a dense BLAS product for terms shared by
-    many queries, a sparse term join for the rest -- and keeps its best ``k``
-    per query. Every document that shares a term with a query scores above
-    zero and counts, however small its score; scores are rounded to 6 places
-    after that. (Which terms go the dense way depends on the block, and with
-    it the order of summation: a score within 1e-15 of a rounding edge may
-    round either way.)
-    """
-    spark = docs.sparkSession
-    d = docs.select(F.col(doc_id).alias("did"), tokens(doc_text).alias("toks"))
-    q = queries.select(F.col(query_id).alias("qid"), tokens(query_text).alias("toks"))
-    pairs = (q.select("qid", F.explode("toks").alias("term"))
-             .groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    sizes = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.array_size(F.array_distinct("toks"))).alias("pairs")).first()
-    n_queries, n_pairs = int(sizes["n"] or 0), int(sizes["pairs"] or 0)
-    n_docs, total = d.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.array_size("toks")), F.lit(0))).first()
-    schema = _candidate_schema(*_types(q, "qid"), *_types(d, "did"))
-    if not (n_queries and n_pairs and n_docs and total):
-        return _result(spark.createDataFrame([], schema), k)
-    avgdl = total / n_docs
-    seen = (d.select(F.explode(F.array_distinct("toks")).alias("term")).join(pairs.select("term").distinct(), "term", "left_semi")
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    weights = pairs.join(seen, "term").select(
-        "qid", "term", "df", (F.col("qtf") * F.log1p((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
-    rows = max(1, min(block_rows, n_queries * block_terms // n_pairs))
-
-    def score(part: pa.Table, block: pa.Table) -> pa.Table:
-        arrow = pa.schema([("query_id", block.schema.field("qid").type), ("doc_id", part.schema.field("did").type), ("score", pa.float64())])
-        prepared = _Block(block, n_docs) if block.num_rows else None
-        best = _Best(len(prepared.qids) if prepared else 0, k)
-        if prepared and part.num_rows:
-            part = _by_id(part)
-            step = max(1, MAX_CELLS // len(prepared.qids))
-            for lo in range(0, part.num_rows, step):
-                some = part.slice(lo, step)
-                sc = prepared.score(some.column("toks"), avgdl, k1, b)
-                if sc is not None:
-                    best.offer(sc, some.column("did").to_pylist(), positive_only=True)
-        return best.table(prepared.qids if prepared else [], arrow)
-
-    return _result(_on_grid(d, weights, n_docs, n_queries, rows, score, schema), k)
-
-
-class _Block:
-    """Term weights of a block of queries: a dense matrix for terms that many
-    queries and documents hold, a sorted list for the rest."""
-
-    def __init__(self, weights: pa.Table, n_docs: int):
-        terms = weights.column("term").combine_chunks().dictionary_encode()
-        self.terms = terms.dictionary
-        t = terms.indices.to_numpy()
-        values = weights.column("qid").to_pylist()
-        self.qids = sorted(set(values))
-        place = {x: i for i, x in enumerate(self.qids)}
-        q = np.array([place[x] for x in values])
-        w = weights.column("w").to_numpy()
-        n, nq = len(self.terms), len(self.qids)
-        df = np.zeros(n)
-        df[t] = weights.column("df").to_numpy()
-        cost = np.bincount(t, minlength=n) * (df / n_docs)
-        order = np.argsort(-cost, kind="stable")[:max(0, DENSE_CELLS // nq)]
-        dense = order[cost[order] * 64 >= nq]
-        self.dense_of = np.full(n, -1, dtype=np.int64)
-        self.dense_of[dense] = np.arange(dense.size)
-        self.dense = np.zeros((dense.size, nq))
-        d = self.dense_of[t] >= 0
-        self.dense[self.dense_of[t[d]], q[d]] = w[d]
-        o = np.argsort(t[~d], kind="stable")
-        self.t, self.q, self.w = t[~d][o], q[~d][o], w[~d][o]
-
-    def score(self, toks: pa.ChunkedArray, avgdl: float, k1: float, b: float) -> np.ndarray | None:
-        """rows x queries, or None if no row holds a term of the block."""
-        toks = toks.combine_chunks()
-        n, nq = len(toks), len(self.qids)
-        lens = toks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        found = pa.compute.index_in(toks.flatten(), value_set=self.terms).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(n), lens)
-        hit = ~np.isnan(found)
-        if not hit.any():
-            return None
-        key, tf = np.unique(rows[hit] * len(self.terms) + found[hit].astype(np.int64), return_counts=True)
-        r, t = key // len(self.terms), key % len(self.terms)
-        tfw = tf * (k1 + 1) / (tf + k1 * (1 - b + b * lens[r] / avgdl))
-        out = np.zeros((n, nq))
-        col = self.dense_of[t]
-        d = col >= 0
-        if d.any():
-            m = np.zeros((n, self.dense.shape[0]))
-            m[r[d], col[d]] = tfw[d]
-            out += m @ self.dense
-        rs, ts, vs = r[~d], t[~d], tfw[~d]
-        lo = np.searchsorted(self.t, ts, "left")
-        count = np.searchsorted(self.t, ts, "right") - lo
-        if tot := int(count.sum()):
-            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(tot)
-            out += np.bincount(np.repeat(rs, count) * nq + self.q[at], weights=np.repeat(vs, count) * self.w[at], minlength=n * nq).reshape(n, nq)
-        return out
 
+from brickyard.operators.text_index import (BM25_B, BM25_K1, TOKEN_SPLIT, TermIndex, keyword_topk, term_index,  # noqa: F401
+                                            tokens)
+from brickyard.operators.vectors import vector_topk, vector_topk_lists  # noqa: F401
 
-# ---- context, history, prompt ----------------------------------------------------
 
 def assemble_context(ranked: DataFrame, texts: DataFrame, doc_id: str = "doc_id",
                      text_col: str = "text") -> DataFrame:

@@ -476,6 +476,9 @@ r AS (SELECT query_id, doc_id, round(score, 6) AS score,
 SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= {R.VECTOR_K}"""
     S["keyword_topk"] = with_(bm25_ctes("SELECT item_id AS qid, text AS qtext FROM benchmark", R.KEYWORD_K),
                               "SELECT * FROM ranked")
+    S["term_index"] = f"""WITH dt AS (SELECT row_number() OVER () AS place, {tokens_sql('text')} AS toks FROM documents),
+held AS (SELECT term, place, any_value(dl) AS dl, count(*) AS tf FROM (SELECT place, len(toks) AS dl, unnest(toks) AS term FROM dt) GROUP BY term, place)
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, CAST(max(tf) AS INTEGER) AS max_tf, CAST(min(dl) AS INTEGER) AS min_len FROM held GROUP BY term"""
     S["context_assembly"] = with_(bm25_ctes("SELECT item_id AS qid, text AS qtext FROM benchmark", R.CONTEXT_K)
                                   + [context_cte("ctx", "ranked")], "SELECT * FROM ctx")
     S["chat_history"] = with_([history_cte("h", R.HISTORY_N)],

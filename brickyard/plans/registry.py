@@ -34,6 +34,7 @@ SIZE_CODE_NAMES = {"S": "Small", "M": "Medium", "L": "Large", "XL": "X-Large"}
 FRESHNESS_AS_OF = "2024-02-01 00:00:00"
 TOP_PRODUCTS = 10
 VECTOR_K = 5
+VECTOR_RECALL = 0.97  # of the k best, asked of the inverted lists
 KEYWORD_K = 5
 CONTEXT_K = 3
 HISTORY_N = 5
@@ -390,6 +391,16 @@ def keyword_topk(spark, d):
     return retrieve.keyword_topk(s.raw("benchmark"), s.raw("documents"), KEYWORD_K)
 
 
+def vector_topk_lists(spark, d):
+    e = _star(spark, d).raw("embeddings")
+    return retrieve.vector_topk_lists(e, e, VECTOR_K, "vec_id", "vec_id", "embedding", exclude_self=True, recall=VECTOR_RECALL)
+
+
+def term_index(spark, d):
+    """What the index of all documents says of every term."""
+    return retrieve.term_index(_star(spark, d).raw("documents")).terms().select("term", "df", "cf", "max_tf", "min_len")
+
+
 def context_assembly(spark, d):
     s = _star(spark, d)
     docs = s.raw("documents")
@@ -476,7 +487,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_revenue_by_quarter": q_revenue_by_quarter,
     "q_avg_order_value": q_avg_order_value,
     "vector_topk": vector_topk,
+    "vector_topk_lists": vector_topk_lists,
     "keyword_topk": keyword_topk,
+    "term_index": term_index,
     "context_assembly": context_assembly,
     "chat_history": chat_history,
     "prompt_assembly": prompt_assembly,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from runtime sizes
 # (size-checked broadcast), coalesces small shuffle partitions and splits
@@ -71,3 +71,10 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_counting(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``staged``, and aggregates over its rows taken while they are written."""
+    seen = Observation()
+    out = staged(df.observe(seen, *(c.alias(name) for name, c in metrics.items())), tag)
+    return out, seen.get

@@ -7,6 +7,8 @@ import regex
 from pyspark.sql import functions as F
 
 from brickyard.operators import retrieve as R
+from brickyard.operators import text_index as X
+from brickyard.operators import vectors as V
 
 
 def test_history_window(spark):
@@ -68,7 +70,7 @@ def test_keyword_topk_matches_brute_force(spark):
     d = spark.createDataFrame(docs, "doc_id bigint, text string")
     q = spark.createDataFrame(queries, "item_id bigint, text string")
     want = _brute_bm25(queries, docs, 3)
-    for block in (100, 1):
+    for block in (100, 1):   # one block of queries, then many
         got = {}
         for r in R.keyword_topk(q, d, 3, block_rows=block).orderBy("query_id", "rank").collect():
             got.setdefault(r.query_id, []).append(r.doc_id)
@@ -125,19 +127,19 @@ def test_copy_cluster_emits_only_k_per_task(spark):
     q = spark.createDataFrame([(1, "alpha beta")], "item_id bigint, text string")
     out = R.keyword_topk(q, d, 3).orderBy("rank").collect()
     assert [r.doc_id for r in out] == [0, 1, 2]          # ties broken by smallest id
-    best = R._Best(1, 3)
+    best = X.Best([1], 3)
     for lo in (5, 0):
-        best.offer(np.ones((5, 1)), list(range(lo, lo + 5)), positive_only=True)
+        best.offer(np.ones((5, 1)), list(range(lo, lo + 5)), np.ones((5, 1), bool))
     assert best.rows[0] == [(-1.0, 0), (-1.0, 1), (-1.0, 2)]
 
 
 def test_candidates_are_k_a_query_and_cell(spark, monkeypatch):
-    monkeypatch.setattr(R, "MAX_CELLS", 500)   # many chunks in a cell
+    monkeypatch.setattr(V, "MAX_CELLS", 500)   # many chunks in a cell
     r = np.random.default_rng(3)
     e = spark.createDataFrame([(i, [float(x) for x in r.normal(size=8)]) for i in range(600)], "vec_id bigint, embedding array<double>")
     seen = []
-    final = R._result
-    monkeypatch.setattr(R, "_result", lambda c, k: (seen.append(c), final(c, k))[1])
+    final = V.best_k
+    monkeypatch.setattr(V, "best_k", lambda c, k: (seen.append(c), final(c, k))[1])
     R.vector_topk(e.where("vec_id < 50"), e, 4)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert seen[0].count() <= 4 * 50 * parts
