@@ -49,7 +49,7 @@ WITH v AS (
 scored AS (
   SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score,
          row_number() OVER (PARTITION BY a.rid ORDER BY list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT DESC, b.vec_id) AS rank
-  FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0)
+  FROM v a JOIN v b ON a.rid <> b.rid AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0 AND len(a.q) > 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM scored WHERE rank <= 5
 """
 
