@@ -8,7 +8,8 @@ ORACLE["op2_mixing"] = r"""
 WITH rows AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('42|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('42|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h,
+         ('0x' || substr(md5('42|' || coalesce(text, '')), 1, 15))::BIGINT AS t, row_number() OVER () AS u
   FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS size FROM rows GROUP BY source),
 weighted AS (
@@ -29,14 +30,11 @@ plan AS (
          CASE WHEN size > 0 THEN least(3, floor(least((3 * size)::DOUBLE, lv * weight) / size)) ELSE 0 END::BIGINT AS whole
   FROM weighted, level),
 ordered AS (
-  SELECT r.doc_id, r.size, p.source_size, p.target, p.whole,
-         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.h)::BIGINT AS upto,
-         sum(r.size) OVER (PARTITION BY r.source, r.h)::BIGINT AS tied
+  SELECT r.doc_id, r.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest,
+         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.h, r.t, r.u)::BIGINT AS upto
   FROM rows r JOIN plan p ON r.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       (size * whole + CASE WHEN upto <= target - whole * source_size THEN size
-                            WHEN upto - tied < target - whole * source_size
-                            THEN floor((target - whole * source_size - (upto - tied)) * size / tied) ELSE 0 END)::BIGINT AS taken,
+       (size * whole + CASE WHEN upto <= rest THEN size WHEN upto - size < rest THEN floor(rest - (upto - size)) ELSE 0 END)::BIGINT AS taken,
        target / source_size AS epochs
 FROM ordered
 """

@@ -94,3 +94,34 @@ def test_null_and_repeated_ids_keep_to_their_source(spark):
     weights = targets({"a": 2000, "b": 2400, "c": 2000, "d": 3}, {"a": 5, "b": 2, "c": 1, "d": 5}, 3)
     assert target[2400] == pytest.approx(weights["b"]) and got["d"] == 9
     assert all(abs(got[s] - weights[s]) <= 250 for s in "abc"), (got, weights)
+
+
+@pytest.mark.parametrize("ids,texts", [("null", "equal"), ("null", "different"), ("one", "equal"), ("one", "different"), ("one", "long")])
+def test_ties_meet_their_target(spark, ids, texts):
+    """A whole source under one id, or under none: the remainder is dealt row by row, as the SQL does."""
+    word = {"equal": lambda i: "w", "different": lambda i: f"w{i}", "long": lambda i: "a b c d e f g"}[texts]
+    rows = [(None if ids == "null" else 7, word(i), "a", None, 0) for i in range(1000)] + [(i, "x " * 20, "b", None, 0) for i in range(150)]
+    schema = "doc_id long, text string, source string, lang string, n_chars long"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    got = mix(df).collect()
+    for size in {r.source_size for r in got}:
+        mine = [r for r in got if r.source_size == size]
+        assert sum(r.taken for r in mine) == int(mine[0].target)
+        assert all(0 <= r.taken <= 3 * r.size for r in mine)
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(ORACLE["op2_mixing"]).fetchall()))
+    out = repeat_rows(df).collect()
+    target = {r.source_size: r.target for r in got}
+    for source, size in (("a", sum(sizes(r[1]) for r in rows if r[2] == "a")), ("b", 3000)):
+        taken = sum(sizes(r.text) for r in out if r.source == source)
+        # equal rows at the cut are drawn one by one
+        assert abs(taken - target[size]) <= (0.1 * size if source == "a" else 20)
+
+
+def test_long_text_and_clashing_names(spark):
+    rows = [(1, "w " * 300_000, "a", 1, 2, 3), (2, "v", "a", 1, 2, 3), (3, "u " * 1000, "b", 1, 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, h int, cut_h int, size int")
+    got = {r.doc_id: r for r in mix(df).collect()}
+    assert got[1].size == 300_000 and got[1].taken + got[2].taken == int(got[1].target)
+    assert repeat_rows(df).columns == df.columns
