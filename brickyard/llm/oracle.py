@@ -52,43 +52,44 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM scored WHERE rank <=
 """
 
 
-def _url_tree() -> str:
-    """The same tree in SQL: literal segments, templates, merging level by level, purity."""
+def _url_tree(n: int = 6) -> str:
+    """The same tree in SQL: ``n`` levels of branches over the labelled urls, then every url's way down."""
     host, path = (f"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {i})" for i in (1, 2))
     fits = {r: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
             for r, h, p in (("org/", "org", "/"), ("example.org/es/", "example.org", "/es/"), ("example.org/en/1", "example.org", "/en/1"),
                             ("com/fr/", "com", "/fr/"), ("com/de/", "com", "/de/"))}
-    by_length = sorted(fits, key=len, reverse=True)
-    rule = "CASE " + " ".join(f"WHEN {fits[r]} THEN '{r}'" for r in by_length) + " END"
+    rule = "CASE " + " ".join(f"WHEN {fits[r]} THEN '{r}'" for r in sorted(fits, key=len, reverse=True)) + " END"
     levels = ""
-    for d in (4, 3, 2, 1):
-        wide = f"list_transform(node, lambda s, i: CASE WHEN i = {d} THEN '*' ELSE s END)"
+    for d in range(1, n + 1):
+        def down(name, cols, d=d):
+            return f"""
+{name}{d} AS (
+  SELECT {cols}, r.host, segs, CASE WHEN len(segs) < {d} THEN r.node ELSE coalesce(o.next, r.node || '/*') END AS node,
+         CASE WHEN len(segs) < {d} THEN r.p WHEN o.next IS NOT NULL THEN o.p ELSE coalesce(w.p, r.p) END AS p
+  FROM {name}{d - 1} r LEFT JOIN step{d} o ON r.host = o.host AND r.node = o.node AND segs[{d}] = o.seg
+  LEFT JOIN step{d} w ON r.host = w.host AND r.node = w.node AND w.seg IS NULL),"""
         levels += f"""
-own{d} AS (SELECT host, node, sum(labelled)::BIGINT AS l, sum(blocked)::BIGINT AS b, {wide} AS wide FROM nodes{d + 1} GROUP BY host, node),
-pool{d} AS (SELECT host, wide, sum(l)::DOUBLE AS pl, sum(b)::DOUBLE AS pb FROM own{d} GROUP BY host, wide),
-step{d} AS (SELECT host, node, CASE WHEN l > 0 AND abs(b::DOUBLE / l - pb / pl) > 1.96::DOUBLE * sqrt(pb / pl * (1 - pb / pl) / l) THEN node ELSE wide END AS next
-  FROM own{d} JOIN pool{d} USING (host, wide)),
-nodes{d} AS (SELECT host, template, labelled, blocked, next AS node FROM nodes{d + 1} JOIN step{d} USING (host, node)),"""
+kids{d} AS (SELECT host, node, segs[{d}] AS seg, sum(l)::BIGINT AS l, sum(b)::BIGINT AS b, any_value(p) AS p FROM lab{d - 1} WHERE len(segs) >= {d} GROUP BY ALL),
+sums{d} AS (SELECT *, sum(l) OVER w - l AS rl, sum(b) OVER w - b AS rb, sum(b) OVER w / sum(l) OVER w::DOUBLE AS rate FROM kids{d} WINDOW w AS (PARTITION BY host, node)),
+own{d} AS (SELECT *, CASE WHEN rl > 0 AND abs(b::DOUBLE / l - rb::DOUBLE / rl) > 1.96::DOUBLE * sqrt(rate * (1 - rate) * (1.0::DOUBLE / l + 1.0::DOUBLE / rl)) THEN seg END AS own FROM sums{d}),
+step{d} AS (SELECT host, node, own AS seg, node || '/' || coalesce(own, '*') AS next, (sum(b) + 4.0::DOUBLE * any_value(p)) / (sum(l) + 4.0::DOUBLE) AS p
+  FROM own{d} GROUP BY host, node, own),{down("lab", "l, b")}{down("url", "page_id, path, rule, ruled, known")}"""
     return f"""
 WITH urls AS (SELECT page_id, translate({host}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, {path} AS path FROM pages),
-ruled AS (SELECT *, {rule} AS rule, [s FOR s IN string_split(path, '/') IF s <> ''][1:4] AS segs FROM urls),
-judged AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM ruled),
-total AS (SELECT host, count(*) AS urls FROM judged GROUP BY host),
-seen AS (SELECT host, s, count(*) AS n FROM (
-  SELECT host, unnest(list_transform(segs, lambda s, i: i || '/' || s)) AS s FROM judged) GROUP BY host, s),
-literals AS (SELECT host, list(s) AS lits FROM seen JOIN total USING (host) WHERE n >= 5 AND n * 100 >= urls GROUP BY host),
-placed AS (SELECT j.*, list_transform(segs, lambda s, i: CASE WHEN list_contains(coalesce(lits, []), i || '/' || s) THEN s ELSE '*' END) AS template
-  FROM judged j LEFT JOIN literals USING (host)),
-stats AS (SELECT host, template, count(ruled)::BIGINT AS labelled, count(*) FILTER (ruled = 'block')::BIGINT AS blocked FROM placed GROUP BY host, template),
-nodes5 AS (SELECT *, template AS node FROM stats),{levels}
-everything AS (SELECT coalesce(sum(blocked)::DOUBLE / nullif(sum(labelled), 0), 0) AS prior FROM stats),
-hosts AS (SELECT host, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS prior, sum(labelled) > 0 AS any_label
-  FROM stats, everything GROUP BY host),
-purity AS (SELECT host, node, (sum(blocked) + 4.0::DOUBLE * any_value(prior)) / (sum(labelled) + 4.0::DOUBLE) AS purity, any_value(any_label) AS any_label
-  FROM nodes1 JOIN hosts USING (host) GROUP BY host, node)
-SELECT page_id, p.host, path, rule, coalesce(ruled, CASE WHEN any_label AND purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
-       '/' || array_to_string(n.node, '/') AS template, purity
-FROM placed p JOIN nodes1 n ON p.host = n.host AND p.template = n.template JOIN purity u ON n.host = u.host AND n.node = u.node
+cut AS (SELECT *, {rule} AS rule, [s FOR s IN string_split(path, '/') IF s <> ''] AS every FROM urls),
+judged AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled,
+         CASE WHEN len(every) > {n} THEN every[1:{n - 1}] || [array_to_string(every[{n}:], '/')] ELSE every END AS segs
+  FROM cut),
+labelled AS (SELECT host, segs, count(*) AS l, count(*) FILTER (ruled = 'block') AS b FROM judged WHERE ruled IS NOT NULL GROUP BY host, path, segs),
+prior AS (SELECT coalesce(sum(b)::DOUBLE / nullif(sum(l), 0), 0) AS prior FROM labelled),
+hosts AS (SELECT host, (sum(b) + 4.0::DOUBLE * any_value(prior)) / (sum(l) + 4.0::DOUBLE) AS p FROM labelled, prior GROUP BY host),
+lab0 AS (SELECT l, b, host, segs, '' AS node, p FROM labelled JOIN hosts USING (host)),
+url0 AS (SELECT page_id, path, rule, ruled, h.host IS NOT NULL AS known, j.host, segs, '' AS node, coalesce(h.p, prior) AS p
+  FROM judged j LEFT JOIN hosts h ON j.host = h.host, prior),{levels.rstrip(",")}
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN known AND p >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN node = '' THEN '/' ELSE node END AS template, p AS purity
+FROM url{n}
 """
 
 

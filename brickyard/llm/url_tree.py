@@ -1,33 +1,38 @@
 """URL filter: rules, and a path-template tree for what no rule decides.
 
-Per host, path segments that few of its urls share turn into wildcards, which
-gives path templates. From the deepest level up, sibling branches whose
-labelled block rates don't differ from their pool's merge into one wildcard
-branch. A template is rejected if its smoothed labelled purity (the share of
-blocked urls, shrunk to its host's, and that to the share of all labels)
-reaches the threshold. Labels are the urls that a rule decides.
-
-DataFrame functions only. A host's literals and templates are bounded by its
-parameters (a segment must hold ``SEGMENT_SHARE`` of the host's urls), so one
-row a host is joined to the urls; its size is checked before a broadcast, and
-a hot host is split by the adaptive join otherwise.
+Labels are the urls that a rule decides. The tree of a host is grown from its
+root, a level a path segment. At every node a branch (the urls that share the
+next segment) stays on its own if its labelled block rate differs from its
+siblings', by a two-sample test on their counts of labels; all other branches,
+statistically alike or without labels, merge into one wildcard branch. A
+node's purity is its labelled block rate, shrunk to its parent's purity (the
+host's to the share of all labels), so a branch without labels has its
+parent's purity, all of the parent's labels counted. A url is rejected if the
+purity of the template it falls to reaches the threshold.
+
+Whole paths are read: the last of ``LEVELS`` levels takes all segments that are
+left as one. DataFrame functions only. Only labelled urls grow the tree. Its
+nodes are plain rows (host, node, branch); urls find their way down by one
+equi-join a level, with the rows broadcast where their counted bytes allow
+it, so urls are not shuffled; beyond that the join splits hot hosts.
 
 Null urls and urls without ``://`` have an empty host and path, and form a
-host of their own. Segments below ``DEPTH`` belong to the node above them.
-A host without labels is not rejected. Repeated rows count each. Other columns
-are ignored; an empty table gives no rows.
+host of their own. A host without labels is not rejected. A segment that is a
+star reads as the wildcard. Very long urls are read whole. Repeated rows count
+each. Other columns are ignored, whatever their names; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_or_shuffled, written
+from .common import written
 
-DEPTH = 4
-#: A literal segment holds so many, and this percentage, of its host's urls.
-SEGMENT_URLS, SEGMENT_PERCENT = 5, 1
+LEVELS = 6
+#: Bytes (counted) up to which a level's nodes are broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Width of the test for different block rates; weight of the prior; purity that rejects.
 Z, PRIOR, REJECT = 1.96, 4.0, 0.5
 
@@ -53,44 +58,68 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
 
 
 def _segments(path: Column) -> Column:
-    return F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, DEPTH)
-
-
-def _literals(rows: DataFrame) -> DataFrame:
-    """(host, literals): the host's literal segments as "depth/segment"."""
-    total = rows.groupBy("host").agg(F.count("*").alias("urls"))
-    seen = (rows.select("host", F.posexplode(_segments(F.col("path"))).alias("d", "s"))
-            .groupBy("host", F.concat(F.col("d") + 1, F.lit("/"), "s").alias("s")).agg(F.count("*").alias("n")))
-    kept = seen.join(total, "host").filter((F.col("n") >= SEGMENT_URLS) & (F.col("n") * 100 >= F.col("urls") * SEGMENT_PERCENT))
-    return total.select("host").join(kept.groupBy("host").agg(F.collect_list("s").alias("literals")), "host", "left")
-
-
-def _template(path: Column, literals: Column) -> Column:
-    return F.transform(_segments(path), lambda s, i: F.when(
-        F.array_contains(F.coalesce(literals, F.array().cast("array<string>")), F.concat(i + 1, F.lit("/"), s)), s).otherwise(F.lit("*")))
-
-
-def _widened(node: Column, depth: int) -> Column:
-    return F.transform(node, lambda s, i: F.when(i == depth - 1, F.lit("*")).otherwise(s))
-
-
-def _sum(col: str, *by: str) -> Column:
-    """Sum within a host's templates: as few rows as the literals allow."""
-    return F.sum(col).over(Window.partitionBy(*by))
-
-
-def _merged(stats: DataFrame) -> DataFrame:
-    """``stats`` with ``node``: the branch that each template merges into."""
-    nodes = stats.withColumn("node", F.col("template"))
-    for d in range(DEPTH, 0, -1):
-        nodes = nodes.withColumn("wide", _widened(F.col("node"), d))
-        p = F.try_divide(_sum("blocked", "host", "wide").cast("double"), _sum("labelled", "host", "wide"))
-        n = _sum("labelled", "host", "node")
-        nodes = nodes.withColumns({"p": p, "n": n, "b": _sum("blocked", "host", "node")})
-        unlike = (F.abs(F.try_divide(F.col("b").cast("double"), F.col("n")) - F.col("p"))
-                  > Z * F.sqrt(F.try_divide(F.col("p") * (1 - F.col("p")), F.col("n"))))
-        nodes = nodes.select("host", "template", "labelled", "blocked", F.when(unlike, F.col("node")).otherwise(F.col("wide")).alias("node"))
-    return nodes
+    """The path's segments; the last level's holds the rest."""
+    segs = F.filter(F.split(path, "/"), lambda s: s != "")
+    rest = F.slice(segs, LEVELS, F.greatest(F.size(segs), F.lit(1)))
+    return F.when(F.size(segs) > LEVELS, F.concat(F.slice(segs, 1, LEVELS - 1), F.array(F.array_join(rest, "/")))).otherwise(segs)
+
+
+def _shrunk(blocked: str, labelled: str, parent: Column) -> Column:
+    return (F.col(blocked) + PRIOR * parent) / (F.col(labelled) + PRIOR)
+
+
+def _level(at: DataFrame, d: int) -> DataFrame:
+    """The branches of level ``d`` that labelled paths ``at`` (host, node, segs,
+    l, b, p) take: (host, node, seg, next, p), with seg null for the wildcard."""
+    kids = (at.filter(F.size("segs") >= d).groupBy("host", "node", F.get("segs", F.lit(d - 1)).alias("seg"))
+            .agg(F.sum("l").alias("l"), F.sum("b").alias("b"), F.first("p").alias("p")))
+    all_of = kids.groupBy("host", "node").agg(F.sum("l").alias("all_l"), F.sum("b").alias("all_b"))
+    rest, rate = F.col("all_l") - F.col("l"), F.col("all_b").cast("double") / F.col("all_l")
+    apart = F.abs(F.col("b").cast("double") / F.col("l") - (F.col("all_b") - F.col("b")).cast("double") / rest)
+    unlike = (rest > 0) & (apart > Z * F.sqrt(rate * (1 - rate) * (F.lit(1.0) / F.col("l") + F.lit(1.0) / rest)))
+    branch = kids.join(all_of, ["host", "node"]).withColumn("own", F.when(F.when(rest > 0, unlike).otherwise(F.lit(False)), F.col("seg")))
+    return (branch.groupBy("host", "node", F.col("own").alias("seg")).agg(F.sum("l").alias("l"), F.sum("b").alias("b"), F.first("p").alias("up"))
+            .select("host", "node", "seg", F.concat("node", F.lit("/"), F.coalesce("seg", F.lit("*"))).alias("next"), _shrunk("b", "l", F.col("up")).alias("p")))
+
+
+def _small(nodes: DataFrame) -> bool | None:
+    """Whether counted bytes allow a broadcast; None if there are no nodes."""
+    size = F.sum(F.lit(64) + F.length("host") + F.length("node") + F.coalesce(F.length("seg"), F.lit(0)) + F.length("next"))
+    total = nodes.agg(size).first()[0]
+    return None if total is None else 4 * total <= BROADCAST_BYTES
+
+
+def _down(rows: DataFrame, nodes: DataFrame, small: bool, d: int) -> DataFrame:
+    """``rows`` (host, node, segs, p, ...) moved on by one level where their path has it."""
+    hint = F.broadcast if small else (lambda df: df)
+    own = nodes.filter("seg is not null").select("host", "node", F.col("seg").alias("_seg"), F.col("next").alias("_next"), F.col("p").alias("_p"))
+    wild = nodes.filter("seg is null").select("host", "node", F.col("p").alias("_wild"))
+    j = (rows.withColumn("_seg", F.get("segs", F.lit(d - 1))).join(hint(own), ["host", "node", "_seg"], "left")
+         .join(hint(wild), ["host", "node"], "left"))
+    here, branch = F.size("segs") >= d, F.col("_next").isNotNull()
+    return j.select(*(c for c in rows.columns if c not in ("node", "p")),
+                    F.when(here, F.coalesce("_next", F.concat("node", F.lit("/*")))).otherwise(F.col("node")).alias("node"),
+                    F.when(here & branch, F.col("_p")).when(here, F.coalesce("_wild", "p")).otherwise(F.col("p")).alias("p"))
+
+
+def grow(labelled: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, bool]], float]:
+    """From (host, path, l, b): each host's purity (host, p), the branches of
+    every level with whether they may be broadcast, and the share of all labels."""
+    paths = written(labelled.withColumn("segs", _segments(F.col("path"))).drop("path"), "labelled")
+    all_l, all_b = paths.agg(F.sum("l"), F.sum("b")).first()
+    prior = all_b / all_l if all_l else 0.0
+    hosts = written(paths.groupBy("host").agg(F.sum("l").alias("l"), F.sum("b").alias("b"))
+                    .select("host", _shrunk("b", "l", F.lit(prior)).alias("p")), "hosts")
+    at, levels = written(paths.join(hosts, "host").withColumn("node", F.lit("")), "paths"), []
+    for d in range(1, LEVELS + 1):
+        nodes = written(_level(at, d), "nodes")
+        small = _small(nodes)
+        if small is None:
+            break
+        levels.append((nodes, small))
+        at = _down(at, nodes, small, d)
+        at = at if small else written(at, "paths")
+    return hosts, levels, prior
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -99,23 +128,16 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = rows.withColumn("rule", rule).withColumn("ruled", verdict)
-    literals = written(_literals(rows), "literals")
-    n_hosts = literals.count()
-    with_template = ruled.join(small_or_shuffled(literals, n_hosts), "host").withColumn("template", _template(F.col("path"), F.col("literals")))
-    stats = written(with_template.groupBy("host", "template").agg(
-        F.count("ruled").alias("labelled"), F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("blocked")), "templates")
-    all_l, all_b = stats.agg(F.sum("labelled"), F.sum("blocked")).first()
-    prior = F.lit(all_b / all_l if all_l else 0.0)
-    nodes = _merged(stats).withColumns({
-        "hl": _sum("labelled", "host"), "hb": _sum("blocked", "host"), "l": _sum("labelled", "host", "node"), "b": _sum("blocked", "host", "node")})
-    host_prior = (F.col("hb") + PRIOR * prior) / (F.col("hl") + PRIOR)
-    purity = (F.col("b") + PRIOR * host_prior) / (F.col("l") + PRIOR)
-    known = nodes.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct(
-        F.concat_ws("/", "template").alias("t"),
-        F.struct(F.concat(F.lit("/"), F.concat_ws("/", "node")).alias("template"), purity.alias("purity"),
-                 ((F.col("hl") > 0) & (purity >= REJECT)).alias("reject"))))).alias("known"))
-    decided = written(literals.join(known, "host", "left"), "hosts")
-    out = (ruled.join(small_or_shuffled(decided, n_hosts), "host")
-           .withColumn("k", F.element_at("known", F.concat_ws("/", _template(F.col("path"), F.col("literals"))))))
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("k.reject"), "block").otherwise("allow")).alias("verdict"),
-                      F.col("k.template").alias("template"), F.col("k.purity").alias("purity"))
+    hosts, levels, prior = grow(ruled.filter("ruled is not null").groupBy("host", "path").agg(
+        F.count("*").alias("l"), F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("b")))
+    size = hosts.agg(F.sum(F.lit(64) + F.length("host"))).first()[0] or 0
+    known = hosts.select("host", F.col("p").alias("_root"))
+    at = (ruled.withColumn("segs", _segments(F.col("path"))).withColumn("node", F.lit(""))
+          .join(F.broadcast(known) if 4 * size <= BROADCAST_BYTES else known, "host", "left")
+          .withColumn("p", F.coalesce("_root", F.lit(0 + PRIOR * prior) / F.lit(PRIOR))))
+    for d, (nodes, small) in enumerate(levels, 1):
+        at = _down(at, nodes, small, d)
+    below = F.concat("node", F.repeat(F.lit("/*"), F.greatest(F.size("segs") - len(levels), F.lit(0))))
+    reject = F.col("_root").isNotNull() & (F.col("p") >= REJECT)
+    return at.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(reject, "block").otherwise("allow")).alias("verdict"),
+                     F.when(below == "", "/").otherwise(below).alias("template"), F.col("p").alias("purity"))
