@@ -236,11 +236,16 @@ def main_text(page: str | None, region: Region = Region()) -> str:
     on the page, what the tags say."""
     if not page:
         return ""
-    text = _main_text(page_tokens(page), region)
-    return text or region.by_tag and text or _main_text(page_tokens(page), region._replace(by_tag=True))
+    if not region.by_tag and (text := _main_text(page_tokens(page), region)[0]):
+        return text
+    text, main = _main_text(page_tokens(page))
+    if main or not region.template:
+        return text
+    return _main_text(page_tokens(page), region._replace(by_tag=True))[0]
 
 
-def _main_text(tokens: Iterable[Token], region: Region = Region()) -> str:
+def _main_text(tokens: Iterable[Token], region: Region = Region()) -> tuple[str, bool]:
+    """The text, and whether it is that of ``article`` or ``main`` elements."""
     blocks: list[tuple[bool, str]] = []
     parts: list[str] = []
     inside = False  # whether the open block lies in article or main
@@ -269,9 +274,8 @@ def _main_text(tokens: Iterable[Token], region: Region = Region()) -> str:
         elif t.kind == "space":
             parts.append(" ")
     end()
-    if region.by_tag and any(m for m, _ in blocks):
-        blocks = [b for b in blocks if b[0]]
-    return "\n".join(t for _, t in blocks)
+    main = region.by_tag and any(m for m, _ in blocks)
+    return "\n".join(t for m, t in blocks if m or not main), main
 
 
 def host_of(url: Column) -> Column:
@@ -348,7 +352,7 @@ def _ballots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             row += 1
             tokens = list(page_tokens(page.as_py() or ""))
-            region = _signed(xxhash.xxh64_intdigest(_main_text(tokens)))
+            region = _signed(xxhash.xxh64_intdigest(_main_text(tokens)[0]))
             if (host, region) in seen:
                 continue
             if len(seen) >= FLUSH_TOKENS:
