@@ -75,7 +75,7 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence,
 
 def silver_clean(bronze: DataFrame, columns: Mapping[str, tuple[object, str]],
                  keys: Sequence[str], tie_breakers: Sequence = (),
-                 order_by: Sequence = ("src_upd_ts",), trim: bool = True) -> DataFrame:
+                 order_by: Sequence = ("src_upd_ts",), trim: bool = True, keep_order: bool = False) -> DataFrame:
     """Bronze -> silver: rename + typed cast (``{new: (old_or_Column, type)}``),
     carry ``src_sys`` and the bronze load stamps as ``src_crt_ts``/``src_upd_ts``,
     drop null keys, keep the latest row per *cleaned* key.
@@ -83,8 +83,11 @@ def silver_clean(bronze: DataFrame, columns: Mapping[str, tuple[object, str]],
     ``order_by`` (descending) and ``tie_breakers`` (ascending) may name silver
     or raw bronze columns; raw ones ride along only until the dedupe.
     Deduping on the cleaned key means ``'a'`` and ``'a '`` collapse into one
-    row, as the grain requires.
+    row, as the grain requires. ``keep_order`` keeps the raw columns that order
+    a key's rows (``order_columns`` names them), so that later rows can be
+    measured against the winners.
     """
+    helpers, ob, tb = order_columns(columns, order_by, tie_breakers)
     sel = []
     for new, (old, typ) in columns.items():
         c = F.col(old) if isinstance(old, str) else old
@@ -92,14 +95,20 @@ def silver_clean(bronze: DataFrame, columns: Mapping[str, tuple[object, str]],
             c = F.trim(c.cast("string"))
         sel.append(c.cast(typ).alias(new))
     sel += [F.col("src_sys"), F.col("crt_ts").alias("src_crt_ts"), F.col("upd_ts").alias("src_upd_ts")]
+    out = require_keys(bronze.select(*sel, *[F.col(c).alias(name) for name, c in helpers.items()]), keys)
+    out = dedupe_latest(out, keys, ob, tb)
+    return out if keep_order else out.drop(*helpers)
+
+
+def order_columns(columns: Mapping[str, tuple[object, str]], order_by: Sequence, tie_breakers: Sequence) -> tuple[dict[str, str], list, list]:
+    """Of a ``silver_clean``: the helper columns that carry raw order columns
+    (name -> raw column), and the order and tie-breakers over its rows."""
     out_names = set(columns) | {"src_sys", "src_crt_ts", "src_upd_ts"}
-    helpers, ob, tb = [], [], []
+    helpers, ob, tb = {}, [], []
     for i, c in enumerate(list(order_by) + list(tie_breakers)):
         name = c
         if isinstance(c, str) and c not in out_names:
             name = f"__o{i}"
-            helpers.append(F.col(c).alias(name))
+            helpers[name] = c
         (ob if i < len(order_by) else tb).append(name)
-    out = require_keys(bronze.select(*sel, *helpers), keys)
-    out = dedupe_latest(out, keys, ob, tb)
-    return out.drop(*[f"__o{i}" for i in range(len(order_by) + len(tie_breakers))])
+    return helpers, ob, tb

@@ -198,3 +198,108 @@ def test_shared_folder_is_required_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Session())
+
+
+def test_moved_keys_leave_their_old_partition_by_default(spark, tmp_path):
+    from brickyard.operators.load import merge_partitions
+    path, schema = str(tmp_path / "t"), "k int, v string, p string"
+    merge_partitions(spark.createDataFrame([(1, "old", "p1"), (2, "b", "p1")], schema), path, "k", ["p"])
+    merge_partitions(spark.createDataFrame([(1, "new", "p2")], schema), path, "k", ["p"])
+    assert sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect()) == [(1, "new", "p2"), (2, "b", "p1")]
+
+
+@pytest.mark.parametrize("where", ["before", "between"])
+def test_merge_partitions_replay(spark, tmp_path, monkeypatch, where):
+    """A load that dies while it is written back is finished by a rerun; one that is through changes nothing; null keys stand once."""
+    from brickyard.operators import load as L
+    path, schema = str(tmp_path / "t"), "k int, v string, p string"
+    L.merge_partitions(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (None, "n0", "x")], schema), path, "k", ["p"], load="one")
+    batch = spark.createDataFrame([(2, "B", "x"), (None, "n1", "x")], schema)
+    real = L._publish
+
+    def die(spark_, merged, touched, target, cols):
+        if where == "between":   # written over, nothing deleted yet
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(target)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(L, "_publish", die)
+    with pytest.raises(KeyboardInterrupt):
+        L.merge_partitions(batch, path, "k", ["p"], load="two")
+    monkeypatch.setattr(L, "_publish", real)
+    want = sorted([(1, "a", "x"), (2, "B", "x"), (None, "n0", "x"), (None, "n1", "x")], key=str)
+    for _ in range(3):
+        L.merge_partitions(batch, path, "k", ["p"], load="two")
+        assert sorted((tuple(r) for r in spark.read.schema(schema).parquet(path).collect()), key=str) == want
+    L.merge_partitions(spark.createDataFrame([(2, "C", "y")], schema), path, "k", ["p"], load="three")
+    L.merge_partitions(batch, path, "k", ["p"], load="two")     # an old load does not come back
+    assert {r.v for r in spark.read.schema(schema).parquet(path).where("k = 2").collect()} == {"C"}
+
+
+def test_late_rows_replace_nothing(spark):
+    schema = "k int, v string, t int"
+    tgt = spark.createDataFrame([(1, "new", 5), (2, "b", 1), (None, "n", 0)], schema)
+    src = spark.createDataFrame([(1, "late", 3), (2, "B", 2), (3, "c", 0), (None, "m", 9)], schema)
+    out = sorted((tuple(r) for r in upsert(tgt, src, "k", latest_by=["t"]).collect()), key=str)
+    assert out == sorted([(1, "new", 5), (2, "B", 2), (3, "c", 0), (None, "n", 0), (None, "m", 9)], key=str)
+
+
+def test_first_load_plans_its_source_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        runs.add(1)
+        yield from batches
+
+    src = spark.range(10, numPartitions=1).mapInArrow(count, "id long")
+    assert load_incremental(src, None, "id", None).count() == 10 and runs.value == 1
+
+
+def test_nested_schema_sync(spark):
+    """Fields by name at every depth; whole numbers, decimals, floats and dates widen."""
+    tgt = spark.createDataFrame([(1, (1, "gone", (2, "x")), [(1, 2)], {"a": (1,)}, 5, 1.5, D1), (2, None, None, None, None, None, None)],
+                                "k int, s struct<a: int, b: string, n: struct<c: int, d: string>>, l array<struct<x: int, y: int>>, m map<string, struct<z: int>>, "
+                                "w int, f float, d date")
+    inc = spark.createDataFrame([], "k bigint, s struct<n: struct<c: bigint, e: string>, a: int, new: string>, l array<struct<y: bigint, q: string>>, "
+                                    "m map<string, struct<z: bigint, t: string>>, w decimal(12, 2), f double, d timestamp_ntz, extra int")
+    out = sync_schema(tgt, inc)
+    assert out.schema.simpleString() == inc.schema.simpleString().replace("w:decimal(12,2)", "w:decimal(12,2)")
+    row, empty = out.orderBy("k").collect()
+    assert row.s.asDict(recursive=True) == {"n": {"c": 2, "e": None}, "a": 1, "new": None}
+    assert [x.asDict() for x in row.l] == [{"y": 2, "q": None}] and row.m["a"].asDict() == {"z": 1, "t": None}
+    assert (str(row.w), row.f, row.d, row.extra) == ("5.00", 1.5, T1.replace(year=2015), None)
+    assert empty.s is None and empty.l is None and empty.m is None
+
+
+def test_type_lattice(spark):
+    from pyspark.sql import types as T
+
+    from brickyard.operators.load import SchemaChange, merged_type, synced_schema
+    i, l, s = T.IntegerType(), T.LongType(), T.StringType()
+    for a, b, want in ((i, l, l), (l, i, l), (T.ByteType(), T.ShortType(), T.ShortType()), (i, T.DecimalType(5, 2), T.DecimalType(12, 2)),
+                       (l, T.DecimalType(10, 2), T.DecimalType(22, 2)), (T.DecimalType(10, 4), T.DecimalType(12, 2), T.DecimalType(14, 4)),
+                       (T.DoubleType(), T.FloatType(), T.DoubleType()), (T.NullType(), s, s), (T.ArrayType(i), T.ArrayType(l), T.ArrayType(l))):
+        assert merged_type(a, b, "c") == want
+    for a, b in ((s, i), (i, s), (T.DecimalType(38, 0), T.DecimalType(20, 10)), (T.ArrayType(i), i), (T.TimestampType(), T.DateType()), (l, T.DoubleType())):
+        with pytest.raises(SchemaChange, match="a.b"):
+            merged_type(a, b, "a.b")
+    wide = synced_schema(T.StructType([T.StructField("v", l)]), T.StructType([T.StructField("V", i)]))
+    assert wide.simpleString() == "struct<V:bigint>"
+    tgt, inc = spark.createDataFrame([(1, 2**40)], "k int, v bigint"), spark.createDataFrame([(2, 7)], "k int, v int")
+    assert sorted(tuple(r) for r in load_incremental(inc, tgt, "k", "k").collect()) == [(1, 2**40), (2, 7)]   # a narrower batch is widened
+    with pytest.raises(SchemaChange, match="s.x"):
+        sync_schema(spark.createDataFrame([], "s struct<x: string>"), spark.createDataFrame([], "s struct<x: int>"))
+
+
+def test_footer_mark(spark, tmp_path):
+    from brickyard.operators.load import _footer_plan, footer_mark
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i, float(i), D1 if i % 2 else D2, f"s{i}") for i in range(100)], "k int, f double, d date, s string").repartition(3).write.parquet(path)
+    assert (footer_mark(spark, path, "k"), footer_mark(spark, path, "d"), footer_mark(spark, path, "f")) == (99, D2, 99.0)
+    plan = _footer_plan(spark, path, "k", lambda df: df._jdf.queryExecution().executedPlan().toString())
+    assert "PushedAggregation: [MAX(k)]" in plan and "max(k)" in plan.lower() and "ReadSchema: struct<max(k):int>" in plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+    src = spark.range(95, 105).selectExpr("cast(id as int) AS k")
+    assert sorted(r.k for r in incremental_filter(src, path, "k").collect()) == [100, 101, 102, 103, 104]
+    spark.createDataFrame([], "k int").write.parquet(str(tmp_path / "e"))
+    assert incremental_filter(src, str(tmp_path / "e"), "k").count() == 0
+    assert incremental_filter(src, str(tmp_path / "e"), "k", on_empty="all").count() == 10

@@ -1,0 +1,153 @@
+"""Merges behind a pointer: moved keys, kills, replays, and what is read and written."""
+
+import datetime as dt
+import os
+
+import pytest
+
+from brickyard.operators import versioned as V
+
+SCHEMA = "k bigint, v string, p string"
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def files(root):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
+
+
+def test_moved_keys_are_found(spark, tmp_path):
+    root = str(tmp_path / "t")
+    V.merge(frame(spark, [(1, "old", "p1"), (2, "b", "p1"), (3, "c", "p2"), (None, "n", "p2")]), root, "k", ["p"])
+    v = V.merge(frame(spark, [(1, "new", "p2"), (4, "d", "p3"), (None, "m", "p1")]), root, "k", ["p"])
+    assert rows(V.read_current(spark, root)) == sorted([(1, "new", "p2"), (2, "b", "p1"), (3, "c", "p2"), (4, "d", "p3"), (None, "n", "p2"), (None, "m", "p1")], key=str)
+    assert rows(V.read_current(spark, root, 0)) == sorted([(1, "old", "p1"), (2, "b", "p1"), (3, "c", "p2"), (None, "n", "p2")], key=str)
+    assert set(v.parts) == {"p=p1", "p=p2", "p=p3"}
+    V.merge(frame(spark, [(4, "e", None)]), root, "k", ["p"])   # its partition is emptied and goes
+    assert set(V.current(spark, root).parts) == {"p=p1", "p=p2", "p=__HIVE_DEFAULT_PARTITION__"}
+    V.merge(frame(spark, [(4, "f", "p1")]), root, "k", ["p"])
+    assert (4, "f", "p1") in rows(V.read_current(spark, root)) and len(rows(V.read_current(spark, root))) == 6
+
+
+def test_untouched_partitions_and_buckets_are_neither_read_nor_written(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    first = V.merge(frame(spark, [(i, "x", f"p{i % 10}") for i in range(2000)]), root, "k", ["p"])
+    before = set(files(root))
+    read = []
+    real, known = V._read, V._known
+    monkeypatch.setattr(V, "_read", lambda s, r, v, ids: (read.extend(ids), real(s, r, v, ids))[1])
+    monkeypatch.setattr(V, "_known", lambda s, r, v, buckets, key: (read.extend(buckets), known(s, r, v, buckets, key))[1])
+    v = V.merge(frame(spark, [(13, "y", "p7"), (5000, "z", "p7")]), root, "k", ["p"])   # 13 lies in p3
+    assert read[-2:] == ["p=p3", "p=p7"] and len(read) == 4    # two buckets of 1024, two partitions of ten
+    assert before < set(files(root))                            # nothing was overwritten
+    assert {i for i in v.parts if v.parts[i] != first.parts[i]} == {"p=p3", "p=p7"}
+    new = set(files(root)) - before
+    assert sum("/parts/" in f for f in new) <= 2 * spark.sparkContext.defaultParallelism and all("p=p3" in f or "p=p7" in f for f in new if "/parts/" in f)
+    got = {r.k: (r.v, r.p) for r in V.read_current(spark, root).collect()}
+    assert len(got) == 2001 and got[13] == ("y", "p7") and got[5000] == ("z", "p7")
+
+
+@pytest.mark.parametrize("where", ["upsert", "_write_keys", "_commit"])
+def test_a_killed_load_is_not_seen_and_a_rerun_completes_it(spark, tmp_path, monkeypatch, where):
+    """Killed before the partitions are written, after them, and before the switch."""
+    root = str(tmp_path / "t")
+    V.merge(frame(spark, [(1, "a", "x"), (2, "b", "y")]), root, "k", ["p"], load="one")
+    want = rows(V.read_current(spark, root))
+    batch = frame(spark, [(1, "A", "y"), (None, "n", "x")])
+
+    class Killed(Exception):
+        pass
+
+    def die(*_, **__):
+        raise Killed
+
+    real = getattr(V, where)
+    monkeypatch.setattr(V, where, die)
+    with pytest.raises(Killed):
+        V.merge(batch, root, "k", ["p"], load="two")
+    monkeypatch.setattr(V, where, real)
+    assert rows(V.read_current(spark, root)) == want and "two" not in V.current(spark, root).loads
+    V.merge(batch, root, "k", ["p"], load="two")
+    done = rows(V.read_current(spark, root))
+    assert done == sorted([(1, "A", "y"), (2, "b", "y"), (None, "n", "x")], key=str)
+    number = V.current(spark, root).number
+    assert V.merge(batch, root, "k", ["p"], load="two").number == number       # a replay changes nothing
+    assert rows(V.read_current(spark, root)) == done
+    assert len(V.remove_unread(spark, root)) >= 1 and rows(V.read_current(spark, root)) == done
+
+
+def test_a_killed_commit_is_overwritten(spark, tmp_path):
+    root = str(tmp_path / "t")
+    V.merge(frame(spark, [(1, "a", "x")]), root, "k", ["p"])
+    os.makedirs(root + "/current/v=1")     # no _SUCCESS
+    assert V.current(spark, root).number == 0
+    assert V.merge(frame(spark, [(1, "b", "x")]), root, "k", ["p"]).number == 1
+    assert rows(V.read_current(spark, root)) == [(1, "b", "x")]
+
+
+def test_types_and_odd_values(spark, tmp_path):
+    schema = "k string, q int, v double, d date, s string"
+    d = dt.date(2015, 1, 1)
+    root = str(tmp_path / "t")
+    V.merge(frame(spark, [("a", 1, 1.5, d, "01"), ("b", 2, None, d, "a/b:c=d %"), ("c", 3, 0.5, None, "1e3")], schema), root, ["k", "q"], ["s", "d"])
+    V.merge(frame(spark, [("b", 2, 9.0, d, "01"), ("a", 9, 1.0, d, "01")], schema), root, ["k", "q"], ["s", "d"])
+    assert rows(V.read_current(spark, root)) == sorted([("a", 1, 1.5, d, "01"), ("b", 2, 9.0, d, "01"), ("a", 9, 1.0, d, "01"), ("c", 3, 0.5, None, "1e3")], key=str)
+    assert V.read_current(spark, root).schema.simpleString() == frame(spark, [], schema).schema.simpleString()
+
+
+def test_no_partitions_preserve_and_duplicates(spark, tmp_path):
+    root = str(tmp_path / "t")
+    V.merge(frame(spark, [(1, "a", "x"), (2, "b", "x")]), root, "k")
+    V.merge(frame(spark, [(2, "B", "z")]), root, "k", preserve=["p"])
+    assert rows(V.read_current(spark, root)) == [(1, "a", "x"), (2, "B", "x")]
+    with pytest.raises(ValueError):
+        V.merge(frame(spark, [(1, "a", "x"), (1, "b", "x")]), root, "k")
+    with pytest.raises(ValueError):
+        V.merge(frame(spark, [(1, "a", "x")]), root, "k", ["p"])
+    with pytest.raises(ValueError):
+        V.read_current(spark, str(tmp_path / "none"))
+    assert V.merge(frame(spark, []), root, "k").number == 2 and len(rows(V.read_current(spark, root))) == 2
+
+
+def test_many_loads_equal_one_upsert_chain(spark, tmp_path):
+    import random
+    r, root, want = random.Random(1), str(tmp_path / "t"), {}
+    for n in range(5):
+        batch = {r.randrange(40): (f"{n}", f"p{r.randrange(4)}") for _ in range(15)}
+        V.merge(frame(spark, [(k, *x) for k, x in batch.items()]), root, "k", ["p"], load=str(n))
+        want |= batch
+        assert {x.k: (x.v, x.p) for x in V.read_current(spark, root).collect()} == want
+        assert V.read_current(spark, root).count() == len(want)
+
+
+SILVER = {"id": ("raw_id", "bigint"), "name": ("raw_name", "string")}
+
+
+def bronze(spark, data):
+    return spark.createDataFrame(data, "raw_id string, raw_name string, seq int, src_sys string, crt_ts timestamp_ntz, upd_ts timestamp_ntz")
+
+
+def test_silver_kept_incrementally_equals_a_rebuild(spark, tmp_path, monkeypatch):
+    """Three batches with ties, late rows, null and padded keys; untouched buckets are not read."""
+    import random
+
+    from brickyard.operators.clean import silver_clean
+    r, root, seen = random.Random(2), str(tmp_path / "s"), []
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    for n in range(3):
+        batch = [(f" {r.randrange(30)}" if r.random() < 0.9 else None, f"n{r.randrange(9)} ", r.randrange(3), "s", t[0], r.choice(t)) for _ in range(40)]
+        seen += batch
+        args = {"keys": ["id"], "tie_breakers": ["seq", "name"], "order_by": ["src_upd_ts"]}
+        V.merge_silver(bronze(spark, batch), root, SILVER, load=str(n), **args)
+        assert rows(V.read_silver(spark, root)) == rows(silver_clean(bronze(spark, seen), SILVER, **args))
+    read = []
+    real = V._read
+    monkeypatch.setattr(V, "_read", lambda s, x, v, ids: (read.extend(ids), real(s, x, v, ids))[1])
+    V.merge_silver(bronze(spark, [("7", "late", 0, "s", t[0], dt.datetime(2020, 1, 1))]), root, SILVER, ["id"], ["seq", "name"])
+    assert len(read) == 1 and "late" not in {x.name for x in V.read_silver(spark, root).collect()}
