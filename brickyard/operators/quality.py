@@ -3,11 +3,12 @@ source freshness.
 
 Each ``check_*`` returns the *failing rows* relation (lazy). ``quality_report``
 evaluates many checks and returns one row per check:
-``(relation, check, columns, severity, n_failed, status)``. Row-level checks
-of one relation (not_null, accepted_values, expression, range, positive) are
-folded into a **single** aggregation pass of conditional counts, and so are
-relationship checks, whose parents are left-joined by their distinct keys
-first; only further uniqueness checks need a pass of their own.
+``(relation, check, columns, severity, n_failed, status)``. All checks of one
+relation are folded into a **single** aggregation: conditional counts for
+row-level and relationship checks (parents are left-joined by their keys
+first), grouping sets for uniqueness and accepted values. ``key_counts``,
+``merge_counts`` and ``broken_by`` keep a uniqueness check over loads: counts
+per key that add up, so that a load checks only the keys that it brings.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from dataclasses import field as dc_field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,9 +100,51 @@ def freshness(df: DataFrame, loaded_at: str, as_of=None, warn_hours: float = 24,
     return out
 
 
+def freshness_report(sources: dict[str, tuple[DataFrame, str | None]], as_of=None, warn_hours: float = 24,
+                     error_hours: float = 48) -> DataFrame:
+    """``freshness`` of many sources in one report: one row per source, by its
+    name. ``sources`` gives each table and its load column, or None for one
+    that has none: the newest modification time of its files counts then
+    (``_metadata.file_modification_time``, in UTC; no column is read)."""
+    parts = []
+    for name, (df, loaded_at) in sources.items():
+        if loaded_at is None:
+            df = df.select(F.to_utc_timestamp(F.col("_metadata.file_modification_time"), F.current_timezone()).cast("timestamp_ntz").alias("__t"))
+        parts.append(freshness(df, loaded_at or "__t", as_of, warn_hours, error_hours, relation=name))
+    if not parts:
+        raise ValueError("no sources")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---- uniqueness kept over loads --------------------------------------------------
+
+def key_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Mergeable state of a uniqueness check: rows per key."""
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def merge_counts(state: DataFrame, load: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The state after a load: both sides' counts added up, null keys too."""
+    return state.unionByName(load).groupBy(*cols).agg(F.sum("n_records").alias("n_records"))
+
+
+def broken_by(state: DataFrame, load: DataFrame, cols: Sequence[str], nulls_repeat: bool = True) -> DataFrame:
+    """Keys of ``load`` (``key_counts``) that repeat within it or with
+    ``state``, with their total count. Only the load's keys are looked up: the
+    state is semi-joined, its other keys are never grouped. Without
+    ``nulls_repeat`` a null key breaks nothing (as in ``unique``)."""
+    same = reduce(and_, (F.col(f"s.{c}").eqNullSafe(F.col(f"l.{c}")) for c in cols))
+    touched = state.alias("s").join(load.alias("l"), same, "left_semi")
+    out = merge_counts(touched, load, cols).where(F.col("n_records") > 1)
+    return out if nulls_repeat else out.dropna(subset=list(cols))
+
+
 # ---- report -------------------------------------------------------------------
 
-ROW_LEVEL = ("not_null", "accepted_values", "expression", "range", "positive")
+ROW_LEVEL = ("not_null", "expression", "range", "positive")
 
 
 @dataclass
@@ -118,6 +163,7 @@ class Check:
     parent: DataFrame | None = dc_field(default=None, repr=False)
     field: str | None = None
     name: str | None = None
+    parent_unique: bool = False   # the parent's field can't repeat (it was deduplicated by it)
 
     @property
     def label(self) -> str:
@@ -128,8 +174,6 @@ def _row_condition(c: Check) -> Column:
     col = _cols(c.columns)[0] if c.columns else None
     if c.kind == "not_null":
         return F.col(col).isNull()
-    if c.kind == "accepted_values":
-        return _not_accepted(col, c.values)
     if c.kind == "expression":
         return ~F.expr(c.expr)
     if c.kind == "range":
@@ -139,14 +183,6 @@ def _row_condition(c: Check) -> Column:
     raise ValueError(c.kind)
 
 
-def _failed_expr(c: Check, conds: dict[int, Column]) -> Column:
-    cond = conds[id(c)]
-    if c.kind == "accepted_values":
-        # failing relation has one row per distinct bad value
-        return F.count_distinct(F.when(cond, F.col(_cols(c.columns)[0])))
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
 def _meta(c: Check, n: Column) -> Column:
     return F.struct(F.lit(c.relation).alias("relation"), F.lit(c.label).alias("check"),
                     F.lit(",".join(_cols(c.columns)) if c.columns else (c.expr or "")).alias("columns"),
@@ -163,26 +199,45 @@ def _with_parents(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, di
             conds[id(c)] = _row_condition(c)
             continue
         col = _cols(c.columns)[0]
-        keys = c.parent.select(F.col(c.field).alias(f"__p{i}")).where(F.col(f"__p{i}").isNotNull()).distinct()
+        keys = c.parent.select(F.col(c.field).alias(f"__p{i}")).where(F.col(f"__p{i}").isNotNull())
+        keys = keys if c.parent_unique else keys.distinct()
         df = df.join(keys, F.col(col) == F.col(f"__p{i}"), "left")
         conds[id(c)] = F.col(col).isNotNull() & F.col(f"__p{i}").isNull()
     return df, conds
 
 
-def _fused(df: DataFrame, u: Check, rows: list[Check]) -> DataFrame:
-    """One uniqueness check plus row-level checks of the same relation in a
-    single aggregation: group by the uniqueness key (one shuffle) carrying
-    per-group conditional counts, then sum the groups."""
-    keys = _cols(u.columns)
+def _one_pass(df: DataFrame, rows: list[Check], keyed: list[Check]) -> DataFrame:
+    """All checks of a relation from one scan and one shuffle: a grouping set
+    per uniqueness check and per accepted-values column, of which the first
+    carries the conditional counts of the row-level checks; then one row of
+    sums. Without any set the counts are a plain aggregation."""
+    sets: list[list[str]] = []
+    for c in keyed:
+        if (cols := _cols(c.columns)) not in sets:
+            sets.append(cols)
     df, conds = _with_parents(df, rows)
-    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                *[F.count_if(F.coalesce(conds[id(c)], F.lit(False))).alias(f"__r{i}")
-                                  for i, c in enumerate(rows)])
-    dup = F.col("__n") > 1
-    if u.kind == "unique":            # null keys are not duplicates
-        dup = dup & F.col(keys[0]).isNotNull()
-    metas = [_meta(u, F.count_if(dup))] + [_meta(c, F.coalesce(F.sum(f"__r{i}"), F.lit(0)))
-                                           for i, c in enumerate(rows)]
+    if not sets:
+        return df.agg(F.array(*[_meta(c, F.count_if(F.coalesce(conds[id(c)], F.lit(False)))) for c in rows]).alias("rs")).select(F.inline("rs"))
+    cols = list(dict.fromkeys(x for s in sets for x in s))
+    # the position of a set, told by which columns it leaves out
+    gid = {i: sum((x not in s) << (len(cols) - 1 - j) for j, x in enumerate(cols)) for i, s in enumerate(sets)}
+    # a row-level condition may read a grouped column, which another set blanks out: count on a copy
+    df = df.select("*", *[F.coalesce(conds[id(c)], F.lit(False)).alias(f"__c{i}") for i, c in enumerate(rows)])
+    aggs = [F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__g"), *[F.count_if(f"__c{i}").alias(f"__r{i}") for i in range(len(rows))]]
+    per = (df.groupingSets([[F.col(x) for x in s] for s in sets], *cols) if len(sets) > 1 else df.groupBy(*cols)).agg(
+        *[a for a in aggs if len(sets) > 1 or a is not aggs[1]])
+    in_set = (lambda i: F.col("__g") == gid[i]) if len(sets) > 1 else (lambda i: F.lit(True))
+    metas = [_meta(c, F.coalesce(F.sum(F.when(in_set(0), F.col(f"__r{i}"))), F.lit(0))) for i, c in enumerate(rows)]
+    for c in keyed:
+        at = in_set(sets.index(_cols(c.columns)))
+        first = F.col(_cols(c.columns)[0])
+        if c.kind == "accepted_values":   # a group is a value
+            bad = _not_accepted(_cols(c.columns)[0], c.values)
+        elif c.kind == "unique":          # null keys are not duplicates
+            bad = (F.col("__n") > 1) & first.isNotNull()
+        else:
+            bad = F.col("__n") > 1
+        metas.append(_meta(c, F.count_if(at & F.coalesce(bad, F.lit(False)))))
     return per.agg(F.array(*metas).alias("rs")).select(F.inline("rs"))
 
 
@@ -191,35 +246,25 @@ def quality_report(relations: dict[str, DataFrame], checks: Sequence[Check]) ->
     report frame; ``status`` is pass, warn (failures at severity warn) or
     fail.
 
-    Per relation, the row-level checks (not-null, expressions, ranges,
-    positivity, accepted values) and the relationship checks are conditional
-    counts in one aggregation. When the relation also has a uniqueness check
-    and no accepted-values check, that is fused into the same pass, grouped by
-    the uniqueness key. Other uniqueness checks add one shuffle each.
+    Every relation is read once and shuffled once, whatever the number of its
+    checks: row-level and relationship checks are conditional counts, and
+    uniqueness and accepted-values checks are grouping sets of the same
+    aggregation. Relationship checks join the parents' keys first. Stage
+    relations that several others come from.
     """
     parts: list[DataFrame] = []
-    by_rel: dict[str, list[Check]] = {}
-    keyed: dict[str, list[Check]] = {}
+    by_rel: dict[str, tuple[list[Check], list[Check]]] = {}
     for c in checks:
         if c.severity not in ("error", "warn"):
             raise ValueError(f"severity must be error or warn, got {c.severity!r}")
-        if c.kind in ROW_LEVEL or c.kind == "relationships":
-            by_rel.setdefault(c.relation, []).append(c)
-        elif c.kind in ("unique", "unique_combination"):
-            keyed.setdefault(c.relation, []).append(c)
+        if c.kind in ("unique", "unique_combination", "accepted_values"):
+            by_rel.setdefault(c.relation, ([], []))[1].append(c)
+        elif c.kind in ROW_LEVEL or c.kind == "relationships":
+            by_rel.setdefault(c.relation, ([], []))[0].append(c)
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")
-    for rel, rows in by_rel.items():
-        if keyed.get(rel) and not any(c.kind == "accepted_values" for c in rows):
-            parts.append(_fused(relations[rel], keyed[rel].pop(0), rows))
-        else:
-            df, conds = _with_parents(relations[rel], rows)
-            parts.append(df.agg(F.array(*[_meta(c, _failed_expr(c, conds)) for c in rows]).alias("rs")).select(F.inline("rs")))
-    for rel, rest in keyed.items():
-        for c in rest:
-            failing = (check_unique(relations[rel], _cols(c.columns)[0]) if c.kind == "unique"
-                       else check_unique_combination(relations[rel], _cols(c.columns)))
-            parts.append(failing.agg(_meta(c, F.count(F.lit(1))).alias("r")).select("r.*"))
+    for rel, (rows, keyed) in by_rel.items():
+        parts.append(_one_pass(relations[rel], rows, keyed))
     if not parts:
         raise ValueError("no checks")
     out = parts[0]

@@ -33,8 +33,6 @@ from brickyard.operators.clean import order_columns, silver_clean
 from brickyard.operators.load import assert_unique, upsert
 from brickyard.session import staged
 
-#: Buckets of the key map; a load reads and rewrites those of its keys.
-KEY_BUCKETS = 1024
 _POINTER = "kind string, id string, folder string"
 
 
@@ -52,6 +50,7 @@ class Version(NamedTuple):
     loads: frozenset[str]
     schema: StructType
     partition_cols: tuple[str, ...]
+    buckets: int
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -71,11 +70,11 @@ def current(spark: SparkSession, root: str, number: int | None = None) -> Versio
     if not have:
         return None
     n = have[-1] if number is None else number
-    by: dict[str, dict[str, str]] = {"part": {}, "key": {}, "load": {}, "schema": {}, "by": {}}
+    by: dict[str, dict[str, str]] = {"part": {}, "key": {}, "load": {}, "schema": {}, "by": {}, "buckets": {}}
     for r in spark.read.schema(_POINTER).parquet(f"{root.rstrip('/')}/current/v={n}").collect():
         by[r.kind][r.id] = r.folder
     schema = StructType.fromJson(json.loads(next(iter(by["schema"]))))
-    return Version(n, by["part"], by["key"], frozenset(by["load"]), schema, tuple(c for _, c in sorted((v, k) for k, v in by["by"].items())))
+    return Version(n, by["part"], by["key"], frozenset(by["load"]), schema, tuple(c for _, c in sorted((v, k) for k, v in by["by"].items())), int(next(iter(by["buckets"]))))
 
 
 def _read(spark: SparkSession, root: str, v: Version, ids: Sequence[str]) -> DataFrame:
@@ -105,8 +104,8 @@ def _folder(spark: SparkSession, cols: Sequence[str], values: Sequence[str | Non
     return "/".join(util.getPartitionPathString(c, v) for c, v in zip(cols, values, strict=True))
 
 
-def _key_rows(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(key)).select(*key, _values(cols).alias("__part"), F.pmod(F.xxhash64(*key), F.lit(KEY_BUCKETS)).cast("int").alias("__bucket"))
+def _key_rows(df: DataFrame, key: Sequence[str], cols: Sequence[str], buckets: int) -> DataFrame:
+    return df.dropna(subset=list(key)).select(*key, _values(cols).alias("__part"), F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("__bucket"))
 
 
 def _known(spark: SparkSession, root: str, v: Version, buckets: Sequence[str], key: Sequence[str]) -> DataFrame:
@@ -120,14 +119,17 @@ def _known(spark: SparkSession, root: str, v: Version, buckets: Sequence[str], k
 
 
 def merge(source: DataFrame, root: str, key, partition_cols: Sequence[str] = (), load: str | None = None,
-          preserve: Sequence[str] = (), validate: bool = True, latest_by: Sequence = (), tie_breakers: Sequence = ()) -> Version:
+          preserve: Sequence[str] = (), validate: bool = True, latest_by: Sequence = (), tie_breakers: Sequence = (),
+          key_buckets: int = 64) -> Version:
     """Upsert ``source`` into the table at ``root`` by ``key`` and commit;
     returns the new state (the present one if the load ``load`` is in already).
 
     Matched rows take the source's version wherever their old row lies,
     unmatched and null-key rows insert, ``preserve`` columns keep the target's
     value; with ``latest_by`` older rows replace nothing (see ``upsert``).
-    Duplicate source keys raise, on the first load too. Lists that come
+    Duplicate source keys raise, on the first load too. The first load sets the
+    number of the key map's buckets: a load reads and rewrites those of its
+    keys, so give a table about one for every million keys. Lists that come
     to the driver number the partitions and key buckets that the load touches.
     """
     spark, root = source.sparkSession, root.rstrip("/")
@@ -143,7 +145,8 @@ def merge(source: DataFrame, root: str, key, partition_cols: Sequence[str] = (),
         assert_unique(batch, ks)
     name = f"load={uuid.uuid4().hex}"
     incoming = {tuple(r[0]) for r in batch.select(_values(cols).alias("v")).distinct().collect()}
-    keys = _key_rows(batch, ks, cols)
+    n_buckets = old.buckets if old else key_buckets
+    keys = _key_rows(batch, ks, cols, n_buckets)
     buckets = sorted(str(r[0]) for r in keys.select("__bucket").distinct().collect())
     schema = batch.schema
     if old is None:
@@ -162,7 +165,7 @@ def merge(source: DataFrame, root: str, key, partition_cols: Sequence[str] = (),
     parts = {k: f for k, f in (old.parts if old else {}).items() if k not in touched}
     parts.update({_folder(spark, cols, r[0]): name for r in written})
     kept = {**(old.keys if old else {}), **{b: name for b in buckets}}
-    state = Version(old.number + 1 if old else 0, parts, kept, (old.loads if old else frozenset()) | ({load} if load is not None else set()), schema, tuple(cols))
+    state = Version(old.number + 1 if old else 0, parts, kept, (old.loads if old else frozenset()) | ({load} if load is not None else set()), schema, tuple(cols), n_buckets)
     _commit(spark, root, state)
     return state
 
@@ -177,7 +180,7 @@ def merge_silver(bronze: DataFrame, root: str, columns: Mapping[str, tuple[objec
     _, ob, tb = order_columns(columns, order_by, tie_breakers)
     won = silver_clean(bronze, columns, keys, tie_breakers, order_by, keep_order=True)
     won = won.withColumn("__bucket_of", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    return merge(won, root, list(keys), ["__bucket_of"], load, validate=False, latest_by=ob, tie_breakers=tb)
+    return merge(won, root, list(keys), ["__bucket_of"], load, validate=False, latest_by=ob, tie_breakers=tb, key_buckets=buckets)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -192,7 +195,7 @@ def _write_keys(rows: DataFrame, path: str) -> None:
 
 def _commit(spark: SparkSession, root: str, v: Version) -> None:
     rows = [("part", k, f) for k, f in v.parts.items()] + [("key", k, f) for k, f in v.keys.items()] + [("load", x, "") for x in v.loads]
-    rows += [("schema", v.schema.json(), ""), *(("by", c, f"{i:04d}") for i, c in enumerate(v.partition_cols))]
+    rows += [("schema", v.schema.json(), ""), ("buckets", str(v.buckets), ""), *(("by", c, f"{i:04d}") for i, c in enumerate(v.partition_cols))]
     path, fs = _path(spark, f"{root}/current/v={v.number}")
     if fs.exists(path) and not fs.exists(_path(spark, f"{root}/current/v={v.number}/_SUCCESS")[0]):
         fs.delete(path, True)  # what a killed commit left

@@ -278,6 +278,12 @@ def _report_sql() -> str:
             "count(*) FILTER (WHERE NOT (quantity BETWEEN 0 AND 40))", "fact"),
         row("fact_orders", "relationships:product_sk", "product_sk", "error", "count(*)", orphans("fact", "product_sk", "dim_product", "product_sk")),
         row("fact_orders", "relationships:date_sk", "date_sk", "error", "count(*)", orphans("fact", "date_sk", "dim_date", "date_sk")),
+        row("fact_orders", "unique:order_detail_sk", "order_detail_sk", "error", "count(*)",
+            "(SELECT 1 FROM fact WHERE order_detail_sk IS NOT NULL GROUP BY order_detail_sk HAVING count(*) > 1)"),
+        row("fact_orders", "unique_combination:order_detail_id,product_sk", "order_detail_id,product_sk", "error",
+            "count(*)", "(SELECT 1 FROM fact GROUP BY order_detail_id, product_sk HAVING count(*) > 1)"),
+        row("bridge_components", "unique_combination:product_type_sk,component_sk", "product_type_sk,component_sk", "warn",
+            "count(*)", "(SELECT 1 FROM bridge GROUP BY product_type_sk, component_sk HAVING count(*) > 1)"),
         row("bridge_components", "not_null:product_component_sk", "product_component_sk", "error",
             "count(*) FILTER (WHERE product_component_sk IS NULL)", "bridge"),
         row("bridge_components", "relationships:product_type_sk", "product_type_sk", "error", "count(*)",
@@ -334,6 +340,13 @@ def build() -> dict[str, str]:
                 select="* REPLACE (o_totalprice * 2 AS o_totalprice)")],
         "SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)\n"
         "UNION ALL SELECT * FROM source")
+    S["versioned_merge"] = """WITH second AS (SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice,
+     CAST(CASE WHEN o_orderkey % 3 = 0 THEN year(o_orderdate) + 1 ELSE year(o_orderdate) END AS INTEGER) AS order_year
+   FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 3 FROM orders))
+SELECT * FROM second UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) FROM orders
+WHERE o_orderkey <= (SELECT max(o_orderkey) * 2 // 3 FROM orders) AND o_orderkey NOT IN (SELECT o_orderkey FROM second)"""
+    S["silver_incremental"] = with_([bronze("b", "lineitem"), silver_lines("s", "b")], "SELECT * FROM s")
     inc_cols = f"o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_custref, {stamp_cols}"
     S["schema_sync"] = with_(
         [bronze("target0", "orders", TS1, f"o_orderkey <= {half}"),
@@ -426,6 +439,12 @@ FROM fact f LEFT JOIN dim_product d ON f.product_sk = d.product_sk""")
                       f"AS status FROM (SELECT max_loaded_at, (epoch_us(TIMESTAMP '{R.FRESHNESS_AS_OF}') - "
                       f"epoch_us(max_loaded_at)) / 3600e6 AS age_hours FROM (SELECT max(ts) AS max_loaded_at "
                       f"FROM events))")
+    S["freshness_sources"] = ("SELECT relation, max_loaded_at, age_hours, CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > 48 THEN 'error' "
+                              "WHEN age_hours > 24 THEN 'warn' ELSE 'pass' END AS status FROM (SELECT relation, max_loaded_at, "
+                              f"(epoch_us(TIMESTAMP '{R.FRESHNESS_AS_OF}') - epoch_us(max_loaded_at)) / 3600e6 AS age_hours FROM ("
+                              "SELECT 'orders' AS relation, max(o_orderdate)::TIMESTAMP AS max_loaded_at FROM orders "
+                              "UNION ALL SELECT 'lineitem', max(l_shipdate)::TIMESTAMP FROM lineitem UNION ALL SELECT 'events', max(ts)::TIMESTAMP FROM events "
+                              f"UNION ALL SELECT 'part', CASE WHEN count(*) > 0 THEN {TS1} END FROM part))")
     S["quality_report"] = _report_sql()
 
     star = fact_ctes() + product_ctes()

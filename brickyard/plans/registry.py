@@ -7,6 +7,7 @@ as the oracle SQL in ``brickyard.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +15,20 @@ from pyspark.sql import functions as F
 
 from brickyard.functions.columns import band, list_size, time_of_day, value_map
 from brickyard.functions.keys import surrogate_key
-from brickyard.operators import metrics, quality, retrieve
+from brickyard.operators import metrics, quality, retrieve, versioned
 from brickyard.operators.calendar import date_spine
 from brickyard.operators.clean import dedupe_latest
 from brickyard.operators.explode import split_explode
 from brickyard.operators.load import incremental_filter, load_incremental, upsert
 from brickyard.operators.quality import Check
-from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
+from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2, SILVER_LINES,
                                         SalesStar)
-from brickyard.session import staged
+from brickyard.session import checkpoint_dir, staged
 from brickyard.sources.seed import SIZE_LABEL_SCHEMA, packaged_seed, size_labels
 
 # Fixed values of the registered queries (mirrored in the oracle SQL).
 DATE_CUT = "1998-01-01 00:00:00"      # first load of orders by date
+SILVER_CUT = "1998-06-01 00:00:00"    # the later lines come first, the earlier ones late
 SHIP_CUT = "1999-01-01 00:00:00"      # previous load of lineitem by ship date
 PARENT_DATE_CUT = "1998-01-01 00:00:00"  # parents kept for the orphan checks
 PRIORITIES_ACCEPTED = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
@@ -96,6 +98,32 @@ def upsert_query(spark, d):
     return upsert(target, s.bronze("orders", changed, RUN_TS_2), "o_orderkey")
 
 
+def versioned_merge(spark, d):
+    """Two loads into a table partitioned by year, the second of which doubles
+    prices and moves every third order to the next year."""
+    o = _star(spark, d).raw("orders")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/orders-{uuid.uuid4().hex}"
+    key, price, year = F.col("o_orderkey"), F.col("o_totalprice"), F.year("o_orderdate")
+    first = o.where(key <= _half_key(o, 2, 3)).select(key, "o_custkey", price, year.alias("order_year"))
+    second = o.where(key > _half_key(o, 1, 3)).select(
+        key, "o_custkey", (price * 2).alias("o_totalprice"), F.when(key % 3 == 0, year + 1).otherwise(year).alias("order_year"))
+    versioned.merge(first, root, "o_orderkey", ["order_year"], load="first")
+    versioned.merge(second, root, "o_orderkey", ["order_year"], load="second")
+    return versioned.read_current(spark, root)
+
+
+def silver_incremental(spark, d):
+    """Silver order lines kept up to date from two bronze batches, the second
+    with the older half of the ship dates."""
+    s = _star(spark, d)
+    li = s.raw("lineitem")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/silver-{uuid.uuid4().hex}"
+    cut = F.lit(SILVER_CUT).cast("timestamp_ntz")
+    for n, batch in enumerate((li.where(F.col("l_shipdate") >= cut), li.where(F.col("l_shipdate") < cut))):
+        versioned.merge_silver(s.bronze("lineitem", batch), root, **SILVER_LINES, load=str(n), buckets=16)
+    return versioned.read_silver(spark, root)
+
+
 def schema_sync(spark, d):
     s = _star(spark, d)
     o = s.raw("orders")
@@ -303,9 +331,19 @@ def freshness(spark, d):
     return quality.freshness(ev, "ts", FRESHNESS_AS_OF, 24, 48, relation="events")
 
 
+def freshness_sources(spark, d):
+    """All sources in one report: three by a column of their own, ``part`` by its bronze load stamp."""
+    s = _star(spark, d)
+    return quality.freshness_report({"orders": (s.raw("orders"), "o_orderdate"), "lineitem": (s.raw("lineitem"), "l_shipdate"),
+                                     "events": (s.raw("events"), "ts"), "part": (s.bronze("part"), "crt_ts")}, FRESHNESS_AS_OF, 24, 48)
+
+
 def report_checks(s: SalesStar) -> tuple[dict, list[Check]]:
-    rel = {"silver_orders": s.silver_orders(), "silver_order_details": s.silver_order_details(),
-           "silver_products": s.silver_products(), "fact_orders": s.fact_orders(),
+    # tables that others come from are stored ones, as they would be: each is built once
+    orders, lines = staged(s.silver_orders(), "silver"), staged(s.silver_order_details(), "silver")
+    s.silver_part = staged(s.silver_part, "silver")
+    rel = {"silver_orders": orders, "silver_order_details": lines,
+           "silver_products": s.silver_products(), "fact_orders": s.fact_orders(lines, orders),
            "dim_product": s.dim_product, "dim_date": s.dim_date(), "dim_components": s.dim_components(),
            "bridge_components": s.bridge_components()}
     checks = [
@@ -313,18 +351,21 @@ def report_checks(s: SalesStar) -> tuple[dict, list[Check]]:
         Check("silver_orders", "not_null", "order_date"),
         Check("silver_order_details", "unique", "order_detail_id"),
         Check("silver_order_details", "not_null", "order_id"),
-        Check("silver_order_details", "relationships", "order_id", parent=rel["silver_orders"], field="order_id"),
+        Check("silver_order_details", "relationships", "order_id", parent=rel["silver_orders"], field="order_id", parent_unique=True),
         Check("silver_order_details", "relationships", "product_id", parent=rel["silver_products"],
-              field="product_id"),
+              field="product_id", parent_unique=True),
         Check("fact_orders", "not_null", "order_detail_sk"),
         Check("fact_orders", "unique_combination", ["order_id", "order_detail_id"]),
         Check("fact_orders", "expression", "quantity_valid", expr="quantity_valid > 0"),
         Check("fact_orders", "range", "quantity", low=0, high=40, severity="warn"),
-        Check("fact_orders", "relationships", "product_sk", parent=rel["dim_product"], field="product_sk"),
-        Check("fact_orders", "relationships", "date_sk", parent=rel["dim_date"], field="date_sk"),
+        Check("fact_orders", "relationships", "product_sk", parent=rel["dim_product"], field="product_sk", parent_unique=True),
+        Check("fact_orders", "relationships", "date_sk", parent=rel["dim_date"], field="date_sk", parent_unique=True),
+        Check("fact_orders", "unique", "order_detail_sk"),
+        Check("fact_orders", "unique_combination", ["order_detail_id", "product_sk"]),
+        Check("bridge_components", "unique_combination", ["product_type_sk", "component_sk"], severity="warn"),
         Check("bridge_components", "not_null", "product_component_sk"),
         Check("bridge_components", "relationships", "product_type_sk", parent=rel["dim_product"], field="product_type_sk"),
-        Check("bridge_components", "relationships", "component_sk", parent=rel["dim_components"], field="component_sk"),
+        Check("bridge_components", "relationships", "component_sk", parent=rel["dim_components"], field="component_sk", parent_unique=True),
         Check("dim_components", "unique", "component_sk"),
         Check("dim_components", "not_null", "component_sk"),
         Check("dim_product", "unique", "product_sk"),
@@ -443,6 +484,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "watermark_filter": watermark_filter,
     "upsert": upsert_query,
     "schema_sync": schema_sync,
+    "versioned_merge": versioned_merge,
+    "silver_incremental": silver_incremental,
     "fact_incremental_merge": fact_incremental_merge,
     "silver_orders": silver_orders,
     "silver_order_details": silver_order_details,
@@ -479,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_positive": check_positive,
     "orphan_antijoin": orphan_antijoin,
     "freshness": freshness,
+    "freshness_sources": freshness_sources,
     "quality_report": quality_report,
     "q_revenue_by_product": q_revenue_by_product,
     "q_busiest_day": q_busiest_day,

@@ -44,7 +44,7 @@ def test_untouched_partitions_and_buckets_are_neither_read_nor_written(spark, tm
     monkeypatch.setattr(V, "_read", lambda s, r, v, ids: (read.extend(ids), real(s, r, v, ids))[1])
     monkeypatch.setattr(V, "_known", lambda s, r, v, buckets, key: (read.extend(buckets), known(s, r, v, buckets, key))[1])
     v = V.merge(frame(spark, [(13, "y", "p7"), (5000, "z", "p7")]), root, "k", ["p"])   # 13 lies in p3
-    assert read[-2:] == ["p=p3", "p=p7"] and len(read) == 4    # two buckets of 1024, two partitions of ten
+    assert read[-2:] == ["p=p3", "p=p7"] and len(read) == 4    # two buckets of 64, two partitions of ten
     assert before < set(files(root))                            # nothing was overwritten
     assert {i for i in v.parts if v.parts[i] != first.parts[i]} == {"p=p3", "p=p7"}
     new = set(files(root)) - before
