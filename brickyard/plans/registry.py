@@ -21,9 +21,9 @@ from brickyard.operators.clean import dedupe_latest
 from brickyard.operators.explode import split_explode
 from brickyard.operators.load import incremental_filter, load_incremental, upsert
 from brickyard.operators.quality import Check
-from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2, SILVER_LINES,
-                                        SalesStar)
-from brickyard.session import checkpoint_dir, staged
+from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
+                                        SalesStar, silver_lines_spec)
+from brickyard.session import checkpoint_dir, staged, staged_together
 from brickyard.sources.seed import SIZE_LABEL_SCHEMA, packaged_seed, size_labels
 
 # Fixed values of the registered queries (mirrored in the oracle SQL).
@@ -120,7 +120,7 @@ def silver_incremental(spark, d):
     root = f"{checkpoint_dir(spark).rstrip('/')}/silver-{uuid.uuid4().hex}"
     cut = F.lit(SILVER_CUT).cast("timestamp_ntz")
     for n, batch in enumerate((li.where(F.col("l_shipdate") >= cut), li.where(F.col("l_shipdate") < cut))):
-        versioned.merge_silver(s.bronze("lineitem", batch), root, **SILVER_LINES, load=str(n), buckets=16)
+        versioned.merge_silver(s.bronze("lineitem", batch), root, **silver_lines_spec(), load=str(n), buckets=16)
     return versioned.read_silver(spark, root)
 
 
@@ -340,8 +340,8 @@ def freshness_sources(spark, d):
 
 def report_checks(s: SalesStar) -> tuple[dict, list[Check]]:
     # tables that others come from are stored ones, as they would be: each is built once
-    orders, lines = staged(s.silver_orders(), "silver"), staged(s.silver_order_details(), "silver")
-    s.silver_part = staged(s.silver_part, "silver")
+    stored = staged_together(orders=s.silver_orders(), lines=s.silver_order_details(), part=s.silver_part)
+    orders, lines, s.silver_part = stored["orders"], stored["lines"], stored["part"]
     rel = {"silver_orders": orders, "silver_order_details": lines,
            "silver_products": s.silver_products(), "fact_orders": s.fact_orders(lines, orders),
            "dim_product": s.dim_product, "dim_date": s.dim_date(), "dim_components": s.dim_components(),

@@ -42,12 +42,12 @@ def line_key():
     return F.col("l_orderkey") * 10 + F.col("l_linenumber")
 
 
-#: ``silver_clean`` of the order lines.
-SILVER_LINES = {
-    "columns": {"order_detail_id": (line_key(), "bigint"), "order_id": ("l_orderkey", "bigint"), "product_id": ("l_partkey", "string"),
-                "quantity": (F.round("l_quantity"), "bigint")},  # half away from zero, not truncated
-    "keys": ["order_detail_id"], "order_by": ["src_upd_ts", "l_shipdate"],
-    "tie_breakers": ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]}
+def silver_lines_spec() -> dict:
+    """``silver_clean`` of the order lines."""
+    return {"columns": {"order_detail_id": (line_key(), "bigint"), "order_id": ("l_orderkey", "bigint"), "product_id": ("l_partkey", "string"),
+                        "quantity": (F.round("l_quantity"), "bigint")},  # half away from zero, not truncated
+            "keys": ["order_detail_id"], "order_by": ["src_upd_ts", "l_shipdate"],
+            "tie_breakers": ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]}
 
 
 class SalesStar:
@@ -72,7 +72,7 @@ class SalesStar:
 
     def silver_order_details(self, bronze: DataFrame | None = None) -> DataFrame:
         b = self.bronze("lineitem") if bronze is None else bronze
-        return silver_clean(b, **SILVER_LINES)
+        return silver_clean(b, **silver_lines_spec())
 
     @cached_property
     def silver_part(self) -> DataFrame:

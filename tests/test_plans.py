@@ -68,3 +68,13 @@ def test_retrieval_has_no_pair_join(spark, sf_small):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
         assert "FlatMapCoGroupsInArrow" in plan and "WindowGroupLimit" in plan
+
+
+def test_queries_load_without_a_session():
+    """The driver imports the entry before it makes a session."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and int(out.stdout.split()[0]) >= 60, out.stderr
