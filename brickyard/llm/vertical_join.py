@@ -16,7 +16,9 @@ fragments and fragments do all the work:
 * **Verification.** Candidates connect into clusters. A cluster is cut into
   chunks of bounded size; a tile of two chunks counts partial overlaps
   fragment by fragment (small dense products) and sums them per pair. Only a
-  spanning forest of the verified links leaves a tile.
+  spanning forest of the verified links leaves a tile. Clusters of more than
+  one chunk are first compared with a few centres, round by round; sets that
+  these connect need not meet each other, and only the others meet everything.
 
 Copies (equal sets) collapse to one node before anything else, inside the
 scan already, so a group of copies costs one row a task.
@@ -43,6 +45,8 @@ from .common import connected_components, fresh, global_rank, lean, mix64, parts
 
 #: Shingles (and sets) in a chunk of a cluster: bounds the memory of a tile.
 CHUNK_SHINGLES, CHUNK_SETS = 400_000, 512
+#: Sets of a length band that a round of a large cluster compares with all others.
+CENTRES = 32
 #: Columns of the n-gram order in one fragment of a tile's dense product.
 FRAGMENT = 8192
 #: Keys gathered before those of a task leave it, and keys of a range that a task sorts.
@@ -389,41 +393,106 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
 
 def verified_links(src: DataFrame, nodes: DataFrame, k: int, percent: int, shingles: int) -> DataFrame:
-    """A spanning forest, per tile, of the links between nodes: (a, b)."""
+    """Links between nodes, (a, b), that connect what all links connect."""
     clusters = connected_components(candidate_edges(src, k, percent, shingles), "candidates")
-    members = written(clusters.withColumnRenamed("label", "cluster").join(nodes, "node")
-                      .select("node", "cluster", F.col("least").alias("doc_id"), "n"), "members")
-    # chunks: within (cluster, length band), by rank; a band's sets are alike in size
     ratio = math.log(100 / percent)
-    banded = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int"))
-    per = F.greatest(F.lit(1), F.least(F.lit(CHUNK_SETS), F.floor(CHUNK_SHINGLES / F.pow(F.lit(100 / percent), F.col("band") + 1)).cast("long")))
-    ranked = global_rank(banded, [F.col("cluster"), F.col("band"), F.col("node")], "members-ranked")
-    base = ranked.groupBy("cluster", "band").agg(F.min("rank").alias("base"))
-    chunked = (ranked.join(base, ["cluster", "band"])
-               .withColumn("chunk", F.floor((F.col("rank") - F.col("base")) / per).cast("long"))
-               .select("node", "doc_id", "n", "cluster", "band", "chunk"))
-    chunks = chunked.groupBy("cluster", "band", "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"))
-    a = chunks.select("cluster", F.struct("band", "chunk").alias("p"), "lo", "hi", "c")
-    b = chunks.select("cluster", F.struct("band", "chunk").alias("q"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    # pairs of chunks of one cluster that the lengths allow
-    pairs = (a.join(b, "cluster").filter((F.col("p") < F.col("q")) & (F.col("lo2") * percent <= F.col("hi") * 100)
-                                         & (F.col("lo") * percent <= F.col("hi2") * 100)
-                                         | (F.col("p") == F.col("q")) & (F.col("c") > 1))
-             .select("cluster", "p", "q", F.xxhash64("cluster", "p", "q").alias("tile")))
-    sides = (pairs.select("cluster", F.explode(F.when(F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("c"), F.lit(0).alias("side"))))
-                                               .otherwise(F.array(F.struct(F.col("p").alias("c"), F.lit(0).alias("side")),
-                                                                  F.struct(F.col("q").alias("c"), F.lit(1).alias("side"))))).alias("s"), "tile")
-             .select("cluster", "s.c.band", "s.c.chunk", "s.side", "tile"))
-    needed = members.agg(F.count("*")).first()[0]
+    members = written(clusters.withColumnRenamed("label", "cluster").join(nodes, "node")
+                      .select("node", "cluster", F.col("least").alias("doc_id"), "n",
+                              F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int").alias("band")), "members")
+    needed, largest = members.groupBy("cluster").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum("c"), F.lit(0)), F.max("c")).first()
     want = small_or_shuffled(members.select("doc_id", "node"), needed)
     sets = written(src.join(want, src.doc_id.eqNullSafe(want.doc_id)).select("node", "text")
                    .mapInArrow(lean(_member_sets(k)), "node long, shingles binary").dropDuplicates(["node"]), "member-sets")
-    placed = chunked.join(sides, ["cluster", "band", "chunk"]).select("node", "tile", "side")
+    members = members.drop("doc_id").withColumn("main", F.lit(False))
+    stars = None
+    if largest and largest > CHUNK_SETS:
+        large = members.groupBy("cluster").agg(F.count("*").alias("c")).filter(F.col("c") > CHUNK_SETS).select("cluster")
+        stars, main = _star_links(written(members.join(large, "cluster", "left_semi"), "large"), sets, percent)
+        members = (members.drop("main").join(main.select("node", F.lit(True).alias("main")), "node", "left")
+                   .withColumn("main", F.coalesce("main", F.lit(False))))
+    chunked, chunks = _chunks(members, percent)
+    links = _compared(sets, chunked, _chunk_pairs(chunks, percent), percent)
+    return links if stars is None else links.unionByName(stars)
+
+
+def _chunks(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``members`` (node, cluster, band, n, main) with their chunk within
+    (cluster, length band, main), by rank, and the chunks: a band's sets are alike in size."""
+    per = F.greatest(F.lit(1), F.least(F.lit(CHUNK_SETS), F.floor(CHUNK_SHINGLES / F.pow(F.lit(100 / percent), F.col("band") + 1)).cast("long")))
+    own = ["cluster", "band", "main"]
+    ranked = global_rank(members, [*map(F.col, own), F.col("node")], "members-ranked")
+    base = ranked.groupBy(*own).agg(F.min("rank").alias("base"))
+    chunked = (ranked.join(base, own).withColumn("chunk", F.floor((F.col("rank") - F.col("base")) / per).cast("long"))
+               .select("node", "n", *own, "chunk"))
+    return chunked, chunked.groupBy(*own, "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("c"))
+
+
+def _chunk_pairs(chunks: DataFrame, percent: int) -> DataFrame:
+    """(cluster, p, q) of the chunks that must meet: pairs of one cluster that
+    the lengths allow, but for those of two chunks of its main component, whose
+    sets are connected already. Found by cluster and band: sets that link are
+    one band apart at most."""
+    a = chunks.filter(~F.col("main")).select("cluster", F.struct("main", "band", "chunk").alias("p"), "lo", "hi", "c", "band")
+    b = chunks.select("cluster", F.struct("main", "band", "chunk").alias("q"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"),
+                      F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    same = F.col("p") == F.col("q")
+    return (a.join(b, ["cluster", "band"])
+            .filter((F.col("p") < F.col("q")) & (F.col("lo2") * percent <= F.col("hi") * 100) & (F.col("lo") * percent <= F.col("hi2") * 100)
+                    | same & (F.col("c") > 1))
+            .select("cluster", "p", "q"))
+
+
+def _compared(sets: DataFrame, chunked: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest, per tile, of the links between the chunks of each pair."""
+    tiles = pairs.withColumn("tile", F.xxhash64("cluster", "p", "q"))
+    side = lambda c, n: F.struct(F.col(c).alias("c"), F.lit(n).alias("side"))
+    sides = (tiles.select("cluster", "tile", F.explode(F.when(F.col("p") == F.col("q"), F.array(side("p", 0)))
+                                                       .otherwise(F.array(side("p", 0), side("q", 1)))).alias("s"))
+             .select("cluster", "s.c.main", "s.c.band", "s.c.chunk", "s.side", "tile"))
+    placed = chunked.join(sides, ["cluster", "band", "main", "chunk"]).select("node", "tile", "side")
+    return _linked(sets, placed, percent)
+
+
+def _linked(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a spanning forest of the links of each tile; ``placed`` (node, tile, side)."""
     tiles = (sets.join(placed, "node").select("tile", "side", "node", "shingles")
-             .repartition(parts(src.sparkSession), "tile").sortWithinPartitions("tile", "side", "node"))
+             .repartition(parts(sets.sparkSession), "tile").sortWithinPartitions("tile", "side", "node"))
     return tiles.mapInArrow(lean(_tiles(percent)), "a long, b long")
 
 
+def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of large clusters around a few centres, and the nodes of each
+    cluster's largest component over them.
+
+    A round takes ``CENTRES`` sets of each length band that are not in the main
+    component yet and compares them with every chunk of their cluster, so its
+    tiles number as the chunks do. Rounds go on while they shrink what is left
+    outside by half; what is left then meets everything in ``_chunk_pairs``."""
+    chunked, _ = _chunks(members, percent)
+    chunked = written(chunked, "large-chunks")
+    links, main, total = None, None, chunked.count()
+    outside = total
+    while True:
+        open_ = chunked if main is None else chunked.join(main.select("node"), "node", "left_anti")
+        first = Window.partitionBy("cluster", "band").orderBy("node")
+        centres = written(open_.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= CENTRES).select("cluster", "band", "node"), "centres")
+        near = centres.select("cluster", "node", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+        tile = F.xxhash64("cluster", "band", "chunk")
+        each = chunked.select("cluster", "band", "chunk").distinct()
+        placed = (near.join(each, ["cluster", "band"]).select("node", tile.alias("tile"), F.lit(0).alias("side"))
+                  .unionByName(chunked.select("node", tile.alias("tile"), F.lit(1).alias("side"))))
+        found = _linked(sets, placed, percent)
+        links = written(found if links is None else links.unionByName(found), "star-links")
+        labels = connected_components(links, "stars").withColumnRenamed("label", "comp")
+        parts_ = chunked.join(labels, "node").groupBy("cluster", "comp").agg(F.count("*").alias("c"))
+        best = parts_.groupBy("cluster").agg(F.max(F.struct("c", "comp")).alias("b")).select("cluster", F.col("b.comp").alias("comp"))
+        main = written(chunked.select("node", "cluster").join(labels, "node").join(best, ["cluster", "comp"]).select("node"), "main")
+        left = total - main.count()
+        if left * 2 > outside or not left:
+            return links, main
+        outside = left
+
+
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near copies: the one with the least doc_id
     (null last, then by set and text, where ids repeat). Rows without words stay."""

@@ -111,3 +111,51 @@ def test_global_rank(spark):
     df = spark.createDataFrame([(x % 7, x) for x in range(200)], "k int, v int").repartition(6)
     got = sorted((r["rank"], r.k, r.v) for r in global_rank(df, [df.k, df.v], "t").collect())
     assert [g[0] for g in got] == list(range(200)) and [g[1:] for g in got] == sorted((x % 7, x) for x in range(200))
+
+
+def near_copies(n, words=60, edits=2, seed=3, tail=0):
+    r = random.Random(seed)
+    base = [f"w{r.randrange(10**6)}" for _ in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(r.randint(0, edits)):
+            w[r.randrange(words)] = f"e{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    for j in range(tail):   # chains that leave the copies step by step
+        for at in range(0, words // 2, 3):
+            base[at] = f"c{j}"
+            rows.append((n + len(rows), " ".join(base)))
+    return rows
+
+
+@pytest.mark.parametrize("chunk,centres", [(8, 1), (8, 4), (40, 3)])
+def test_star_rounds_change_nothing(spark, monkeypatch, chunk, centres):
+    """Large clusters, with sets that link to no centre and chains of links, end as all pairs say."""
+    monkeypatch.setattr(V, "CHUNK_SETS", chunk)
+    monkeypatch.setattr(V, "CENTRES", centres)
+    rows = near_copies(150, edits=4, tail=2) + [(5000 + i, t) for i, t in near_copies(60, seed=9, edits=6)]
+    rows += [(8000 + i, t + " extra" * i) for i, t in near_copies(30, seed=11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_jaccard_join(df, 4, 70).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 4, 70)
+
+
+def test_tiles_grow_with_the_cluster(spark, monkeypatch):
+    """One cluster of different near copies: four times the sets make about four times the tiles, not sixteen."""
+    monkeypatch.setattr(V, "CHUNK_SETS", 32)
+    real, count = V._linked, []
+
+    def counted(sets, placed, percent):
+        count.append(placed.select("tile").distinct().count())
+        return real(sets, placed, percent)
+
+    monkeypatch.setattr(V, "_linked", counted)
+    made = {}
+    for n in (1000, 4000):
+        count.clear()
+        df = spark.createDataFrame(near_copies(n, words=80, edits=2), "doc_id long, text string").repartition(4)
+        out = ngram_jaccard_join(df, 4, 70)
+        assert {r[0] for r in out.select("component_id").distinct().collect()} == {0}
+        made[n] = sum(count)
+    assert made[4000] < 6 * made[1000] and made[4000] < 4 * 4000 / 32, made
