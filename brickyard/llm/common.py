@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from brickyard.session import checkpoint_dir
 
-#: A side is broadcast only below this many rows (checked by a count); beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: A side is broadcast only below this size (rows are counted, their width is stated); beyond it the join shuffles.
+BROADCAST_BYTES = 128 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +42,10 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast when the counted size allows it; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small_or_shuffled(df: DataFrame, rows: int, width: int = 128) -> DataFrame:
+    """Hint a broadcast when the counted rows, of ``width`` bytes at most, allow
+    it; otherwise leave the join to shuffle."""
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
 #: Rows of an Arrow batch where whole texts go to workers.
@@ -54,7 +55,9 @@ TEXT_BATCH = 2_000
 def text_batches(spark: SparkSession) -> None:
     """Bound Arrow batches for tables of whole texts: of Spark's default
     10,000 rows, each task holds some 100 MB, in the JVM and again in the
-    worker. A batch size that the session sets itself stays."""
+    worker. A batch size that the session sets itself stays. Bytes of a batch
+    are bounded by Spark (``maxBytesPerBatch``, 64 MB unless the session says
+    otherwise). The setting holds for the session: plans read it when they run."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(TEXT_BATCH))

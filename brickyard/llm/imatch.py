@@ -16,7 +16,8 @@ is the share of equal hashes.
 A text without a term in the band falls back to its terms above the band
 (common ones), then to all its terms. Null text counts as empty; texts
 without any term share a fingerprint of zeros (likeness 1 among themselves).
-Equal texts, repeated rows included, have equal fingerprints. Other columns
+Equal texts, repeated rows included, have equal fingerprints. Very long texts
+are read whole. Other columns
 are ignored; an empty table gives no rows.
 """
 

@@ -285,7 +285,9 @@ def _draw(rows: DataFrame, sample_chars: int) -> DataFrame:
 
 
 def sample(labelled: DataFrame, sample_chars: int, seed: int) -> DataFrame:
-    """(lang, text, part) of the texts that ``fit`` draws; part, of 1000, deals them to calibration."""
+    """(lang, text, part) of the texts that ``fit`` draws; part, of 1000, deals
+    them to calibration. ``text`` is a prefix for the long texts that fill up a
+    language of few texts (see ``fit``); predictions always read whole texts."""
     rows = (labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
             .select("lang", "text", F.xxhash64(F.lit(seed), "text").alias("h")))
     drawn = written(_draw(rows, sample_chars), "drawn")

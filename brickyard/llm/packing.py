@@ -12,8 +12,9 @@
    a run of ranks.
 
 Nulls: null text is empty; an empty document is its end token alone. Null or
-repeated ids, and repeated rows, are packed as separate rows. An empty table
-gives no rows. Other columns are ignored.
+repeated ids, and repeated rows, are packed as separate rows. Very long texts
+are tokenised whole and cut into pieces. An empty table gives no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -27,6 +27,7 @@ Nulls: null, empty or blank text gives the empty set, which links with
 nothing (``n_shingles`` 0, ``component_id`` its own id). Rows with a null id
 take part with a null id: they can link others, and a component's id is the
 least id that isn't null. Repeated ids keep one output row per input row.
+Very long texts are read whole.
 Other columns of the input are ignored. A node is a 64-bit hash of a set:
 two sets share one with odds of about (sets squared) / 2^65.
 """

@@ -7,15 +7,17 @@ page). ``derive`` turns each response into two linked records:
   head, content type, title, out-links, lengths and payload digest;
 * a ``conversion`` record (text/plain): the visible text, a line a block.
 
-Both name the response in ``WARC-Refers-To``, keep its target and date, the
-metadata record also its digests, and carry a block digest of their own.
+Both name the response in ``WARC-Refers-To``, keep its target, date and payload
+digest (serialised as ``WARC-Refers-To-Target-URI``, ``WARC-Refers-To-Date`` and
+``WARC-Source-Payload-Digest``), and carry a block digest of their own.
 Digests are SHA-1 in base 32, as the format's tools write them. Record ids
 are UUIDs made from type, page id, url and payload, so reruns agree and equal
 rows have equal ids.
 
 Null url is an empty target; null html an empty payload; both still give
 their two records. A payload that isn't UTF-8 is decoded with replacements.
-Line breaks in a header value become blanks. Other columns are ignored; an
+Line breaks in a header value become blanks. Very long pages are read whole.
+Other columns are ignored; an
 empty table gives no rows.
 """
 
@@ -36,10 +38,12 @@ CRAWL_DATE = "2024-01-01T00:00:00Z"
 RECORD = ("page_id long, warc_type string, record_id string, refers_to string, target_uri string, warc_date string, "
           "content_type string, block_digest string, payload_digest string, block binary")
 
+#: Attributes up to the end of a tag: a quote opens a value only after an equals sign.
+_ATTRS = r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)*+(?:>|\Z)"
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title)\b.*?(?:</\1\b[^>]*>|\Z)", re.S | re.I)
 _BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head"
-                    r"|header|hr|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*(?:>|\Z)", re.I)
-_TAG = re.compile(r"<[/!?a-zA-Z][^>]*(?:>|\Z)")
+                    r"|header|hr|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|tr|ul)\b" + _ATTRS, re.I)
+_TAG = re.compile(r"<[/!?a-zA-Z]" + _ATTRS)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\b|\Z)", re.S | re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
@@ -124,7 +128,10 @@ def serialise(page_id, warc_type, record, refers_to, target, date, content_type,
     """One record in the WARC/1.1 format."""
     fields = [("WARC-Type", warc_type), ("WARC-Record-ID", record), ("WARC-Date", date), ("WARC-Target-URI", target or None),
               ("WARC-Refers-To", refers_to), ("Content-Type", content_type), ("WARC-Block-Digest", block_digest),
-              ("WARC-Payload-Digest", payload_digest if warc_type == "response" else None), ("Content-Length", str(len(block)))]
+              ("WARC-Payload-Digest", payload_digest if warc_type == "response" else None),
+              # of a derived record: where, when and what its source was
+              ("WARC-Refers-To-Target-URI", refers_to and (target or None)), ("WARC-Refers-To-Date", refers_to and date),
+              ("WARC-Source-Payload-Digest", refers_to and payload_digest), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields if v is not None) + "\r\n"
     return head.encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
 

@@ -63,3 +63,58 @@ def test_empty_single_and_plain(spark, no_docs):
     r = imatch.edited_fingerprints(one).first()
     assert r.edited_sha256 == hashlib.sha256(b"abcdef abc").hexdigest() and r.near_next == 1.0
     assert imatch.fingerprint(one).first().fingerprint == r.fingerprint
+
+
+M = 2**64 - 1
+
+
+def mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M
+    return x ^ x >> 31
+
+
+def slow_print(text, lex, subsets):
+    """One text by plain integers: per seed, the smallest nested subset that it meets, its terms in sorted order."""
+    found = imatch.terms(text)
+    own = sorted([lex["band"][x] for x in found if x in lex["band"]] or [lex["above"][x] for x in found if x in lex["above"]] or [imatch._hash(x) for x in found])
+    out = []
+    for k in range(subsets):
+        place = sorted(mix(h + 0x9E3779B97F4A7C15 * (k + 1) & M) >> 11 for h in own)
+        total = 0
+        for x in place:
+            if x < 1 << place[0].bit_length():
+                total = (total + x * 0xD6E8FEB86659FD93) & M
+        out.append(mix(total) >> 32 | 1 if own else 0)
+    return out
+
+
+def test_fingerprints_against_plain_integers(docs, corpus):
+    lex = imatch.lexicon(docs, low=0.02, high=0.5)
+    texts = [r[1] for r in corpus] + ["", "nowhere else", "z"]
+    got = imatch.fingerprints(texts, lex, 7)
+    assert got.tolist() == [slow_print(t, lex, 7) for t in texts]
+
+
+def test_why_the_subsets_are_nested(spark, sf_small):
+    """Lexicon subsets of one fixed size keep hardly a hash of a text whose last third is replaced, or are mostly
+    empty; nested ones keep about as many as terms are kept."""
+    docs = [r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").orderBy("doc_id").collect() if r.text and len(r.text) > 300]
+    pairs = [(t, t[:len(t) - len(t) // 3] + n[:len(t) // 3]) for t, n in zip(docs, docs[1:], strict=False) if not n.startswith(t[:50])]
+    lex = {"band": {x: imatch._hash(x) for t in docs for x in imatch.terms(t)}, "above": {}}
+    a, b = (imatch.fingerprints([p[i] for p in pairs], lex) for i in (0, 1))
+    nested = float(np.mean(imatch.likeness(a, b)))
+
+    def fixed(share):
+        same, empty, n = 0, 0, 0
+        for x, y in pairs:
+            sets = [[(mix(imatch._hash(t) + 0x9E3779B97F4A7C15 * (k + 1) & M) >> 11, t) for t in imatch.terms(z)] for z in (x, y) for k in range(8)]
+            kept = [tuple(sorted(t for place, t in s if place < share * 2**53)) for s in sets]
+            for u, v in zip(kept[:8], kept[8:], strict=True):
+                n, empty, same = n + 1, empty + (not u), same + (bool(u) and u == v)
+        return same / n, empty / n
+
+    for share in (0.5, 0.25, 1 / 16, 1 / 64, 1 / 256):
+        same, empty = fixed(share)
+        assert same < nested / 2 or empty > 0.25, (share, same, empty, nested)
+    assert nested > 0.4

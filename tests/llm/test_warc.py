@@ -56,3 +56,13 @@ def test_bytes_round_trip(records):
 def test_empty_and_reruns(spark, records):
     assert sorted(map(str, records.collect())) == sorted(map(str, records.collect()))
     assert warc.derive(warc.responses(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
+
+
+def test_attributes_and_source_headers(records):
+    assert warc.visible_text('<p title="a>b">x</p><div data-y=it\'s>Don\'t</div><img alt="<b>">z') == "x\nDon't\nz"
+    source = {r.record_id: r for r in records.collect()}
+    for row in warc.warc_bytes(warc.derive(records)).collect():
+        (head, _), = warc.parse(bytes(row.warc))
+        s = source[head["WARC-Refers-To"]]
+        assert head["WARC-Source-Payload-Digest"] == s.payload_digest and head["WARC-Refers-To-Date"] == s.warc_date
+        assert head.get("WARC-Refers-To-Target-URI") == (s.target_uri or None) and "WARC-Payload-Digest" not in head
