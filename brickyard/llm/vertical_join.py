@@ -462,36 +462,43 @@ def _linked(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
 
 
 def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links of large clusters around a few centres, and the nodes of each
-    cluster's largest component over them.
-
-    A round takes ``CENTRES`` sets of each length band that are not in the main
-    component yet and compares them with every chunk of their cluster, so its
-    tiles number as the chunks do. Rounds go on while they shrink what is left
-    outside by half; what is left then meets everything in ``_chunk_pairs``."""
-    chunked, _ = _chunks(members, percent)
-    chunked = written(chunked, "large-chunks")
+    """Links (centre, node) of large clusters around a few centres, and of each
+    cluster the nodes that these connect with its most linked centre.
+
+    A round takes ``CENTRES`` sets of each length band that are not connected
+    yet and compares them with every chunk of their cluster, so its tiles number
+    as the chunks do. Rounds go on while they shrink what is left by half, down
+    to a few chunks; what is left then meets everything in ``_chunk_pairs``."""
+    chunked = written(_chunks(members, percent)[0], "large-chunks")
+    tile = F.xxhash64("cluster", "band", "chunk")
+    each = chunked.select("cluster", "band", "chunk").distinct()
     links, main, total = None, None, chunked.count()
     outside = total
     while True:
-        open_ = chunked if main is None else chunked.join(main.select("node"), "node", "left_anti")
+        left = chunked if main is None else chunked.join(main, "node", "left_anti")
         first = Window.partitionBy("cluster", "band").orderBy("node")
-        centres = written(open_.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= CENTRES).select("cluster", "band", "node"), "centres")
+        centres = left.withColumn("i", F.row_number().over(first)).filter(F.col("i") <= CENTRES).select("cluster", "band", "node")
         near = centres.select("cluster", "node", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-        tile = F.xxhash64("cluster", "band", "chunk")
-        each = chunked.select("cluster", "band", "chunk").distinct()
         placed = (near.join(each, ["cluster", "band"]).select("node", tile.alias("tile"), F.lit(0).alias("side"))
                   .unionByName(chunked.select("node", tile.alias("tile"), F.lit(1).alias("side"))))
         found = _linked(sets, placed, percent)
         links = written(found if links is None else links.unionByName(found), "star-links")
-        labels = connected_components(links, "stars").withColumnRenamed("label", "comp")
-        parts_ = chunked.join(labels, "node").groupBy("cluster", "comp").agg(F.count("*").alias("c"))
-        best = parts_.groupBy("cluster").agg(F.max(F.struct("c", "comp")).alias("b")).select("cluster", F.col("b.comp").alias("comp"))
-        main = written(chunked.select("node", "cluster").join(labels, "node").join(best, ["cluster", "comp"]).select("node"), "main")
-        left = total - main.count()
-        if left * 2 > outside or not left:
+        main = written(_around_best(links, chunked.select("node", "cluster")), "main")
+        now = total - main.count()
+        if 2 * now > outside or now <= 4 * CHUNK_SETS:
             return links, main
-        outside = left
+        outside = now
+
+
+def _around_best(links: DataFrame, owner: DataFrame) -> DataFrame:
+    """(node) of what is connected with the most linked centre of each cluster
+    over at most two more centres: ``links`` (a: centre, b), ``owner`` (node, cluster)."""
+    best = (links.groupBy("a").agg(F.count("*").alias("c")).join(owner.withColumnRenamed("node", "a"), "a")
+            .groupBy("cluster").agg(F.max(F.struct("c", "a")).alias("m")).select(F.col("m.a").alias("a")))
+    inner = links.join(best, "a", "left_semi").select("b")
+    centres = links.join(inner.distinct(), "b", "left_semi").select("a").distinct()
+    all_of = links.join(centres, "a", "left_semi")
+    return all_of.select(F.col("a").alias("node")).unionByName(all_of.select(F.col("b").alias("node"))).distinct()
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
