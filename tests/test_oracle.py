@@ -14,7 +14,9 @@ import __spark_entry__ as E  # noqa: E402
 
 from brickyard.plans.registry import QUERIES as OWN  # noqa: E402
 
-KEYS = sorted(OWN)
+#: Approximate by design: tests/test_vectors.py measures its recall against the exact search.
+NO_SQL = {"vector_topk_lists"}
+KEYS = sorted(set(OWN) - NO_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def con(sf_small):
 
 
 def test_every_query_has_oracle():
-    assert set(OWN) <= set(E.queries()) and set(OWN) <= set(E.oracle_sql())
+    assert set(OWN) <= set(E.queries()) and set(OWN) - NO_SQL == set(OWN) & set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

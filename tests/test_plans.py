@@ -72,6 +72,7 @@ def test_retrieval_has_no_pair_join(spark, sf_small):
 
 def test_queries_load_without_a_session():
     """The driver imports the entry before it makes a session."""
+    import os
     import subprocess
     import sys
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
