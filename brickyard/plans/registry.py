@@ -340,12 +340,12 @@ def freshness_sources(spark, d):
 
 def report_checks(s: SalesStar) -> tuple[dict, list[Check]]:
     # tables that others come from are stored ones, as they would be: each is built once
-    stored = staged_together(orders=s.silver_orders(), lines=s.silver_order_details(), part=s.silver_part)
-    orders, lines, s.silver_part = stored["orders"], stored["lines"], stored["part"]
+    stored = staged_together(orders=s.silver_orders(), lines=s.silver_order_details(), part=s.silver_part, components=s.dim_components())
+    orders, lines, s.silver_part, components = (stored[n] for n in ("orders", "lines", "part", "components"))
     rel = {"silver_orders": orders, "silver_order_details": lines,
            "silver_products": s.silver_products(), "fact_orders": s.fact_orders(lines, orders),
-           "dim_product": s.dim_product, "dim_date": s.dim_date(), "dim_components": s.dim_components(),
-           "bridge_components": s.bridge_components()}
+           "dim_product": s.dim_product, "dim_date": s.dim_date(), "dim_components": components,
+           "bridge_components": s.bridge_components(components=components)}
     checks = [
         Check("silver_orders", "unique", "order_id", severity="warn"),
         Check("silver_orders", "not_null", "order_date"),

@@ -121,8 +121,8 @@ class SalesStar:
     def dim_components(self) -> DataFrame:
         return distinct_dim(self.silver_components(), "component", "component_sk", self.run_ts)
 
-    def bridge_components(self, strict: bool = False, parent: DataFrame | None = None) -> DataFrame:
-        return bridge(self.silver_components(), self.dim_components(), parent=parent,
+    def bridge_components(self, strict: bool = False, parent: DataFrame | None = None, components: DataFrame | None = None) -> DataFrame:
+        return bridge(self.silver_components(), self.dim_components() if components is None else components, parent=parent,
                       strict=strict, run_ts=self.run_ts)
 
     def date_bounds(self) -> DataFrame:
