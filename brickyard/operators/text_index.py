@@ -9,10 +9,11 @@ without a term, lists the block's documents and their lengths. Rows are sorted
 by term inside each file, so that a stored index is read by row group.
 
 Search equi-joins the rows with the queries' terms: only matching postings move.
-They meet their queries in cells (block of queries, shard of index blocks),
-both sized by counts. A cell goes through its index blocks from the most to the
-least promising; a query skips a block whose bound is below its k-th best score
-so far. Results are exact.
+They meet their queries in cells (group of queries, shard of index blocks),
+both sized by counts and as large as a task may hold, since postings move once
+per group and weights once per shard. A cell takes its queries in blocks and
+goes through its index blocks from the most to the least promising; a query
+skips a block whose bound is below its k-th best score so far. Results are exact.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ BM25_B = 0.75
 
 BLOCK_DOCS, BLOCK_TOKENS = 2_048, 1_000_000   # an index block holds so many documents, or about so many tokens, at most
 SHARD_POSTINGS = 4_000_000                    # matching postings of a cell
+GROUP_PAIRS, GROUP_QUERIES = 4_000_000, 250_000  # (query, term) pairs and queries of a cell
 SCORE_CELLS = 4_000_000                       # scores held at once (documents x queries)
 DENSE_CELLS = 8_000_000                       # the dense part of a block's term x query weights (64 MB)
 ROUND = 6                                     # decimal places of a score
@@ -209,31 +211,41 @@ def search(index: TermIndex, terms: QueryTerms, k: int = 5, k1: float = BM25_K1,
     matching = seen["matching"] or 0
     weights = pairs.join(known, "term").select(
         "qid", "term", (F.col("qtf") * F.log1p((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
-    blocks = max(1, math.ceil(terms.n_queries / max(1, block_rows)), math.ceil(terms.n_pairs / block_terms))
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(matching / SHARD_POSTINGS))
-    own_block = F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")
+    groups = max(1, math.ceil(terms.n_queries / GROUP_QUERIES), math.ceil(terms.n_pairs / GROUP_PAIRS))
+    cells = min(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 2 * spark.sparkContext.defaultParallelism)
+    shards = max(1, math.ceil(cells / groups), math.ceil(matching / SHARD_POSTINGS))
+    own_group = F.pmod(F.xxhash64("qid"), F.lit(groups)).cast("int")
+    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     every_shard = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     shard = F.pmod(F.xxhash64("block"), F.lit(shards))
-    if blocks > 1:
-        wanted = pairs.select(own_block.alias("__b"), "term").distinct()
-        postings = index.rows.join(wanted, "term")
-        documents = index.rows.where(_no_term()).withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    else:
-        postings = index.rows.join(known.select("term"), "term").withColumn("__b", F.lit(0))
-        documents = index.rows.where(_no_term()).withColumn("__b", F.lit(0))
-    cols = [*index.rows.columns, "__b"]
-    left = postings.select(*cols).unionByName(documents.select(*cols)).withColumn("__s", shard).groupBy("__b", "__s")
-    right = weights.select("*", own_block.alias("__b"), every_shard.alias("__s")).groupBy("__b", "__s")
+    # a group holds so many pairs that it needs nearly all postings: they are joined to the terms of all queries
+    postings = index.rows.join(known.select("term"), "term").select(*index.rows.columns)
+    left = (postings.unionByName(index.rows.where(_no_term())).select("*", shard.alias("__s"), every_group.alias("__b"))
+            .groupBy("__b", "__s"))
+    right = weights.select("*", own_group.alias("__b"), every_shard.alias("__s")).groupBy("__b", "__s")
 
     def score(postings: pa.Table, weights: pa.Table) -> pa.Table:
         arrow = pa.schema([("query_id", weights.schema.field("qid").type), ("doc_id", postings.schema.field("ids").type.value_type), ("score", pa.float64())])
         if not (weights.num_rows and postings.num_rows):
             return arrow.empty_table()
-        return _Cell(weights, avgdl, k1, b, k).run(postings).table(arrow)
+        return pa.concat_tables([_Cell(block, avgdl, k1, b, k).run(postings).table(arrow) for block in _query_blocks(weights, block_rows, block_terms)])
 
     return best_k(left.cogroup(right).applyInArrow(score, schema), k)
 
 
+def _query_blocks(weights: pa.Table, block_rows: int, block_terms: int) -> Iterator[pa.Table]:
+    """``weights`` in blocks of whole queries: ``block_rows`` of them at most, and about ``block_terms`` pairs (one query at least)."""
+    code = weights.column("qid").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    ends = np.cumsum(np.bincount(code))
+    lo = 0
+    while lo < len(ends):
+        start = int(ends[lo - 1]) if lo else 0
+        hi = min(max(int(np.searchsorted(ends, start + block_terms, "right")), lo + 1), lo + max(1, block_rows), len(ends))
+        yield weights.take(pa.array(order[start:ends[hi - 1]]))
+        lo = hi
+
+
 def best_k(found: DataFrame, k: int) -> DataFrame:
     """Merge candidates (query_id, doc_id, score): score desc, id asc."""
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())

@@ -68,6 +68,24 @@ def test_search_matches_brute_force(data, monkeypatch, block_docs, block_tokens,
     same(rows(X.keyword_topk(q, d, 4, block_rows=block_rows)), brute(queries, docs, 4))
 
 
+def test_postings_move_once_for_many_blocks_of_queries(data, monkeypatch):
+    """A cell takes its queries in blocks; only groups beyond a cell's bound send postings again. Results stay exact."""
+    docs, queries, d, q = data
+    ran, cells = X._query_blocks, []
+    monkeypatch.setattr(X, "best_k", lambda found, k, final=X.best_k: (cells.append(found), final(found, k))[1])
+
+    def plan():
+        return cells[-1]._jdf.queryExecution().analyzed().toString()
+    same(rows(X.keyword_topk(q, d, 4, block_rows=3)), brute(queries, docs, 4))
+    assert "sequence(0, 0" in plan()  # one group, though there are many blocks of three queries
+    monkeypatch.setattr(X, "GROUP_PAIRS", 50)
+    same(rows(X.keyword_topk(q, d, 4, block_rows=3)), brute(queries, docs, 4))
+    assert "sequence(0, 0" not in plan()
+    w = pa.table({"qid": [1, None, 1, 2, 3, 3, 3], "term": list("abcdefg"), "w": [1.0] * 7})
+    assert sorted(sorted(map(str, set(b.column("qid").to_pylist()))) for b in ran(w, 2, 100)) == [["1", "None"], ["2", "3"]]
+    assert [b.num_rows for b in ran(w, 100, 2)] == [2, 2, 3]
+
+
 def test_small_score_chunks(data, monkeypatch):
     monkeypatch.setattr(X, "SCORE_CELLS", 100)
     monkeypatch.setattr(X, "DENSE_CELLS", 90)
