@@ -184,3 +184,25 @@ def test_sample_is_bounded(spark, labelled, monkeypatch):
     rows = labelled + [(0, labelled[0][1], "aa", 0)] * 50  # a repeated id
     got = T.sample(*frames(spark, rows, [(i, y, 0) for i, _, _, y in labelled]), seed=1).collect()
     assert sum(r.toxic for r in got) == 10 and len(got) == 40
+
+
+def test_every_labelled_text_is_learned(spark, labelled, monkeypatch):
+    """Several packs: a word of a few late texts only, long ones too, counts; results hold however many packs there are."""
+    monkeypatch.setattr(T, "PACK_TEXTS", 300)
+    monkeypatch.setattr(T, "TOXIC", 5)
+    monkeypatch.setattr(T, "OTHER", 5)
+    monkeypatch.setattr(T, "SAMPLE_CHARS", 50)
+    docs, labels = frames(spark, labelled)
+    packs, many = T.packs(docs, labels, T.SEED)
+    kept = [r.doc_id for r in docs.filter(~T.held_out()).collect()]
+    assert many > 2 and packs.selectExpr("sum(size(rows))").first()[0] == len(kept)
+    model = T.fitted(docs, labels)
+    assert T.fitted(docs.repartition(5), labels) == model
+    y = {i: k for i, _, _, k in labelled}
+    held = [r for r in T.score(docs, model).collect() if r.held_out]
+    assert np.mean([r.predicted == y[r.doc_id] for r in held]) > 0.95
+    counts, words = T._counted(packs, ["aa", "bb"], lambda r: True)
+    texts = {i: T.word_ids(t.encode()) for i, t, _, _ in labelled}
+    toxic, every = T.seen_rows([texts[i] for i in kept], np.array([y[i] for i in kept]), 1)
+    assert (counts[1][0] == toxic).all() and (counts[1][1] == every).all()
+    assert words.sum() == sum(texts[i].shape[1] for i in kept)
