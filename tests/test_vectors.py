@@ -1,6 +1,7 @@
 """Vector retrieval: exact search on odd inputs, recall and work of the inverted lists."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,38 @@ def test_hot_list_is_split(spark, monkeypatch):
 def test_string_ids(spark):
     e = spark.createDataFrame([("u", [1.0, 0.0]), ("v", [1.0, 0.1]), ("w", [0.0, 1.0])], "vec_id string, embedding array<double>")
     assert pairs(V.vector_topk_lists(e, e, 1, n_lists=2, probes=2)) == {("u", "v"), ("v", "u"), ("w", "v")}
+
+
+def test_batches_of_copied_vectors_stay_small(monkeypatch):
+    """A vector that meets many lists leaves the task in small batches, and once a bin, not once a list."""
+    r = np.random.default_rng(4)
+    c, v = r.normal(size=(50, 8)), r.normal(size=(400, 8))
+    b = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(v.tolist())], names=["qid", "v"])
+    monkeypatch.setattr(V, "SLICE_BYTES", 8 * 8 * 50 * 10)
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+    out = list(V._assign(Shared(c), 40)([b]))
+    assert sum(x.num_rows for x in out) == 400 * 40 and max(x.num_rows for x in out) <= 500
+    known, bin_of, n = V.binned({**dict.fromkeys(range(50), 10), 7: 300, -3: 4}, c, 100)
+    sizes = np.bincount(bin_of, [{7: 300, -3: 4}.get(int(x), 10) for x in known])
+    assert n <= 16 and max(np.delete(sizes, bin_of[known == 7])) <= 100 and (bin_of == bin_of[known == -3]).sum() == 1
+    out = pa.Table.from_batches(list(V._to_bins(Shared(c), Shared((known, bin_of)), 40, n)([b])))
+    assert out.num_rows <= 400 * n and sum(map(len, out.column("lists").to_pylist())) == 400 * 40
+
+
+def test_single_precision_changes_nothing(spark):
+    """Near ties far below single precision, and large groups of copies: the order is that of double precision and id."""
+    r = np.random.default_rng(8)
+    base = r.normal(size=24)
+    rows = [(i, (base + (i % 40) * 2e-5 * np.arange(24)).tolist()) for i in range(300)] + [(1000 + i, r.normal(size=24).tolist()) for i in range(300)]
+    e = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = brute(rows, 4)
+    assert pairs(V.vector_topk(e, e, 4)) == want
+    assert pairs(V.vector_topk_lists(e, e, 4, n_lists=6, probes=6)) == want
+    top = V._Top(np.eye(2), np.array([-1, -1]), 2)
+    seen = []
+    top._merge, merge = (lambda i, *x: (seen.append(len(i)), merge(i, *x))), top._merge
+    top.offer(np.tile([0.6, 0.8], (5000, 1)), np.full(5000, -1), np.arange(5000))
+    assert top.place.tolist() == [[0, 1], [0, 1]] and sum(seen) < 200  # equal rows that come later are left out
