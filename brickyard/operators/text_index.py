@@ -1,8 +1,9 @@
 """Inverted index for keyword retrieval, and BM25 search over it.
 
 The index is one table, made in one pass over the texts. Documents are packed
-into blocks where they are read -- no text and no posting is shuffled -- and
-every block gives one row per term that it holds: the places of its documents,
+into blocks where they are read (texts are dealt out first only if there are
+fewer files than tasks of ``PART_CHARS`` need), no posting is shuffled, and every
+block gives one row per term that it holds: the places of its documents,
 how often each holds the term, and the greatest frequency and least length
 among them, which bound the term's impact in the block. One more row per block,
 without a term, lists the block's documents and their lengths. Rows are sorted
@@ -44,6 +45,7 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 BLOCK_DOCS, BLOCK_TOKENS = 2_048, 1_000_000   # an index block holds so many documents, or about so many tokens, at most
+PART_CHARS = 64_000_000                       # characters of text that a task indexes, about
 SHARD_POSTINGS = 4_000_000                    # matching postings of a cell
 GROUP_PAIRS, GROUP_QUERIES = 4_000_000, 250_000  # (query, term) pairs and queries of a cell
 SCORE_CELLS = 4_000_000                       # scores held at once (documents x queries)
@@ -159,8 +161,11 @@ def term_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
     Write ``rows`` to a table to keep the index; ``open_index`` takes it up again."""
     spark = docs.sparkSession
     src = docs.select(F.col(doc_id).alias("did"), F.col(doc_text).alias("text"))
-    if len(docs.inputFiles()) < spark.sparkContext.defaultParallelism:
-        src = src.repartition(spark.sparkContext.defaultParallelism)  # a small table of few files: all cores tokenise
+    # a file may be one task's whatever its size: tasks follow the text, and all cores tokenise
+    chars = src.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    least = max(spark.sparkContext.defaultParallelism, math.ceil(chars / PART_CHARS))
+    if len(docs.inputFiles()) < least:
+        src = src.repartition(least)
     rows = src.select("did", tokens("text").alias("toks")).mapInArrow(_pack, _index_schema(src.schema["did"].dataType))
     if terms is not None:
         wanted = terms.select("term").where("term is not null").distinct().withColumn("__hit", F.lit(True))

@@ -176,3 +176,15 @@ def test_one_tokenisation_and_no_text_shuffle(spark, data, monkeypatch):
     assert calls == ["text", "text"]   # the queries, the documents
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" not in plan and "Cartesian" not in plan
+
+
+def test_tasks_follow_the_text(spark, tmp_path, monkeypatch):
+    """One file of much text is indexed by many tasks, each of which sorts its own share."""
+    docs = [(i, " ".join(f"w{(i * 7 + j) % 500}" for j in range(100))) for i in range(600)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    d = spark.read.parquet(str(tmp_path / "docs"))
+    chars, cores = sum(len(t) for _, t in docs), spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(X, "PART_CHARS", chars // (5 * cores))
+    index = X.term_index(d)
+    assert len(index.rows.inputFiles()) >= 5 * cores
+    assert (index.n_docs, index.n_tokens) == (600, 60_000) and index.terms().agg({"cf": "sum"}).first()[0] == 60_000
