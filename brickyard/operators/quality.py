@@ -5,8 +5,8 @@ Each ``check_*`` returns the *failing rows* relation (lazy). ``quality_report``
 evaluates many checks and returns one row per check:
 ``(relation, check, columns, severity, n_failed, status)``. All checks of one
 relation are folded into a **single** aggregation: conditional counts for
-row-level and relationship checks (parents are left-joined by their keys
-first), grouping sets for uniqueness and accepted values. ``key_counts``,
+row-level checks, grouping sets for uniqueness and accepted values. A
+relationship check counts rows per key beside it. ``key_counts``,
 ``merge_counts`` and ``broken_by`` keep a uniqueness check over loads: counts
 per key that add up, so that a load checks only the keys that it brings.
 """
@@ -163,7 +163,7 @@ class Check:
     parent: DataFrame | None = dc_field(default=None, repr=False)
     field: str | None = None
     name: str | None = None
-    parent_unique: bool = False   # the parent's field can't repeat (it was deduplicated by it)
+    parent_unique: bool = False   # the parent's field can't repeat (said for the reader; the anti-join needs no telling)
 
     @property
     def label(self) -> str:
@@ -189,21 +189,14 @@ def _meta(c: Check, n: Column) -> Column:
                     F.lit(c.severity).alias("severity"), n.cast("bigint").alias("n_failed"))
 
 
-def _with_parents(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, dict[int, Column]]:
-    """``df`` left-joined to the distinct keys of the checks' parents, and each
-    check's failing condition. A parent key meets a row once at most, so the
-    rows stay as they are; AQE broadcasts small parents and splits hot keys."""
-    conds: dict[int, Column] = {}
-    for i, c in enumerate(checks):
-        if c.kind != "relationships":
-            conds[id(c)] = _row_condition(c)
-            continue
-        col = _cols(c.columns)[0]
-        keys = c.parent.select(F.col(c.field).alias(f"__p{i}")).where(F.col(f"__p{i}").isNotNull())
-        keys = keys if c.parent_unique else keys.distinct()
-        df = df.join(keys, F.col(col) == F.col(f"__p{i}"), "left")
-        conds[id(c)] = F.col(col).isNotNull() & F.col(f"__p{i}").isNull()
-    return df, conds
+def _orphans(df: DataFrame, c: Check) -> DataFrame:
+    """A relationship check on its own: rows per key, then the keys that the
+    parent doesn't have. Only keys and their counts move, no rows, and a hot key
+    moves once per task; AQE broadcasts small parents."""
+    col = _cols(c.columns)[0]
+    keys = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    bad = keys.join(c.parent.select(F.col(c.field).alias("__k")), "__k", "left_anti")
+    return bad.agg(F.array(_meta(c, F.coalesce(F.sum("__n"), F.lit(0)))).alias("rs")).select(F.inline("rs"))
 
 
 def _one_pass(df: DataFrame, rows: list[Check], keyed: list[Check]) -> DataFrame:
@@ -215,7 +208,7 @@ def _one_pass(df: DataFrame, rows: list[Check], keyed: list[Check]) -> DataFrame
     for c in keyed:
         if (cols := _cols(c.columns)) not in sets:
             sets.append(cols)
-    df, conds = _with_parents(df, rows)
+    conds = {id(c): _row_condition(c) for c in rows}
     if not sets:
         return df.agg(F.array(*[_meta(c, F.count_if(F.coalesce(conds[id(c)], F.lit(False)))) for c in rows]).alias("rs")).select(F.inline("rs"))
     cols = list(dict.fromkeys(x for s in sets for x in s))
@@ -246,11 +239,11 @@ def quality_report(relations: dict[str, DataFrame], checks: Sequence[Check]) ->
     report frame; ``status`` is pass, warn (failures at severity warn) or
     fail.
 
-    Every relation is read once and shuffled once, whatever the number of its
-    checks: row-level and relationship checks are conditional counts, and
-    uniqueness and accepted-values checks are grouping sets of the same
-    aggregation. Relationship checks join the parents' keys first. Stage
-    relations that several others come from.
+    Every relation is read once and shuffled once for all its row-level,
+    uniqueness and accepted-values checks: conditional counts, and grouping sets
+    of the same aggregation. A relationship check counts rows per key and looks
+    these keys up in the parent: it reads the relation's key again, but sends no
+    rows. Stage relations that several others come from.
     """
     parts: list[DataFrame] = []
     by_rel: dict[str, tuple[list[Check], list[Check]]] = {}
@@ -259,7 +252,9 @@ def quality_report(relations: dict[str, DataFrame], checks: Sequence[Check]) ->
             raise ValueError(f"severity must be error or warn, got {c.severity!r}")
         if c.kind in ("unique", "unique_combination", "accepted_values"):
             by_rel.setdefault(c.relation, ([], []))[1].append(c)
-        elif c.kind in ROW_LEVEL or c.kind == "relationships":
+        elif c.kind == "relationships":
+            parts.append(_orphans(relations[c.relation], c))
+        elif c.kind in ROW_LEVEL:
             by_rel.setdefault(c.relation, ([], []))[0].append(c)
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")

@@ -132,3 +132,14 @@ def test_freshness_of_all_sources(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", old)
     with pytest.raises(ValueError):
         Q.freshness_report({})
+
+
+def test_relationships_send_keys_not_rows(spark):
+    """A hot key and a key without a parent are counted before they meet it; nulls pass, a repeated parent counts once."""
+    df = spark.createDataFrame([(i, 1 if i % 2 else 2 + i % 7, "x" * 50) for i in range(200)] + [(500, None, "y")], "i long, k long, wide string")
+    parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    rep = Q.quality_report({"t": df}, [Q.Check("t", "relationships", "k", parent=parent, field="k"), Q.Check("t", "not_null", "wide"), Q.Check("t", "unique", "i")])
+    got = {r.check: r.n_failed for r in rep.collect()}
+    assert got == {"relationships:k": sum(1 for i in range(200) if i % 2 == 0 and i % 7), "not_null:wide": 0, "unique:i": 0}
+    join = rep._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in join and "LeftOuter" not in join
