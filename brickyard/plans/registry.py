@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brickyard.functions.audit import audit_columns
 from brickyard.functions.columns import band, list_size, time_of_day, value_map
 from brickyard.functions.keys import surrogate_key
 from brickyard.operators import metrics, quality, retrieve, versioned
@@ -21,6 +22,7 @@ from brickyard.operators.clean import dedupe_latest
 from brickyard.operators.explode import split_explode
 from brickyard.operators.load import incremental_filter, load_incremental, upsert
 from brickyard.operators.quality import Check
+from brickyard.operators.star import line_key, line_keys, line_rows
 from brickyard.plans.sales_star import (PRICE_BANDS, PRICE_TOP, RUN_TS, RUN_TS_2,
                                         SalesStar, silver_lines_spec)
 from brickyard.session import checkpoint_dir, staged, staged_together
@@ -139,11 +141,16 @@ def fact_incremental_merge(spark, d):
     half = _half_key(o)
     b1 = s.bronze("orders", o.where(F.col("o_orderkey") <= half), RUN_TS)
     b2 = b1.unionByName(s.bronze("orders", o.where(F.col("o_orderkey") > half), RUN_TS_2))
-    lines = s.silver_order_details()
-    # the first load is a stored table, as it would be: its mark, its kept rows and the join read that
-    f1 = staged(s.fact_orders(lines, s.silver_orders(b1), RUN_TS), "fact")
-    f2 = s.fact_orders(lines, s.silver_orders(b2), RUN_TS_2)
-    return load_incremental(f2, f1, "order_detail_sk", "src_crt_ts")
+    # both loads come from the same silver lines, a stored table as it would be
+    lines = staged(s.silver_order_details(), "lines")
+
+    def load(bronze, run_ts):
+        rows = line_rows(lines, s.silver_orders(bronze))
+        return rows.select(line_key("order_detail_sk").alias("order_detail_sk"), *rows.columns, *audit_columns(None, run_ts))
+    # so is the first load: its mark, its kept rows and the join read that. Of the hash keys rows carry
+    # the merge key only through the merge; all keys are functions of the row and follow it
+    f1 = staged(load(b1, RUN_TS), "fact")
+    return line_keys(load_incremental(load(b2, RUN_TS_2), f1, "order_detail_sk", "src_crt_ts"))
 
 
 # ---- silver ------------------------------------------------------------------
@@ -323,7 +330,10 @@ def check_positive(spark, d):
 def orphan_antijoin(spark, d):
     s = _star(spark, d)
     parent = s.dim_product.where(F.col("price_tier") != PRICE_TOP)
-    return quality.check_relationships(s.fact_orders(), "product_sk", parent, "product_sk")
+    # a line's product key is known before its order is: orphans are told among the lines, and become facts with their keys then
+    lines = s.silver_order_details().withColumn("product_sk", line_key("product_sk"))
+    fact = s.fact_orders(quality.check_relationships(lines, "product_sk", parent, "product_sk"))
+    return fact.select("product_sk", *[c for c in fact.columns if c != "product_sk"])
 
 
 def freshness(spark, d):
