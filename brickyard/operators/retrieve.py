@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 from brickyard.operators.text_index import (BM25_B, BM25_K1, TOKEN_SPLIT, TermIndex, keyword_topk, term_index,  # noqa: F401
                                             tokens)
 from brickyard.operators.vectors import vector_topk, vector_topk_lists  # noqa: F401
+from brickyard.session import staged_counting
+
+
+#: Up to so many hits are sent to every task, about 25 MB, and the texts stay where they are read.
+BROADCAST_HITS = 500_000
 
 
 def assemble_context(ranked: DataFrame, texts: DataFrame, doc_id: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """Per query: ``Context document {rank}: {text} \\n\\n`` for each hit in
-    rank order, concatenated. Groups are bounded by k."""
+    rank order, concatenated. Groups are bounded by k. The hits are staged."""
     t = texts.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("__text"))
-    j = ranked.select("query_id", "rank", "doc_id").join(t, "doc_id", "inner")
+    hits, seen = staged_counting(ranked.select("query_id", "rank", "doc_id"), "hits", n=F.count(F.lit(1)))
+    j = t.join(F.broadcast(hits) if seen["n"] <= BROADCAST_HITS else hits, "doc_id", "inner")
     g = j.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "__text"))).alias("hits"))
     piece = lambda h: F.concat(F.lit("Context document "), h["rank"].cast("string"),
                                F.lit(": "), h["__text"], F.lit(" \n\n"))

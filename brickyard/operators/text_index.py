@@ -1,27 +1,33 @@
 """Inverted index for keyword retrieval, and BM25 search over it.
 
-The index is one table, made in one pass over the texts. Documents are packed
+The index is made in one pass over the texts. Documents are packed
 into blocks where they are read (texts are dealt out first only if there are
 fewer files than tasks of ``PART_CHARS`` need), no posting is shuffled, and every
 block gives one row per term that it holds: the places of its documents,
 how often each holds the term, and the greatest frequency and least length
 among them, which bound the term's impact in the block. One more row per block,
-without a term, lists the block's documents and their lengths. Rows are sorted
-by term inside each file, so that a stored index is read by row group.
+without a term, lists the block's documents and their lengths. The rows of a
+block are kept as one parcel, a compressed table, for they move together. As
+rows of their own they are sorted by term inside each file, so that a stored
+index is read by row group.
 
-Search equi-joins the rows with the queries' terms: only matching postings move.
-They meet their queries in cells (group of queries, shard of index blocks),
+Postings and queries meet in cells (group of queries, shard of index blocks),
 both sized by counts and as large as a task may hold, since postings move once
-per group and weights once per shard. A cell takes its queries in blocks and
-goes through its index blocks from the most to the least promising; a query
-skips a block whose bound is below its k-th best score so far. Results are exact.
+per group and weights once per shard. Weights move in parcels too. For a few queries, rows are joined with their terms first, so that
+only matching postings move.
+
+A cell keeps common terms as a matrix and the others as lists. Documents are
+ordered by what they hold of the common terms and by length, and cut into
+segments; a query skips a segment whose bound is below its k-th best score so
+far. The rest is scored in single precision, and what may be among the best
+``k`` by that is scored again in double precision. Results are exact.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -31,6 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from brickyard.session import staged, staged_counting
 
@@ -48,8 +55,13 @@ BLOCK_DOCS, BLOCK_TOKENS = 2_048, 1_000_000   # an index block holds so many doc
 PART_CHARS = 64_000_000                       # characters of text that a task indexes, about
 SHARD_POSTINGS = 4_000_000                    # matching postings of a cell
 GROUP_PAIRS, GROUP_QUERIES = 4_000_000, 250_000  # (query, term) pairs and queries of a cell
+FEW_PAIRS = 50_000                            # up to so many pairs, index rows are joined with their terms
+PARCEL_BYTES = 32_000_000                     # index rows that are packed together
 SCORE_CELLS = 4_000_000                       # scores held at once (documents x queries)
-DENSE_CELLS = 8_000_000                       # the dense part of a block's term x query weights (64 MB)
+DENSE_TERMS, DENSE_CELLS = 256, 16_000_000    # terms of a cell that are kept as a matrix, and its size (64 MB, and as much for the frequencies)
+SEGMENT_DOCS, BOUND_DOCS, SMALL_DOCS = 256, 8, 2_048  # documents of a segment, and of each of its bounds; below SMALL_DOCS each stands alone
+ALIKE_TERMS = 64                              # common terms by which texts are found alike
+DRIFT = 1e-4                                  # more than single precision may change a score by, of its size, over DENSE_TERMS terms
 ROUND = 6                                     # decimal places of a score
 SLACK = 10.0 ** -ROUND                        # a bound this much below the k-th score can't reach it by rounding
 
@@ -61,6 +73,10 @@ def tokens(text) -> Column:
     return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT, -1), F.lit(""))
 
 
+FACTS = ("term", "df", "cf", "max_tf", "min_len")
+POSTINGS = ("block", "term", "places", "tfs", "ids", "lens")
+
+
 def _no_term() -> Column:
     return F.col("term").isNull()
 
@@ -69,14 +85,22 @@ def _no_term() -> Column:
 
 class TermIndex(NamedTuple):
     """``rows``: one per (block, term), and one per block with a null term,
-    which counts its documents in ``df`` and their tokens in ``cf``."""
+    which counts its documents in ``df`` and their tokens in ``cf``.
+    ``parcels``, if there: the same, (block, part) with a block's rows as one value."""
     rows: DataFrame
     n_docs: int
     n_tokens: int
+    parcels: DataFrame | None = None
+
+    def facts(self) -> DataFrame:
+        """What each block says of each of its terms, without postings."""
+        if self.parcels is None:
+            return self.rows.where(~_no_term()).select(*FACTS)
+        return self.parcels.select("part").mapInArrow(_facts, self.rows.select(*FACTS).schema)
 
     def terms(self) -> DataFrame:
         """Per term: documents that hold it, occurrences, blocks, greatest frequency and least length of a holder."""
-        return self.rows.where(~_no_term()).groupBy("term").agg(
+        return self.facts().groupBy("term").agg(
             F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.count(F.lit(1)).alias("blocks"),
             F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len"))
 
@@ -124,6 +148,7 @@ def _block_rows(number: int, ids: pa.Array, toks: pa.ListArray) -> pa.RecordBatc
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (id, tokens) as index rows, a batch a block."""
     from pyspark import TaskContext
     number = TaskContext.get().partitionId() << 32
     held, docs, size = [], 0, 0
@@ -144,6 +169,28 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _block_rows(number, *_joined(held))
 
 
+def _pack_parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents as one row a block: its number, its documents and tokens, and its index rows as a parcel."""
+    for rows in _pack(batches):
+        number, _, docs, tokens = (rows.column(i)[-1].as_py() for i in range(4))
+        yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in (number, docs, tokens)), pa.array([_parcel(pa.Table.from_batches([rows]))], pa.binary())],
+                                         names=["block", "docs", "tokens", "part"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for t in _unpack(b.column("part")):
+            for c in ("places", "tfs"):
+                t = t.set_column(t.column_names.index(c), c, t.column(c).cast(pa.list_(pa.int32())))
+            yield from t.to_batches()
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for t in _unpack(b.column("part")):
+            yield from t.select(FACTS).filter(t.column("term").is_valid()).to_batches()
+
+
 def _joined(held: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array]:
     return tuple(pa.concat_arrays([b.column(i) for b in held]) for i in range(2))
 
@@ -166,10 +213,14 @@ def term_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
     least = max(spark.sparkContext.defaultParallelism, math.ceil(chars / PART_CHARS))
     if len(docs.inputFiles()) < least:
         src = src.repartition(least)
-    rows = src.select("did", tokens("text").alias("toks")).mapInArrow(_pack, _index_schema(src.schema["did"].dataType))
-    if terms is not None:
-        wanted = terms.select("term").where("term is not null").distinct().withColumn("__hit", F.lit(True))
-        rows = rows.join(wanted, "term", "left").where("__hit or term is null").select(*rows.columns)
+    src, schema = src.select("did", tokens("text").alias("toks")), _index_schema(src.schema["did"].dataType)
+    if terms is None:
+        parcels, seen = staged_counting(src.mapInArrow(_pack_parcels, "block long, docs long, tokens long, part binary"), "index", n=F.sum("docs"), total=F.sum("tokens"))
+        rows = parcels.select("part").mapInArrow(_rows, schema).sortWithinPartitions("term")
+        return TermIndex(rows, seen["n"] or 0, seen["total"] or 0, parcels.select("block", "part"))
+    rows = src.mapInArrow(_pack, schema)
+    wanted = terms.select("term").where("term is not null").distinct().withColumn("__hit", F.lit(True))
+    rows = rows.join(wanted, "term", "left").where("__hit or term is null").select(*rows.columns)
     kept, seen = staged_counting(rows.sortWithinPartitions("term"), "index", n=F.sum(F.when(_no_term(), F.col("df"))), total=F.sum(F.when(_no_term(), F.col("cf"))))
     return TermIndex(kept, seen["n"] or 0, seen["total"] or 0)
 
@@ -210,34 +261,92 @@ def search(index: TermIndex, terms: QueryTerms, k: int = 5, k1: float = BM25_K1,
         return best_k(spark.createDataFrame([], schema), k)
     n_docs, avgdl = index.n_docs, index.n_tokens / index.n_docs
     # from the index rows' counts; the postings are not read for this
-    known, seen = staged_counting(
-        index.rows.where(~_no_term()).join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df")),
-        "df", matching=F.sum("df"))
+    counts = index.facts().groupBy("term").agg(F.sum("df").alias("df"))
+    known, seen = staged_counting(counts.join(pairs.select("term").distinct(), "term", "left_semi"), "df", matching=F.sum("df"))
     matching = seen["matching"] or 0
-    weights = pairs.join(known, "term").select(
-        "qid", "term", (F.col("qtf") * F.log1p((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
     groups = max(1, math.ceil(terms.n_queries / GROUP_QUERIES), math.ceil(terms.n_pairs / GROUP_PAIRS))
     cells = min(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 2 * spark.sparkContext.defaultParallelism)
     shards = max(1, math.ceil(cells / groups), math.ceil(matching / SHARD_POSTINGS))
     own_group = F.pmod(F.xxhash64("qid"), F.lit(groups)).cast("int")
     every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     every_shard = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-    shard = F.pmod(F.xxhash64("block"), F.lit(shards))
-    # a group holds so many pairs that it needs nearly all postings: they are joined to the terms of all queries
-    postings = index.rows.join(known.select("term"), "term").select(*index.rows.columns)
-    left = (postings.unionByName(index.rows.where(_no_term())).select("*", shard.alias("__s"), every_group.alias("__b"))
-            .groupBy("__b", "__s"))
-    right = weights.select("*", own_group.alias("__b"), every_shard.alias("__s")).groupBy("__b", "__s")
+    # blocks are numbered by task: dealt out in turn
+    shard = F.pmod(F.shiftright("block", 32) + F.col("block").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(shards))
+    few, rows = terms.n_pairs <= FEW_PAIRS, index.rows
+    if few:
+        rows = rows.join(known.select("term"), "term").select(*rows.columns).unionByName(rows.where(_no_term()))
+    if few or index.parcels is None:
+        parcels = rows.select(shard.cast("long").alias("__s"), *POSTINGS).mapInArrow(_pack_rows, "__s long, part binary")
+    else:
+        parcels = index.parcels.select(shard.cast("long").alias("__s"), "part")
+    left = parcels.withColumn("__b", every_group).groupBy("__b", "__s")
+    weights = pairs.join(known, "term").select(
+        own_group.alias("__b"), "qid", "term", (F.col("qtf") * F.log1p((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
+
+    def pack_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held := list(batches):
+            t = pa.Table.from_batches(held)
+            for b in pc.unique(t.column("__b")):
+                for block in _query_blocks(t.filter(pc.equal(t.column("__b"), b)).drop_columns("__b"), block_rows, block_terms):
+                    yield pa.RecordBatch.from_arrays([pa.array([b.as_py()], pa.int32()), pa.array([_parcel(block.sort_by("term"), "term", "qid")], pa.binary())], names=["__b", "part"])
+
+    right = (weights.repartition("qid").mapInArrow(pack_weights, "__b int, part binary")
+             .withColumn("__s", every_shard).groupBy("__b", "__s"))
 
     def score(postings: pa.Table, weights: pa.Table) -> pa.Table:
-        arrow = pa.schema([("query_id", weights.schema.field("qid").type), ("doc_id", postings.schema.field("ids").type.value_type), ("score", pa.float64())])
         if not (weights.num_rows and postings.num_rows):
-            return arrow.empty_table()
-        return pa.concat_tables([_Cell(block, avgdl, k1, b, k).run(postings).table(arrow) for block in _query_blocks(weights, block_rows, block_terms)])
+            return pa.table([pa.array([], t) for t in arrow.types], schema=arrow)
+        cell = _Cell(_unpack(weights.column("part")), avgdl, k1, b, k)
+        return cell.over(lambda: _unpack(postings.column("part"))).table(arrow)
 
+    arrow = to_arrow_schema(schema)
     return best_k(left.cogroup(right).applyInArrow(score, schema), k)
 
 
+def _parcel(rows: pa.Table, *coded: str) -> bytes:
+    """``rows`` as one compressed value, with the columns ``coded`` as dictionaries and lists of numbers in the smallest type."""
+    rows = rows.combine_chunks()
+    for c in coded:
+        x = rows.column(c).combine_chunks().dictionary_encode()
+        small = pa.from_numpy_dtype(np.min_scalar_type(len(x.dictionary)))
+        rows = rows.set_column(rows.column_names.index(c), c, pa.DictionaryArray.from_arrays(x.indices.cast(small), x.dictionary))
+    for c in {"places", "tfs"} & set(rows.column_names):
+        most = pc.max(pc.list_flatten(rows.column(c))).as_py() or 0
+        small = pa.list_(pa.from_numpy_dtype(np.min_scalar_type(most)))
+        rows = rows.set_column(rows.column_names.index(c), c, rows.column(c).cast(small))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(parcels: pa.Array | pa.ChunkedArray) -> Iterator[pa.Table]:
+    for x in parcels:
+        yield pa.ipc.open_stream(x.as_buffer()).read_all()
+
+
+def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Index rows in parcels, each of one shard ``__s``."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= PARCEL_BYTES:
+            yield from _parcels(held)
+            held, size = [], 0
+    if held:
+        yield from _parcels(held)
+
+
+def _parcels(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    t = pa.Table.from_batches(held)
+    shard = t.column("__s").to_numpy()
+    t = t.drop_columns("__s")
+    for s in np.unique(shard):
+        part = _parcel(t.take(pa.array(np.flatnonzero(shard == s))))
+        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([part], pa.binary())], names=["__s", "part"])
+
+
 def _query_blocks(weights: pa.Table, block_rows: int, block_terms: int) -> Iterator[pa.Table]:
     """``weights`` in blocks of whole queries: ``block_rows`` of them at most, and about ``block_terms`` pairs (one query at least)."""
     code = weights.column("qid").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
@@ -295,98 +404,229 @@ class Best:
 
 
 class _Cell:
-    """The weights of a block of queries: a dense matrix for terms that many
-    queries hold, a list sorted by term for the rest."""
-
-    def __init__(self, weights: pa.Table, avgdl: float, k1: float, b: float, k: int):
-        terms = weights.column("term").combine_chunks().dictionary_encode()
-        self.terms, self.avgdl, self.k1, self.b = terms.dictionary, avgdl, k1, b
-        values = weights.column("qid").to_pylist()
-        qids = sorted(set(values), key=nulls_first)
-        place = {x: i for i, x in enumerate(qids)}
-        t, q, w = terms.indices.to_numpy(), np.array([place[x] for x in values]), weights.column("w").to_numpy()
-        self.best, self.n, self.skipped = Best(qids, k), len(qids), 0
-        held = np.bincount(t, minlength=len(self.terms))
-        order = np.argsort(-held, kind="stable")[:max(0, DENSE_CELLS // self.n)]
-        dense = order[held[order] * 16 >= self.n]
-        self.dense_of = np.full(len(self.terms), -1, np.int64)
-        self.dense_of[dense] = np.arange(len(dense))
-        self.dense = np.zeros((len(dense), self.n))
-        d = self.dense_of[t] >= 0
-        self.dense[self.dense_of[t[d]], q[d]] = w[d]
-        o = np.argsort(t[~d], kind="stable")
-        self.t, self.q, self.w = t[~d][o], q[~d][o], w[~d][o]
-
-    def impact(self, tf, length):
-        return tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * length / self.avgdl))
-
-    def _sum(self, rows: np.ndarray, terms: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        """n x queries: per row, the weighted values of its terms."""
-        out = np.zeros((n, self.n))
-        col = self.dense_of[terms]
-        d = col >= 0
-        if d.any():
-            m = np.zeros((n, len(self.dense)))
-            m[rows[d], col[d]] = values[d]
-            out += m @ self.dense
-        r, t, v = rows[~d], terms[~d], values[~d]
-        lo = np.searchsorted(self.t, t, "left")
-        count = np.searchsorted(self.t, t, "right") - lo
-        if tot := int(count.sum()):
-            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(tot)
-            out += np.bincount(np.repeat(r, count) * self.n + self.q[at], weights=np.repeat(v, count) * self.w[at], minlength=n * self.n).reshape(n, self.n)
-        return out
-
-    def run(self, postings: pa.Table) -> Best:
-        postings = postings.combine_chunks()
-        block = postings.column("block").to_numpy()
-        order = np.argsort(block, kind="stable")
-        numbers, start = np.unique(block[order], return_index=True)
-        ends = np.append(start, len(order))
-        code = pc.index_in(postings.column("term"), value_set=self.terms).combine_chunks().fill_null(-1).to_numpy()
-        top_tf, least = (postings.column(c).combine_chunks().fill_null(0).to_numpy().astype(float) for c in ("max_tf", "min_len"))
-        term_rows = [order[ends[i]:ends[i + 1]] for i in range(len(numbers))]
-        listed = postings.column("term").combine_chunks().is_null().to_numpy(zero_copy_only=False)
-        doc_row = [rows[listed[rows]] for rows in term_rows]
-        term_rows = [rows[code[rows] >= 0] for rows in term_rows]
-        # bounds of every (index block, query), a slab of blocks at a time
-        live = [i for i in range(len(numbers)) if len(term_rows[i])]
-        slab = max(1, SCORE_CELLS // self.n)
-        for s in range(0, len(live), slab):
-            some = live[s:s + slab]
-            rows = np.concatenate([term_rows[i] for i in some])
-            at = np.repeat(np.arange(len(some)), [len(term_rows[i]) for i in some])
-            bound = self._sum(at, code[rows], self.impact(top_tf[rows], least[rows]), len(some))
-            for i in np.argsort(-bound.max(axis=1), kind="stable"):
-                queries = np.flatnonzero((bound[i] > 0) & (bound[i] + SLACK >= self.best.kth))
-                self.skipped += int((bound[i] > 0).sum()) - len(queries)
-                if len(queries):
-                    self._block(postings, code, term_rows[some[i]], int(doc_row[some[i]][0]), queries)
+    """The best ``k`` documents of a shard for each query of a group."""
+
+    def __init__(self, weights: pa.Table | Iterable[pa.Table], avgdl: float, k1: float, b: float, k: int):
+        """``weights``: one table (qid, term, w), or several that share no query."""
+        self.avgdl, self.k1, self.b, self.k, self.skipped = avgdl, k1, b, k, 0
+        qids, held, parts = [], [], []
+        for t in [weights] if isinstance(weights, pa.Table) else weights:
+            term, qid = (t.column(c).combine_chunks() for c in ("term", "qid"))
+            term = term if pa.types.is_dictionary(term.type) else term.dictionary_encode()
+            qid = (qid.dictionary_decode() if pa.types.is_dictionary(qid.type) else qid).dictionary_encode(null_encoding="encode")
+            q = qid.indices.to_numpy()
+            order = np.argsort(q, kind="stable")
+            parts.append((term.dictionary, term.indices.to_numpy()[order], t.column("w").to_numpy()[order]))
+            held.append(np.bincount(q, minlength=len(qid.dictionary)))
+            qids += qid.dictionary.to_pylist()
+        self.terms = pa.chunked_array([x for x, _, _ in parts]).unique()
+        self.t = np.concatenate([self._codes(x)[t] for x, t, _ in parts])
+        self.w = np.concatenate([w for _, _, w in parts])
+        self.best, self.n = Best(qids, k), len(qids)
+        self.ends = np.append(0, np.cumsum(np.concatenate(held)))
+
+    def _codes(self, terms: pa.Array) -> np.ndarray:
+        """The number of each of ``terms`` among the queries' terms, or -1."""
+        return pc.index_in(terms, value_set=self.terms, skip_nulls=True).fill_null(-1).to_numpy()
+
+    def impact(self, tf, norm):
+        return np.divide(tf * (self.k1 + 1), tf + norm, out=np.zeros_like(tf), where=tf > 0)   # without k1 an absent term has 0 / 0
+
+    def run(self, *postings: pa.Table) -> Best:
+        return self.over(lambda: iter(postings))
+
+    def over(self, postings: Callable[[], Iterator[pa.Table]]) -> Best:
+        """The best over ``postings``, index rows of whole blocks a table, which are gone through twice: all at once would fill a task."""
+        if self._load(postings):
+            step = min(max(1, SCORE_CELLS // self.size), self.n)
+            self.sums = np.empty((step, self.size))   # one place for all rounds: fresh memory costs as much as what is done in it
+            for lo in range(0, self.n, step):
+                self._score(lo, min(lo + step, self.n))
         return self.best
 
-    def _block(self, postings: pa.Table, code: np.ndarray, rows: np.ndarray, doc_row: int, queries: np.ndarray) -> None:
-        ids, lens = (postings.column(c)[doc_row].values for c in ("ids", "lens"))
-        lens = lens.to_numpy()
-        lists = postings.column("places").combine_chunks().take(pa.array(rows))
-        place, tf = lists.flatten().to_numpy(), postings.column("tfs").combine_chunks().take(pa.array(rows)).flatten().to_numpy()
-        term = np.repeat(code[rows], lists.value_lengths().to_numpy())
-        value = self.impact(tf.astype(float), lens[place])
-        by_id = pc.sort_indices(ids, null_placement="at_start").to_numpy()  # rows ascend by id
-        at_id = np.empty(len(by_id), np.int64)
-        at_id[by_id] = np.arange(len(by_id))
-        row = at_id[place]
-        o = np.argsort(row, kind="stable")
-        row, term, value = row[o], term[o], value[o]
-        every = len(queries) == self.n
-        step = max(1, SCORE_CELLS // self.n)
-        for lo in range(0, len(ids), step):
-            hi = min(lo + step, len(ids))
-            a, z = np.searchsorted(row, (lo, hi))
-            if a == z:
+    def _load(self, postings: Callable[[], Iterator[pa.Table]]) -> bool:
+        """Lay the shard's documents out, with its postings as a matrix of the terms that cost most, and as lists. False if nothing matches."""
+        df, docs, numbers, codes, most = np.zeros(len(self.terms), np.int64), [], [], [], 0
+        for rows in postings():
+            code, n_held = self._codes(rows.column("term").combine_chunks()), pc.list_value_length(rows.column("places")).fill_null(0).to_numpy()
+            df += np.bincount(code[code >= 0], n_held[code >= 0], len(df)).astype(np.int64)
+            codes.append(code)
+            most = max(most, pc.max(pc.list_flatten(rows.column("tfs"))).as_py() or 0)
+            listed = rows.select(["block", "ids", "lens"]).filter(rows.column("term").is_null()).combine_chunks()
+            docs.append(listed)
+            numbers += listed.column("block").to_pylist()
+        lens = np.concatenate([x.column("lens").combine_chunks().flatten().to_numpy() for x in docs])
+        first = dict(zip(numbers, np.cumsum([0, *(n for x in docs for n in pc.list_value_length(x.column("lens")).to_pylist())]).tolist(), strict=False))
+        self.ids = pa.concat_arrays([x.column("ids").combine_chunks().flatten() for x in docs])
+        n = len(lens)
+        if not n or not df.any():
+            return False
+        # a term's cost in lists: its postings, for each query that holds it
+        cost = df * np.bincount(self.t, minlength=len(df))
+        n_dense = min(DENSE_TERMS, DENSE_CELLS // n, int((cost > 0).sum()))
+        dense = np.argpartition(-cost, max(0, n_dense - 1))[:n_dense]
+        dense = dense[np.argsort(-cost[dense], kind="stable")]
+        self.dense_of = np.full(len(df), -1, np.int64)
+        self.dense_of[dense] = np.arange(n_dense)
+        tfs, kept = np.zeros((n, n_dense), np.min_scalar_type(most)), []
+        for rows, code in zip(postings(), codes, strict=True):
+            rows = rows.combine_chunks()
+            for r, is_dense in ((np.flatnonzero((code >= 0) & (self.dense_of[code] >= 0)), True), (np.flatnonzero((code >= 0) & (self.dense_of[code] < 0)), False)):
+                places, tf = (rows.column(c).combine_chunks().take(pa.array(r)) for c in ("places", "tfs"))
+                held = places.value_lengths().to_numpy()
+                blocks, which = np.unique(rows.column("block").to_numpy()[r], return_inverse=True)
+                start = np.array([first[x] for x in blocks.tolist()], np.int32)[which]
+                doc, tf = places.flatten().to_numpy() + np.repeat(start, held), tf.flatten().to_numpy()
+                if is_dense:
+                    tfs[doc, np.repeat(self.dense_of[code[r]], held)] = tf
+                else:
+                    kept.append((code[r], held, doc.astype(np.int32), tf.astype(tfs.dtype)))
+        norm = self.k1 * (1 - self.b + self.b * lens / self.avgdl)
+        at = self._layout(_alike(tfs, lens), n)
+        self.tfs, self.norm = np.zeros((self.size, n_dense), tfs.dtype), np.ones(self.size)
+        self.tfs[at], self.norm[at] = tfs, norm
+        del tfs
+        self.dense = np.zeros((self.size, n_dense), np.float32)
+        for lo in range(0, self.size, SEGMENT_DOCS):
+            part = slice(lo, lo + SEGMENT_DOCS)
+            self.dense[part] = self.impact(self.tfs[part].astype(float), self.norm[part, None])
+        self.bound = self.dense.reshape(-1, self.part, self.per, n_dense).max(axis=1).reshape(-1, n_dense)
+        self.doc = np.zeros(self.size, np.int64)
+        self.doc[at] = np.arange(n)
+        # documents by id, a null id first
+        self.by_id = np.empty(n, np.int64)
+        self.by_id[pc.sort_indices(self.ids, null_placement="at_start").to_numpy()] = np.arange(n)
+        # lists by term: each part's rows go where their term's list stands
+        self.start = np.append(0, np.cumsum(np.where(self.dense_of < 0, df, 0)))
+        self.at, self.value, filled = np.empty(self.start[-1], np.int32), np.empty(self.start[-1]), self.start[:-1].copy()
+        while kept:
+            code, held, doc, tf = kept.pop()
+            order = np.argsort(code, kind="stable")
+            before = np.cumsum(held[order]) - held[order]
+            same = np.searchsorted(code[order], code[order])
+            to = np.empty(len(code), np.int64)
+            to[order] = filled[code[order]] + before - before[same] if len(code) else 0
+            begin = np.cumsum(held) - held
+            to = np.repeat(to - begin, held) + np.arange(len(doc))
+            self.at[to], self.value[to] = at[doc], self.impact(tf.astype(float), norm[doc])
+            filled += np.bincount(code, held, len(df)).astype(np.int64)
+        self._order(n_dense)
+        pa.default_memory_pool().release_unused()
+        return True
+
+    def _order(self, n_dense: int) -> None:
+        """Queries in an order in which neighbours hold much the same common terms, and so need the same segments and columns."""
+        col, held = self.dense_of[self.t], np.diff(self.ends)
+        common = (col >= 0) & (col < ALIKE_TERMS)
+        has = np.zeros((self.n, min(ALIKE_TERMS, n_dense)), bool)
+        has[np.repeat(np.arange(self.n), held)[common], col[common]] = True
+        order = _alike(has, held)
+        at = np.repeat(self.ends[order], held[order]) + np.arange(len(self.t))
+        at -= np.repeat(np.cumsum(held[order]) - held[order], held[order])
+        self.t, self.w = self.t[at], self.w[at]
+        self.ends = np.append(0, np.cumsum(held[order]))
+        self.best.qids = [self.best.qids[i] for i in order.tolist()]
+
+    def _layout(self, order: np.ndarray, n: int) -> np.ndarray:
+        """The place of each document: in ``order``, in segments; the ``part`` documents of a bound lie ``per`` places apart."""
+        self.segment, self.part = (SEGMENT_DOCS, BOUND_DOCS) if n >= SMALL_DOCS else (1, 1)
+        self.per, self.size = self.segment // self.part, -(-n // self.segment) * self.segment
+        r = np.arange(n)
+        inside = r % self.segment
+        at = np.empty(n, np.int64)
+        at[order] = r - inside + inside % self.part * self.per + inside // self.part
+        return at
+
+    def _score(self, lo: int, hi: int) -> None:
+        """The queries from ``lo`` to ``hi``."""
+        n, k, size = hi - lo, self.k, self.segment
+        a, z = self.ends[lo], self.ends[hi]
+        query, t, w = np.repeat(np.arange(n), np.diff(self.ends[lo:hi + 1])), self.t[a:z], self.w[a:z]
+        col = self.dense_of[t]
+        d = col >= 0
+        weights = np.zeros((n, self.dense.shape[1]), np.float32)
+        weights[query[d], col[d]] = w[d]
+        cols = np.flatnonzero(weights.any(axis=0))
+        weights = weights[:, cols]
+        top = weights @ self.bound[:, cols].T
+        some = ~d & (self.start[t + 1] > self.start[t])
+        cut = np.searchsorted(query[some], np.arange(n + 1)).tolist()
+        begin, end, by = self.start[t[some]], self.start[t[some] + 1], w[some]
+        held, lists = end - begin, list(map(slice, begin.tolist(), end.tolist()))
+        sums, at, value = self.sums[:n], self.at, self.value
+        for i in range(n):
+            x, y = cut[i], cut[i + 1]
+            own = lists[x:y]
+            if not own:
+                sums[i] = 0
                 continue
-            sc = self._sum(row[a:z] - lo, term[a:z], value[a:z], hi - lo)
-            sc = sc if every else sc[:, queries]
-            self.best.offer(sc, ids.take(pa.array(by_id[lo:hi])).to_pylist(), sc > 0, None if every else queries)
+            part = np.concatenate([value[c] for c in own])
+            part *= np.repeat(by[x:y], held[x:y])
+            s = np.bincount(np.concatenate([at[c] for c in own]), part, self.size)
+            sums[i] = s
+            top[i] += s.reshape(-1, self.part, self.per).max(axis=1).ravel()
+        top = top.reshape(n, -1, self.per).max(axis=2)
+        n_seg = top.shape[1]
+        # a lower bound of the k-th best score, from each query's most promising segments
+        seeds = np.argpartition(-top, min(k, n_seg) - 1, axis=1)[:, :k]
+        best = np.full((n, seeds.shape[1], min(k, size)), -np.inf)
+        for g in np.unique(seeds):
+            q, j = np.nonzero(seeds == g)
+            sc = self._segment(weights, cols, g, q)
+            best[q, j] = sc if size <= k else np.partition(sc, size - k, axis=1)[:, size - k:]
+        best = best.reshape(n, -1)
+        least = np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k] if best.shape[1] >= k else np.full(n, -np.inf)
+        least = least * (1 - DRIFT) - 2 * SLACK
+        live = (top > 0) & (top >= least[:, None])
+        self.skipped += n * n_seg - int(live.sum())
+        found = []
+        for g in np.flatnonzero(live.any(axis=0)):
+            q = np.flatnonzero(live[:, g])
+            sc = self._segment(weights, cols, g, q)
+            r, c = np.nonzero((sc >= least[q][:, None]) & (sc > 0))
+            if len(r):
+                found.append((q[r], g * size + c, sc[r, c]))
+        if not found:
+            return
+        q, at, sc = (np.concatenate(x) for x in zip(*found, strict=True))
+        # what may be among the best k, once more, in double precision
+        o = np.lexsort((-sc, q))
+        q, at, sc = q[o], at[o], sc[o]
+        begin = np.searchsorted(q, np.arange(n + 1))
+        kth = begin[:-1] + k - 1
+        least = np.where(kth < begin[1:], sc[np.minimum(kth, len(sc) - 1)] * (1 - DRIFT) - 2 * SLACK, -np.inf)
+        may = sc >= least[q]
+        q, at = q[may], at[may]
+        dq, dc, dw = query[d], col[d], w[d]
+        first = np.searchsorted(dq, np.arange(n + 1))
+        held = first[q + 1] - first[q]
+        pair = np.repeat(first[q] - np.cumsum(held) + held, held) + np.arange(held.sum())
+        r = np.repeat(np.arange(len(q)), held)
+        tf = self.tfs[at[r], dc[pair]].astype(float)
+        sc = np.round(sums[q, at] + np.bincount(r, dw[pair] * self.impact(tf, self.norm[at[r]]), len(q)), ROUND)
+        doc = self.doc[at]
+        o = np.lexsort((self.by_id[doc], -sc, q))
+        q, sc, doc = q[o], sc[o], doc[o]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        for i, s, x in zip((lo + q[keep]).tolist(), sc[keep].tolist(), self.ids.take(pa.array(doc[keep])).to_pylist(), strict=True):
+            self.best.rows[i].append((-s, x))
+
+    def _segment(self, weights: np.ndarray, cols: np.ndarray, g: int, q: np.ndarray) -> np.ndarray:
+        """The scores of the queries ``q`` in segment ``g``, in single precision."""
+        at = slice(g * self.segment, (g + 1) * self.segment)
+        return self.sums[q, at] + weights[q] @ self.dense[at].take(cols, axis=1).T
+
+
+def _alike(tfs: np.ndarray, lens: np.ndarray, axes: int = 3, parts: int = 3, sample: int = 2_000) -> np.ndarray:
+    """An order of texts in which neighbours hold much the same common terms and are about as long: bounds over them are close."""
+    held = (tfs[:, :ALIKE_TERMS] > 0).astype(np.float32)
+    kind = np.zeros(len(lens), np.int64)
+    if held.size:
+        held -= held.mean(axis=0)
+        for axis in np.linalg.svd(held[::max(1, len(held) // sample)], full_matrices=False)[2][:axes]:
+            x = held @ axis
+            kind = kind * parts + np.digitize(x, np.quantile(x, np.arange(1, parts) / parts))
+    return np.lexsort((lens, kind))
 
 
 def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str = "item_id",
@@ -394,8 +634,9 @@ def keyword_topk(queries: DataFrame, docs: DataFrame, k: int = 5, query_id: str
                  k1: float = BM25_K1, b: float = BM25_B, block_rows: int = 5_000,
                  block_terms: int = 200_000, index: TermIndex | None = None) -> DataFrame:
     """Exact BM25 top-``k`` documents per query text: ``search`` over a stored
-    ``index``, or over one made of ``docs`` for these queries' terms."""
+    ``index``, or over one made of ``docs``, of these queries' terms only if they are few."""
     terms = query_terms(queries, query_id, query_text)
     if index is None:
-        index = term_index(docs, doc_id, doc_text, terms=terms.pairs)
+        # many queries hold most of the postings: to sort the rest out, all would have to move
+        index = term_index(docs, doc_id, doc_text, terms=terms.pairs if terms.n_pairs <= FEW_PAIRS else None)
     return search(index, terms, k, k1, b, block_rows, block_terms)
