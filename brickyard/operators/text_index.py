@@ -439,7 +439,7 @@ class _Cell:
         """The best over ``postings``, index rows of whole blocks a table, which are gone through twice: all at once would fill a task."""
         if self._load(postings):
             step = min(max(1, SCORE_CELLS // self.size), self.n)
-            self.sums = np.empty((step, self.size))   # one place for all rounds: fresh memory costs as much as what is done in it
+            self.sums = np.empty((step, self.size), np.float32)   # one place for all rounds: fresh memory costs as much as what is done in it
             for lo in range(0, self.n, step):
                 self._score(lo, min(lo + step, self.n))
         return self.best
@@ -463,8 +463,8 @@ class _Cell:
             return False
         # a term's cost in lists: its postings, for each query that holds it
         cost = df * np.bincount(self.t, minlength=len(df))
-        n_dense = min(DENSE_TERMS, DENSE_CELLS // n, int((cost > 0).sum()))
-        dense = np.argpartition(-cost, max(0, n_dense - 1))[:n_dense]
+        n_dense = min(DENSE_TERMS, max(1, DENSE_CELLS // n), int((cost > 0).sum()))
+        dense = np.argpartition(-cost, n_dense - 1)[:n_dense]
         dense = dense[np.argsort(-cost[dense], kind="stable")]
         self.dense_of = np.full(len(df), -1, np.int64)
         self.dense_of[dense] = np.arange(n_dense)
@@ -490,7 +490,7 @@ class _Cell:
         for lo in range(0, self.size, SEGMENT_DOCS):
             part = slice(lo, lo + SEGMENT_DOCS)
             self.dense[part] = self.impact(self.tfs[part].astype(float), self.norm[part, None])
-        self.bound = self.dense.reshape(-1, self.part, self.per, n_dense).max(axis=1).reshape(-1, n_dense)
+        self.bound = self.dense.reshape(self.part, -1, n_dense).max(axis=0)
         self.doc = np.zeros(self.size, np.int64)
         self.doc[at] = np.arange(n)
         # documents by id, a null id first
@@ -510,6 +510,12 @@ class _Cell:
             to = np.repeat(to - begin, held) + np.arange(len(doc))
             self.at[to], self.value[to] = at[doc], self.impact(tf.astype(float), norm[doc])
             filled += np.bincount(code, held, len(df)).astype(np.int64)
+        # each list in order of place
+        step = max(1, len(df) // 16)
+        for a in range(0, len(df), step):
+            x, y = self.start[a], self.start[min(a + step, len(df))]
+            order = np.argsort(np.repeat(np.arange(a, min(a + step, len(df))), np.diff(self.start[a:min(a + step, len(df)) + 1])) * self.size + self.at[x:y])
+            self.at[x:y], self.value[x:y] = self.at[x:y][order], self.value[x:y][order]
         self._order(n_dense)
         pa.default_memory_pool().release_unused()
         return True
@@ -528,18 +534,17 @@ class _Cell:
         self.best.qids = [self.best.qids[i] for i in order.tolist()]
 
     def _layout(self, order: np.ndarray, n: int) -> np.ndarray:
-        """The place of each document: in ``order``, in segments; the ``part`` documents of a bound lie ``per`` places apart."""
-        self.segment, self.part = (SEGMENT_DOCS, BOUND_DOCS) if n >= SMALL_DOCS else (1, 1)
-        self.per, self.size = self.segment // self.part, -(-n // self.segment) * self.segment
+        """The place of each document: in ``order``, in segments; place i counts for bound i % bounds, ``per`` bounds make a segment."""
+        segment, self.part = (SEGMENT_DOCS, BOUND_DOCS) if n >= SMALL_DOCS else (1, 1)
+        self.per, self.size = segment // self.part, -(-n // segment) * segment
         r = np.arange(n)
-        inside = r % self.segment
         at = np.empty(n, np.int64)
-        at[order] = r - inside + inside % self.part * self.per + inside // self.part
+        at[order] = r % self.part * (self.size // self.part) + r // self.part
         return at
 
     def _score(self, lo: int, hi: int) -> None:
         """The queries from ``lo`` to ``hi``."""
-        n, k, size = hi - lo, self.k, self.segment
+        n, k, size = hi - lo, self.k, self.per * self.part
         a, z = self.ends[lo], self.ends[hi]
         query, t, w = np.repeat(np.arange(n), np.diff(self.ends[lo:hi + 1])), self.t[a:z], self.w[a:z]
         col = self.dense_of[t]
@@ -562,9 +567,8 @@ class _Cell:
                 continue
             part = np.concatenate([value[c] for c in own])
             part *= np.repeat(by[x:y], held[x:y])
-            s = np.bincount(np.concatenate([at[c] for c in own]), part, self.size)
-            sums[i] = s
-            top[i] += s.reshape(-1, self.part, self.per).max(axis=1).ravel()
+            sums[i] = np.bincount(np.concatenate([at[c] for c in own]), part, self.size)
+            top[i] += sums[i].reshape(self.part, -1).max(axis=0)
         top = top.reshape(n, -1, self.per).max(axis=2)
         n_seg = top.shape[1]
         # a lower bound of the k-th best score, from each query's most promising segments
@@ -585,7 +589,7 @@ class _Cell:
             sc = self._segment(weights, cols, g, q)
             r, c = np.nonzero((sc >= least[q][:, None]) & (sc > 0))
             if len(r):
-                found.append((q[r], g * size + c, sc[r, c]))
+                found.append((q[r], c // self.per * (self.size // self.part) + g * self.per + c % self.per, sc[r, c]))
         if not found:
             return
         q, at, sc = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -597,13 +601,11 @@ class _Cell:
         least = np.where(kth < begin[1:], sc[np.minimum(kth, len(sc) - 1)] * (1 - DRIFT) - 2 * SLACK, -np.inf)
         may = sc >= least[q]
         q, at = q[may], at[may]
-        dq, dc, dw = query[d], col[d], w[d]
-        first = np.searchsorted(dq, np.arange(n + 1))
+        first = np.searchsorted(query, np.arange(n + 1))
         held = first[q + 1] - first[q]
         pair = np.repeat(first[q] - np.cumsum(held) + held, held) + np.arange(held.sum())
         r = np.repeat(np.arange(len(q)), held)
-        tf = self.tfs[at[r], dc[pair]].astype(float)
-        sc = np.round(sums[q, at] + np.bincount(r, dw[pair] * self.impact(tf, self.norm[at[r]]), len(q)), ROUND)
+        sc = np.round(np.bincount(r, w[pair] * self._values(t[pair], at[r]), len(q)), ROUND)
         doc = self.doc[at]
         o = np.lexsort((self.by_id[doc], -sc, q))
         q, sc, doc = q[o], sc[o], doc[o]
@@ -611,10 +613,30 @@ class _Cell:
         for i, s, x in zip((lo + q[keep]).tolist(), sc[keep].tolist(), self.ids.take(pa.array(doc[keep])).to_pylist(), strict=True):
             self.best.rows[i].append((-s, x))
 
+    def _values(self, t: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """What the documents ``at`` hold of the terms ``t``, in double precision."""
+        out, col = np.zeros(len(t)), self.dense_of[t]
+        d = col >= 0
+        out[d] = self.impact(self.tfs[at[d], col[d]].astype(float), self.norm[at[d]])
+        t, at = t[~d], at[~d]
+        lo, end = self.start[t], self.start[t + 1]
+        hi = end.copy()
+        while (open_ := lo < hi).any():
+            mid = (lo + hi) // 2
+            less = open_ & (self.at[np.where(open_, mid, 0)] < at)
+            lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
+        hit = lo < end
+        hit[hit] = self.at[lo[hit]] == at[hit]
+        found = np.zeros(len(t))
+        found[hit] = self.value[lo[hit]]
+        out[~d] = found
+        return out
+
     def _segment(self, weights: np.ndarray, cols: np.ndarray, g: int, q: np.ndarray) -> np.ndarray:
         """The scores of the queries ``q`` in segment ``g``, in single precision."""
-        at = slice(g * self.segment, (g + 1) * self.segment)
-        return self.sums[q, at] + weights[q] @ self.dense[at].take(cols, axis=1).T
+        at = slice(g * self.per, (g + 1) * self.per)
+        dense = self.dense.reshape(self.part, -1, self.dense.shape[1])[:, at].take(cols, axis=2).reshape(self.part * self.per, len(cols))
+        return self.sums.reshape(len(self.sums), self.part, -1)[q, :, at].reshape(len(q), -1) + weights[q] @ dense.T
 
 
 def _alike(tfs: np.ndarray, lens: np.ndarray, axes: int = 3, parts: int = 3, sample: int = 2_000) -> np.ndarray:

@@ -101,6 +101,21 @@ def test_context_and_prompt(spark):
     assert not off.has_history and "user: hi" not in off.prompt
 
 
+def test_texts_stay_where_they_are_for_few_hits(spark, monkeypatch):
+    ranked = spark.createDataFrame([(1, 2, 20), (1, 1, 10), (2, 1, 20), (2, 2, None), (3, 1, 99)], "query_id bigint, rank int, doc_id bigint")
+    texts = spark.createDataFrame([(10, "A"), (20, "B"), (None, "C"), (30, "D")], "doc_id bigint, text string")
+    want = [(1, 2, "Context document 1: A \n\nContext document 2: B \n\n"), (2, 1, "Context document 1: B \n\n")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, join in ((5, "BroadcastHashJoin"), (4, "SortMergeJoin")):
+            monkeypatch.setattr(R, "BROADCAST_HITS", most)
+            out = R.assemble_context(ranked, texts)
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, out.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rewrite_prompt_and_search_question(spark):
     q = spark.createDataFrame([(1, 0, 1, "first"), (1, 2, 2, "and it?")], "conv_id bigint, turn bigint, query_id bigint, question string")
     hist = R.chat_history(spark.createDataFrame([(1, 0, "user", "first"), (1, 1, "assistant", "ho"), (1, 2, "user", "and it?")],

@@ -153,6 +153,48 @@ def test_skipping_loses_nothing():
         same(got, brute(queries, docs, 3))
 
 
+@pytest.mark.parametrize("dense,scores", [(256, 4_000_000), (5, 4_000_000), (1, 2_000)])
+def test_segments_lose_nothing(monkeypatch, dense, scores):
+    """Many documents in segments, with equal scores across them; common terms as a matrix, others as lists; queries in rounds."""
+    for name, value in (("SMALL_DOCS", 0), ("SEGMENT_DOCS", 16), ("BOUND_DOCS", 4), ("DENSE_TERMS", dense), ("SCORE_CELLS", scores)):
+        monkeypatch.setattr(X, name, value)
+    docs, queries = corpus(7, 900)
+    docs = [(i, t or "") for i, (_, t) in enumerate(docs)] + [(2000 - i, "c1 r3é c2") for i in range(40)]
+    queries = [(q, t or "") for q, t in queries]
+    scored, real = [], X._Cell._values
+    monkeypatch.setattr(X._Cell, "_values", lambda self, t, at: (scored.append(len(at)), real(self, t, at))[1])
+    c, best = cell(docs, queries, 3)
+    got = sorted(((best.qids[j], i + 1, d, -s) for j, found in enumerate(best.rows) for i, (s, d) in enumerate(found)), key=str)
+    same(got, brute(queries, docs, 3))
+    assert c.skipped and sum(scored) < 100 * len(queries)   # a few documents' terms a query in double precision
+
+
+def test_many_queries_move_the_index_as_parcels(spark, data, monkeypatch):
+    """Beyond FEW_PAIRS no index row is joined or sorted for the search: a block moves as one value."""
+    docs, queries, d, q = data
+    monkeypatch.setattr(X, "BLOCK_DOCS", 50)
+    few = rows(X.keyword_topk(q, d, 4))
+    monkeypatch.setattr(X, "FEW_PAIRS", 0)
+    made, real = [], X.term_index
+    monkeypatch.setattr(X, "term_index", lambda *a, **b: made.append(real(*a, **b)) or made[-1])
+    got = rows(X.keyword_topk(q, d, 4, block_rows=7))
+    same(got, brute(queries, docs, 4))
+    same(got, few)
+    blocks = made[0].rows.where("term is null").count()
+    assert made[0].parcels.count() == blocks >= len(docs) // 50
+    index = X.open_index(made[0].rows)
+    assert (index.n_docs, index.n_tokens) == made[0][1:3] and index.parcels is None
+    same(rows(X.keyword_topk(q, None, 4, index=index)), brute(queries, docs, 4))
+    assert sorted(map(str, index.terms().collect())) == sorted(map(str, made[0].terms().collect()))
+
+
+def test_impact_without_k1(spark):
+    """Terms that a document does not hold add nothing, whatever the parameters."""
+    docs = [(1, "a b"), (2, "a"), (3, ""), (4, "c")]
+    got = rows(X.keyword_topk(spark.createDataFrame([(1, "a b")], "item_id bigint, text string"), spark.createDataFrame(docs, "doc_id bigint, text string"), 3, k1=0.0, b=1.0))
+    same(got, brute([(1, "a b")], docs, 3, k1=0.0, b=1.0))
+
+
 def test_best_offers_some_queries():
     b = X.Best(["p", "q"], 2)
     b.offer(np.array([[3.0], [1.0]]), [1, 2], np.array([[True], [True]]), np.array([1]))
